@@ -1,0 +1 @@
+"""Nothing is built here: the jobs this engine covers are batch jobs, without event time or state."""
