@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.text import lines_of, must_cast, piece_ids_of, pieces_of, whole_numbers, words_of
 from vecloom.operators.ordinal import with_offset, with_ordinal
+from vecloom.session import write_table
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
@@ -72,8 +73,12 @@ def piece_frequency(lines: DataFrame, text: str) -> DataFrame:
 
 
 def piece_vocabulary(counts: DataFrame) -> DataFrame:
-    """``(token, text, n)`` from ``(piece, n)``: token ids from 0, the most frequent piece first."""
-    ranked = with_ordinal(counts.withColumn("_rarity", -F.col("n")), ["_rarity", "piece"], "token")
+    """``(token, text, n)`` from ``(piece, n)``: token ids from 0, the most frequent piece first.
+
+    The counts are written before they are ranked, so the text behind them is read once.
+    """
+    counted = write_table(counts.select("piece", "n", (-F.col("n")).alias("_rarity")), "counts")
+    ranked = with_ordinal(counted, ["_rarity", "piece"], "token")
     return ranked.select(F.col("token").cast("int").alias("token"), F.col("piece").alias("text"), "n")
 
 

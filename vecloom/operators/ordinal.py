@@ -14,13 +14,16 @@ from vecloom.session import write_table
 def running_offsets(df: DataFrame, order_by: Sequence[str], weight: Column | None = None) -> DataFrame:
     """``(order_by..., offset)``: the summed weights of all rows before each row, by the unique key ``order_by``.
 
-    Spark range-partitions the keys alone, not the rows they belong to. The partition number is written
-    down with each key, because a second evaluation could draw other range bounds. Partition totals (one
-    row per shuffle partition) give each partition's start; a window inside the partition gives the rest.
+    Spark range-partitions the keys alone, not the rows they belong to. Weights are computed once, into a
+    small table, since range partitioning reads its input twice. The partition number is written down with
+    each key, because a second evaluation could draw other range bounds. Partition totals (one row per
+    shuffle partition) give each partition's start; a window inside the partition gives the rest.
     """
     keys = list(order_by)
-    amount = (F.lit(1) if weight is None else weight).cast("bigint")
-    ranged = df.select(*keys, amount.alias("_weight")).repartitionByRange(*keys)
+    weighed = df.select(*keys, (F.lit(1) if weight is None else weight).cast("bigint").alias("_weight"))
+    if weight is not None:
+        weighed = write_table(weighed, "weights")
+    ranged = weighed.repartitionByRange(*keys)
     placed = write_table(ranged.withColumn("_part", F.spark_partition_id()), "offsets")
 
     totals = placed.groupBy("_part").agg(F.sum("_weight").alias("_total"))

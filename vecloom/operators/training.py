@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.hashing import draw_below
+from vecloom.functions.hashing import quick_draw_below
 from vecloom.functions.vector import combine_vectors
 from vecloom.operators.embeddings import init_embeddings
 from vecloom.operators.ordinal import running_offsets
@@ -55,7 +55,7 @@ def training_windows(sequences: DataFrame, keys: list[str], params: Params) -> D
             F.floor(number / F.lit(params.windows_per_shard)).cast("string").alias("shard"),
             number.cast("string").alias("win"), "window")
     at = F.sequence(F.lit(1), F.greatest(F.size("window") - 1, F.lit(1)))
-    draws = F.transform(at, lambda i: draw_below(params.vocab_size, params.seed, F.col("win"), i).cast("int"))
+    draws = F.transform(at, lambda i: quick_draw_below(params.vocab_size, params.seed, F.col("win"), i).cast("int"))
     return numbered.where(F.size("window") > 1).withColumn("negatives", draws)
 
 

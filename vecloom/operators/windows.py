@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.hashing import draw_below
 
+#: How many windows of a long stream are cut out of one list.
+WINDOWS_PER_STRETCH = 256
+
 
 def window_count(length: Column, size: int, step: int) -> Column:
     """How many windows a list of this length has: none if empty, else as many as reach its end, the last maybe short."""
@@ -31,21 +34,26 @@ def token_windows(sequences: DataFrame, keys: list[str], size: int, step: int) -
 def stream_windows(sharded: DataFrame, size: int, step: int) -> DataFrame:
     """``(shard, win_no, window)`` over streams ``(shard, shard_pos, token)`` of any length.
 
-    The same windows as over one list per shard, but no shard is gathered: each token goes to the few
-    windows that cover it, and a window is as many rows as it is wide.
+    The same windows as over one list per shard, but no shard is gathered: a stream is cut into stretches of
+    ``WINDOWS_PER_STRETCH`` windows, each with the few tokens its last windows share with the next one.
     """
     _positive(size, step)
+    at, span = F.col("shard_pos"), F.lit(WINDOWS_PER_STRETCH * step)
     lengths = sharded.groupBy("shard").agg((F.max("shard_pos") + 1).alias("_length")).select(
         "shard", window_count(F.col("_length"), size, step).cast("bigint").alias("_windows"))
-    at = F.col("shard_pos")
-    first = F.greatest(F.ceil((at - F.lit(size - 1)) / F.lit(step)), F.lit(0)).cast("bigint")
-    last = F.floor(at / F.lit(step)).cast("bigint")
-    covered = sharded.where(first <= last).select(
-        "shard", F.explode(F.sequence(first, last)).alias("win_no"), "shard_pos", "token")
-    windows = covered.groupBy("shard", "win_no").agg(
-        F.array_sort(F.collect_list(F.struct("shard_pos", "token"))).alias("_t"))
-    return windows.join(lengths, "shard").where(F.col("win_no") < F.col("_windows")).select(
-        "shard", "win_no", F.col("_t.token").alias("window"))
+    first = F.greatest(F.ceil((at - F.lit(size - 1 - step)) / span) - 1, F.lit(0)).cast("bigint")
+    last = F.floor(at / span).cast("bigint")
+    placed = sharded.where(first <= last).select(
+        "shard", F.explode(F.sequence(first, last)).alias("_stretch"), "shard_pos", "token")
+    stretches = placed.groupBy("shard", "_stretch").agg(
+        F.array_sort(F.collect_list(F.struct("shard_pos", "token"))).alias("_t")).join(lengths, "shard")
+
+    before = F.col("_stretch") * F.lit(WINDOWS_PER_STRETCH)
+    count = F.least(F.col("_windows") - before, F.lit(WINDOWS_PER_STRETCH)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))),
+                      lambda i: F.slice(F.col("_t.token"), i * F.lit(step) + F.lit(1), F.lit(size)))
+    return stretches.where(count > 0).select("shard", before.alias("_before"), F.posexplode(cut).alias("_i", "window")).select(
+        "shard", (F.col("_before") + F.col("_i")).alias("win_no"), "window")
 
 
 def skipgram_pairs(windows: DataFrame, keys: list[str]) -> DataFrame:

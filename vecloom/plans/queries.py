@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 JOINED_VOCAB = 1000
 FULL_VOCAB = 252975
 PIECES = Params(vocab_size=300, embedding_dim=10)
-BPE = Params(vocab_size=50256, epochs=2, rounds=2, windows_per_shard=20_000)
+BPE = Params(vocab_size=50256, epochs=2, rounds=2, windows_per_shard=50_000)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,7 +186,8 @@ def detokenize_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.token_stream(_line_tokens(spark, folder, FULL_VOCAB), ["doc_id", "pos"])
+    tokenised = write_table(_line_tokens(spark, folder, FULL_VOCAB), "tokenised")
+    return tokens.token_stream(tokenised, ["doc_id", "pos"])
 
 
 def shard_tokens(spark: SparkSession, folder: str) -> DataFrame:
