@@ -41,9 +41,11 @@ def training_windows(sequences: DataFrame, keys: list[str], params: Params) -> D
     if params.round_robin:
         dealt = shard_tokens(token_stream(sequences, keys), params.num_shards_embeddings)
         windows = stream_windows(dealt, params.window_size, params.stride)
+        streams = F.lit(params.num_shards_embeddings)
+        turn = F.floor(F.col("win_no") / F.lit(params.windows_per_shard))
         numbered = windows.select(
-            F.concat_ws("-", "shard", F.floor(F.col("win_no") / params.windows_per_shard)).alias("shard"),
-            F.concat_ws("-", "shard", "win_no").alias("win"), "window")
+            (turn * streams + F.col("shard")).alias("shard"), (F.col("win_no") * streams + F.col("shard")).alias("win"),
+            "window")
     else:
         starts = running_offsets(
             sequences.select(*keys, window_count(F.size("tokens"), params.window_size, params.stride).alias("_n")),
@@ -52,8 +54,7 @@ def training_windows(sequences: DataFrame, keys: list[str], params: Params) -> D
         windows = token_windows(placed, ["offset"], params.window_size, params.stride)
         number = F.col("offset") + F.col("win_no")
         numbered = windows.select(
-            F.floor(number / F.lit(params.windows_per_shard)).cast("string").alias("shard"),
-            number.cast("string").alias("win"), "window")
+            F.floor(number / F.lit(params.windows_per_shard)).alias("shard"), number.alias("win"), "window")
     at = F.sequence(F.lit(1), F.greatest(F.size("window") - 1, F.lit(1)))
     draws = F.transform(at, lambda i: quick_draw_below(params.vocab_size, params.seed, F.col("win"), i).cast("int"))
     return numbered.where(F.size("window") > 1).withColumn("negatives", draws)
@@ -74,8 +75,10 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     spark = sequences.sparkSession
     ship_package(spark)
     windows = write_table(training_windows(sequences, keys, params), "windows")
-    used = windows.select("shard", F.explode(F.array_union("window", "negatives")).alias("token")).distinct()
+    used = windows.select("shard", F.explode(F.concat("window", "negatives")).alias("token")).distinct()
     used = write_table(used, "used")
+    # several tasks per core, so that a core that is done early takes another shard
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     corpus = sequences.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
     vectors = init_embeddings(used.select("token").union(corpus).distinct(), params.embedding_dim, params.seed)
     current = write_table(vectors.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")
@@ -84,7 +87,8 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     best, patience = current, params.patience
     for number in range(params.rounds):
         pulled = used.join(current, "token").select(F.col("shard").alias("vector_shard"), "token", "embedding")
-        updates = windows.groupBy("shard").cogroup(pulled.groupBy("vector_shard")).applyInArrow(
+        sides = windows.repartition(tasks, "shard"), pulled.repartition(tasks, "vector_shard")
+        updates = sides[0].groupBy("shard").cogroup(sides[1].groupBy("vector_shard")).applyInArrow(
             _shard_kernel(params, number), _UPDATES)
         round_table = write_table(updates, "updates")
         total = round_table.agg(F.sum("loss"), F.sum("pairs")).first()
@@ -120,7 +124,7 @@ def train_shard(windows: pa.Table, vectors: pa.Table, params: Params, number: in
     """
     if windows.num_rows == 0 or vectors.num_rows == 0:
         return _no_updates()
-    order = np.argsort(windows["win"].to_numpy(zero_copy_only=False).astype(str), kind="stable")
+    order = np.argsort(windows["win"].to_numpy(), kind="stable")
     windows = windows.take(pa.array(order)).combine_chunks()
     center, context, negative = _pairs(windows["window"], windows["negatives"])
     tokens = vectors["token"].to_numpy().astype(np.int64)
@@ -133,10 +137,11 @@ def train_shard(windows: pa.Table, vectors: pa.Table, params: Params, number: in
 
     step = params.batch_pairs
     loss = sum(_loss(matrix, c[i:i + 65536], o[i:i + 65536], n[i:i + 65536]) for i in range(0, len(c), 65536))
+    batches = [_batch(c[i:i + step], o[i:i + step], n[i:i + step]) for i in range(0, len(c), step)]
     for epoch in range(params.epochs):
         rate = params.learning_rate * params.decay_rate ** ((number * params.epochs + epoch) // params.decay_steps)
-        for i in range(0, len(c), step):
-            _descend(matrix, c[i:i + step], o[i:i + step], n[i:i + step], rate)
+        for batch in batches:
+            _descend(matrix, batch, rate)
 
     touches = sum(np.bincount(ids, minlength=len(tokens)) for ids in (c, o, n))
     first = np.zeros(len(tokens))
@@ -169,16 +174,22 @@ def _loss(matrix: np.ndarray, c: np.ndarray, o: np.ndarray, n: np.ndarray) -> fl
     return float(np.logaddexp(0, -near).sum() + np.logaddexp(0, far).sum())
 
 
-def _descend(matrix: np.ndarray, c: np.ndarray, o: np.ndarray, n: np.ndarray, rate: float) -> None:
-    """One step for a batch of triples, in place."""
+def _batch(c: np.ndarray, o: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A batch of triples with the order that brings equal rows together, and where each row begins in it."""
+    ids = np.concatenate([c, o, n])
+    order = np.argsort(ids, kind="stable")
+    heads = np.flatnonzero(np.diff(ids[order], prepend=-1))
+    return c, o, n, order, heads, ids[order[heads]]
+
+
+def _descend(matrix: np.ndarray, batch: tuple[np.ndarray, ...], rate: float) -> None:
+    """One step for a batch, in place: every row moves by the sum of its triples' derivatives."""
+    c, o, n, order, heads, rows = batch
     vc, vo, vn = matrix[c], matrix[o], matrix[n]
     near = (_logistic(np.einsum("ij,ij->i", vc, vo)) - 1)[:, None]
     far = _logistic(np.einsum("ij,ij->i", vc, vn))[:, None]
     moves = np.concatenate([near * vo + far * vn, near * vc, far * vc])
-    ids = np.concatenate([c, o, n])
-    order = np.argsort(ids, kind="stable")
-    heads = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    matrix[ids[order][heads]] -= rate * np.add.reduceat(moves[order], heads, axis=0)
+    matrix[rows] -= rate * np.add.reduceat(moves[order], heads, axis=0)
 
 
 def _no_updates() -> pa.Table:
