@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from vecloom.operators import sgns
+from vecloom.operators import tokens as tk
+from vecloom.operators import windows as wd
 from vecloom.operators.embeddings import init_embeddings
-from vecloom.operators.training import train_embeddings, training_windows
+from vecloom.operators.training import shard_triples, train_embeddings, training_segments
 from vecloom.params import Params
 
 
@@ -78,12 +82,26 @@ def test_training_lowers_the_loss_and_repeats_itself(spark, sequences, round_rob
         assert one[token] == pytest.approx(two[token], abs=1e-5)
 
 
-def test_shards_are_bounded_and_hold_every_window(spark, sequences):
-    windows = training_windows(sequences, ["line_no"], PARAMS)
-    sizes = [r["count"] for r in windows.groupBy("shard").count().collect()]
-    assert max(sizes) <= PARAMS.windows_per_shard and len(sizes) > 5
-    pairs = windows.select(F.sum(F.size("window") - 1).alias("p"), F.sum(F.size("negatives")).alias("n")).first()
-    assert pairs.p == pairs.n and windows.select("win").distinct().count() == windows.count()
+@pytest.mark.parametrize("size,step", [(8, 4), (3, 1), (2, 5)])
+@pytest.mark.parametrize("round_robin", [False, True])
+def test_segments_hold_the_pairs_of_the_windows(spark, sequences, monkeypatch, size, step, round_robin):
+    monkeypatch.setattr(wd, "WINDOWS_PER_STRETCH", 4)
+    params = replace(PARAMS, window_size=size, stride=step, round_robin=round_robin, num_shards_embeddings=3)
+    segments = training_segments(sequences, ["line_no"], params).toArrow()
+    shards = np.unique(segments["shard"].to_numpy())
+    assert len(shards) > 3
+    found = Counter()
+    for shard in shards:
+        mine = segments.filter(pc.equal(segments["shard"], int(shard)))
+        assert pc.sum(mine["n_windows"]).as_py() <= params.windows_per_shard + 4 * round_robin
+        c, o, n = shard_triples(mine, params)
+        assert len(n) == len(c) and (n < params.vocab_size).all()
+        found.update(zip(c.tolist(), o.tolist()))
+    if round_robin:
+        windows = wd.stream_windows(tk.shard_tokens(tk.token_stream(sequences, ["line_no"]), 3), size, step)
+    else:
+        windows = wd.token_windows(sequences, ["line_no"], size, step)
+    assert found == Counter((r.c, r.o) for r in wd.skipgram_pairs(windows, ["win_no"]).collect())
 
 
 def test_a_token_without_pairs_keeps_its_start_vector(spark):

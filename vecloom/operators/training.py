@@ -1,4 +1,4 @@
-"""Training: shards of windows train side by side and their vectors are averaged, round by round."""
+"""Training: shards of text train side by side and their vectors are averaged, round by round."""
 
 from __future__ import annotations
 
@@ -10,12 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.hashing import quick_draw_below
 from vecloom.functions.vector import combine_vectors
 from vecloom.operators.embeddings import init_embeddings
 from vecloom.operators.ordinal import running_offsets
 from vecloom.operators.tokens import shard_tokens, token_stream
-from vecloom.operators.windows import stream_windows, token_windows, window_count
+from vecloom.operators.windows import stream_stretches, window_count
 from vecloom.params import Params
 from vecloom.session import ship_package, write_table
 
@@ -30,68 +29,68 @@ class TrainedEmbeddings:
     losses: list[float] = field(default_factory=list)
 
 
-def training_windows(sequences: DataFrame, keys: list[str], params: Params) -> DataFrame:
-    """``(shard, win, window, negatives)``: every window of the corpus, its training shard, a negative per pair.
+def training_segments(sequences: DataFrame, keys: list[str], params: Params) -> DataFrame:
+    """``(shard, win, n_windows, tokens)``: the corpus in segments of windows, each in one training shard.
 
-    Windows are numbered through the corpus and ``windows_per_shard`` in a row make a shard, so shards are
-    text in order and of bounded size, however long one document is. With ``round_robin`` the token stream
-    is dealt over ``num_shards_embeddings`` streams first, as the sharding job does, and the windows of each
-    stream are shared out in the same bounded way.
+    Window ``i`` of a segment begins at its token ``i * stride``; overlapping windows are not written out.
+    Windows are numbered through the corpus, ``win`` being a segment's first, and ``windows_per_shard`` in a
+    row make a shard: text in order, of bounded size, however long one document is. With ``round_robin`` the
+    token stream is dealt over ``num_shards_embeddings`` streams first, as the sharding job does, and each
+    stream's windows are shared out alike.
     """
+    size, step, share = params.window_size, params.stride, F.lit(params.windows_per_shard)
     if params.round_robin:
-        dealt = shard_tokens(token_stream(sequences, keys), params.num_shards_embeddings)
-        windows = stream_windows(dealt, params.window_size, params.stride)
         streams = F.lit(params.num_shards_embeddings)
-        turn = F.floor(F.col("win_no") / F.lit(params.windows_per_shard))
-        numbered = windows.select(
-            (turn * streams + F.col("shard")).alias("shard"), (F.col("win_no") * streams + F.col("shard")).alias("win"),
-            "window")
-    else:
-        starts = running_offsets(
-            sequences.select(*keys, window_count(F.size("tokens"), params.window_size, params.stride).alias("_n")),
-            keys, F.col("_n"))
-        placed = sequences.select(*keys, "tokens").join(starts, keys)
-        windows = token_windows(placed, ["offset"], params.window_size, params.stride)
-        number = F.col("offset") + F.col("win_no")
-        numbered = windows.select(
-            F.floor(number / F.lit(params.windows_per_shard)).alias("shard"), number.alias("win"), "window")
-    at = F.sequence(F.lit(1), F.greatest(F.size("window") - 1, F.lit(1)))
-    draws = F.transform(at, lambda i: quick_draw_below(params.vocab_size, params.seed, F.col("win"), i).cast("int"))
-    return numbered.where(F.size("window") > 1).withColumn("negatives", draws)
+        dealt = shard_tokens(token_stream(sequences, keys), params.num_shards_embeddings)
+        turn = F.floor(F.col("first_win") / share)
+        return stream_stretches(dealt, size, step).select(
+            (turn * streams + F.col("shard")).alias("shard"),
+            (F.col("first_win") * streams + F.col("shard")).alias("win"), "n_windows", "tokens")
+
+    counted = sequences.withColumn("_n", window_count(F.size("tokens"), size, step)).where(F.col("_n") > 0)
+    starts = running_offsets(counted, keys, F.col("_n"))
+    placed = counted.join(starts, keys)
+    begin, end = F.col("offset"), F.col("offset") + F.col("_n")
+    shards = F.sequence(F.floor(begin / share), F.floor((end - 1) / share))
+    parts = placed.select("tokens", begin.alias("_begin"), end.alias("_end"), F.explode(shards).alias("shard"))
+    first = F.greatest(F.col("_begin"), F.col("shard") * share)
+    last = F.least(F.col("_end"), (F.col("shard") + 1) * share)
+    n_windows = (last - first).cast("int")
+    skipped = (first - F.col("_begin")).cast("int") * F.lit(step)
+    covered = F.slice("tokens", skipped + F.lit(1), (n_windows - 1) * F.lit(step) + F.lit(size))
+    return parts.select("shard", first.alias("win"), n_windows.alias("n_windows"), covered.alias("tokens"))
 
 
 def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> TrainedEmbeddings:
     """Train token vectors on lists ``tokens`` under the unique key ``keys``.
 
     All shards start from one shared, hash-drawn vector per token. In a round, every shard gets only the
-    vectors its windows use, runs ``epochs`` of SGD over all its pairs, and gives back what it changed; the
-    new table is the mean per token, weighted by how often each shard touched it. Each round is one written
-    table, so lineage stays one round long. Training stops after ``patience`` rounds without a lower loss
-    and keeps the vectors that entered the best round measured.
+    vectors its text and its negatives use, runs ``epochs`` of SGD over all its pairs, and gives back what it
+    changed; the new table is the mean per token, weighted by how often each shard touched it. Each round is
+    one written table, so lineage stays one round long. Training stops after ``patience`` rounds without a
+    lower loss and keeps the vectors that entered the best round.
 
     The learning rate is ``lr * decay ^ (epoch // steps)`` with epochs counted on through the rounds.
     ``sequences`` is read several times; write tokenised text as a table first.
     """
     spark = sequences.sparkSession
     ship_package(spark)
-    windows = write_table(training_windows(sequences, keys, params), "windows")
-    used = windows.select("shard", F.explode(F.concat("window", "negatives")).alias("token")).distinct()
-    used = write_table(used, "used")
     # several tasks per core, so that a core that is done early takes another shard
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    segments = write_table(training_segments(sequences, keys, params), "segments").repartition(tasks, "shard")
+    used = write_table(segments.groupBy("shard").applyInArrow(_needs_kernel(params), "shard bigint, token bigint"), "used")
     corpus = sequences.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
-    vectors = init_embeddings(used.select("token").union(corpus).distinct(), params.embedding_dim, params.seed)
-    current = write_table(vectors.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")
+    tokens = used.select(F.col("token").cast("int").alias("token")).union(corpus).distinct()
+    start = init_embeddings(tokens, params.embedding_dim, params.seed)
+    current = write_table(start.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")
 
     losses: list[float] = []
     best, patience = current, params.patience
     for number in range(params.rounds):
         pulled = used.join(current, "token").select(F.col("shard").alias("vector_shard"), "token", "embedding")
-        sides = windows.repartition(tasks, "shard"), pulled.repartition(tasks, "vector_shard")
-        updates = sides[0].groupBy("shard").cogroup(sides[1].groupBy("vector_shard")).applyInArrow(
-            _shard_kernel(params, number), _UPDATES)
-        round_table = write_table(updates, "updates")
-        total = round_table.agg(F.sum("loss"), F.sum("pairs")).first()
+        sides = segments.groupBy("shard"), pulled.repartition(tasks, "vector_shard").groupBy("vector_shard")
+        updates = write_table(sides[0].cogroup(sides[1]).applyInArrow(_shard_kernel(params, number), _UPDATES), "updates")
+        total = updates.agg(F.sum("loss"), F.sum("pairs")).first()
         if not total[1]:
             break
         losses.append(total[0] / total[1])
@@ -102,38 +101,68 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
             if patience <= 0:
                 current = best
                 break
-        averaged = combine_vectors(round_table.where("touches > 0"), ["token"], "embedding", how="mean", weight="touches")
+        averaged = combine_vectors(updates, ["token"], "embedding", how="mean", weight="touches")
         merged = current.join(averaged.withColumnRenamed("embedding", "_new"), "token", "left").select(
             "token", F.coalesce(F.col("_new").cast("array<float>"), "embedding").alias("embedding"))
         current = write_table(merged, "round")
     return TrainedEmbeddings(current.join(corpus, "token", "left_semi").select("token", "embedding"), losses)
 
 
+def _needs_kernel(params: Params) -> Callable[[pa.Table], pa.Table]:
+    def needs(segments: pa.Table) -> pa.Table:
+        tokens = np.unique(np.concatenate(shard_triples(segments, params))).astype(np.int64)
+        return pa.table({"shard": np.full(len(tokens), segments["shard"][0].as_py(), np.int64), "token": tokens})
+
+    return needs
+
+
 def _shard_kernel(params: Params, number: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def train(windows: pa.Table, vectors: pa.Table) -> pa.Table:
-        return train_shard(windows, vectors, params, number)
+    def train(segments: pa.Table, vectors: pa.Table) -> pa.Table:
+        return train_shard(segments, vectors, params, number)
 
     return train
 
 
-def train_shard(windows: pa.Table, vectors: pa.Table, params: Params, number: int) -> pa.Table:
+def shard_triples(segments: pa.Table, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centre, context and negative of every pair of neighbours in every window of a shard, in text order.
+
+    The negatives are drawn by seed and shard, so a shard draws the same ones wherever and whenever it runs.
+    """
+    size, step = params.window_size, params.stride
+    segments = segments.take(pa.array(np.argsort(segments["win"].to_numpy(), kind="stable")))
+    lists = segments["tokens"].combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    windows = segments["n_windows"].to_numpy().astype(np.int64)
+
+    inside = _counting(windows) * step
+    pairs = np.minimum(size, np.repeat(lengths, windows) - inside) - 1
+    begins = np.repeat(np.cumsum(lengths) - lengths, windows) + inside
+    at = np.repeat(begins, pairs) + _counting(pairs)
+    drawn = np.random.default_rng([params.seed, segments["shard"][0].as_py()]).integers(0, params.vocab_size, len(at))
+    return flat[at], flat[at + 1], drawn
+
+
+def _counting(sizes: np.ndarray) -> np.ndarray:
+    """``0 1 .. n-1`` for each n in ``sizes``, in one array."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+
+
+def train_shard(segments: pa.Table, vectors: pa.Table, params: Params, number: int) -> pa.Table:
     """One round of one shard: SGD over its pairs, on the vectors it uses.
 
-    Windows are put in order first, so the result does not depend on how rows arrive. The loss is taken
-    before the first update. ``loss`` and ``pairs`` stand on the first row only, to be summed.
+    The loss is taken before the first update. ``loss`` and ``pairs`` stand on the first row only, to be summed.
     """
-    if windows.num_rows == 0 or vectors.num_rows == 0:
+    if segments.num_rows == 0 or vectors.num_rows == 0:
         return _no_updates()
-    order = np.argsort(windows["win"].to_numpy(), kind="stable")
-    windows = windows.take(pa.array(order)).combine_chunks()
-    center, context, negative = _pairs(windows["window"], windows["negatives"])
-    tokens = vectors["token"].to_numpy().astype(np.int64)
-    rows = np.argsort(tokens, kind="stable")
-    tokens = tokens[rows]
-    table = vectors["embedding"].combine_chunks()
-    table = pa.concat_arrays(table.chunks) if isinstance(table, pa.ChunkedArray) else table
-    matrix = table.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)[rows].astype(np.float64)
-    c, o, n = (np.searchsorted(tokens, ids) for ids in (center, context, negative))
+    rows = np.argsort(vectors["token"].to_numpy(), kind="stable")
+    tokens = vectors["token"].to_numpy()[rows].astype(np.int64)
+    lists = vectors["embedding"].combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    matrix = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)[rows].astype(np.float64)
+    c, o, n = (np.searchsorted(tokens, ids) for ids in shard_triples(segments, params))
 
     step = params.batch_pairs
     loss = sum(_loss(matrix, c[i:i + 65536], o[i:i + 65536], n[i:i + 65536]) for i in range(0, len(c), 65536))
@@ -146,24 +175,13 @@ def train_shard(windows: pa.Table, vectors: pa.Table, params: Params, number: in
     touches = sum(np.bincount(ids, minlength=len(tokens)) for ids in (c, o, n))
     first = np.zeros(len(tokens))
     first[0] = 1
+    ends = np.arange(len(tokens) + 1, dtype=np.int32) * matrix.shape[1]
     return pa.table({
         "token": tokens,
-        "embedding": pa.ListArray.from_arrays(
-            pa.array(np.arange(len(tokens) + 1, dtype=np.int32) * matrix.shape[1]), pa.array(matrix.astype(np.float32).ravel())),
+        "embedding": pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.astype(np.float32).ravel())),
         "touches": touches.astype(np.int64), "pairs": (first * len(c)).astype(np.int64), "loss": first * loss})
 
 
-def _pairs(window: pa.ChunkedArray, negatives: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
-    """Centre, context and negative of every pair of neighbours inside the windows."""
-    sizes = np.concatenate([chunk.value_lengths().to_numpy(zero_copy_only=False) for chunk in window.chunks])
-    flat = np.concatenate([chunk.flatten().to_numpy(zero_copy_only=False) for chunk in window.chunks])
-    drawn = np.concatenate([chunk.flatten().to_numpy(zero_copy_only=False) for chunk in negatives.chunks])
-    last = np.zeros(len(flat), bool)
-    last[np.cumsum(sizes) - 1] = True
-    at = np.flatnonzero(~last)
-    return flat[at], flat[at + 1], drawn
-
-
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 

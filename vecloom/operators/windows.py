@@ -31,11 +31,12 @@ def token_windows(sequences: DataFrame, keys: list[str], size: int, step: int) -
         "win_no", F.col("win_no").cast("bigint"))
 
 
-def stream_windows(sharded: DataFrame, size: int, step: int) -> DataFrame:
-    """``(shard, win_no, window)`` over streams ``(shard, shard_pos, token)`` of any length.
+def stream_stretches(sharded: DataFrame, size: int, step: int) -> DataFrame:
+    """``(shard, first_win, n_windows, tokens)`` over streams ``(shard, shard_pos, token)`` of any length.
 
-    The same windows as over one list per shard, but no shard is gathered: a stream is cut into stretches of
-    ``WINDOWS_PER_STRETCH`` windows, each with the few tokens its last windows share with the next one.
+    A stream is cut into stretches of ``WINDOWS_PER_STRETCH`` windows, each with the few tokens its last
+    windows share with the next stretch, so no stream is ever gathered. Window ``i`` of a stretch begins at
+    its token ``i * step``.
     """
     _positive(size, step)
     at, span = F.col("shard_pos"), F.lit(WINDOWS_PER_STRETCH * step)
@@ -47,13 +48,18 @@ def stream_windows(sharded: DataFrame, size: int, step: int) -> DataFrame:
         "shard", F.explode(F.sequence(first, last)).alias("_stretch"), "shard_pos", "token")
     stretches = placed.groupBy("shard", "_stretch").agg(
         F.array_sort(F.collect_list(F.struct("shard_pos", "token"))).alias("_t")).join(lengths, "shard")
-
     before = F.col("_stretch") * F.lit(WINDOWS_PER_STRETCH)
     count = F.least(F.col("_windows") - before, F.lit(WINDOWS_PER_STRETCH)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))),
-                      lambda i: F.slice(F.col("_t.token"), i * F.lit(step) + F.lit(1), F.lit(size)))
-    return stretches.where(count > 0).select("shard", before.alias("_before"), F.posexplode(cut).alias("_i", "window")).select(
-        "shard", (F.col("_before") + F.col("_i")).alias("win_no"), "window")
+    return stretches.where(count > 0).select(
+        "shard", before.alias("first_win"), count.alias("n_windows"), F.col("_t.token").alias("tokens"))
+
+
+def stream_windows(sharded: DataFrame, size: int, step: int) -> DataFrame:
+    """``(shard, win_no, window)``: the windows of streams ``(shard, shard_pos, token)``, as over one list per shard."""
+    cut = F.transform(F.sequence(F.lit(0), F.col("n_windows") - 1),
+                      lambda i: F.slice(F.col("tokens"), i * F.lit(step) + F.lit(1), F.lit(size)))
+    return stream_stretches(sharded, size, step).select("shard", "first_win", F.posexplode(cut).alias("_i", "window")).select(
+        "shard", (F.col("first_win") + F.col("_i")).alias("win_no"), "window")
 
 
 def skipgram_pairs(windows: DataFrame, keys: list[str]) -> DataFrame:
