@@ -79,7 +79,7 @@ def piece_vocabulary(counts: DataFrame) -> DataFrame:
     """
     counted = write_table(counts.select("piece", "n", (-F.col("n")).alias("_rarity")), "counts")
     ranked = with_ordinal(counted, ["_rarity", "piece"], "token")
-    return ranked.select(F.col("token").cast("int").alias("token"), F.col("piece").alias("text"), "n")
+    return ranked.select("token", F.col("piece").alias("text"), "n")
 
 
 def corpus_stats(documents: DataFrame, vocab_size: int) -> DataFrame:

@@ -203,11 +203,11 @@ def _batch(c: np.ndarray, o: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...
 def _descend(matrix: np.ndarray, batch: tuple[np.ndarray, ...], rate: float) -> None:
     """One step for a batch, in place: every row moves by the sum of its triples' derivatives."""
     c, o, n, order, heads, rows = batch
-    vc, vo, vn = matrix[c], matrix[o], matrix[n]
-    near = (_logistic(np.einsum("ij,ij->i", vc, vo)) - 1)[:, None]
-    far = _logistic(np.einsum("ij,ij->i", vc, vn))[:, None]
-    moves = np.concatenate([near * vo + far * vn, near * vc, far * vc])
-    matrix[rows] -= rate * np.add.reduceat(moves[order], heads, axis=0)
+    vc, vo, vn = matrix.take(c, axis=0), matrix.take(o, axis=0), matrix.take(n, axis=0)
+    near = rate * (_logistic(np.einsum("ij,ij->i", vc, vo)) - 1)[:, None]
+    far = rate * _logistic(np.einsum("ij,ij->i", vc, vn))[:, None]
+    moves = np.concatenate([near * vo + far * vn, near * vc, far * vc]).take(order, axis=0)
+    matrix[rows] -= np.add.reduceat(moves, heads, axis=0)
 
 
 def _no_updates() -> pa.Table:

@@ -29,6 +29,6 @@ class Params:
     lines_per_split: int = 10_000
     rounds: int = 3
     windows_per_shard: int = 100_000
-    batch_pairs: int = 512
+    batch_pairs: int = 1024
     seed: int = 17
     round_robin: bool = False

@@ -25,7 +25,7 @@ _NUMBERED = _LINES + """,
 _WORDS = f"""
   pieces AS (SELECT lang, unnest(regexp_extract_all(text, {_PIECE})) AS piece FROM documents),
   counted AS (SELECT piece, count(*) AS n FROM pieces GROUP BY piece),
-  words AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, piece) - 1 AS INTEGER) AS token, piece AS text, n FROM counted)"""
+  words AS (SELECT row_number() OVER (ORDER BY n DESC, piece) - 1 AS token, piece AS text, n FROM counted)"""
 
 
 def _draw(limit: int, *parts: str) -> str:
@@ -146,7 +146,7 @@ ORACLE: dict[str, str] = {
     "piece_frequency": f"WITH {_WORDS} SELECT piece, n FROM counted",
     "piece_vocabulary": f"WITH {_WORDS} SELECT token, text, n FROM words",
     "format_word_counts": f"WITH {_WORDS} SELECT token, {_FORMAT} AS value FROM words",
-    "merged_word_counts": f"WITH {_WORDS} SELECT CAST(token AS BIGINT) AS line_no, {_FORMAT} AS line FROM words",
+    "merged_word_counts": f"WITH {_WORDS} SELECT token AS line_no, {_FORMAT} AS line FROM words",
     "concat_by_line": f"""WITH {_LINES}
         SELECT doc_id, pos, array_to_string(list_filter(regexp_split_to_array(line, '\\s+'), lambda w: w <> ''), ' ') AS word
         FROM lines WHERE len(list_filter(regexp_split_to_array(line, '\\s+'), lambda w: w <> '')) > 0""",

@@ -34,8 +34,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark).rstrip('/')}/vecloom/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used yet.
+
+    All tables of an application lie in one folder, ``vecloom/<application id>``, to be removed after it.
+    """
+    place = f"{shared_folder(spark).rstrip('/')}/vecloom/{spark.sparkContext.applicationId}"
+    return f"{place}/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
