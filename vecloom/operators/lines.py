@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import lines_of, must_cast, piece_ids_of, pieces_of, whole_numbers, words_of
-from vecloom.operators.ordinal import with_offset, with_ordinal
+from vecloom.operators.ordinal import running_offsets, with_offset, with_ordinal
 from vecloom.session import write_table
 
 
@@ -77,9 +77,9 @@ def piece_vocabulary(counts: DataFrame) -> DataFrame:
 
     The counts are written before they are ranked, so the text behind them is read once.
     """
-    counted = write_table(counts.select("piece", "n", (-F.col("n")).alias("_rarity")), "counts")
-    ranked = with_ordinal(counted, ["_rarity", "piece"], "token")
-    return ranked.select("token", F.col("piece").alias("text"), "n")
+    counted = write_table(counts.select((-F.col("n")).alias("_rarity"), "piece"), "counts")
+    return running_offsets(counted, ["_rarity", "piece"]).select(
+        F.col("offset").alias("token"), F.col("piece").alias("text"), (-F.col("_rarity")).alias("n"))
 
 
 def corpus_stats(documents: DataFrame, vocab_size: int) -> DataFrame:

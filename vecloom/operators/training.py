@@ -81,7 +81,7 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     used = write_table(segments.groupBy("shard").applyInArrow(_needs_kernel(params), "shard bigint, token bigint"), "used")
     corpus = sequences.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
     tokens = used.select(F.col("token").cast("int").alias("token")).union(corpus).distinct()
-    start = init_embeddings(tokens, params.embedding_dim, params.seed)
+    start = init_embeddings(tokens.repartition(tasks, "token"), params.embedding_dim, params.seed)
     current = write_table(start.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")
 
     losses: list[float] = []

@@ -39,19 +39,19 @@ def stream_stretches(sharded: DataFrame, size: int, step: int) -> DataFrame:
     its token ``i * step``.
     """
     _positive(size, step)
-    at, span = F.col("shard_pos"), F.lit(WINDOWS_PER_STRETCH * step)
-    lengths = sharded.groupBy("shard").agg((F.max("shard_pos") + 1).alias("_length")).select(
-        "shard", window_count(F.col("_length"), size, step).cast("bigint").alias("_windows"))
+    at, span, reach = F.col("shard_pos"), F.lit(WINDOWS_PER_STRETCH * step), max(size, step)
     first = F.greatest(F.ceil((at - F.lit(size - 1 - step)) / span) - 1, F.lit(0)).cast("bigint")
     last = F.floor(at / span).cast("bigint")
-    placed = sharded.where(first <= last).select(
-        "shard", F.explode(F.sequence(first, last)).alias("_stretch"), "shard_pos", "token")
-    stretches = placed.groupBy("shard", "_stretch").agg(
-        F.array_sort(F.collect_list(F.struct("shard_pos", "token"))).alias("_t")).join(lengths, "shard")
-    before = F.col("_stretch") * F.lit(WINDOWS_PER_STRETCH)
-    count = F.least(F.col("_windows") - before, F.lit(WINDOWS_PER_STRETCH)).cast("int")
+    stretches = sharded.where(first <= last).select(
+        "shard", F.explode(F.sequence(first, last)).alias("_stretch"), "shard_pos", "token").groupBy("shard", "_stretch").agg(
+        F.array_sort(F.collect_list(F.struct("shard_pos", "token"))).alias("_t"))
+    # a window follows another if the stream goes on behind the earlier one, which the stretch itself shows
+    open_windows = F.ceil((F.size("_t") - F.lit(reach - step)) / F.lit(step))
+    least = F.when(F.col("_stretch") == 0, 1).otherwise(0)
+    count = F.least(F.greatest(open_windows, least), F.lit(WINDOWS_PER_STRETCH)).cast("int")
     return stretches.where(count > 0).select(
-        "shard", before.alias("first_win"), count.alias("n_windows"), F.col("_t.token").alias("tokens"))
+        "shard", (F.col("_stretch") * F.lit(WINDOWS_PER_STRETCH)).alias("first_win"), count.alias("n_windows"),
+        F.col("_t.token").alias("tokens"))
 
 
 def stream_windows(sharded: DataFrame, size: int, step: int) -> DataFrame:

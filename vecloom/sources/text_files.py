@@ -10,6 +10,9 @@ from pyspark.sql.window import Window
 
 from vecloom.session import write_table
 
+#: A table of file splits up to this many rows is broadcast; a larger one is joined by a shuffle.
+MOST_SPLITS_TO_BROADCAST = 2_000_000
+
 
 def corpus_lines(spark: SparkSession, paths: str | Sequence[str], name_glob: str | None = None) -> DataFrame:
     """``(file, block, seq, line)`` for every line of every file; a missing path is an error.
@@ -37,6 +40,9 @@ def numbered_corpus(spark: SparkSession, paths: str | Sequence[str], name_glob:
     placed = write_table(corpus_lines(spark, paths, name_glob), "corpus")
     blocks = placed.groupBy("file", "block").agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     in_order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = blocks.select("file", "block", "_first", (F.sum("_n").over(in_order) - F.col("_n")).alias("_start"))
+    starts = write_table(
+        blocks.select("file", "block", "_first", (F.sum("_n").over(in_order) - F.col("_n")).alias("_start")), "splits")
+    if starts.count() <= MOST_SPLITS_TO_BROADCAST:
+        starts = F.broadcast(starts)
     return placed.join(starts, ["file", "block"]).select(
         (F.col("_start") + F.col("seq") - F.col("_first")).alias("line_no"), "line")
