@@ -91,6 +91,24 @@ def test_lookup_per_occurrence_drops_unknown(spark):
     assert sorted(map(tuple, emb.lookup_embeddings(stream, table).collect())) == [(1, 0, [1.0]), (1, 1, [1.0])]
 
 
+def test_lookup_spreads_a_hot_token_over_copies_of_its_vector(spark):
+    table = spark.createDataFrame([(t, [float(t)]) for t in range(50)], "token int, embedding array<float>")
+    rows = [(i, 7 if i % 3 == 0 else i % 60) for i in range(3000)]
+    stream = spark.createDataFrame(rows, "pos int, token int")
+    keep = {n: spark.conf.get(n) for n in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = emb.lookup_embeddings(stream, table)
+        tasks = found.where("token = 7").groupBy(F.spark_partition_id()).count().collect()
+        got = sorted(map(tuple, found.select("pos", "token", "embedding").collect()))
+    finally:
+        for name, value in keep.items():
+            spark.conf.set(name, value)
+    assert got == [(i, t, [float(t)]) for i, t in rows if t < 50]
+    assert len(tasks) > 2 and max(r["count"] for r in tasks) < 700
+
+
 def test_start_vectors_depend_on_token_and_seed_only(spark):
     tokens = spark.range(500).select(F.col("id").cast("int").alias("token"))
     first = {r.token: r.embedding for r in emb.init_embeddings(tokens, 4, 1).collect()}

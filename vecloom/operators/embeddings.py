@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from vecloom.functions.hashing import draw_unit
 from vecloom.functions.text import float_list, must_cast
 from vecloom.functions.vector import combine_vectors, exact_text, fixed_text
+from vecloom.sources.tables import planned_size
+
+#: Over how many copies of its vector a frequent token's occurrences are spread.
+LOOKUP_SALTS = 32
 
 
 def parse_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str = "value", strict: bool = False) -> DataFrame:
@@ -57,11 +61,20 @@ def dedupe_embeddings(rows: DataFrame, key: str, load_order: str, vector: str =
 def lookup_embeddings(occurrences: DataFrame, embeddings: DataFrame) -> DataFrame:
     """``occurrences`` ``(token, ...)`` with the embedding of each row's token; tokens without one are dropped.
 
-    The embedding side has one row per token. Count repeated occurrences first where only their weight
-    matters; where every occurrence must stay, a frequent token is a hot key of the join, which
-    ``spark.sql.adaptive.skewJoin.enabled`` splits because the other side has a single row to repeat.
+    The embedding side has one row per token. If Spark will not broadcast it, each of its rows is repeated
+    ``LOOKUP_SALTS`` times and the occurrences of a token are spread over the copies by a hash of their other
+    columns, so a token in a third of all rows does not meet its vector in one task. Where only the number of
+    an occurrence matters, count first.
     """
-    return occurrences.join(embeddings.select("token", "embedding"), "token")
+    spark = occurrences.sparkSession
+    vectors = embeddings.select("token", "embedding")
+    limit = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("bB"))
+    if planned_size(vectors) <= limit:
+        return occurrences.join(vectors, "token")
+    salts = F.lit(LOOKUP_SALTS)
+    copies = vectors.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    spread = occurrences.withColumn("_salt", F.pmod(F.xxhash64(*occurrences.columns), salts).cast("int"))
+    return spread.join(copies, ["token", "_salt"]).drop("_salt")
 
 
 def mean_embeddings(rows: DataFrame, key: str = "token", vector: str = "embedding", weight: str | None = None) -> DataFrame:

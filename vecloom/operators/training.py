@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vecloom.functions.vector import combine_vectors
 from vecloom.operators.embeddings import init_embeddings
 from vecloom.operators.ordinal import running_offsets
-from vecloom.operators.tokens import shard_tokens, token_stream
+from vecloom.operators.tokens import distinct_tokens, shard_tokens, token_stream
 from vecloom.operators.windows import stream_stretches, window_count
 from vecloom.params import Params
 from vecloom.session import ship_package, write_table
@@ -79,7 +79,7 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     segments = write_table(training_segments(sequences, keys, params), "segments").repartition(tasks, "shard")
     used = write_table(segments.groupBy("shard").applyInArrow(_needs_kernel(params), "shard bigint, token bigint"), "used")
-    corpus = sequences.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
+    corpus = write_table(distinct_tokens(sequences), "corpus")
     tokens = used.select(F.col("token").cast("int").alias("token")).union(corpus).distinct()
     start = init_embeddings(tokens.repartition(tasks, "token"), params.embedding_dim, params.seed)
     current = write_table(start.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")

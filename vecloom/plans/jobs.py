@@ -34,7 +34,7 @@ def _values(spark: SparkSession, source: str) -> DataFrame:
 
 def word_frequency_job(spark: SparkSession, source: str, target: str, vocabulary: Vocabulary) -> None:
     """Corpus files to ``text n id`` lines, by id."""
-    counts = word_frequency(corpus_lines(spark, source), vocabulary)
+    counts = write_table(word_frequency(corpus_lines(spark, source), vocabulary), "counts")  # ordering reads it twice
     write_text(format_word_counts(counts), target, ["token"])
 
 
@@ -48,7 +48,8 @@ def shard_lines_job(spark: SparkSession, source: str, target: str, params: Param
 def tokenize_job(spark: SparkSession, source: str, target: str, vocabulary: Vocabulary) -> None:
     """``number TAB line`` files to ``number TAB id id`` lines, in line order."""
     numbered = parse_numbered_lines(_values(spark, source), strict=True)
-    write_text(format_token_lines(tokenize_lines(numbered, vocabulary)), target, ["line_no"])
+    ordered = numbered.repartitionByRange("line_no").sortWithinPartitions("line_no")
+    write_text(format_token_lines(tokenize_lines(ordered, vocabulary)), target)
 
 
 def shard_tokens_job(spark: SparkSession, source: str, merged: str, target: str, params: Params) -> None:
@@ -73,7 +74,7 @@ def similarity_job(spark: SparkSession, source: str, target: str, params: Params
     ordered = rows.select("token", F.struct("file", "block", "seq").alias("loaded"), "embedding")
     embeddings = write_table(dedupe_embeddings(ordered, "token", "loaded").select("token", "embedding"), "dictionary")
     named = name_neighbours(top_k_similar(embeddings, params.neighbours), vocabulary_table(spark, vocabulary))
-    write_text(format_neighbours(named), target, ["token"])
+    write_text(write_table(format_neighbours(named), "neighbours"), target, ["token"])
 
 
 def run(spark: SparkSession, paths: Sequence[str], params: Params, vocabulary: Vocabulary) -> None:

@@ -61,7 +61,7 @@ def piece_triples(sequences: DataFrame, keys: list[str], params: Params) -> Data
 def start_vectors(pairs: DataFrame, params: Params) -> DataFrame:
     """The start table for the tokens in labelled pairs ``(a, b, ...)``."""
     tokens = pairs.select(F.explode(F.array("a", "b")).alias("token")).distinct()
-    return init_embeddings(tokens, params.embedding_dim, params.seed)
+    return write_table(init_embeddings(tokens, params.embedding_dim, params.seed), "start")
 
 
 def one_step_neighbours(sequences: DataFrame, keys: list[str], params: Params) -> DataFrame:

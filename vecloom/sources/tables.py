@@ -21,5 +21,9 @@ def spread(df: DataFrame, column: str) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("bB"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(2 * cores, column) if size < cores * split else df
+    return df.repartition(2 * cores, column) if planned_size(df) < cores * split else df
+
+
+def planned_size(df: DataFrame) -> int:
+    """How many bytes Spark expects of a table; for files, their size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
