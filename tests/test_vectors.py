@@ -47,6 +47,12 @@ def test_strict_embeddings(spark):
         emb.parse_embeddings(values(spark, "q\t[1.0]"), strict=True).collect()
 
 
+def test_rows_to_drop_are_not_cast_whatever_the_plan(spark):
+    df = values(spark, "1\t[0.5,2]", "user", "x\ty\tz")
+    cells = emb.parse_embeddings(df, strict=True).select("token", F.posexplode("embedding"))
+    assert sorted(map(tuple, cells.where("col > 1").collect())) == [(1, 1, 2.0)]
+
+
 def test_lenient_embeddings(spark):
     df = values(spark, "1\t[0.5, 2]", "2 [1]", "x\t[1]", "3\t[1,y]", "4\t[]", "5", "6\t[1,2,]")
     assert {r.token: r.embedding for r in emb.parse_embeddings(df).collect()} == {1: [0.5, 2.0], 2: [1.0], 6: [1.0, 2.0]}

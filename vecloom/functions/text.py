@@ -53,6 +53,11 @@ def must_cast(value: Column, type_name: str) -> Column:
     return F.coalesce(value.try_cast(type_name), F.when(value.isNotNull(), complaint).cast(type_name))
 
 
+def pair_field(fields: Column, place: int) -> Column:
+    """A field of a row that has two, else NULL: Spark may evaluate it before a filter on the number of fields."""
+    return F.when(F.size(fields) == 2, F.get(fields, F.lit(place)))
+
+
 def float_list(text: Column) -> Column:
     """The comma-separated fields inside ``[...]``, as strings."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(text), r"^\[", ""), r"\]$", "")

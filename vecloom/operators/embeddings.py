@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.hashing import draw_unit
-from vecloom.functions.text import float_list, must_cast
+from vecloom.functions.text import float_list, must_cast, pair_field
 from vecloom.functions.vector import combine_vectors, exact_text, fixed_text
 from vecloom.sources.tables import planned_size
 
@@ -21,14 +21,15 @@ def parse_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str
     Lenient: id and vector may be parted by any blanks, and every row that cannot be read is dropped.
     """
     keep = keep or []
+    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
     if strict:
         fields = rows.select(*keep, F.split(F.trim(F.col(value)), "\t").alias("_f")).where(F.size("_f") == 2)
         return fields.select(
-            *keep, must_cast(F.col("_f")[0], "int").alias("token"),
-            F.transform(float_list(F.col("_f")[1]), lambda x: must_cast(x, "float")).alias("embedding"))
+            *keep, must_cast(first, "int").alias("token"),
+            F.transform(float_list(rest), lambda x: must_cast(x, "float")).alias("embedding"))
     fields = rows.select(*keep, F.split(F.col(value), r"\s+", 2).alias("_f")).where(F.size("_f") == 2)
     read = fields.select(
-        *keep, F.trim(F.col("_f")[0]).try_cast("int").alias("token"), _floats(F.col("_f")[1]).alias("embedding"))
+        *keep, F.trim(first).try_cast("int").alias("token"), _floats(rest).alias("embedding"))
     return read.where(F.col("token").isNotNull() & _readable(F.col("embedding")))
 
 
@@ -77,6 +78,11 @@ def lookup_embeddings(occurrences: DataFrame, embeddings: DataFrame) -> DataFram
     return spread.join(copies, ["token", "_salt"]).drop("_salt")
 
 
+def unknown_tokens(counts: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """``counts`` ``(token, n)`` of the tokens without an embedding: what a lookup drops."""
+    return counts.join(embeddings.select("token"), "token", "left_anti")
+
+
 def mean_embeddings(rows: DataFrame, key: str = "token", vector: str = "embedding", weight: str | None = None) -> DataFrame:
     """``(key, vector)``: the mean vector of each key, weighted if asked. Unequal lengths fail the job."""
     return combine_vectors(rows, [key], vector, how="mean", weight=weight)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.text import lines_of, must_cast, piece_ids_of, pieces_of, whole_numbers, words_of
+from vecloom.functions.text import lines_of, must_cast, pair_field, piece_ids_of, pieces_of, whole_numbers, words_of
 from vecloom.operators.ordinal import running_offsets, with_offset, with_ordinal
 from vecloom.session import write_table
 
@@ -104,8 +104,9 @@ def parse_numbered_lines(rows: DataFrame, value: str = "value", strict: bool = F
     Rows without a tab are dropped. A number that cannot be read drops the row, or fails the job if strict.
     """
     fields = rows.select(F.split(F.col(value), "\t", 2).alias("_f")).where(F.size("_f") == 2)
-    number = must_cast(F.col("_f")[0], "bigint") if strict else F.col("_f")[0].try_cast("bigint")
-    return fields.select(number.alias("line_no"), F.col("_f")[1].alias("line")).where(F.col("line_no").isNotNull())
+    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
+    number = must_cast(first, "bigint") if strict else first.try_cast("bigint")
+    return fields.select(number.alias("line_no"), rest.alias("line")).where(F.col("line_no").isNotNull())
 
 
 def parse_token_lines(rows: DataFrame, value: str = "value") -> DataFrame:
@@ -115,9 +116,9 @@ def parse_token_lines(rows: DataFrame, value: str = "value") -> DataFrame:
     and the rest of its line kept.
     """
     fields = rows.select(F.split(F.col(value), "\t", 2).alias("_f")).where(F.size("_f") == 2)
-    return fields.where(F.trim(F.col("_f")[1]) != "").select(
-        F.col("_f")[0].try_cast("bigint").alias("line_no"),
-        whole_numbers(words_of(F.col("_f")[1])).alias("tokens")).where(F.col("line_no").isNotNull())
+    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
+    return fields.where(F.trim(rest) != "").select(
+        first.try_cast("bigint").alias("line_no"), whole_numbers(words_of(rest)).alias("tokens")).where(F.col("line_no").isNotNull())
 
 
 def parse_token_shard(rows: DataFrame, keys: list[str], value: str = "value") -> DataFrame:

@@ -75,13 +75,16 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     """
     spark = sequences.sparkSession
     ship_package(spark)
-    # several tasks per core, so that a core that is done early takes another shard
+    segments = write_table(training_segments(sequences, keys, params), "segments")
+    shards = (segments.agg(F.max("shard")).first()[0] or 0) + 1
+    # several tasks per core, so that a core that is done early takes another shard, but none without a shard
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    segments = write_table(training_segments(sequences, keys, params), "segments").repartition(tasks, "shard")
+    tasks = min(tasks, shards)
+    segments = segments.repartition(tasks, "shard")
     used = write_table(segments.groupBy("shard").applyInArrow(_needs_kernel(params), "shard bigint, token bigint"), "used")
     corpus = write_table(distinct_tokens(sequences), "corpus")
     tokens = used.select(F.col("token").cast("int").alias("token")).union(corpus).distinct()
-    start = init_embeddings(tokens.repartition(tasks, "token"), params.embedding_dim, params.seed)
+    start = init_embeddings(tokens.repartition(2 * spark.sparkContext.defaultParallelism, "token"), params.embedding_dim, params.seed)
     current = write_table(start.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")
 
     losses: list[float] = []

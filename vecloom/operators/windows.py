@@ -56,7 +56,7 @@ def stream_stretches(sharded: DataFrame, size: int, step: int) -> DataFrame:
 
 def stream_windows(sharded: DataFrame, size: int, step: int) -> DataFrame:
     """``(shard, win_no, window)``: the windows of streams ``(shard, shard_pos, token)``, as over one list per shard."""
-    cut = F.transform(F.sequence(F.lit(0), F.col("n_windows") - 1),
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n_windows") - 1, F.lit(0))),
                       lambda i: F.slice(F.col("tokens"), i * F.lit(step) + F.lit(1), F.lit(size)))
     return stream_stretches(sharded, size, step).select("shard", "first_win", F.posexplode(cut).alias("_i", "window")).select(
         "shard", (F.col("first_win") + F.col("_i")).alias("win_no"), "window")

@@ -161,6 +161,9 @@ ORACLE: dict[str, str] = {
         ids AS (SELECT doc_id, list_filter(list_transform(w, lambda x: TRY_CAST(x AS INTEGER)), lambda x: x IS NOT NULL) AS ids
                 FROM words)
         SELECT doc_id AS line_no, {_ids_text('ids')} AS tokens FROM ids""",
+    "parse_token_shard": f"""WITH {_LINES},
+        ids AS (SELECT doc_id, pos, {_piece_ids('line', _FULL)} AS t FROM lines)
+        SELECT doc_id, pos, CAST(generate_subscripts(t, 1) - 1 AS BIGINT) AS place, unnest(t) AS token FROM ids""",
     "format_token_lines": f"""WITH {_NUMBERED}
         SELECT line_no, line_no || chr(9) || {_ids_text(_piece_ids('line', _FULL))} AS value FROM numbered""",
     "detokenize_lines": f"WITH {_LINES} SELECT doc_id, pos, line FROM lines",
@@ -180,6 +183,11 @@ ORACLE: dict[str, str] = {
     "negative_samples": f"WITH {_triples(_FULL)} SELECT doc_id, win_no, pair_no, c, o, n FROM triples",
     "parse_embeddings": f"""WITH cells AS (SELECT CAST(vec_id AS INTEGER) AS token, {_DIMS.format('embedding')} FROM embeddings)
         SELECT token, dim, {_TIDY.format(_TEXT_FLOAT)} AS x FROM cells""",
+    "unknown_tokens": f"""WITH {_sequences(_FULL)},
+        flat AS (SELECT unnest(tokens) AS token FROM sequences)
+        SELECT token, count(*) AS n FROM flat WHERE token NOT IN (SELECT vec_id FROM embeddings) GROUP BY token""",
+    "narrow_scores": f"""WITH {_VECTORS}, {_top('vectors')}
+        SELECT token, rank, neighbour, CAST(sim AS FLOAT) AS sim FROM top""",
     "format_embeddings": f"""SELECT vec_id AS token, vec_id || chr(9) || {_VECTOR_TEXT.format('embedding')} AS value
         FROM embeddings""",
     "dedupe_embeddings": f"""WITH last AS (SELECT label, max(vec_id) AS token FROM embeddings GROUP BY label),
@@ -218,3 +226,4 @@ ORACLE: dict[str, str] = {
         moved AS (SELECT token, list(x ORDER BY dim) AS v FROM step GROUP BY token), {_top('moved')}
         SELECT token, rank, neighbour, sim FROM top""",
 }
+ORACLE["parse_embeddings_strict"] = ORACLE["parse_embeddings"]

@@ -72,6 +72,11 @@ def _elements(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
         *keys, F.col("dim").cast("bigint").alias("dim"), tidy(F.col("x").cast("double")).alias("x"))
 
 
+def _elements_of_ids(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*keys, F.posexplode("tokens").alias("place", "token")).select(
+        *keys, F.col("place").cast("bigint").alias("place"), "token")
+
+
 def _piece_words(spark: SparkSession, folder: str) -> DataFrame:
     return ln.piece_vocabulary(ln.piece_frequency(_documents(spark, folder), "text"))
 
@@ -150,6 +155,11 @@ def parse_token_lines(spark: SparkSession, folder: str) -> DataFrame:
     return ln.parse_token_lines(rows).select("line_no", _ids_text("tokens").alias("tokens"))
 
 
+def parse_token_shard(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _line_tokens(spark, folder, FULL_VOCAB).select("doc_id", "pos", _ids_text("tokens").alias("value"))
+    return _elements_of_ids(ln.parse_token_shard(rows, ["doc_id", "pos"]), ["doc_id", "pos"])
+
+
 def format_token_lines(spark: SparkSession, folder: str) -> DataFrame:
     ids = piece_ids_of(F.col("line"), FULL_VOCAB)
     return ln.format_token_lines(_numbered(spark, folder).select("line_no", ids.alias("tokens")))
@@ -231,6 +241,12 @@ def parse_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(emb.parse_embeddings(texts.unionAll(malformed)), ["token"], "embedding")
 
 
+def parse_embeddings_strict(spark: SparkSession, folder: str) -> DataFrame:
+    texts = emb.format_embeddings(_vectors(spark, folder)).select("value")
+    one_field = _turns(spark, folder).select(F.col("role").alias("value"))
+    return _elements(emb.parse_embeddings(texts.unionAll(one_field), strict=True), ["token"], "embedding")
+
+
 def format_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return emb.format_embeddings(_vectors(spark, folder))
 
@@ -244,6 +260,10 @@ def lookup_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(emb.lookup_embeddings(counts, _vectors(spark, folder)), ["token", "n"], "embedding")
 
 
+def unknown_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return emb.unknown_tokens(tokens.count_tokens(_sequences(spark, folder, FULL_VOCAB)), _vectors(spark, folder))
+
+
 def mean_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     texts = _vectors(spark, folder).select("label", fixed_text(F.col("embedding")).alias("value"))
     unreadable = _vectors(spark, folder).select("label", F.lit("[0.1,x]").alias("value"))
@@ -270,6 +290,10 @@ def top_k_similar(spark: SparkSession, folder: str) -> DataFrame:
     return similarity.top_k_similar(_vectors(spark, folder), Params().neighbours)
 
 
+def narrow_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity.narrow_scores(top_k_similar(spark, folder))
+
+
 def format_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     named = plan.name_neighbours(top_k_similar(spark, folder), _piece_words(spark, folder))
     return similarity.format_neighbours(named)
@@ -329,11 +353,12 @@ QUERIES: dict[str, Query] = {
     query.__name__: query for query in (
         corpus_lines, number_lines, numbered_corpus_files, order_lines, shard_lines, line_splits, corpus_stats,
         split_words, piece_frequency, piece_vocabulary, format_word_counts, merged_word_counts, concat_by_line,
-        parse_numbered_lines, parse_token_lines, format_token_lines,
+        parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
         word_frequency, line_frequency, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
         shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples,
-        parse_embeddings, format_embeddings, dedupe_embeddings, lookup_embeddings, mean_embeddings, vector_dot,
-        vector_norm, cosine_pairs, top_k_similar, format_neighbours,
+        parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings,
+        unknown_tokens, mean_embeddings, vector_dot, vector_norm, cosine_pairs, top_k_similar, narrow_scores,
+        format_neighbours,
         init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, token_neighbours)
 }
 QUERIES["train_embeddings"] = train_embeddings_query

@@ -38,7 +38,7 @@ def vocabulary_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     """``(token, bytes, text)``. Bytes that are no whole character read as the replacement character."""
     fields = F.split(F.col("value"), " ")
     table = spark.read.text(vocabulary.rank_path).where(F.trim("value") != "").select(
-        fields[1].cast("int").alias("token"), F.unbase64(fields[0]).alias("bytes"))
+        F.get(fields, F.lit(1)).cast("int").alias("token"), F.unbase64(F.get(fields, F.lit(0))).alias("bytes"))
     return table.withColumn("text", F.make_valid_utf8(F.col("bytes").cast("string")))
 
 
