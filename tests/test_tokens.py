@@ -106,3 +106,10 @@ def test_stream_and_shards(spark):
     assert sorted(map(tuple, texts.collect())) == [(0, 0, "1 3"), (0, 1, "8"), (1, 0, "2 7"), (1, 1, "9")]
     assert sorted(r.token for r in tk.distinct_tokens(lists).collect()) == [1, 2, 3, 7, 8, 9]
     assert {r.token: r.n for r in tk.count_tokens(lists.unionAll(lists)).collect()} == dict.fromkeys([1, 2, 3, 7, 8, 9], 2)
+
+
+@pytest.mark.parametrize("mode", ["per_word", "per_line"])
+def test_the_tokenizer_runs_once_per_plan(spark, vocabulary, mode):
+    df = spark.createDataFrame([("a b a",), ("",)], "line string")
+    plan = tk.word_frequency(df, vocabulary, mode=mode)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.codec import decoder, encoder
-from vecloom.functions.text import words_of
+from vecloom.functions.text import BLANKS
 from vecloom.operators.lines import deal
 from vecloom.operators.ordinal import with_offset
 from vecloom.session import ship_package
@@ -39,9 +39,18 @@ def detokenize_ids(rows: DataFrame, words: DataFrame, token: str = "token", text
     return rows.join(named, F.col(token) == F.col("_token"), "left").drop("_token")
 
 
+def each_token(rows: DataFrame, keys: list[str], tokens: Column | str = "tokens") -> DataFrame:
+    """``(keys..., token)``: one row per id of each list.
+
+    The outer form and a filter behind it: for a plain explode Spark infers the filter "list not empty" and
+    pushes it down, even below an aggregation, where the tokenizer would run again on every row.
+    """
+    return rows.select(*keys, F.explode_outer(tokens).alias("token")).where(F.col("token").isNotNull())
+
+
 def count_tokens(tokenised: DataFrame) -> DataFrame:
     """``(token, n)`` over lists ``tokens``."""
-    return tokenised.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return each_token(tokenised, []).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_frequency(lines: DataFrame, vocabulary: Vocabulary, text: str = "line", mode: str = "per_word") -> DataFrame:
@@ -55,9 +64,9 @@ def word_frequency(lines: DataFrame, vocabulary: Vocabulary, text: str = "line",
     if mode == "per_line":
         counts = count_tokens(tokenize_lines(lines.select(text), vocabulary, text))
     elif mode == "per_word":
-        words = lines.select(F.explode(words_of(F.col(text))).alias("word")).groupBy("word").agg(
+        words = lines.select(F.explode(F.split(text, BLANKS)).alias("word")).where(F.col("word") != "").groupBy("word").agg(
             F.count(F.lit(1)).alias("_n"))
-        ids = tokenize_lines(words, vocabulary, "word").select("_n", F.explode("tokens").alias("token"))
+        ids = each_token(tokenize_lines(words, vocabulary, "word"), ["_n"])
         counts = ids.groupBy("token").agg(F.sum("_n").alias("n"))
     else:
         raise ValueError(f"mode must be per_word or per_line, not {mode}")
@@ -71,8 +80,8 @@ def token_stream(tokenised: DataFrame, order_by: list[str]) -> DataFrame:
     no ids and vanishes.
     """
     placed = with_offset(tokenised.select(*order_by, "tokens"), order_by, F.size("tokens"))
-    return placed.select("offset", F.posexplode("tokens").alias("_at", "token")).select(
-        (F.col("offset") + F.col("_at")).alias("pos"), "token")
+    return placed.select("offset", F.posexplode_outer("tokens").alias("_at", "token")).where(
+        F.col("token").isNotNull()).select((F.col("offset") + F.col("_at")).alias("pos"), "token")
 
 
 def shard_tokens(stream: DataFrame, shards: int) -> DataFrame:
@@ -82,7 +91,7 @@ def shard_tokens(stream: DataFrame, shards: int) -> DataFrame:
 
 def distinct_tokens(tokenised: DataFrame) -> DataFrame:
     """``(token)``, each id once; a list's repeats go before anything is exploded."""
-    return tokenised.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
+    return each_token(tokenised, [], F.array_distinct("tokens")).distinct()
 
 
 def shard_texts(sharded: DataFrame, tokens_per_line: int = 100_000) -> DataFrame:
