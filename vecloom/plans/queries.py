@@ -68,7 +68,8 @@ def _ids_text(column: str):
 
 
 def _elements(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
-    return df.select(*keys, F.posexplode(vector).alias("dim", "x")).select(
+    # the outer form, since a plain explode would have the vectors computed once more for an inferred filter
+    return df.select(*keys, F.posexplode_outer(vector).alias("dim", "x")).where(F.col("x").isNotNull()).select(
         *keys, F.col("dim").cast("bigint").alias("dim"), tidy(F.col("x").cast("double")).alias("x"))
 
 
