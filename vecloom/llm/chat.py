@@ -61,9 +61,10 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     part = F.pmod(F.xxhash64("id"), F.lit(PARTS)).alias("_part")
     some = leaves.select("*", part).withColumn("_n", F.row_number().over(Window.partitionBy("tree", "_part").orderBy(*order))).where(F.col("_n") <= branches)
     chosen = some.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))).where(F.col("rank") <= branches)
-    path = chosen.select("tree", "rank", F.col("id").alias("leaf"), "id")
+    path = write_table(chosen.select("tree", "rank", F.col("id").alias("leaf"), "id"), "branches")
     for level in reversed(levels):  # each jump adds the ancestors whose distance has this power of two
-        path = path.unionByName(path.join(level, ["tree", "id"]).select("tree", "rank", "leaf", F.col("up").alias("id")))
+        path = path.join(level, ["tree", "id"], "left").select(
+            "tree", "rank", "leaf", F.explode(F.array_compact(F.array("id", "up"))).alias("id"))
     return path.join(reached.select("tree", "id", "depth"), ["tree", "id"])
 
 
