@@ -70,6 +70,8 @@ class Chunk:
     order: np.ndarray
     #: Answers by name: for each bucket in ascending order, its body.
     answers: dict[str, list[bytes]]
+    #: Other columns that were joined to the chunk.
+    extra: dict[str, list]
 
     def joined(self, name: str, kind: str) -> np.ndarray:
         return np.concatenate([np.zeros(0, kind), *(np.frombuffer(body, kind) for body in self.answers[name])])
@@ -86,20 +88,18 @@ def chunks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
         for row in range(batch.num_rows):
             ids = batch.column("doc_id")[row].values
             sizes = batch.column("sizes")[row].values.to_numpy(zero_copy_only=False).astype(np.int64)
-            answers = {}
+            answers, extra = {}, {}
             for name in names:
                 found = batch.column(name)[row].as_py() or []
-                answers[name] = [a["body"] for a in sorted(found, key=lambda a: a["bucket"])]
+                if "bucket" in (f.name for f in batch.schema.field(name).type.value_type):
+                    answers[name] = [a["body"] for a in sorted(found, key=lambda a: a["bucket"])]
+                else:
+                    extra[name] = found
             yield Chunk(batch.column("chunk")[row].as_py(), np.frombuffer(batch.column("data")[row].as_buffer(), np.uint8),
-                        np.concatenate([[0], np.cumsum(sizes)]), ids, ids.fill_null(NO_ID).to_numpy(zero_copy_only=False), answers)
+                        np.concatenate([[0], np.cumsum(sizes)]), ids, ids.fill_null(NO_ID).to_numpy(zero_copy_only=False), answers, extra)
 
 
-def ask(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]],
-        resolve: Callable[[list[bytes]], list[bytes]], name: str) -> DataFrame:
-    """``chunks`` with a column ``name``: for each message a chunk sent, ``(bucket, body)`` with the answer.
-
-    ``messages`` yields (bucket, body) for a chunk; ``resolve`` takes all bodies of a bucket and answers each.
-    """
+def _sent(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]]) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_in(batches):
             sent = list(messages(chunk))
@@ -107,11 +107,28 @@ def ask(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes
                 [pa.array([b for b, _ in sent], pa.int32()), pa.array([chunk.number] * len(sent), pa.int64()),
                  pa.array([body for _, body in sent], pa.binary())], ["bucket", "chunk", "body"])
 
+    return chunks.mapInArrow(send, MESSAGE)
+
+
+def gather(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]],
+           resolve: Callable[[list[bytes]], pa.Table], schema: str) -> DataFrame:
+    """The rows that ``resolve`` makes of all bodies of a bucket, for each bucket that any chunk sent a message to."""
+    def answer(table: pa.Table) -> pa.Table:
+        return resolve(table.column("body").to_pylist())
+
+    return _sent(chunks, messages).groupBy("bucket").applyInArrow(answer, schema)
+
+
+def ask(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]],
+        resolve: Callable[[list[bytes]], list[bytes]], name: str) -> DataFrame:
+    """``chunks`` with a column ``name``: for each message a chunk sent, ``(bucket, body)`` with the answer.
+
+    ``messages`` yields (bucket, body) for a chunk; ``resolve`` takes all bodies of a bucket and answers each.
+    """
     def answer(table: pa.Table) -> pa.Table:
-        bodies = table.column("body").to_pylist()
-        return table.set_column(2, "body", pa.array(resolve(bodies), pa.binary()))
+        return table.set_column(2, "body", pa.array(resolve(table.column("body").to_pylist()), pa.binary()))
 
-    found = write_table(chunks.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(answer, MESSAGE), name)
+    found = write_table(_sent(chunks, messages).groupBy("bucket").applyInArrow(answer, MESSAGE), name)
     back = found.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "body")).alias(name))
     return chunks.join(back.hint("shuffle_hash"), "chunk", "left")
 

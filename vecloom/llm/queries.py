@@ -6,12 +6,13 @@ from vecloom.llm.byte_bpe import op7_byte_bpe
 from vecloom.llm.chat import OP9_SQL, op9_chat_format
 from vecloom.llm.decontaminate import OP6_SQL, op6_decontaminate
 from vecloom.llm.line_dedup import OP4_SQL, op4_line_dedup
+from vecloom.llm.ngram_join import op5_ngram_join
 from vecloom.llm.quality import op2_quality_rules
 from vecloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
 from vecloom.llm.suffix_dedup import op1_suffix_dedup
 from vecloom.llm.tokens_file import op8_token_file
 
-QUERIES = {q.__name__: q for q in (op1_suffix_dedup, op2_quality_rules, op4_line_dedup, op6_decontaminate, op7_byte_bpe, op8_token_file, op9_chat_format,
+QUERIES = {q.__name__: q for q in (op1_suffix_dedup, op2_quality_rules, op4_line_dedup, op5_ngram_join, op6_decontaminate, op7_byte_bpe, op8_token_file, op9_chat_format,
                                    op10_substring_dedup)}
 ORACLE = {"op4_line_dedup": OP4_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL,
           "op10_substring_dedup": OP10_SQL}
