@@ -27,6 +27,12 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns called like ``names`` under other names, and what to rename to get them back."""
+    taken = {c: f"_kept_{c}" for c in df.columns if c in names}
+    return df.withColumnsRenamed(taken), {new: old for old, new in taken.items()}
+
+
 def sha256_hex(data: bytes | memoryview | np.ndarray) -> str:
     return hashlib.sha256(data).hexdigest()
 

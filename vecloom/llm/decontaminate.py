@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import covered, flat, owner, slices, table, words_of
+from vecloom.llm.common import covered, flat, owner, set_aside, slices, table, words_of
 from vecloom.session import ship_package
 
 #: Words of a window; an item of fewer words is one window.
@@ -151,7 +151,8 @@ def contaminated() -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` of whose words less than one in twenty lies in a benchmark window, with their columns."""
-    return benchmark_hits(docs, benchmark).where(~contaminated()).select(*docs.columns)
+    aside, back = set_aside(docs, _MADE)
+    return benchmark_hits(aside, benchmark).where(~contaminated()).drop(*_MADE).withColumnsRenamed(back).select(*docs.columns)
 
 
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import table
+from vecloom.llm.common import set_aside, table
 from vecloom.session import write_table
 
 #: Shorter keys are never dropped; a key in this many documents is.
@@ -27,27 +27,27 @@ def _lines(text: Column) -> Column:
 
 def _row_key(docs: DataFrame) -> list[Column]:
     """What tells rows apart. All null ids are one document, after all others."""
-    return [F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("_doc"), F.xxhash64("text", F.octet_length("text")).alias("_text")]
+    return [F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("__doc"), F.xxhash64("text", F.octet_length("text")).alias("__text")]
 
 
 def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``(_doc, _text, _lost)``: the places of the lines that each row of ``docs`` loses; rows that lose none are not there.
+    """``(_doc, __text, _lost)``: the places of the lines that each row of ``docs`` loses; rows that lose none are not there.
 
     Lines are exploded once into a table of (hash, document, place) without text. Hashes are counted with map-side
     combination; the count of distinct documents is two or more exactly if the smallest and largest differ.
     Hot hashes meet their lines by a broadcast of bounded size, all others by a shuffle.
     """
-    places = docs.select(*_row_key(docs), F.posexplode(_lines(F.col("text"))).alias("pos", "_line"))
-    keys = places.select("_doc", "_text", "pos", line_key(F.col("_line")).alias("_key")).where(F.char_length("_key") >= least_chars)
-    hashed = write_table(keys.select(F.substring(F.unhex(F.sha2("_key", 256)), 1, 16).alias("hash"), "_doc", "_text", "pos"), "lines")
+    places = docs.select(*_row_key(docs), F.posexplode(_lines(F.col("text"))).alias("pos", "__line"))
+    keys = places.select("__doc", "__text", "pos", line_key(F.col("__line")).alias("__key")).where(F.char_length("__key") >= least_chars)
+    hashed = write_table(keys.select(F.substring(F.unhex(F.sha2("__key", 256)), 1, 16).alias("hash"), "__doc", "__text", "pos"), "lines")
     shared = write_table(
-        hashed.groupBy("hash").agg(F.min("_doc").alias("first"), F.max("_doc").alias("last"), F.count(F.lit(1)).alias("n"))
+        hashed.groupBy("hash").agg(F.min("__doc").alias("first"), F.max("__doc").alias("last"), F.count(F.lit(1)).alias("n"))
         .where("first < last").select("hash", "first", "n"), "shared-lines")
     often = hashed.count() // HOT_SHARE
     hot = F.broadcast(shared.where(F.col("n") > often).select("hash", "first"))
     rest = shared.where(F.col("n") <= often).select("hash", "first")
-    lost = hashed.join(hot, "hash").unionByName(hashed.join(rest, "hash")).where("_doc > first")
-    return lost.groupBy("_doc", "_text").agg(F.collect_set("pos").alias("_lost"))
+    lost = hashed.join(hot, "hash").unionByName(hashed.join(rest, "hash")).where("__doc > first")
+    return lost.groupBy("__doc", "__text").agg(F.collect_set("pos").alias("__lost"))
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -60,14 +60,20 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     lost = dropped_lines(docs, least_chars)
-    both = docs.select(*columns, *_row_key(docs)).join(lost.hint("shuffle_hash"), ["_doc", "_text"], "left")
+    both = docs.select(*columns, *_row_key(docs)).join(lost.hint("shuffle_hash"), ["__doc", "__text"], "left")
     lines = _lines(F.col("text"))
     whole = F.coalesce(F.col("text"), F.lit(""))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lost"))
-    left = F.when(F.col("_lost").isNull(), whole).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lost"))
+    left = F.when(F.col("__lost").isNull(), whole).otherwise(
         F.array_join(F.transform(F.array_sort(kept), lambda i: F.get(lines, i)), "\n"))
     return both.withColumns({"text": left, "n_lines": F.size(lines).cast("long"),
-                             "n_dropped": F.coalesce(F.size("_lost"), F.lit(0)).cast("long")}).select(*columns, "n_lines", "n_dropped")
+                             "n_dropped": F.coalesce(F.size("__lost"), F.lit(0)).cast("long")}).select(*columns, "n_lines", "n_dropped")
+
+
+def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """``docs`` with the ``text`` that :func:`dedup_lines` leaves, and otherwise the same columns."""
+    aside, back = set_aside(docs, ("n_lines", "n_dropped"))
+    return dedup_lines(aside, least_chars).drop("n_lines", "n_dropped").withColumnsRenamed(back).select(*docs.columns)
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

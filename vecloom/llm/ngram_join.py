@@ -36,6 +36,15 @@ ROW_BITS = 24
 _SEED = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Sizes at which work is split. They change the plan, never the links."""
+
+    small: int = SMALL
+    block: int = BLOCK
+    set_block: int = SET_BLOCK
+
+
 @dataclass
 class Sets:
     """Sorted distinct shingle hashes of some texts; text ``d`` has ``tokens[first[d]:first[d + 1]]``."""
@@ -104,8 +113,8 @@ def signatures(sets: Sets) -> np.ndarray:
 class Paths:
     """The chosen paths of a chunk's representatives, level by level, as far as answers are there."""
 
-    def __init__(self, chunk: Chunk, rows: np.ndarray, buckets: int, least: float, shingle: int) -> None:
-        self.number, self.rows, self.buckets = chunk.number, rows, buckets
+    def __init__(self, chunk: Chunk, rows: np.ndarray, buckets: int, least: float, shingle: int, limits: Limits) -> None:
+        self.number, self.rows, self.buckets, self.limits = chunk.number, rows, buckets, limits
         self.sets = _some(shingle_sets(chunk.data, chunk.offsets, shingle), rows)
         member, path = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         text = owner(self.sets.first)
@@ -121,7 +130,7 @@ class Paths:
             if f"paths{level}" not in chunk.answers:
                 break
             many = chunk.joined(f"paths{level}", "<u4").astype(np.int64)[self.distinct]
-            deep = (many > SMALL) & (level < DEEPEST)
+            deep = (many > limits.small) & (level < DEEPEST)
             here = (many > 1) & ~deep
             self.settled.append((self.member[here], self.path[here], many[here]))
             nodes = _some(self.sets, self.member[deep])
@@ -153,7 +162,7 @@ class Paths:
         used, place = np.unique(member, return_inverse=True)
         drawn = signatures(_some(self.sets, used))
         vertex = (np.uint64(self.number) << np.uint64(ROW_BITS)) + self.rows[member].astype(np.uint64)
-        take, key = dealt(path, vertex, many, BLOCK)
+        take, key = dealt(path, vertex, many, self.limits.block)
         yield from entries(key, vertex[take], drawn[place[take]], self.buckets)
 
 
@@ -280,7 +289,7 @@ def exact_links(least: float):
     return resolve
 
 
-def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE, limits: Limits = Limits()) -> DataFrame:
     """``(doc_id, class_id, n_links, text_hash, first)`` for every row of ``docs (doc_id long, text)``.
 
     Two documents are linked if the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more.
@@ -310,7 +319,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGL
     started = chunks.join(by_chunk.hint("shuffle_hash"), "chunk")
 
     def paths(chunk: Chunk) -> Paths:
-        return Paths(chunk, np.sort(np.array([s["row"] for s in chunk.extra["sets"]], np.int64)), buckets, least, shingle)
+        return Paths(chunk, np.sort(np.array([s["row"] for s in chunk.extra["sets"]], np.int64)), buckets, least, shingle, limits)
 
     asked = started
     for level in range(1, DEEPEST + 1):
@@ -322,7 +331,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGL
     wanted = sized.select(F.shiftright("vertex", ROW_BITS).alias("chunk"), F.struct(
         F.col("vertex").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), "root", "many").alias("_group")).groupBy("chunk").agg(
             F.collect_list("_group").alias("groups"))
-    linked = gather(started.join(wanted.hint("shuffle_hash"), "chunk"), _sets_of_groups(buckets, shingle), exact_links(least),
+    linked = gather(started.join(wanted.hint("shuffle_hash"), "chunk"), _sets_of_groups(buckets, shingle, limits.set_block), exact_links(least),
                     "vertex long, links long, root long")
     links = write_table(linked, "links")
     roots = components(links.select(F.col("vertex").alias("u"), F.col("root").alias("v"))).withColumnRenamed("vertex", "set")
@@ -357,7 +366,7 @@ def _identities(shingle: int):
     return identify
 
 
-def _sets_of_groups(buckets: int, shingle: int):
+def _sets_of_groups(buckets: int, shingle: int, block: int):
     def messages(chunk: Chunk) -> Iterator[tuple[int, bytes]]:
         weights = {s["row"]: s["n"] for s in chunk.extra["sets"]}
         rows = np.array([g["row"] for g in chunk.extra["groups"]], np.int64)
@@ -365,8 +374,8 @@ def _sets_of_groups(buckets: int, shingle: int):
         many = np.array([g["many"] for g in chunk.extra["groups"]], np.int64)
         sets = _some(shingle_sets(chunk.data, chunk.offsets, shingle), rows)
         vertex = ((chunk.number << ROW_BITS) + rows).astype(np.uint64)
-        take, key = dealt(mix(root), vertex, many, SET_BLOCK)
-        blocks = -(-many // SET_BLOCK)
+        take, key = dealt(mix(root), vertex, many, block)
+        blocks = -(-many // block)
         own = (mix(vertex) % np.maximum(blocks, 1).astype(np.uint64)).astype(np.int64)
         other = np.arange(len(take)) - np.searchsorted(take, take)
         half = np.where((blocks[take] > 1) & (other != own[take]), own[take], -1)
@@ -388,10 +397,10 @@ def drop_near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = S
     Rows without words are classes of their own and stay.
     """
     found = near_duplicates(docs, least, shingle).where("first").select(
-        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(2**63 - 1)), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(2**63 - 1)), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
     worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = keyed.where(worded).join(found.hint("shuffle_hash"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
+    kept = keyed.where(worded).join(found.hint("shuffle_hash"), ["__id", "__hash"]).dropDuplicates(["__id", "__hash"])
     return kept.select(*docs.columns).unionByName(docs.where(~worded))
 
 

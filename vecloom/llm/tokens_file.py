@@ -105,7 +105,7 @@ def _coder(definition: Broadcast) -> PieceCoder:
     return held(("word_bpe", definition.value), lambda: PieceCoder(Tokenizer.from_str(definition.value), lambda _: True, " "))
 
 
-def _blocks(sent: Broadcast, end_id: int):
+def _blocks(sent: Broadcast, end_id: int, block_tokens: int):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = _coder(sent), TaskContext.get().partitionId()
         block = before = 0
@@ -129,7 +129,7 @@ def _blocks(sent: Broadcast, end_id: int):
                 names = rows.column("doc_id").to_pylist()
                 at = 0
                 while at < n:  # whole documents, until the block is full
-                    room = BLOCK_TOKENS - sum(sizes)
+                    room = block_tokens - sum(sizes)
                     to = max(at + (not sizes), int(np.searchsorted(bounds, bounds[at] + room, side="right")) - 1)
                     held_ids.append(with_end[bounds[at]:bounds[to]])
                     documents += names[at:to]
@@ -145,7 +145,7 @@ def _blocks(sent: Broadcast, end_id: int):
     return code
 
 
-def write_tokens(docs: DataFrame, definition: str, path: str, end_id: int = END_ID) -> None:
+def write_tokens(docs: DataFrame, definition: str, path: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode ``text``, end each document with ``end_id``, and write the ids at ``path`` in ascending order of ``doc_id``.
 
     The file is a Parquet folder with one row per block: its part and number in it, the tokens before it in the part,
@@ -159,7 +159,7 @@ def write_tokens(docs: DataFrame, definition: str, path: str, end_id: int = END_
         raise ValueError(f"a tokenizer of {len(definition)} bytes is too large to send to every worker")
     sent = spark.sparkContext.broadcast(definition)
     placed = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    placed.mapInArrow(_blocks(sent, end_id), BLOCKS).write.mode("overwrite").parquet(path)
+    placed.mapInArrow(_blocks(sent, end_id, block_tokens), BLOCKS).write.mode("overwrite").parquet(path)
 
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
