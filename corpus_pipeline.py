@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vecloom.llm.byte_bpe import digests, multilingual
 from vecloom.llm.common import table
 from vecloom.llm.decontaminate import drop_contaminated
-from vecloom.llm.line_dedup import dedup_lines
+from vecloom.llm.line_dedup import drop_repeated_lines
 from vecloom.llm.ngram_join import drop_near_duplicates
 from vecloom.llm.quality import drop_low_quality
 from vecloom.session import write_table
@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; ``n_chars``, where it is, follows the text. All rows stay."""
-    kept = dedup_lines(docs).select(*docs.columns)
+    kept = drop_repeated_lines(docs)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
