@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces a worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Pieces joined into one string for the tokenizer, and such strings handed over at once.
 JOINED, AT_ONCE = 256, 16
 
