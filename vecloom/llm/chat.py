@@ -42,9 +42,10 @@ def climb(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     while (1 << len(levels)) <= longest and not state.where("up IS NOT NULL").isEmpty():
         levels.append(state.select("tree", "id", "up").where("up IS NOT NULL"))
         above = state.select("tree", F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
-        state = write_table(state.join(above, ["tree", "up"], "left").select(
+        climbing = state.where("up IS NOT NULL").join(above, ["tree", "up"], "left").select(
             "tree", "id", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total")), "replies")
+            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"))
+        state = write_table(climbing.unionByName(state.where("up IS NULL")), "replies")
     return state.select("tree", "id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"), "total"), levels
 
 
