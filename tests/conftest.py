@@ -20,6 +20,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def vocabulary():
+    """The public 50k rank file installed beside the tokenizer library."""
+    import public_tokenizers
+
+    from vecloom.sources.vocabulary import Vocabulary
+
+    return Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @pytest.fixture(scope="session")
 def small():
     return "/root/testdata/sf0.001"

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 
 import pytest
@@ -12,7 +14,6 @@ from vecloom.session import new_path, shared_folder, write_table
 from vecloom.sources.sinks import merge_part_files, write_shards, write_text
 from vecloom.sources.tables import spread
 from vecloom.sources.text_files import corpus_lines, numbered_corpus
-from vecloom.sources.vocabulary import default_vocabulary
 
 
 def text_of(folder) -> str:
@@ -89,20 +90,20 @@ def test_only_small_inputs_are_dealt_over_the_cores(spark, small):
     assert spread(table, "doc_id").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10b")
     try:
-        assert "Repartition" not in spread(table, "doc_id")._jdf.queryExecution().optimizedPlan().toString()
+        assert spread(spark.read.parquet(f"{small}/documents.parquet"), "doc_id").rdd.getNumPartitions() > 100
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_all_jobs_from_folder_to_folder(spark, tmp_path):
+def test_all_jobs_from_folder_to_folder(spark, tmp_path, vocabulary):
     (tmp_path / "in").mkdir()
     story = ["the cat sat on the mat", "", "the dog sat on the log", "a cat and a dog"]
     (tmp_path / "in" / "one.txt").write_text("\n".join(story * 3) + "\n")
     (tmp_path / "in" / "two.txt").write_text("the end: it is\tover\n")
-    paths = [str(tmp_path / n) for n in ("in", "counts", "lines", "tokens", "stream", "shards", "vectors", "merged", "out")]
+    paths = [str(tmp_path / n) for n in ("in", "counts", "lines", "tokens", "stream", "shards", "vectors", "losses", "merged", "out")]
     params = Params(num_shards=2, num_shards_embeddings=3, vocab_size=50256, rounds=1, epochs=1)
-    jobs.run(spark, paths, params, default_vocabulary())
-    jobs.word_frequency_job(spark, paths[0], paths[1], default_vocabulary())  # replaces the first output
+    jobs.run(spark, paths, params, vocabulary)
+    jobs.word_frequency_job(spark, paths[0], paths[1], vocabulary)  # replaces the first output
 
     counts = [line.rsplit(" ", 2) for line in text_of(paths[1]).splitlines()]
     assert sum(len(text) * int(n) for text, n, _ in counts) == sum(
@@ -116,10 +117,45 @@ def test_all_jobs_from_folder_to_folder(spark, tmp_path):
     for shard in range(3):
         assert text_of(f"{paths[5]}/shard={shard}").split() == stream[shard::3]
     vectors = text_of(paths[6])
-    assert {line.split("\t")[0] for line in vectors.splitlines()} == set(stream) and vectors == text_of(paths[7])
-    neighbours = text_of(paths[8]).splitlines()
+    assert {line.split("\t")[0] for line in vectors.splitlines()} == set(stream) and vectors == text_of(paths[8])
+    assert [line.split()[0] for line in text_of(paths[7]).splitlines()] == ["0", "1"]
+    neighbours = text_of(paths[9]).splitlines()
     assert len(neighbours) == len(set(stream)) and all("\t" in line for line in neighbours)  # a token's text may hold a tab
 
 
-def test_usage(capsys):
-    assert jobs.main(["only", "two"]) == 1 and "INPUT" in capsys.readouterr().err
+@pytest.mark.parametrize("arguments", [
+    ["unknown", "a", "b"], ["shard-lines", "one"], ["tokenize", "a", "b"], ["shard-lines", "a", "b", "--set", "none=1"],
+    ["shard-lines", "a", "b", "--set", "epochs=x"], ["shard-lines", "a", "b", "--set", "round_robin=1"]])
+def test_usage(capsys, arguments):
+    with pytest.raises(SystemExit) as stop:
+        jobs.main(arguments)
+    assert stop.value.code == 2 and "usage" in capsys.readouterr().err
+
+
+def test_one_stage_with_settings(spark, tmp_path, vocabulary):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.txt").write_text("".join(f"line {i}\n" for i in range(20)))
+    lines, tokens = str(tmp_path / "lines"), str(tmp_path / "tokens")
+    assert jobs.main(["shard-lines", str(tmp_path / "in"), lines, "--set", "num_shards=4"]) == 0
+    assert sorted(p for p in os.listdir(lines) if p.startswith("shard=")) == [f"shard={i}" for i in range(4)]
+    assert jobs.main(["tokenize", lines, tokens, "--vocabulary", vocabulary.rank_path]) == 0
+    assert len(text_of(tokens).splitlines()) == 20
+    assert jobs.settings(["round_robin=true", "learning_rate=0.5", "epochs=3"]) == Params(round_robin=True, learning_rate=0.5, epochs=3)
+
+
+def test_text_is_neither_sorted_nor_copied_to_number_it(spark, corpus, monkeypatch):
+    from vecloom.operators.lines import number_lines
+    from vecloom.sources import text_files
+
+    monkeypatch.setattr(text_files, "MOST_BYTES_TO_BROADCAST", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents = spark.createDataFrame([(i, "a\nb") for i in range(50)], "doc_id long, text string")
+        for numbered in (number_lines(documents), numbered_corpus(spark, str(corpus[0]))):
+            with contextlib.redirect_stdout(io.StringIO()) as text:
+                numbered.explain()
+            outer = text.getvalue().split("Join", 1)[0]  # the join of the lines with their starts stands first
+            assert outer.endswith("ShuffledHash") and "Sort " not in outer
+        assert [r.line for r in numbered_corpus(spark, str(corpus[0])).orderBy("line_no").collect()] == corpus[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

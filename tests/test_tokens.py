@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 from vecloom.operators import tokens as tk
 from vecloom.operators.lines import document_lines
 from vecloom.sources.tables import read_table
-from vecloom.sources.vocabulary import LARGEST_RANK_FILE, Vocabulary, default_vocabulary, rank_file, vocabulary_table
-
-
-@pytest.fixture(scope="module")
-def vocabulary():
-    return default_vocabulary()
+from vecloom.sources.vocabulary import LARGEST_RANK_FILE, Vocabulary, rank_file, shared_vocabulary, vocabulary_size, vocabulary_table
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +108,16 @@ def test_the_tokenizer_runs_once_per_plan(spark, vocabulary, mode):
     df = spark.createDataFrame([("a b a",), ("",)], "line string")
     plan = tk.word_frequency(df, vocabulary, mode=mode)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_copied_rank_file_is_the_same_vocabulary(spark, vocabulary):
+    copy = shared_vocabulary(spark, vocabulary.rank_path, vocabulary.pattern)
+    assert encode(spark, copy, "Hello, world! naïve") == encode(spark, vocabulary, "Hello, world! naïve")
+    assert vocabulary_size(spark, copy) == vocabulary_table(spark, vocabulary).count() == 50256
+
+
+def test_word_counts_by_key_add_up(spark, vocabulary, small):
+    docs = read_table(spark, small, "documents", ["lang", "text"])
+    each = tk.word_frequency(docs, vocabulary, "text", keys=["lang"]).groupBy("token").agg(F.sum("n").alias("n"))
+    whole = tk.word_frequency(docs, vocabulary, "text").select("token", "n")
+    assert {tuple(r) for r in each.collect()} == {tuple(r) for r in whole.collect()}

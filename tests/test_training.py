@@ -6,13 +6,12 @@ from dataclasses import replace
 import numpy as np
 import pyarrow.compute as pc
 import pytest
-from pyspark.sql import functions as F
 
 from vecloom.operators import sgns
 from vecloom.operators import tokens as tk
 from vecloom.operators import windows as wd
 from vecloom.operators.embeddings import init_embeddings
-from vecloom.operators.training import shard_triples, train_embeddings, training_segments
+from vecloom.operators.training import learning_rate, needed_tokens, shard_triples, train_embeddings, training_segments
 from vecloom.params import Params
 
 
@@ -40,7 +39,7 @@ def test_loss_is_the_mean_over_triples(problem):
 
 def test_gradient_is_the_slope_of_the_loss(problem):
     triples, vectors, pairs, table = problem
-    found = {r.token: r.gradient for r in sgns.sgns_gradient(pairs, table).collect()}
+    found = {r.token: r.gradient for r in sgns.sgns_gradient(pairs, table, 3).collect()}
     assert set(found) == {t for triple in triples for t in triple}
     for token, gradient in found.items():
         for at in range(3):
@@ -54,7 +53,7 @@ def test_gradient_is_the_slope_of_the_loss(problem):
 
 def test_step_moves_down_and_leaves_others(problem):
     triples, vectors, pairs, table = problem
-    moved = sgns.sgns_step(table, sgns.sgns_gradient(pairs, table), 0.01)
+    moved = sgns.sgns_step(table, sgns.sgns_gradient(pairs, table, 3), 0.01)
     after = {r.token: np.array(r.embedding) for r in moved.collect()}
     assert set(after) == set(vectors) and after[6].tolist() == vectors[6].tolist()
     assert loss_of(after, triples) < loss_of(vectors, triples)
@@ -74,7 +73,7 @@ def sequences(spark):
 def test_training_lowers_the_loss_and_repeats_itself(spark, sequences, round_robin):
     params = replace(PARAMS, round_robin=round_robin, num_shards_embeddings=3)
     first = train_embeddings(sequences, ["line_no"], params)
-    assert len(first.losses) == 4 and first.losses[-1] < first.losses[0]
+    assert len(first.losses) == 5 and first.losses[-1] < first.losses[0] and first.best == first.losses.index(min(first.losses))
     again = train_embeddings(sequences.repartition(5), ["line_no"], params)
     one, two = ({r.token: r.embedding for r in t.embeddings.collect()} for t in (first, again))
     assert set(one) == {t for r in sequences.collect() for t in r.tokens}
@@ -94,8 +93,9 @@ def test_segments_hold_the_pairs_of_the_windows(spark, sequences, monkeypatch, s
     for shard in shards:
         mine = segments.filter(pc.equal(segments["shard"], int(shard)))
         assert pc.sum(mine["n_windows"]).as_py() <= params.windows_per_shard + 4 * round_robin
-        c, o, n = shard_triples(mine, params)
-        assert len(n) == len(c) and (n < params.vocab_size).all()
+        pool = np.arange(100, 107)
+        c, o, n = shard_triples(mine, pool, params)
+        assert len(n) == len(c) and np.isin(n, pool).all()
         found.update(zip(c.tolist(), o.tolist()))
     if round_robin:
         windows = wd.stream_windows(tk.shard_tokens(tk.token_stream(sequences, ["line_no"]), 3), size, step)
@@ -112,19 +112,64 @@ def test_a_token_without_pairs_keeps_its_start_vector(spark):
     assert result.embeddings.first().embedding == pytest.approx(start.embedding, abs=1e-6)
 
 
-def test_training_stops_when_the_loss_stays(spark, sequences):
-    worse = replace(PARAMS, learning_rate=-0.5, rounds=6, patience=2)
-    result = train_embeddings(sequences, ["line_no"], worse)
-    assert len(result.losses) == 3
-    start = init_embeddings(result.embeddings.select("token"), PARAMS.embedding_dim, PARAMS.seed)
-    far = result.embeddings.join(start.withColumnRenamed("embedding", "s"), "token").where(
-        F.exists(F.zip_with("embedding", "s", lambda a, b: F.abs(a - b) > 1e-6), lambda x: x))
-    assert far.count() == 0
+def vectors_of(table) -> dict:
+    return {r.token: r.embedding for r in table.collect()}
 
 
-def test_decay_counts_whole_steps(spark, sequences):
-    still = replace(PARAMS, decay_rate=0.0, decay_steps=2, rounds=2)
-    one = train_embeddings(sequences, ["line_no"], replace(still, rounds=1)).embeddings
-    two = train_embeddings(sequences, ["line_no"], still).embeddings
-    a, b = ({r.token: r.embedding for r in t.collect()} for t in (one, two))
-    assert all(a[t] == pytest.approx(b[t], abs=1e-6) for t in a)
+def start_of(spark, table) -> dict:
+    return vectors_of(init_embeddings(table.select("token"), PARAMS.embedding_dim, PARAMS.seed))
+
+
+def test_equal_losses_use_up_patience(spark, sequences):
+    result = train_embeddings(sequences, ["line_no"], replace(PARAMS, learning_rate=0.0, rounds=6, patience=2))
+    assert len(result.losses) == 3 and result.stopped and result.best == 0
+    assert [tuple(r) for r in result.history(spark).select("round", "stopped").orderBy("round").collect()] == [(0, False), (1, False), (2, True)]
+
+
+@pytest.mark.parametrize("patience", [2, 10])
+def test_the_best_table_comes_back_when_losses_rise(spark, sequences, patience):
+    result = train_embeddings(sequences, ["line_no"], replace(PARAMS, learning_rate=-0.5, rounds=3, patience=patience))
+    assert result.best == 0 and result.losses == sorted(result.losses) and result.stopped == (patience == 2)
+    found, start = vectors_of(result.embeddings), start_of(spark, result.embeddings)
+    assert all(found[t] == pytest.approx(start[t], abs=1e-12) for t in found)
+
+
+def test_the_last_table_is_judged_too(spark, sequences):
+    result = train_embeddings(sequences, ["line_no"], replace(PARAMS, rounds=1))
+    assert len(result.losses) == 2 and result.losses[1] < result.losses[0] and result.best == 1 and not result.stopped
+
+
+def test_mixed_losses_keep_the_lowest(spark, sequences):
+    """A rate that first helps and then overshoots."""
+    result = train_embeddings(sequences, ["line_no"], replace(PARAMS, learning_rate=0.2, decay_rate=4.0, decay_steps=12, rounds=4, patience=10))
+    best = result.losses.index(min(result.losses))
+    assert 0 < best < len(result.losses) - 1 and result.best == best
+    shorter = train_embeddings(sequences, ["line_no"], replace(PARAMS, learning_rate=0.2, decay_rate=4.0, decay_steps=12, rounds=best, patience=10))
+    found, wanted = vectors_of(result.embeddings), vectors_of(shorter.embeddings)
+    assert all(found[t] == pytest.approx(wanted[t], abs=1e-9) for t in wanted)
+
+
+def test_shards_need_their_own_tokens_and_a_pool(spark, sequences):
+    params = replace(PARAMS, negative_pool=4)
+    segments = training_segments(sequences, ["line_no"], params)
+    needs = needed_tokens(segments, tk.distinct_tokens(sequences), params).collect()
+    own, pools = {}, {}
+    for r in needs:
+        (own if r.place is None else pools).setdefault(r.shard, []).append(r.token)
+    held = {}
+    for r in segments.collect():
+        held.setdefault(r.shard, set()).update(r.tokens)
+    assert {s: sorted(t) for s, t in own.items()} == {s: sorted(t) for s, t in held.items()}
+    corpus = set().union(*held.values())
+    assert all(len(p) == 4 and set(p) <= corpus for p in pools.values()) and set(pools) == set(held)
+
+
+def test_decay_counts_whole_steps():
+    params = Params(learning_rate=1.0, decay_rate=0.5, decay_steps=3)
+    assert [learning_rate(params, step) for step in range(7)] == [1, 1, 1, 0.5, 0.5, 0.5, 0.25]
+
+
+def test_a_rate_of_zero_after_decay_stands_still(spark, sequences):
+    still = replace(PARAMS, decay_rate=0.0, decay_steps=1)
+    one, two = (vectors_of(train_embeddings(sequences, ["line_no"], replace(still, rounds=r)).embeddings) for r in (1, 2))
+    assert all(one[t] == pytest.approx(two[t], abs=1e-12) for t in one)

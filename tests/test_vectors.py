@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import contextlib
+import io
+
 import math
 
 import pytest
@@ -67,20 +70,20 @@ def test_text_round_trip_loses_nothing(spark, small):
 def test_mean_leaves_unreadable_rows_out_of_the_divisor(spark):
     df = spark.createDataFrame(
         [(1, "[1,3]"), (1, "[3,5]"), (1, "[1,x]"), (2, "[bad]"), (3, "[7,7]")], "token int, value string")
-    means = emb.mean_embeddings(emb.parse_vectors(df, ["token"], "value"))
+    means = emb.mean_embeddings(emb.parse_vectors(df, ["token"], "value"), 2)
     assert {r.token: r.embedding for r in means.collect()} == {1: [2.0, 4.0], 3: [7.0, 7.0]}
 
 
 def test_mean_of_unequal_lengths_fails(spark):
     df = spark.createDataFrame([(1, [1.0]), (1, [1.0, 2.0])], "token int, embedding array<float>")
-    with pytest.raises(PySparkException, match="unequal length"):
-        emb.mean_embeddings(df).collect()
+    with pytest.raises(PySparkException, match="another length"):
+        emb.mean_embeddings(df, 2).collect()
 
 
 def test_weighted_mean_with_a_hot_key(spark):
     rows = [(i % 3 and 1, [float(i), 1.0], i) for i in range(3000)]
     df = spark.createDataFrame(rows, "token int, embedding array<float>, w int").repartition(8)
-    found = {r.token: r.embedding for r in emb.mean_embeddings(df, weight="w").collect()}
+    found = {r.token: r.embedding for r in emb.mean_embeddings(df, 2, weight="w").collect()}
     for key in (0, 1):
         part = [(v[0], w) for k, v, w in rows if k == key]
         assert found[key] == pytest.approx([sum(x * w for x, w in part) / sum(w for _, w in part), 1.0])
@@ -122,3 +125,35 @@ def test_start_vectors_depend_on_token_and_seed_only(spark):
     other = {r.token: r.embedding for r in emb.init_embeddings(tokens, 4, 2).collect()}
     flat = [x for v in first.values() for x in v]
     assert first != other and all(0 <= x < 1 for x in flat) and math.isclose(sum(flat) / len(flat), 0.5, abs_tol=0.03)
+
+
+def test_vectors_are_summed_whole(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0])], "token int, embedding array<float>")
+    assert "Generate" not in plan_of(emb.mean_embeddings(df, 2))
+
+
+def test_white_space_around_rows_and_vectors_does_not_count(spark):
+    rows = ["2\t[0.5,0.25]\t", "\t3\t[0.5,0.25]", " 4\t [0.5, 0.25] ", "5\t[0.5,0.25]\tx", "6", "7\t[0.5,,]"]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    strict = {r.token: r.embedding for r in emb.parse_embeddings(df, strict=True).collect()}
+    assert {t: v for t, v in strict.items() if t < 7} == {2: [0.5, 0.25], 3: [0.5, 0.25], 4: [0.5, 0.25]}
+    lenient = {r.token for r in emb.parse_embeddings(df).collect()}
+    assert 2 in lenient and not lenient & {3, 4, 5, 6}
+
+
+@pytest.mark.parametrize("setting,value", [("spark.sql.files.maxPartitionBytes", v) for v in ("256m", "128MB")]
+                         + [("spark.sql.autoBroadcastJoinThreshold", v) for v in ("10MB", "-1", "1k")])
+def test_settings_with_units(spark, small, setting, value):
+    from vecloom.plans.queries import corpus_lines, lookup_embeddings
+
+    spark.conf.set(setting, value)
+    try:
+        assert corpus_lines(spark, small).count() > 100 and lookup_embeddings(spark, small).count() > 1000
+    finally:
+        spark.conf.unset(setting)
+
+
+def plan_of(df) -> str:
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        df.explain()
+    return text.getvalue()

@@ -47,12 +47,22 @@ def whole_numbers(words: Column) -> Column:
     return F.filter(F.transform(shaped, lambda word: word.try_cast("int")), lambda n: n.isNotNull())
 
 
+def whole_part(number: Column, divisor: int) -> Column:
+    """Division of whole numbers, rounded down, without a detour over doubles."""
+    return ((number - F.pmod(number, F.lit(divisor))) / F.lit(divisor)).cast("bigint")
+
+
 def must_cast(value: Column, type_name: str) -> Column:
     """Cast, or fail the job with the value that cannot be read, whatever the session's ANSI setting."""
     complaint = F.raise_error(F.concat(F.lit(f"not a {type_name}: "), value))
     return F.coalesce(value.try_cast(type_name), F.when(value.isNotNull(), complaint).cast(type_name))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space and control characters at both ends."""
+    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def pair_field(fields: Column, place: int) -> Column:
     """A field of a row that has two, else NULL: Spark may evaluate it before a filter on the number of fields."""
     return F.when(F.size(fields) == 2, F.get(fields, F.lit(place)))
@@ -60,5 +70,5 @@ def pair_field(fields: Column, place: int) -> Column:
 
 def float_list(text: Column) -> Column:
     """The comma-separated fields inside ``[...]``, as strings."""
-    bare = F.regexp_replace(F.regexp_replace(F.trim(text), r"^\[", ""), r"\]$", "")
-    return F.transform(F.split(F.regexp_replace(bare, ",+$", ""), ","), lambda field: F.trim(field))
+    bare = F.regexp_replace(F.regexp_replace(stripped(text), r"^\[", ""), r"\]$", "")
+    return F.transform(F.split(F.regexp_replace(bare, ",+$", ""), ","), stripped)

@@ -54,22 +54,19 @@ def exact_text(vector: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(vector.cast("array<string>"), ","), F.lit("]"))
 
 
-def combine_vectors(df: DataFrame, keys: Sequence[str], vector: str, how: str = "sum", weight: str | None = None) -> DataFrame:
-    """Add or average vectors per key, element by element: ``(keys..., vector)`` with double elements.
+def combine_vectors(df: DataFrame, keys: Sequence[str], vector: str, width: int, how: str = "sum", weight: str | None = None) -> DataFrame:
+    """Add or average vectors per key: ``(keys..., vector)`` with double elements.
 
-    The elements are aggregated as rows of ``(key, position)``, which Spark sums before the shuffle, so a
-    key that holds a third of all rows sends one partial row per task and position. Only the finished
-    elements of a key, as many as the vector is wide, come together again. Vectors of one key must be
-    equally long; a shorter one fails the job rather than bending the mean.
+    One row per vector and one sum per position, all combined before the shuffle, so a key that holds a third of
+    all rows sends one partial row per task. A vector of another length than ``width`` fails the job rather than
+    bending the mean; a missing vector does not count.
     """
-    rows = df.select(*keys, (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("_w"),
-                     F.posexplode(to_double(F.col(vector))).alias("_at", "_x"))
-    sums = rows.groupBy(*keys, "_at").agg(
-        F.sum(F.col("_x") * F.col("_w") if weight else F.col("_x")).alias("_sum"),
-        F.sum("_w").alias("_weight"), F.count(F.lit(1)).alias("_n"))
-    value = F.col("_sum") if how == "sum" else F.try_divide(F.col("_sum"), F.col("_weight"))
-    whole = sums.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_at"), value.alias("_v")))).alias("_parts"),
-        (F.min("_n") != F.max("_n")).alias("_uneven"))
-    checked = F.when(F.col("_uneven"), F.raise_error(F.lit("vectors of unequal length under one key")).cast("array<double>"))
-    return whole.select(*keys, checked.otherwise(F.col("_parts._v")).alias(vector))
+    load = F.col(weight).cast("double") if weight else F.lit(1.0)
+    rows = df.where(F.col(vector).isNotNull()).select(*keys, load.alias("_w"), to_double(F.col(vector)).alias("_v"))
+    sums = [F.sum(F.get("_v", F.lit(i)) * F.col("_w")).alias(f"_{i}") for i in range(width)]
+    whole = rows.groupBy(*keys).agg(*sums, F.sum("_w").alias("_weight"), F.min(F.size("_v")).alias("_least"), F.max(F.size("_v")).alias("_most"))
+    total = F.array(*[F.col(f"_{i}") for i in range(width)])
+    value = total if how == "sum" else F.transform(total, lambda x: F.try_divide(x, F.col("_weight")))
+    uneven = (F.col("_least") != width) | (F.col("_most") != width)
+    checked = F.when(uneven, F.raise_error(F.lit(f"vectors of another length than {width}")).cast("array<double>"))
+    return whole.select(*keys, checked.otherwise(value).alias(vector))

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.hashing import draw_unit
-from vecloom.functions.text import float_list, must_cast, pair_field
+from vecloom.functions.text import float_list, must_cast, pair_field, stripped
 from vecloom.functions.vector import combine_vectors, exact_text, fixed_text
-from vecloom.sources.tables import planned_size
 
 #: Over how many copies of its vector a frequent token's occurrences are spread.
 LOOKUP_SALTS = 32
@@ -17,13 +16,15 @@ LOOKUP_SALTS = 32
 def parse_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str = "value", strict: bool = False) -> DataFrame:
     """``(keep..., token, embedding)`` from ``id TAB [f,f,...]``.
 
+    White space at both ends of a row and of its vector does not count, and neither do empty fields at the end.
     Strict: a row without exactly two tab fields is dropped, a number that cannot be read fails the job.
-    Lenient: id and vector may be parted by any blanks, and every row that cannot be read is dropped.
+    Lenient: id and vector may be parted by any blanks, and every row that cannot be read is dropped, as is one that
+    begins with a blank.
     """
     keep = keep or []
     first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
     if strict:
-        fields = rows.select(*keep, F.split(F.trim(F.col(value)), "\t").alias("_f")).where(F.size("_f") == 2)
+        fields = rows.select(*keep, F.split(stripped(F.col(value)), "\t").alias("_f")).where(F.size("_f") == 2)
         return fields.select(
             *keep, must_cast(first, "int").alias("token"),
             F.transform(float_list(rest), lambda x: must_cast(x, "float")).alias("embedding"))
@@ -62,20 +63,15 @@ def dedupe_embeddings(rows: DataFrame, key: str, load_order: str, vector: str =
 def lookup_embeddings(occurrences: DataFrame, embeddings: DataFrame) -> DataFrame:
     """``occurrences`` ``(token, ...)`` with the embedding of each row's token; tokens without one are dropped.
 
-    The embedding side has one row per token. If Spark will not broadcast it, each of its rows is repeated
-    ``LOOKUP_SALTS`` times and the occurrences of a token are spread over the copies by a hash of their other
-    columns, so a token in a third of all rows does not meet its vector in one task. Where only the number of
-    an occurrence matters, count first.
+    The embedding side has one row per token, repeated ``LOOKUP_SALTS`` times; the occurrences of a token are spread
+    over the copies by a hash of their other columns, so a token in a third of all rows does not meet its vector in
+    one task. Spark may broadcast the copies by its own threshold. Where only the number of an occurrence matters,
+    count first.
     """
-    spark = occurrences.sparkSession
-    vectors = embeddings.select("token", "embedding")
-    limit = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("bB"))
-    if planned_size(vectors) <= limit:
-        return occurrences.join(vectors, "token")
     salts = F.lit(LOOKUP_SALTS)
-    copies = vectors.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    spread = occurrences.withColumn("_salt", F.pmod(F.xxhash64(*occurrences.columns), salts).cast("int"))
-    return spread.join(copies, ["token", "_salt"]).drop("_salt")
+    copies = embeddings.select("token", "embedding", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
+    dealt = occurrences.withColumn("_salt", F.pmod(F.xxhash64(*occurrences.columns), salts).cast("int"))
+    return dealt.join(copies, ["token", "_salt"]).drop("_salt")
 
 
 def unknown_tokens(counts: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -83,9 +79,9 @@ def unknown_tokens(counts: DataFrame, embeddings: DataFrame) -> DataFrame:
     return counts.join(embeddings.select("token"), "token", "left_anti")
 
 
-def mean_embeddings(rows: DataFrame, key: str = "token", vector: str = "embedding", weight: str | None = None) -> DataFrame:
-    """``(key, vector)``: the mean vector of each key, weighted if asked. Unequal lengths fail the job."""
-    return combine_vectors(rows, [key], vector, how="mean", weight=weight)
+def mean_embeddings(rows: DataFrame, width: int, key: str = "token", vector: str = "embedding", weight: str | None = None) -> DataFrame:
+    """``(key, vector)``: the mean vector of each key, weighted if asked. A length other than ``width`` fails the job."""
+    return combine_vectors(rows, [key], vector, width, how="mean", weight=weight)
 
 
 def init_embeddings(tokens: DataFrame, dim: int, seed: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.text import lines_of, must_cast, pair_field, piece_ids_of, pieces_of, whole_numbers, words_of
+from vecloom.functions.text import lines_of, must_cast, pair_field, piece_ids_of, pieces_of, whole_numbers, whole_part, words_of
 from vecloom.operators.ordinal import running_offsets, with_offset, with_ordinal
 from vecloom.session import write_table
 
@@ -37,7 +37,7 @@ def deal(rows: DataFrame, ordinal: str, shards: int, position: str) -> DataFrame
     """Deal numbered rows round: ``shard`` is the number modulo ``shards``, ``position`` the turn. No shuffle."""
     number = F.col(ordinal)
     return rows.withColumn("shard", F.pmod(number, F.lit(shards)).cast("int")).withColumn(
-        position, F.floor(number / F.lit(shards)).cast("bigint"))
+        position, whole_part(number, shards))
 
 
 def shard_lines(numbered: DataFrame, shards: int) -> DataFrame:
@@ -47,7 +47,7 @@ def shard_lines(numbered: DataFrame, shards: int) -> DataFrame:
 
 def line_splits(numbered: DataFrame, lines_per_split: int) -> DataFrame:
     """``numbered`` with ``split_no``: every ``lines_per_split`` lines in order are one split."""
-    return numbered.withColumn("split_no", F.floor(F.col("line_no") / F.lit(lines_per_split)).cast("bigint"))
+    return numbered.withColumn("split_no", whole_part(F.col("line_no"), lines_per_split))
 
 
 def concat_by_line(rows: DataFrame, keys: list[str], order_by: str, value: str) -> DataFrame:

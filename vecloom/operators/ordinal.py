@@ -38,8 +38,11 @@ def running_offsets(df: DataFrame, order_by: Sequence[str], weight: Column | Non
 
 
 def with_offset(df: DataFrame, order_by: Sequence[str], weight: Column | None = None) -> DataFrame:
-    """``df`` with the column ``offset`` of :func:`running_offsets`."""
-    return df.join(running_offsets(df, order_by, weight), list(order_by))
+    """``df`` with the column ``offset`` of :func:`running_offsets`.
+
+    The offsets, a few bytes per row, are the build side of a hash join, so the rows themselves are not sorted.
+    """
+    return df.join(running_offsets(df, order_by, weight).hint("shuffle_hash"), list(order_by))
 
 
 def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:

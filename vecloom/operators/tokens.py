@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.codec import decoder, encoder
-from vecloom.functions.text import BLANKS
+from vecloom.functions.text import BLANKS, whole_part
 from vecloom.operators.lines import deal
 from vecloom.operators.ordinal import with_offset
 from vecloom.session import ship_package
@@ -53,24 +53,37 @@ def count_tokens(tokenised: DataFrame) -> DataFrame:
     return each_token(tokenised, []).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def word_frequency(lines: DataFrame, vocabulary: Vocabulary, text: str = "line", mode: str = "per_word") -> DataFrame:
-    """``(token, text, n)``: how often each id occurs.
+def word_frequency(
+        lines: DataFrame, vocabulary: Vocabulary, text: str = "line", mode: str = "per_word", keys: list[str] | None = None) -> DataFrame:
+    """``(keys..., token, text, n)``: how often each id occurs, in all lines or for each value of ``keys``.
 
     ``per_word`` encodes every word by itself, without the blank before it; ``per_line`` encodes whole lines.
     Words repeat, so they are counted first and each distinct word is encoded once; its count then weighs
     its ids. Both counts combine on the map side, so a word that is a third of the text is no hot spot.
     """
-    spark = lines.sparkSession
+    spark, keys = lines.sparkSession, keys or []
     if mode == "per_line":
-        counts = count_tokens(tokenize_lines(lines.select(text), vocabulary, text))
+        counts = each_token(tokenize_lines(lines.select(*keys, text), vocabulary, text), keys).groupBy(*keys, "token").agg(
+            F.count(F.lit(1)).alias("n"))
     elif mode == "per_word":
-        words = lines.select(F.explode(F.split(text, BLANKS)).alias("word")).where(F.col("word") != "").groupBy("word").agg(
-            F.count(F.lit(1)).alias("_n"))
-        ids = each_token(tokenize_lines(words, vocabulary, "word"), ["_n"])
-        counts = ids.groupBy("token").agg(F.sum("_n").alias("n"))
+        ids = each_token(tokenize_lines(count_words(lines, text, keys), vocabulary, "word"), [*keys, "n"])
+        counts = ids.groupBy(*keys, "token").agg(F.sum("n").alias("n"))
     else:
         raise ValueError(f"mode must be per_word or per_line, not {mode}")
-    return detokenize_ids(counts, vocabulary_table(spark, vocabulary)).select("token", "text", "n")
+    return detokenize_ids(counts, vocabulary_table(spark, vocabulary)).select(*keys, "token", "text", "n")
+
+
+def count_words(lines: DataFrame, text: str = "line", keys: list[str] | None = None) -> DataFrame:
+    """``(keys..., word, n)``: how often each word between blanks occurs."""
+    keys = keys or []
+    return lines.select(*keys, F.explode(F.split(text, BLANKS)).alias("word")).where(F.col("word") != "").groupBy(*keys, "word").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def encoded_words(lines: DataFrame, vocabulary: Vocabulary, text: str = "line") -> DataFrame:
+    """``(word, n, text)``: each distinct word, how often it occurs, and what its ids decode to."""
+    coded = tokenize_lines(count_words(lines, text).withColumn("_word", F.col("word")), vocabulary, "_word")
+    return detokenize_lines(coded, vocabulary, "text").select("word", "n", "text")
 
 
 def token_stream(tokenised: DataFrame, order_by: list[str]) -> DataFrame:
@@ -99,7 +112,7 @@ def shard_texts(sharded: DataFrame, tokens_per_line: int = 100_000) -> DataFrame
 
     A shard grows with the corpus, a line does not.
     """
-    lines = sharded.withColumn("line", F.floor(F.col("shard_pos") / F.lit(tokens_per_line)).cast("bigint"))
+    lines = sharded.withColumn("line", whole_part(F.col("shard_pos"), tokens_per_line))
     ids = F.array_sort(F.collect_list(F.struct("shard_pos", "token")))
     return lines.groupBy("shard", "line").agg(ids.alias("_ids")).select(
         "shard", "line", F.array_join(F.col("_ids.token").cast("array<string>"), " ").alias("value"))

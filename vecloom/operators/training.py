@@ -7,26 +7,43 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.functions.hashing import draw_below
+from vecloom.functions.text import whole_part
 from vecloom.functions.vector import combine_vectors
-from vecloom.operators.embeddings import init_embeddings
+from vecloom.operators.embeddings import init_embeddings, lookup_embeddings
 from vecloom.operators.ordinal import running_offsets
 from vecloom.operators.tokens import distinct_tokens, shard_tokens, token_stream
 from vecloom.operators.windows import stream_stretches, window_count
 from vecloom.params import Params
-from vecloom.session import ship_package, write_table
+from vecloom.session import Rotation, ship_package, write_bucketed, write_table
 
-_UPDATES = "token bigint, embedding array<float>, touches bigint, pairs bigint, loss double"
+#: The row of a shard's result that holds its mean loss instead of a vector; no token has this id.
+LOSS_ROW = -1
+_UPDATES = "token bigint, embedding array<double>, weight bigint"
 
 
 @dataclass
 class TrainedEmbeddings:
-    """The table ``(token, embedding)`` of all corpus tokens, and the mean loss of each round before its updates."""
+    """The table ``(token, embedding)`` of all corpus tokens with the lowest loss.
+
+    ``losses[i]`` is the mean loss of the table after ``i`` rounds, ``rates[i]`` the learning rate of the first step
+    that follows it. ``best`` is the number of rounds behind ``embeddings``; ``stopped`` tells whether patience ran out.
+    """
 
     embeddings: DataFrame
     losses: list[float] = field(default_factory=list)
+    rates: list[float] = field(default_factory=list)
+    best: int = 0
+    stopped: bool = False
+
+    def history(self, spark: SparkSession) -> DataFrame:
+        """``(round, rate, loss, stopped)``, one row per loss; ``stopped`` is true on the last if patience ran out."""
+        last = len(self.losses) - 1
+        rows = [(i, r, x, self.stopped and i == last) for i, (r, x) in enumerate(zip(self.rates, self.losses))]
+        return spark.createDataFrame(rows, "round long, rate double, loss double, stopped boolean")
 
 
 def training_segments(sequences: DataFrame, keys: list[str], params: Params) -> DataFrame:
@@ -38,98 +55,104 @@ def training_segments(sequences: DataFrame, keys: list[str], params: Params) ->
     token stream is dealt over ``num_shards_embeddings`` streams first, as the sharding job does, and each
     stream's windows are shared out alike.
     """
-    size, step, share = params.window_size, params.stride, F.lit(params.windows_per_shard)
+    size, step, share = params.window_size, params.stride, params.windows_per_shard
     if params.round_robin:
         streams = F.lit(params.num_shards_embeddings)
         dealt = shard_tokens(token_stream(sequences, keys), params.num_shards_embeddings)
-        turn = F.floor(F.col("first_win") / share)
         return stream_stretches(dealt, size, step).select(
-            (turn * streams + F.col("shard")).alias("shard"),
+            (whole_part(F.col("first_win"), share) * streams + F.col("shard")).alias("shard"),
             (F.col("first_win") * streams + F.col("shard")).alias("win"), "n_windows", "tokens")
 
     counted = sequences.withColumn("_n", window_count(F.size("tokens"), size, step)).where(F.col("_n") > 0)
     starts = running_offsets(counted, keys, F.col("_n"))
-    placed = counted.join(starts, keys)
+    placed = counted.join(starts.hint("shuffle_hash"), keys)
     begin, end = F.col("offset"), F.col("offset") + F.col("_n")
-    shards = F.sequence(F.floor(begin / share), F.floor((end - 1) / share))
+    shards = F.sequence(whole_part(begin, share), whole_part(end - 1, share))
     parts = placed.select("tokens", begin.alias("_begin"), end.alias("_end"), F.explode(shards).alias("shard"))
-    first = F.greatest(F.col("_begin"), F.col("shard") * share)
-    last = F.least(F.col("_end"), (F.col("shard") + 1) * share)
+    first = F.greatest(F.col("_begin"), F.col("shard") * F.lit(share))
+    last = F.least(F.col("_end"), (F.col("shard") + 1) * F.lit(share))
     n_windows = (last - first).cast("int")
     skipped = (first - F.col("_begin")).cast("int") * F.lit(step)
     covered = F.slice("tokens", skipped + F.lit(1), (n_windows - 1) * F.lit(step) + F.lit(size))
     return parts.select("shard", first.alias("win"), n_windows.alias("n_windows"), covered.alias("tokens"))
 
 
+def needed_tokens(segments: DataFrame, corpus: DataFrame, params: Params) -> DataFrame:
+    """``(shard, place, token)``: the tokens of each shard (``place`` is NULL), and its pool of negatives (from 0).
+
+    The pool holds ``negative_pool`` corpus tokens, each drawn evenly by a hash of seed, shard and place. So a shard needs
+    the vectors of its own text and of its pool, not of the whole vocabulary.
+    """
+    own = segments.select("shard", F.explode(F.array_distinct("tokens")).alias("token")).distinct()
+    ranked = running_offsets(corpus, ["token"]).withColumnRenamed("offset", "_rank")
+    places = F.explode(F.sequence(F.lit(0), F.lit(params.negative_pool - 1))).alias("place")
+    drawn = segments.select("shard").distinct().select("shard", places).withColumn(
+        "_rank", draw_below(max(corpus.count(), 1), params.seed, F.col("shard"), F.col("place")))
+    pool = drawn.join(ranked, "_rank").select("shard", "place", "token")
+    return own.select("shard", F.lit(None).cast("int").alias("place"), "token").union(pool)
+
+
 def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> TrainedEmbeddings:
     """Train token vectors on lists ``tokens`` under the unique key ``keys``.
 
-    All shards start from one shared, hash-drawn vector per token. In a round, every shard gets only the
-    vectors its text and its negatives use, runs ``epochs`` of SGD over all its pairs, and gives back what it
-    changed; the new table is the mean per token, weighted by how often each shard touched it. Each round is
-    one written table, so lineage stays one round long. Training stops after ``patience`` rounds without a
-    lower loss and keeps the vectors that entered the best round.
+    All shards start from one shared, hash-drawn vector per corpus token. In a round, every shard gets the vectors of
+    its own tokens and of its pool of negatives, runs ``epochs`` of SGD over all its pairs, and gives back what it
+    changed; the new table is the mean per token, weighted by how often each shard touched it. Means are combined inside
+    each task before anything is shuffled or written. Every table is judged by its loss, the last one too, and the one
+    with the lowest loss is the result. Training stops after ``patience`` rounds in a row without a lower loss.
 
-    The learning rate is ``lr * decay ^ (epoch // steps)`` with epochs counted on through the rounds.
+    The learning rate is ``lr * decay ^ (step // decay_steps)``, steps being the batches of a shard through all rounds.
     ``sequences`` is read several times; write tokenised text as a table first.
     """
     spark = sequences.sparkSession
     ship_package(spark)
-    segments = write_table(training_segments(sequences, keys, params), "segments")
-    shards = (segments.agg(F.max("shard")).first()[0] or 0) + 1
-    # several tasks per core, so that a core that is done early takes another shard, but none without a shard
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    tasks = min(tasks, shards)
-    segments = segments.repartition(tasks, "shard")
-    used = write_table(segments.groupBy("shard").applyInArrow(_needs_kernel(params), "shard bigint, token bigint"), "used")
+    segments = write_bucketed(training_segments(sequences, keys, params), "segments", "shard", tasks)
     corpus = write_table(distinct_tokens(sequences), "corpus")
-    tokens = used.select(F.col("token").cast("int").alias("token")).union(corpus).distinct()
-    start = init_embeddings(tokens.repartition(2 * spark.sparkContext.defaultParallelism, "token"), params.embedding_dim, params.seed)
-    current = write_table(start.withColumn("embedding", F.col("embedding").cast("array<float>")), "round")
-
-    losses: list[float] = []
-    best, patience = current, params.patience
-    for number in range(params.rounds):
-        pulled = used.join(current, "token").select(F.col("shard").alias("vector_shard"), "token", "embedding")
-        sides = segments.groupBy("shard"), pulled.repartition(tasks, "vector_shard").groupBy("vector_shard")
-        updates = write_table(sides[0].cogroup(sides[1]).applyInArrow(_shard_kernel(params, number), _UPDATES), "updates")
-        total = updates.agg(F.sum("loss"), F.sum("pairs")).first()
-        if not total[1]:
+    needs = write_table(needed_tokens(segments, corpus, params), "needs")
+    tables = Rotation(spark, "round")
+    current = tables.write(init_embeddings(corpus, params.embedding_dim, params.seed))
+    sums = Rotation(spark, "means")
+
+    result = TrainedEmbeddings(current)
+    patience = params.patience
+    for number in range(params.rounds + 1):
+        epochs = params.epochs if number < params.rounds else 0  # the last table is judged, not trained
+        pulled = lookup_embeddings(needs, current).select(F.col("shard").alias("vector_shard"), "place", "token", "embedding")
+        pairs = segments.groupBy("shard").cogroup(pulled.groupBy("vector_shard"))
+        updates = pairs.applyInArrow(_shard_kernel(params, number, epochs), _UPDATES)
+        means = sums.write(combine_vectors(updates, ["token"], "embedding", params.embedding_dim, how="mean", weight="weight"))
+        found = means.where(F.col("token") == LOSS_ROW).first()
+        if found is None:  # no pair in the whole corpus
             break
-        losses.append(total[0] / total[1])
-        if losses[-1] <= min(losses):
-            best, patience = current, params.patience
+        result.losses.append(found["embedding"][0])
+        result.rates.append(found["embedding"][1] if params.embedding_dim > 1 else params.learning_rate)
+        if result.losses[-1] < min(result.losses[:-1], default=float("inf")):
+            result.embeddings, result.best, patience = current, number, params.patience
+            tables.keep()
         else:
             patience -= 1
-            if patience <= 0:
-                current = best
-                break
-        averaged = combine_vectors(updates, ["token"], "embedding", how="mean", weight="touches")
-        merged = current.join(averaged.withColumnRenamed("embedding", "_new"), "token", "left").select(
-            "token", F.coalesce(F.col("_new").cast("array<float>"), "embedding").alias("embedding"))
-        current = write_table(merged, "round")
-    return TrainedEmbeddings(current.join(corpus, "token", "left_semi").select("token", "embedding"), losses)
-
-
-def _needs_kernel(params: Params) -> Callable[[pa.Table], pa.Table]:
-    def needs(segments: pa.Table) -> pa.Table:
-        tokens = np.unique(np.concatenate(shard_triples(segments, params))).astype(np.int64)
-        return pa.table({"shard": np.full(len(tokens), segments["shard"][0].as_py(), np.int64), "token": tokens})
-
-    return needs
+            result.stopped = patience <= 0
+        if not epochs or result.stopped:
+            break
+        merged = current.join(means.withColumnRenamed("embedding", "_new"), "token", "left").select(
+            "token", F.coalesce("_new", "embedding").alias("embedding"))
+        current = tables.write(merged)
+    return result
 
 
-def _shard_kernel(params: Params, number: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _shard_kernel(params: Params, number: int, epochs: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def train(segments: pa.Table, vectors: pa.Table) -> pa.Table:
-        return train_shard(segments, vectors, params, number)
+        return train_shard(segments, vectors, params, number, epochs)
 
     return train
 
 
-def shard_triples(segments: pa.Table, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shard_triples(segments: pa.Table, pool: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Centre, context and negative of every pair of neighbours in every window of a shard, in text order.
 
-    The negatives are drawn by seed and shard, so a shard draws the same ones wherever and whenever it runs.
+    Windows take their negatives from the pool in turn: pair ``p`` of window ``w`` has number ``w * window_size + p``
+    modulo the pool, so a pair has the same negative wherever and whenever it is made.
     """
     size, step = params.window_size, params.stride
     segments = segments.take(pa.array(np.argsort(segments["win"].to_numpy(), kind="stable")))
@@ -138,13 +161,15 @@ def shard_triples(segments: pa.Table, params: Params) -> tuple[np.ndarray, np.nd
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     windows = segments["n_windows"].to_numpy().astype(np.int64)
+    turns = params.num_shards_embeddings if params.round_robin else 1  # how far the numbers of one segment's windows lie apart
 
-    inside = _counting(windows) * step
-    pairs = np.minimum(size, np.repeat(lengths, windows) - inside) - 1
-    begins = np.repeat(np.cumsum(lengths) - lengths, windows) + inside
-    at = np.repeat(begins, pairs) + _counting(pairs)
-    drawn = np.random.default_rng([params.seed, segments["shard"][0].as_py()]).integers(0, params.vocab_size, len(at))
-    return flat[at], flat[at + 1], drawn
+    inside = _counting(windows)
+    pairs = np.minimum(size, np.repeat(lengths, windows) - inside * step) - 1
+    begins = np.repeat(np.cumsum(lengths) - lengths, windows) + inside * step
+    window = np.repeat(segments["win"].to_numpy().astype(np.int64), windows) + inside * turns
+    place = _counting(pairs)
+    at = np.repeat(begins, pairs) + place
+    return flat[at], flat[at + 1], pool[(np.repeat(window, pairs) * size + place) % len(pool)]
 
 
 def _counting(sizes: np.ndarray) -> np.ndarray:
@@ -153,36 +178,47 @@ def _counting(sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
 
-def train_shard(segments: pa.Table, vectors: pa.Table, params: Params, number: int) -> pa.Table:
+def train_shard(segments: pa.Table, vectors: pa.Table, params: Params, number: int, epochs: int) -> pa.Table:
     """One round of one shard: SGD over its pairs, on the vectors it uses.
 
-    The loss is taken before the first update. ``loss`` and ``pairs`` stand on the first row only, to be summed.
+    The row ``LOSS_ROW`` holds the mean loss before the first step and the rate of that step, weighted by the pairs.
     """
     if segments.num_rows == 0 or vectors.num_rows == 0:
         return _no_updates()
-    rows = np.argsort(vectors["token"].to_numpy(), kind="stable")
-    tokens = vectors["token"].to_numpy()[rows].astype(np.int64)
+    ids = vectors["token"].to_numpy().astype(np.int64)
+    tokens, first = np.unique(ids, return_index=True)
     lists = vectors["embedding"].combine_chunks()
     lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
-    matrix = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)[rows].astype(np.float64)
-    c, o, n = (np.searchsorted(tokens, ids) for ids in shard_triples(segments, params))
+    matrix = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)[first].astype(np.float64)
+    place = vectors["place"].to_numpy(zero_copy_only=False)
+    drawn = np.flatnonzero(~np.isnan(place.astype(np.float64)))
+    pool = ids[drawn[np.argsort(place[drawn], kind="stable")]]
+    c, o, n = (np.searchsorted(tokens, x) for x in shard_triples(segments, pool, params))
+    if not len(c):
+        return _no_updates()
 
     step = params.batch_pairs
     loss = sum(_loss(matrix, c[i:i + 65536], o[i:i + 65536], n[i:i + 65536]) for i in range(0, len(c), 65536))
-    batches = [_batch(c[i:i + step], o[i:i + step], n[i:i + step]) for i in range(0, len(c), step)]
-    for epoch in range(params.epochs):
-        rate = params.learning_rate * params.decay_rate ** ((number * params.epochs + epoch) // params.decay_steps)
-        for batch in batches:
-            _descend(matrix, batch, rate)
-
-    touches = sum(np.bincount(ids, minlength=len(tokens)) for ids in (c, o, n))
-    first = np.zeros(len(tokens))
-    first[0] = 1
-    ends = np.arange(len(tokens) + 1, dtype=np.int32) * matrix.shape[1]
-    return pa.table({
-        "token": tokens,
-        "embedding": pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.astype(np.float32).ravel())),
-        "touches": touches.astype(np.int64), "pairs": (first * len(c)).astype(np.int64), "loss": first * loss})
+    batches = [_batch(c[i:i + step], o[i:i + step], n[i:i + step]) for i in range(0, len(c), step)] if epochs else []
+    done = number * params.epochs * -(-len(c) // step)
+    rate = learning_rate(params, done)
+    for at in range(epochs * len(batches)):
+        _descend(matrix, batches[at % len(batches)], learning_rate(params, done + at))
+
+    touches = sum(np.bincount(x, minlength=len(tokens)) for x in (c, o, n))
+    report = np.zeros((1, matrix.shape[1]))
+    report[0, :2] = [loss / len(c), rate][:matrix.shape[1]]
+    rows = np.concatenate([report, matrix]) if epochs else report
+    names = np.concatenate([[LOSS_ROW], tokens])[:len(rows)]
+    weights = np.concatenate([[len(c)], touches])[:len(rows)]
+    keep = weights > 0  # what only the pool holds and no pair has drawn is unchanged
+    ends = np.arange(keep.sum() + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.table({"token": names[keep], "embedding": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows[keep].ravel())),
+                     "weight": weights[keep].astype(np.int64)})
+
+
+def learning_rate(params: Params, step: int) -> float:
+    return params.learning_rate * params.decay_rate ** (step // params.decay_steps)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -214,6 +250,5 @@ def _descend(matrix: np.ndarray, batch: tuple[np.ndarray, ...], rate: float) ->
 
 
 def _no_updates() -> pa.Table:
-    kinds = [("token", pa.int64()), ("embedding", pa.list_(pa.float32())), ("touches", pa.int64()),
-             ("pairs", pa.int64()), ("loss", pa.float64())]
+    kinds = [("token", pa.int64()), ("embedding", pa.list_(pa.float64())), ("weight", pa.int64())]
     return pa.schema(kinds).empty_table()

@@ -30,5 +30,6 @@ class Params:
     rounds: int = 3
     windows_per_shard: int = 100_000
     batch_pairs: int = 1024
+    negative_pool: int = 1024
     seed: int = 17
     round_robin: bool = False

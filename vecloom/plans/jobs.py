@@ -1,15 +1,26 @@
 """The stages as jobs from folder to folder, with text files between them, and the run of all of them.
 
-    python -m vecloom.plans.jobs INPUT WORD_COUNT LINE_SHARDS TOKENS MERGED_TOKENS TOKEN_SHARDS EMBEDDINGS \
-        MERGED_EMBEDDINGS NEIGHBOURS
-
-A job replaces its output. A missing input, or any failure, stops the run with Spark's error.
+    python -m vecloom.plans.jobs STAGE FOLDER... [--set NAME=VALUE]... [--vocabulary RANK_FILE]
+
+    word-frequency INPUT OUTPUT
+    shard-lines    INPUT OUTPUT
+    tokenize       LINE_SHARDS OUTPUT
+    shard-tokens   TOKENS MERGED OUTPUT
+    embeddings     TOKEN_SHARDS OUTPUT LOSSES
+    merge          PARTS OUTPUT
+    similarity     EMBEDDINGS OUTPUT
+    run            INPUT WORD_COUNT LINE_SHARDS TOKENS MERGED_TOKENS TOKEN_SHARDS EMBEDDINGS LOSSES MERGED_EMBEDDINGS NEIGHBOURS
+
+``--set`` gives any field of ``Params``; the vocabulary size is that of the rank file unless it is set. A job replaces
+its output. A missing input, or any failure, stops the run with Spark's error.
 """
 
 from __future__ import annotations
 
+import argparse
 import sys
 from collections.abc import Sequence
+from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +36,7 @@ from vecloom.plans.neighbours import name_neighbours
 from vecloom.session import write_table
 from vecloom.sources.sinks import merge_part_files, write_shards, write_text
 from vecloom.sources.text_files import corpus_lines, numbered_corpus
-from vecloom.sources.vocabulary import Vocabulary, default_vocabulary, vocabulary_table
+from vecloom.sources.vocabulary import Vocabulary, vocabulary_size, vocabulary_table
 
 
 def _values(spark: SparkSession, source: str) -> DataFrame:
@@ -59,13 +70,15 @@ def shard_tokens_job(spark: SparkSession, source: str, merged: str, target: str,
     write_shards(shard_texts(dealt), target, "line")
 
 
-def embeddings_job(spark: SparkSession, source: str, target: str, params: Params) -> list[float]:
-    """Id lines to ``id TAB [f,f,...]`` lines, by id; returns the loss of each round."""
+def embeddings_job(spark: SparkSession, source: str, target: str, losses: str, params: Params) -> None:
+    """Id lines to ``id TAB [f,f,...]`` lines, by id, and to ``round rate loss stopped`` lines."""
     order = ["file", "block", "seq"]
     sequences = write_table(parse_token_shard(_values(spark, source), order), "ids")
     trained = train_embeddings(sequences, order, params)
-    write_text(format_embeddings(trained.embeddings, digits=None), target, ["token"])
-    return trained.losses
+    single = trained.embeddings.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    write_text(format_embeddings(single, digits=None), target, ["token"])
+    rows = trained.history(spark)
+    write_text(rows.select("round", F.concat_ws(" ", *[F.col(c).cast("string") for c in rows.columns]).alias("value")), losses, ["round"])
 
 
 def similarity_job(spark: SparkSession, source: str, target: str, params: Params, vocabulary: Vocabulary) -> None:
@@ -78,23 +91,68 @@ def similarity_job(spark: SparkSession, source: str, target: str, params: Params
 
 
 def run(spark: SparkSession, paths: Sequence[str], params: Params, vocabulary: Vocabulary) -> None:
-    """All jobs in order over the nine folders of the usage line."""
-    corpus, counts, line_shards, tokens, merged, token_shards, embeddings, dictionary, neighbours = paths
+    """All jobs in order over the ten folders of the usage line."""
+    corpus, counts, line_shards, tokens, merged, token_shards, embeddings, losses, dictionary, neighbours = paths
     word_frequency_job(spark, corpus, counts, vocabulary)
     shard_lines_job(spark, corpus, line_shards, params)
     tokenize_job(spark, line_shards, tokens, vocabulary)
     shard_tokens_job(spark, tokens, merged, token_shards, params)
-    embeddings_job(spark, token_shards, embeddings, params)
+    embeddings_job(spark, token_shards, embeddings, losses, params)
     merge_part_files(spark, embeddings, dictionary)
     similarity_job(spark, dictionary, neighbours, params, vocabulary)
 
 
+#: For each stage, how many folders it takes and whether it needs a vocabulary.
+STAGES = {
+    "word-frequency": (2, True), "shard-lines": (2, False), "tokenize": (2, True), "shard-tokens": (3, False),
+    "embeddings": (3, False), "merge": (2, False), "similarity": (2, True), "run": (10, True)}
+
+
+def settings(given: Sequence[str]) -> Params:
+    """``Params`` with ``name=value`` settings, each read as the type of its default."""
+    kinds = {f.name: type(f.default) for f in fields(Params)}
+    chosen = {}
+    for setting in given:
+        name, found, value = setting.partition("=")
+        if not found or name not in kinds:
+            raise ValueError(f"no setting of this name: {setting}")
+        kind = kinds[name]
+        if kind is bool and value not in ("true", "false"):
+            raise ValueError(f"true or false, not {value}")
+        chosen[name] = value == "true" if kind is bool else kind(value)
+    return Params(**chosen)
+
+
 def main(arguments: Sequence[str]) -> int:
-    if len(arguments) != 9:
-        print(__doc__, file=sys.stderr)
-        return 1
+    parser = argparse.ArgumentParser(prog="vecloom.plans.jobs", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("stage", choices=STAGES)
+    parser.add_argument("folders", nargs="+")
+    parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--vocabulary", metavar="RANK_FILE")
+    chosen = parser.parse_args(arguments)
+    folders, needs_vocabulary = STAGES[chosen.stage]
+    if len(chosen.folders) != folders:
+        parser.error(f"{chosen.stage} takes {folders} folders")
+    if needs_vocabulary and not chosen.vocabulary:
+        parser.error(f"{chosen.stage} needs --vocabulary")
+    try:
+        params = settings(chosen.set)
+    except ValueError as error:
+        parser.error(str(error))
+
     spark = SparkSession.builder.appName("vecloom").getOrCreate()
-    run(spark, arguments, Params(), default_vocabulary())
+    at = chosen.folders
+    vocabulary = Vocabulary(chosen.vocabulary) if chosen.vocabulary else None
+    if vocabulary and not any(s.startswith("vocab_size=") for s in chosen.set):
+        params = replace(params, vocab_size=vocabulary_size(spark, vocabulary))
+    if chosen.stage == "merge":
+        return 0 if merge_part_files(spark, *at) else 1
+    steps = {
+        "word-frequency": lambda: word_frequency_job(spark, *at, vocabulary), "shard-lines": lambda: shard_lines_job(spark, *at, params),
+        "tokenize": lambda: tokenize_job(spark, *at, vocabulary), "shard-tokens": lambda: shard_tokens_job(spark, *at, params),
+        "embeddings": lambda: embeddings_job(spark, *at, params), "similarity": lambda: similarity_job(spark, *at, params, vocabulary),
+        "run": lambda: run(spark, at, params, vocabulary)}
+    steps[chosen.stage]()
     return 0
 
 

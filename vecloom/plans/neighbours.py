@@ -71,5 +71,5 @@ def one_step_neighbours(sequences: DataFrame, keys: list[str], params: Params) -
     """
     pairs = write_table(labelled_pairs(piece_triples(sequences, keys, params)), "pairs")
     start = start_vectors(pairs, params)
-    moved = write_table(sgns_step(start, sgns_gradient(pairs, start), params.learning_rate), "step")
+    moved = write_table(sgns_step(start, sgns_gradient(pairs, start, params.embedding_dim), params.learning_rate), "step")
     return top_k_similar(moved, params.neighbours)

@@ -7,9 +7,10 @@ the SQL joins, sorts and numbers in the plain way.
 from __future__ import annotations
 
 from vecloom.params import Params
+from vecloom.plans.queries import STEPS
 
 _P = Params()
-_FULL, _JOINED, _PIECES = 252975, 1000, 300
+_FULL = _P.vocab_size
 
 _SPLIT = r"regexp_split_to_array(text, '\r\n|\n|\r')"
 _PIECE = r"' ?\p{L}+| ?\p{N}{1,3}| ?[^\s\p{L}\p{N}]+'"
@@ -28,12 +29,12 @@ _WORDS = f"""
   words AS (SELECT row_number() OVER (ORDER BY n DESC, piece) - 1 AS token, piece AS text, n FROM counted)"""
 
 
-def _draw(limit: int, *parts: str) -> str:
+def _draw(limit: int | str, *parts: str) -> str:
     key = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
     return f"CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % {limit}"
 
 
-def _piece_ids(column: str, vocab_size: int) -> str:
+def _piece_ids(column: str, vocab_size: int | str) -> str:
     hashed = f"CAST('0x' || substr(md5(q), 1, 8) AS BIGINT) % {vocab_size}"
     return f"list_transform(regexp_extract_all({column}, {_PIECE}), lambda q: CAST({hashed} AS INTEGER))"
 
@@ -54,15 +55,20 @@ def _sequences(vocab_size: int) -> str:
     return f"sequences AS (SELECT doc_id, {_piece_ids('text', vocab_size)} AS tokens FROM documents)"
 
 
-def _pairs(vocab_size: int) -> str:
-    return _sequences(vocab_size) + "," + _windows("sequences", "doc_id") + """,
+#: Pieces folded into as many ids as the table ``embeddings`` has rows.
+_FOLDED = f"""size AS (SELECT count(*) AS nv FROM embeddings),
+  sequences AS (SELECT doc_id, {_piece_ids('text', 'nv')} AS tokens FROM documents, size)"""
+
+
+def _pairs(sequences: str) -> str:
+    return sequences + "," + _windows("sequences", "doc_id") + """,
   places AS (SELECT doc_id, win_no, "window", unnest(range(0, len("window") - 1)) AS pair_no FROM windows WHERE len("window") > 1),
   pairs AS (SELECT doc_id, win_no, pair_no, "window"[pair_no + 1] AS c, "window"[pair_no + 2] AS o FROM places)"""
 
 
-def _triples(vocab_size: int) -> str:
+def _triples(sequences: str, vocab_size: int | str) -> str:
     negative = _draw(vocab_size, str(_P.seed), "doc_id", "win_no", "pair_no")
-    return _pairs(vocab_size) + f""",
+    return _pairs(sequences) + f""",
   triples AS (SELECT *, CAST({negative} AS INTEGER) AS n FROM pairs)"""
 
 
@@ -73,14 +79,17 @@ def _start(source: str) -> str:
       lambda j: CAST({unit} AS DOUBLE)) AS v FROM {source})"""
 
 
-_STEP_INPUTS = _triples(_PIECES) + """,
+_SCORED = """,
   used AS (SELECT c AS token FROM triples UNION SELECT o FROM triples UNION SELECT n FROM triples),""" + _start("used") + """,
   scored AS (
     SELECT t.c, t.o, t.n, a.v AS vc, b.v AS vo, d.v AS vn,
            list_inner_product(a.v, b.v) AS near, list_inner_product(a.v, d.v) AS far
     FROM triples t JOIN start a ON t.c = a.token JOIN start b ON t.o = b.token JOIN start d ON t.n = d.token)"""
 
-_GRADIENT = _STEP_INPUTS + """,
+_STEP_INPUTS = _triples(_sequences(_FULL), _FULL) + _SCORED
+_FOLDED_INPUTS = _triples(_FOLDED, "(SELECT nv FROM size)") + _SCORED
+
+_SUMS = """,
   pulls AS (SELECT *, 1 / (1 + exp(-near)) - 1 AS g, 1 / (1 + exp(-far)) AS h FROM scored),
   moves AS (
     SELECT c AS token, g AS f, vo AS v FROM pulls UNION ALL SELECT c, h, vn FROM pulls
@@ -88,11 +97,59 @@ _GRADIENT = _STEP_INPUTS + """,
   cells AS (SELECT token, generate_subscripts(v, 1) - 1 AS dim, f * unnest(v) AS x FROM moves),
   gradient AS (SELECT token, dim, sum(x) AS x FROM cells GROUP BY token, dim)"""
 
-_STEP = _GRADIENT + f""",
+_MOVED = f""",
   old AS (SELECT token, generate_subscripts(v, 1) - 1 AS dim, unnest(v) AS x FROM start),
   step AS (SELECT token, o.dim, o.x - {_P.learning_rate} * coalesce(g.x, 0) AS x
            FROM old o LEFT JOIN gradient g USING (token, dim))"""
 
+_GRADIENT = _STEP_INPUTS + _SUMS
+_STEP = _GRADIENT + _MOVED
+
+# training in rounds: shards of windows in a row, each with a pool of negatives, one full step per shard and round
+_SHARD_TRIPLES = _sequences(_FULL) + "," + _windows("sequences", "doc_id") + f""",
+  counted AS (SELECT doc_id, count(*) AS n FROM windows GROUP BY doc_id),
+  begun AS (SELECT doc_id, CAST(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS base FROM counted),
+  placed AS (SELECT base + win_no AS win, (base + win_no) // {STEPS.windows_per_shard} AS shard, "window" FROM windows JOIN begun USING (doc_id)),
+  corpus AS (SELECT DISTINCT unnest(tokens) AS token FROM sequences),
+  ranked AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS rank FROM corpus),
+  places AS (SELECT shard, unnest(range(0, {STEPS.negative_pool})) AS place FROM (SELECT DISTINCT shard FROM placed)),
+  drawn AS (SELECT shard, place, {_draw('(SELECT count(*) FROM corpus)', str(STEPS.seed), 'shard', 'place')} AS rank FROM places),
+  pool AS (SELECT shard, place, token AS n FROM drawn JOIN ranked USING (rank)),
+  links AS (SELECT shard, win, unnest(range(0, len("window") - 1)) AS p, "window" FROM placed WHERE len("window") > 1),
+  pairs AS (SELECT shard, "window"[p + 1] AS c, "window"[p + 2] AS o, (win * {STEPS.window_size} + p) % {STEPS.negative_pool} AS place FROM links),
+  triples AS (SELECT shard, c, o, n FROM pairs JOIN pool USING (shard, place)),
+  ends AS (SELECT shard, c AS token FROM triples UNION ALL SELECT shard, o FROM triples UNION ALL SELECT shard, n FROM triples),
+  touched AS (SELECT shard, token, count(*) AS k FROM ends GROUP BY shard, token),""" + _start("corpus") + """,
+  table0 AS (SELECT token, v FROM start)"""
+
+
+def _scores(number: int) -> str:
+    return f""",
+  scored{number} AS (
+    SELECT t.shard, t.c, t.o, t.n, a.v AS vc, b.v AS vo, d.v AS vn, list_inner_product(a.v, b.v) AS near, list_inner_product(a.v, d.v) AS far
+    FROM triples t JOIN table{number} a ON t.c = a.token JOIN table{number} b ON t.o = b.token JOIN table{number} d ON t.n = d.token)"""
+
+
+def _rate(number: int) -> float:
+    return STEPS.learning_rate * STEPS.decay_rate ** number
+
+
+def _round(number: int) -> str:
+    """``table{number + 1}``: the mean over shards of their tables after one step, weighted by how often they touch a token."""
+    return _scores(number) + f""",
+  pulls{number} AS (SELECT *, 1 / (1 + exp(-near)) - 1 AS g, 1 / (1 + exp(-far)) AS h FROM scored{number}),
+  moves{number} AS (
+    SELECT shard, c AS token, g AS f, vo AS v FROM pulls{number} UNION ALL SELECT shard, c, h, vn FROM pulls{number}
+    UNION ALL SELECT shard, o, g, vc FROM pulls{number} UNION ALL SELECT shard, n, h, vc FROM pulls{number}),
+  cells{number} AS (SELECT shard, token, generate_subscripts(v, 1) - 1 AS dim, f * unnest(v) AS x FROM moves{number}),
+  slopes{number} AS (SELECT shard, token, dim, sum(x) AS x FROM cells{number} GROUP BY shard, token, dim),
+  means{number} AS (SELECT token, dim, sum(k * x) / sum(k) AS x FROM slopes{number} JOIN touched USING (shard, token) GROUP BY token, dim),
+  old{number} AS (SELECT token, generate_subscripts(v, 1) - 1 AS dim, unnest(v) AS x FROM table{number}),
+  table{number + 1} AS (
+    SELECT token, list(o.x - {_rate(number)} * coalesce(m.x, 0) ORDER BY o.dim) AS v
+    FROM old{number} o LEFT JOIN means{number} m USING (token, dim) GROUP BY token)"""
+
+
 _TIDY = "round({0}, 6) + 0.0"
 
 
@@ -155,12 +212,12 @@ ORACLE: dict[str, str] = {
         cut AS (SELECT value, strpos(value, chr(9)) AS tab FROM rows)
         SELECT CAST(substr(value, 1, tab - 1) AS BIGINT) AS line_no, substr(value, tab + 1) AS line FROM cut
         WHERE tab > 0 AND regexp_full_match(substr(value, 1, tab - 1), '\s*[+-]?[0-9]{{1,18}}\s*')""",
-    "parse_token_lines": f"""WITH {_LINES},
-        words AS (SELECT doc_id, list_filter(regexp_split_to_array(line, '\\s+'),
-                    lambda w: regexp_full_match(w, '[+-]?[0-9]+')) AS w FROM lines WHERE trim(line) <> ''),
-        ids AS (SELECT doc_id, list_filter(list_transform(w, lambda x: TRY_CAST(x AS INTEGER)), lambda x: x IS NOT NULL) AS ids
-                FROM words)
-        SELECT doc_id AS line_no, {_ids_text('ids')} AS tokens FROM ids""",
+    "parse_token_lines": f"""WITH {_NUMBERED},
+        coded AS (SELECT line_no, line, {_piece_ids('line', _FULL)} AS t FROM numbered),
+        words AS (SELECT line_no, regexp_split_to_array({_ids_text('t')} || ' x1 4.5 99999999999 -7 ' || substr(line, 1, 20), '\\s+') AS w FROM coded),
+        ids AS (SELECT line_no, list_filter(list_transform(list_filter(w, lambda x: regexp_full_match(x, '[+-]?[0-9]+')),
+                  lambda x: TRY_CAST(x AS INTEGER)), lambda x: x IS NOT NULL) AS ids FROM words)
+        SELECT line_no, {_ids_text('ids')} AS tokens FROM ids""",
     "parse_token_shard": f"""WITH {_LINES},
         ids AS (SELECT doc_id, pos, {_piece_ids('line', _FULL)} AS t FROM lines)
         SELECT doc_id, pos, CAST(generate_subscripts(t, 1) - 1 AS BIGINT) AS place, unnest(t) AS token FROM ids""",
@@ -179,10 +236,10 @@ ORACLE: dict[str, str] = {
     "distinct_tokens": f"WITH {_sequences(_FULL)} SELECT DISTINCT unnest(tokens) AS token FROM sequences",
     "token_windows": f"""WITH {_sequences(_FULL)}, {_windows('sequences', 'doc_id')}
         SELECT doc_id, win_no, {_ids_text('"window"')} AS "window" FROM windows""",
-    "skipgram_pairs": f"WITH {_pairs(_FULL)} SELECT doc_id, win_no, pair_no, c, o FROM pairs",
-    "negative_samples": f"WITH {_triples(_FULL)} SELECT doc_id, win_no, pair_no, c, o, n FROM triples",
+    "skipgram_pairs": f"WITH {_pairs(_sequences(_FULL))} SELECT doc_id, win_no, pair_no, c, o FROM pairs",
+    "negative_samples": f"WITH {_triples(_sequences(_FULL), _FULL)} SELECT doc_id, win_no, pair_no, c, o, n FROM triples",
     "parse_embeddings": f"""WITH cells AS (SELECT CAST(vec_id AS INTEGER) AS token, {_DIMS.format('embedding')} FROM embeddings)
-        SELECT token, dim, {_TIDY.format(_TEXT_FLOAT)} AS x FROM cells""",
+        SELECT token, dim, {_TIDY.format(_TEXT_FLOAT)} AS x FROM cells, range(2)""",
     "unknown_tokens": f"""WITH {_sequences(_FULL)},
         flat AS (SELECT unnest(tokens) AS token FROM sequences)
         SELECT token, count(*) AS n FROM flat WHERE token NOT IN (SELECT vec_id FROM embeddings) GROUP BY token""",
@@ -193,7 +250,7 @@ ORACLE: dict[str, str] = {
     "dedupe_embeddings": f"""WITH last AS (SELECT label, max(vec_id) AS token FROM embeddings GROUP BY label),
         cells AS (SELECT e.label, token, {_DIMS.format('embedding')} FROM embeddings e JOIN last ON vec_id = token)
         SELECT label, token, dim, {_TIDY.format('CAST(x AS DOUBLE)')} AS x FROM cells""",
-    "lookup_embeddings": f"""WITH {_sequences(_JOINED)},
+    "lookup_embeddings": f"""WITH {_FOLDED},
         flat AS (SELECT unnest(tokens) AS token FROM sequences),
         counts AS (SELECT token, count(*) AS n FROM flat GROUP BY token),
         cells AS (SELECT token, n, {_DIMS.format('embedding')} FROM counts JOIN embeddings ON vec_id = token)
@@ -203,7 +260,7 @@ ORACLE: dict[str, str] = {
     "vector_dot": f"""WITH {_VECTORS}
         SELECT a.token, {_TIDY.format('list_inner_product(a.v, b.v)')} AS dot FROM vectors a JOIN vectors b ON b.token = a.token + 1""",
     "vector_norm": f"WITH {_VECTORS} SELECT token, {_TIDY.format('sqrt(list_inner_product(v, v))')} AS norm FROM vectors",
-    "cosine_pairs": f"""WITH {_pairs(_JOINED)}, {_VECTORS},
+    "cosine_pairs": f"""WITH {_pairs(_FOLDED)}, {_VECTORS},
         met AS (SELECT DISTINCT c AS a, o AS b FROM pairs WHERE c <> o)
         SELECT a, b, {_TIDY.format('list_cosine_similarity(x.v, y.v)')} AS sim
         FROM met JOIN vectors x ON a = x.token JOIN vectors y ON b = y.token""",
@@ -222,8 +279,26 @@ ORACLE: dict[str, str] = {
     "sgns_gradient": f"""WITH {_GRADIENT}
         SELECT token, CAST(dim AS BIGINT) AS dim, {_TIDY.format('x')} AS x FROM gradient""",
     "sgns_step": f"WITH {_STEP} SELECT token, CAST(dim AS BIGINT) AS dim, {_TIDY.format('x')} AS x FROM step",
-    "piece_neighbours": f"""WITH {_STEP},
+    "piece_neighbours": f"""WITH {_FOLDED_INPUTS + _SUMS + _MOVED},
         moved AS (SELECT token, list(x ORDER BY dim) AS v FROM step GROUP BY token), {_top('moved')}
         SELECT token, rank, neighbour, sim FROM top""",
 }
-ORACLE["parse_embeddings_strict"] = ORACLE["parse_embeddings"]
+ORACLE["parse_embeddings_strict"] = ORACLE["parse_embeddings"].replace("range(2)", "range(3)")
+ORACLE |= {
+    "lookup_occurrences": f"""WITH {_FOLDED},
+        flat AS (SELECT doc_id, unnest(tokens) AS token FROM sequences)
+        SELECT doc_id, count(*) AS n, {', '.join(f"round(sum(CAST(embedding[{i + 1}] AS DOUBLE)), 6) + 0.0 AS x{i}" for i in range(4))}
+        FROM flat JOIN embeddings ON vec_id = token GROUP BY doc_id""",
+    "encoded_words": r"""
+        WITH words AS (SELECT unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS word FROM documents)
+        SELECT word, count(*) AS n, word AS text FROM words GROUP BY word""",
+    "word_frequency_bytes": r"""
+        SELECT lang, CAST(sum(strlen(regexp_replace(text, '\s+', '', 'g'))) AS BIGINT) AS n_bytes FROM documents GROUP BY lang""",
+    "line_frequency_bytes": "SELECT lang, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes FROM documents GROUP BY lang",
+    "train_two_rounds": f"""WITH {_SHARD_TRIPLES + _round(0) + _round(1)},
+        final AS (SELECT token, {_DIMS.format('v')} FROM table2)
+        SELECT token, dim, {_TIDY.format('x')} AS x FROM final""",
+    "train_losses": f"WITH {_SHARD_TRIPLES + _round(0) + _round(1) + _scores(2)} " + " UNION ALL ".join(
+        f"""SELECT CAST({i} AS BIGINT) AS round, {_TIDY.format(f'CAST({_rate(i)} AS DOUBLE)')} AS rate,
+            {_TIDY.format('avg(ln(1 + exp(-near)) + ln(1 + exp(far)))')} AS loss, false AS stopped FROM scored{i}""" for i in range(3)),
+}

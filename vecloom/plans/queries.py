@@ -23,15 +23,15 @@ from vecloom.session import new_path, write_table
 from vecloom.sources.sinks import merge_part_files, write_text
 from vecloom.sources.tables import read_table
 from vecloom.sources.text_files import numbered_corpus
-from vecloom.sources.vocabulary import default_vocabulary
+from vecloom.sources.vocabulary import Vocabulary, shared_vocabulary, vocabulary_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Ids of the queries that work on pieces: few enough to meet the ids of the embedding table, or of a full range.
-JOINED_VOCAB = 1000
-FULL_VOCAB = 252975
-PIECES = Params(vocab_size=300, embedding_dim=10)
-BPE = Params(vocab_size=50256, epochs=2, rounds=2, windows_per_shard=50_000)
+PARAMS = Params()
+#: The length of the vectors in the table ``embeddings``.
+VECTOR_WIDTH = 64
+#: Two rounds that SQL can follow: one full step per shard, and a learning rate that falls between the rounds.
+STEPS = Params(epochs=1, rounds=2, windows_per_shard=500, batch_pairs=2**31, decay_steps=1, decay_rate=0.5, negative_pool=64)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +55,18 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table.withColumnRenamed("vec_id", "token")
 
 
+def _vocabulary(spark: SparkSession) -> Vocabulary:
+    """The public 50k rank file that is installed beside the tokenizer library."""
+    import public_tokenizers
+
+    return shared_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def _vector_count(spark: SparkSession, folder: str) -> int:
+    """The ids 0, 1, ... of the embedding table; pieces are folded into as many, so that every vector can be met."""
+    return _vectors(spark, folder).count()
+
+
 def _sequences(spark: SparkSession, folder: str, vocab_size: int) -> DataFrame:
     return _documents(spark, folder).select("doc_id", piece_ids_of(F.col("text"), vocab_size).alias("tokens"))
 
@@ -104,16 +116,16 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shard_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return ln.shard_lines(_numbered(spark, folder), Params().num_shards)
+    return ln.shard_lines(_numbered(spark, folder), PARAMS.num_shards)
 
 
 def line_splits(spark: SparkSession, folder: str) -> DataFrame:
-    return ln.line_splits(_numbered(spark, folder), Params().lines_per_split).groupBy("split_no").agg(
+    return ln.line_splits(_numbered(spark, folder), PARAMS.lines_per_split).groupBy("split_no").agg(
         F.count(F.lit(1)).alias("n"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))
 
 
 def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return ln.corpus_stats(_documents(spark, folder), FULL_VOCAB)
+    return ln.corpus_stats(_documents(spark, folder), PARAMS.vocab_size)
 
 
 def split_words(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,18 +163,22 @@ def parse_numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse_token_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder)
-    rows = lines.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "line").alias("value"))
-    return ln.parse_token_lines(rows).select("line_no", _ids_text("tokens").alias("tokens"))
+    """Numbered id lists, each with what a broken file may hold: words, decimals, numbers beyond 32 bits, blank lists, no tab."""
+    ids = F.concat_ws(" ", _ids_text("tokens"), F.lit("x1 4.5 99999999999 -7"), F.substring("line", 1, 20))
+    lines = _numbered(spark, folder).select("line_no", "line", piece_ids_of(F.col("line"), PARAMS.vocab_size).alias("tokens"))
+    number = F.col("line_no").cast("string")
+    rows = [lines.select(F.concat(number, F.lit("\t"), ids).alias("value")), lines.select(F.concat(number, F.lit("\t   ")).alias("value")),
+            lines.select(F.concat(number, F.lit(" "), ids).alias("value")), lines.select(F.concat(F.lit("n"), number, F.lit("\t1 2")).alias("value"))]
+    return ln.parse_token_lines(rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])).select("line_no", _ids_text("tokens").alias("tokens"))
 
 
 def parse_token_shard(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _line_tokens(spark, folder, FULL_VOCAB).select("doc_id", "pos", _ids_text("tokens").alias("value"))
+    rows = _line_tokens(spark, folder, PARAMS.vocab_size).select("doc_id", "pos", _ids_text("tokens").alias("value"))
     return _elements_of_ids(ln.parse_token_shard(rows, ["doc_id", "pos"]), ["doc_id", "pos"])
 
 
 def format_token_lines(spark: SparkSession, folder: str) -> DataFrame:
-    ids = piece_ids_of(F.col("line"), FULL_VOCAB)
+    ids = piece_ids_of(F.col("line"), PARAMS.vocab_size)
     return ln.format_token_lines(_numbered(spark, folder).select("line_no", ids.alias("tokens")))
 
 
@@ -170,21 +186,42 @@ def format_token_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.word_frequency(_documents(spark, folder), default_vocabulary(), "text")
+    return tokens.word_frequency(_documents(spark, folder), _vocabulary(spark), "text")
 
 
 def line_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.word_frequency(_lines(spark, folder), default_vocabulary(), mode="per_line")
+    return tokens.word_frequency(_lines(spark, folder), _vocabulary(spark), mode="per_line")
 
 
 def tokenize_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.tokenize_lines(_lines(spark, folder), default_vocabulary()).select(
+    return tokens.tokenize_lines(_lines(spark, folder), _vocabulary(spark)).select(
         "doc_id", "pos", _ids_text("tokens").alias("tokens"))
 
 
 def detokenize_lines(spark: SparkSession, folder: str) -> DataFrame:
-    tokenised = tokens.tokenize_lines(_lines(spark, folder), default_vocabulary())
-    return tokens.detokenize_lines(tokenised, default_vocabulary())
+    vocabulary = _vocabulary(spark)
+    return tokens.detokenize_lines(tokens.tokenize_lines(_lines(spark, folder), vocabulary), vocabulary)
+
+
+def encoded_words(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.encoded_words(_documents(spark, folder), _vocabulary(spark), "text")
+
+
+def _bytes_of_tokens(spark: SparkSession, folder: str, mode: str) -> DataFrame:
+    """Per language, the bytes of all ids with how often they occur: nothing of the text is lost or counted twice."""
+    vocabulary = _vocabulary(spark)
+    documents = read_table(spark, folder, "documents", ["doc_id", "lang", "text"], spread_by="doc_id")
+    counts = tokens.word_frequency(documents, vocabulary, "text", mode, ["lang"])
+    sizes = vocabulary_table(spark, vocabulary).select("token", F.octet_length("bytes").alias("_size"))
+    return counts.join(sizes, "token").groupBy("lang").agg(F.sum(F.col("n") * F.col("_size")).alias("n_bytes"))
+
+
+def word_frequency_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return _bytes_of_tokens(spark, folder, "per_word")
+
+
+def line_frequency_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return _bytes_of_tokens(spark, folder, "per_line")
 
 
 def detokenize_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,55 +234,63 @@ def detokenize_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_stream(spark: SparkSession, folder: str) -> DataFrame:
-    tokenised = write_table(_line_tokens(spark, folder, FULL_VOCAB), "tokenised")
+    tokenised = write_table(_line_tokens(spark, folder, PARAMS.vocab_size), "tokenised")
     return tokens.token_stream(tokenised, ["doc_id", "pos"])
 
 
 def shard_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.shard_tokens(token_stream(spark, folder), Params().num_shards_embeddings)
+    return tokens.shard_tokens(token_stream(spark, folder), PARAMS.num_shards_embeddings)
 
 
 def shard_windows(spark: SparkSession, folder: str) -> DataFrame:
-    found = windows.stream_windows(shard_tokens(spark, folder), Params().window_size, Params().stride)
+    found = windows.stream_windows(shard_tokens(spark, folder), PARAMS.window_size, PARAMS.stride)
     return found.select("shard", "win_no", _ids_text("window").alias("window"))
 
 
 def distinct_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.distinct_tokens(_sequences(spark, folder, FULL_VOCAB))
+    return tokens.distinct_tokens(_sequences(spark, folder, PARAMS.vocab_size))
 
 
 def token_windows(spark: SparkSession, folder: str) -> DataFrame:
-    found = windows.token_windows(_sequences(spark, folder, FULL_VOCAB), ["doc_id"], Params().window_size, Params().stride)
+    found = windows.token_windows(_sequences(spark, folder, PARAMS.vocab_size), ["doc_id"], PARAMS.window_size, PARAMS.stride)
     return found.select("doc_id", "win_no", _ids_text("window").alias("window"))
 
 
 def _pairs(spark: SparkSession, folder: str, vocab_size: int) -> DataFrame:
-    found = windows.token_windows(_sequences(spark, folder, vocab_size), ["doc_id"], Params().window_size, Params().stride)
+    found = windows.token_windows(_sequences(spark, folder, vocab_size), ["doc_id"], PARAMS.window_size, PARAMS.stride)
     return windows.skipgram_pairs(found, ["doc_id", "win_no"])
 
 
 def skipgram_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return _pairs(spark, folder, FULL_VOCAB)
+    return _pairs(spark, folder, PARAMS.vocab_size)
 
 
 def negative_samples(spark: SparkSession, folder: str) -> DataFrame:
     return windows.negative_samples(
-        _pairs(spark, folder, FULL_VOCAB), ["doc_id", "win_no", "pair_no"], FULL_VOCAB, Params().seed)
+        _pairs(spark, folder, PARAMS.vocab_size), ["doc_id", "win_no", "pair_no"], PARAMS.vocab_size, PARAMS.seed)
 
 
 # vectors ------------------------------------------------------------------------------------------------------
 
 
+def _tabbed(texts: DataFrame, *parts: str) -> DataFrame:
+    """The rows with white space around them."""
+    return texts.select(F.concat(*[F.col("value") if p == "value" else F.lit(p) for p in parts]).alias("value"))
+
+
 def parse_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     texts = emb.format_embeddings(_vectors(spark, folder)).select("value")
     malformed = _turns(spark, folder).select(F.concat_ws("\t", "role", "text").alias("value"))
-    return _elements(emb.parse_embeddings(texts.unionAll(malformed)), ["token"], "embedding")
+    rows = texts.unionAll(_tabbed(texts, "value", "\t")).unionAll(_tabbed(texts, "value", "x")).unionAll(_tabbed(texts, "\t", "value"))
+    return _elements(emb.parse_embeddings(rows.unionAll(malformed)), ["token"], "embedding")
 
 
 def parse_embeddings_strict(spark: SparkSession, folder: str) -> DataFrame:
     texts = emb.format_embeddings(_vectors(spark, folder)).select("value")
     one_field = _turns(spark, folder).select(F.col("role").alias("value"))
-    return _elements(emb.parse_embeddings(texts.unionAll(one_field), strict=True), ["token"], "embedding")
+    three_fields = _tabbed(texts, "value", "\t", "more")
+    rows = texts.unionAll(_tabbed(texts, "value", "\t")).unionAll(_tabbed(texts, "\t ", "value", " \t")).unionAll(one_field).unionAll(three_fields)
+    return _elements(emb.parse_embeddings(rows, strict=True), ["token"], "embedding")
 
 
 def format_embeddings(spark: SparkSession, folder: str) -> DataFrame:
@@ -257,19 +302,28 @@ def dedupe_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lookup_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    counts = tokens.count_tokens(_sequences(spark, folder, JOINED_VOCAB))
+    counts = tokens.count_tokens(_sequences(spark, folder, _vector_count(spark, folder)))
     return _elements(emb.lookup_embeddings(counts, _vectors(spark, folder)), ["token", "n"], "embedding")
 
 
+def lookup_occurrences(spark: SparkSession, folder: str) -> DataFrame:
+    """The vector of every occurrence, added up per document so that each of them counts."""
+    each = tokens.each_token(_sequences(spark, folder, _vector_count(spark, folder)).withColumn("at", F.monotonically_increasing_id()), ["doc_id", "at"])
+    found = emb.lookup_embeddings(each.select("doc_id", "token"), _vectors(spark, folder))
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), *[
+        tidy(F.sum(F.get("embedding", F.lit(i)).cast("double"))).alias(f"x{i}") for i in range(4)])
+
+
 def unknown_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return emb.unknown_tokens(tokens.count_tokens(_sequences(spark, folder, FULL_VOCAB)), _vectors(spark, folder))
+    return emb.unknown_tokens(tokens.count_tokens(_sequences(spark, folder, PARAMS.vocab_size)), _vectors(spark, folder))
 
 
 def mean_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     texts = _vectors(spark, folder).select("label", fixed_text(F.col("embedding")).alias("value"))
+    texts = texts.unionAll(texts.select("label", F.concat(F.lit(" \t"), "value", F.lit("\t")).alias("value")))
     unreadable = _vectors(spark, folder).select("label", F.lit("[0.1,x]").alias("value"))
     rows = emb.parse_vectors(texts.unionAll(unreadable), ["label"], "value")
-    return _elements(emb.mean_embeddings(rows, "label"), ["label"], "embedding")
+    return _elements(emb.mean_embeddings(rows, VECTOR_WIDTH, "label"), ["label"], "embedding")
 
 
 def vector_dot(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,12 +337,12 @@ def vector_norm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cosine_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = _pairs(spark, folder, JOINED_VOCAB).select(F.col("c").alias("a"), F.col("o").alias("b")).distinct()
+    pairs = _pairs(spark, folder, _vector_count(spark, folder)).select(F.col("c").alias("a"), F.col("o").alias("b")).distinct()
     return similarity.cosine_pairs(_vectors(spark, folder), pairs).select("a", "b", tidy(F.col("sim")).alias("sim"))
 
 
 def top_k_similar(spark: SparkSession, folder: str) -> DataFrame:
-    return similarity.top_k_similar(_vectors(spark, folder), Params().neighbours)
+    return similarity.top_k_similar(_vectors(spark, folder), PARAMS.neighbours)
 
 
 def narrow_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -304,50 +358,67 @@ def format_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def init_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    start = emb.init_embeddings(distinct_tokens(spark, folder), PIECES.embedding_dim, PIECES.seed)
+    start = emb.init_embeddings(distinct_tokens(spark, folder), PARAMS.embedding_dim, PARAMS.seed)
     return _elements(start, ["token"], "embedding")
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    triples = plan.piece_triples(_sequences(spark, folder, PIECES.vocab_size), ["doc_id"], PIECES)
+    triples = plan.piece_triples(_sequences(spark, folder, PARAMS.vocab_size), ["doc_id"], PARAMS)
     return write_table(sgns.labelled_pairs(triples), "pairs")
 
 
 def sgns_loss(spark: SparkSession, folder: str) -> DataFrame:
     pairs = _labelled(spark, folder)
-    return sgns.sgns_loss(pairs, plan.start_vectors(pairs, PIECES)).select("pairs", tidy(F.col("loss")).alias("loss"))
+    return sgns.sgns_loss(pairs, plan.start_vectors(pairs, PARAMS)).select("pairs", tidy(F.col("loss")).alias("loss"))
 
 
 def sgns_gradient(spark: SparkSession, folder: str) -> DataFrame:
     pairs = _labelled(spark, folder)
-    return _elements(sgns.sgns_gradient(pairs, plan.start_vectors(pairs, PIECES)), ["token"], "gradient")
+    return _elements(sgns.sgns_gradient(pairs, plan.start_vectors(pairs, PARAMS), PARAMS.embedding_dim), ["token"], "gradient")
 
 
 def sgns_step(spark: SparkSession, folder: str) -> DataFrame:
     pairs = _labelled(spark, folder)
-    start = plan.start_vectors(pairs, PIECES)
-    moved = sgns.sgns_step(start, sgns.sgns_gradient(pairs, start), PIECES.learning_rate)
+    start = plan.start_vectors(pairs, PARAMS)
+    moved = sgns.sgns_step(start, sgns.sgns_gradient(pairs, start, PARAMS.embedding_dim), PARAMS.learning_rate)
     return _elements(moved, ["token"], "embedding")
 
 
 def piece_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    return plan.one_step_neighbours(_sequences(spark, folder, PIECES.vocab_size), ["doc_id"], PIECES)
+    """The vocabulary has as many ids as the table ``embeddings`` rows, since SQL has to compare all of them with all."""
+    params = replace(PARAMS, vocab_size=_vector_count(spark, folder))
+    return plan.one_step_neighbours(_sequences(spark, folder, params.vocab_size), ["doc_id"], params)
 
 
-def train_embeddings_query(spark: SparkSession, folder: str) -> DataFrame:
-    lines = tokens.tokenize_lines(_lines(spark, folder), default_vocabulary())
-    trained = train_embeddings(write_table(lines, "tokenised"), ["doc_id", "pos"], BPE)
+def _steps(spark: SparkSession, folder: str):
+    sequences = write_table(_sequences(spark, folder, STEPS.vocab_size), "sequences")
+    return train_embeddings(sequences, ["doc_id"], STEPS)
+
+
+def train_two_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    return _elements(_steps(spark, folder).embeddings, ["token"], "embedding")
+
+
+def train_losses(spark: SparkSession, folder: str) -> DataFrame:
+    return _steps(spark, folder).history(spark).select("round", tidy(F.col("rate")).alias("rate"), tidy(F.col("loss")).alias("loss"), "stopped")
+
+
+def _trained(spark: SparkSession, folder: str, params: Params) -> DataFrame:
+    lines = tokens.tokenize_lines(_lines(spark, folder), _vocabulary(spark))
+    trained = train_embeddings(write_table(lines, "tokenised"), ["doc_id", "pos"], params)
     return _elements(trained.embeddings, ["token"], "embedding")
 
 
+def train_embeddings_query(spark: SparkSession, folder: str) -> DataFrame:
+    return _trained(spark, folder, PARAMS)
+
+
 def train_round_robin(spark: SparkSession, folder: str) -> DataFrame:
-    lines = tokens.tokenize_lines(_lines(spark, folder), default_vocabulary())
-    trained = train_embeddings(write_table(lines, "tokenised"), ["doc_id", "pos"], replace(BPE, round_robin=True))
-    return _elements(trained.embeddings, ["token"], "embedding")
+    return _trained(spark, folder, replace(PARAMS, round_robin=True))
 
 
 def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    return plan.token_neighbours(_documents(spark, folder), BPE, default_vocabulary())
+    return plan.token_neighbours(_documents(spark, folder), PARAMS, _vocabulary(spark))
 
 
 QUERIES: dict[str, Query] = {
@@ -355,12 +426,13 @@ QUERIES: dict[str, Query] = {
         corpus_lines, number_lines, numbered_corpus_files, order_lines, shard_lines, line_splits, corpus_stats,
         split_words, piece_frequency, piece_vocabulary, format_word_counts, merged_word_counts, concat_by_line,
         parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
-        word_frequency, line_frequency, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
+        word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
         shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples,
-        parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings,
+        parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences,
         unknown_tokens, mean_embeddings, vector_dot, vector_norm, cosine_pairs, top_k_similar, narrow_scores,
         format_neighbours,
-        init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, token_neighbours)
+        init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses,
+        token_neighbours)
 }
 QUERIES["train_embeddings"] = train_embeddings_query
 QUERIES["train_round_robin"] = train_round_robin

@@ -54,6 +54,37 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, options: dict[str, str] | None = None) -> DataFrame:
+    """:func:`write_table` with rows dealt into ``buckets`` files by ``key``, so that a join or grouping by it need not move them."""
+    spark = df.sparkSession
+    entry, path = f"vecloom_{uuid.uuid4().hex}", new_path(spark, name)
+    df.write.format("parquet").bucketBy(buckets, key).options(path=path, **(options or {})).saveAsTable(entry)
+    table = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")  # the entry goes; the files stay, and the frame knows them
+    return table
+
+
+class Rotation:
+    """A table that is replaced again and again, in a few folders that are overwritten in turn.
+
+    A written table stays until it is neither the latest nor kept.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.places = spark, [new_path(spark, name) for _ in range(3)]
+        self.latest = self.kept = -1
+
+    def write(self, df: DataFrame) -> DataFrame:
+        free = next(i for i in range(3) if i not in (self.latest, self.kept))
+        df.write.mode("overwrite").parquet(self.places[free])
+        self.latest = free
+        return self.spark.read.schema(df.schema).parquet(self.places[free])
+
+    def keep(self) -> None:
+        """Keep the latest table, and give up the one kept before."""
+        self.kept = self.latest
+
+
 def ship_package(spark: SparkSession) -> None:
     """Put this package on the Python workers' path, once per application."""
     context = spark.sparkContext

@@ -6,24 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, folder: str, name: str, columns: list[str], spread_by: str | None = None) -> DataFrame:
-    """Columns of ``folder/name.parquet``.
-
-    A file with few row groups gives few tasks, however many cores wait. With ``spread_by`` such an input is
-    dealt over the cores by that column, but only while it is too small to fill them by itself (less than one
-    file split per core). A large input is read as it lies, without this shuffle.
-    """
+    """Columns of ``folder/name.parquet``; with ``spread_by``, :func:`spread` by that column."""
     table = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").select(*columns)
     return spread(table, spread_by) if spread_by else table
 
 
 def spread(df: DataFrame, column: str) -> DataFrame:
-    """Deal a small input over the cores by a column of unique values; leave a large one alone."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("bB"))
-    return df.repartition(2 * cores, column) if planned_size(df) < cores * split else df
+    """Deal an input of fewer splits than cores over the cores, by a column of unique values.
 
-
-def planned_size(df: DataFrame) -> int:
-    """How many bytes Spark expects of a table; for files, their size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    A small file gives few tasks, however many cores wait. An input of at least one split per core stays as it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores, column) if df.rdd.getNumPartitions() < cores else df

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from vecloom.operators.ordinal import running_offsets
 from vecloom.session import write_table
 
-#: A table of file splits up to this many rows is broadcast; a larger one is joined by a shuffle.
-MOST_SPLITS_TO_BROADCAST = 2_000_000
+#: A table of file splits up to this size is broadcast; a larger one is joined by a shuffle.
+MOST_BYTES_TO_BROADCAST = 64 << 20
 
 
 def corpus_lines(spark: SparkSession, paths: str | Sequence[str], name_glob: str | None = None) -> DataFrame:
@@ -31,18 +31,22 @@ def corpus_lines(spark: SparkSession, paths: str | Sequence[str], name_glob: str
 
 
 def numbered_corpus(spark: SparkSession, paths: str | Sequence[str], name_glob: str | None = None) -> DataFrame:
-    """``(line_no, line)``: number all lines from 0, through the files in name order, without a shuffle of text.
+    """``(line_no, line)``: number all lines from 0, through the files in name order, without moving or copying the text.
 
-    The files are read once into a Parquet table, so the split and in-split order are fixed from then on.
-    Each split's line count is a small aggregate; only the table of splits (one row per file split, some
-    hundred thousand for 100 TB) is sorted to get where each split starts.
+    A first scan counts the lines of each file split; splits get their starts by :func:`running_offsets`. The second
+    scan adds the place inside the split. Starts are joined by broadcast up to ``MOST_BYTES_TO_BROADCAST``, beyond that
+    by a hash join. If the second scan cuts or orders the files otherwise than the first, some line falls out of its
+    split's range, which fails the job, so numbers are never wrong in silence.
     """
-    placed = write_table(corpus_lines(spark, paths, name_glob), "corpus")
-    blocks = placed.groupBy("file", "block").agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    in_order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = write_table(
-        blocks.select("file", "block", "_first", (F.sum("_n").over(in_order) - F.col("_n")).alias("_start")), "splits")
-    if starts.count() <= MOST_SPLITS_TO_BROADCAST:
+    lines = corpus_lines(spark, paths, name_glob)
+    blocks = write_table(lines.groupBy("file", "block").agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n")), "splits")
+    starts = blocks.join(running_offsets(blocks, ["file", "block"], F.col("_n")), ["file", "block"])
+    sizes = blocks.agg(F.count(F.lit(1)), F.sum(F.octet_length("file"))).first()
+    if (sizes[1] or 0) + 64 * sizes[0] <= MOST_BYTES_TO_BROADCAST:
         starts = F.broadcast(starts)
-    return placed.join(starts, ["file", "block"]).select(
-        (F.col("_start") + F.col("seq") - F.col("_first")).alias("line_no"), "line")
+    else:
+        starts = starts.hint("shuffle_hash")
+    place = F.col("seq") - F.col("_first")
+    lost = F.raise_error(F.lit("the files were cut otherwise in the second scan; run again")).cast("bigint")
+    number = F.when((place >= 0) & (place < F.col("_n")), F.col("offset") + place).otherwise(lost)
+    return lines.join(starts, ["file", "block"], "left").select(number.alias("line_no"), "line")

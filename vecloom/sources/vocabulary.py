@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import importlib.util
 from dataclasses import dataclass
 
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.session import new_path
+
 #: A rank file above this size is refused: it goes to every Python worker.
 LARGEST_RANK_FILE = 64 * 2**20
 
@@ -25,13 +26,19 @@ class Vocabulary:
     pattern: str = DEFAULT_PATTERN
 
 
-def default_vocabulary() -> Vocabulary:
-    """The 50k byte-pair vocabulary that is installed beside the tokenizer library, if there is one."""
-    if importlib.util.find_spec("public_tokenizers") is None:
-        raise FileNotFoundError("give a Vocabulary with the path of a rank file")
-    import public_tokenizers
+def shared_vocabulary(spark: SparkSession, local_path: str, pattern: str = DEFAULT_PATTERN) -> Vocabulary:
+    """A rank file that only the driver can open, copied to the shared folder after a check of its size."""
+    with open(local_path, "rb") as file:
+        content = file.read(LARGEST_RANK_FILE + 1)
+    _checked(len(content))
+    path = new_path(spark, "ranks")
+    spark.createDataFrame([(content.decode("ascii").rstrip("\n"),)], "value string").coalesce(1).write.text(path)
+    return Vocabulary(path, pattern)
+
 
-    return Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+def _checked(size: int) -> None:
+    if size > LARGEST_RANK_FILE:
+        raise ValueError("a rank file too large to send to every worker")
 
 
 def vocabulary_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -43,9 +50,12 @@ def vocabulary_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
 
 
 def rank_file(spark: SparkSession, vocabulary: Vocabulary) -> Broadcast:
-    """The rank file's bytes on every worker, after a check of its size."""
+    """The rank file's bytes on every worker, after a check of its size. A folder of files is one file."""
     files = spark.read.format("binaryFile").load(vocabulary.rank_path)
-    size = files.select("length").first()["length"]
-    if size > LARGEST_RANK_FILE:
-        raise ValueError(f"rank file of {size} bytes is too large to send to every worker")
-    return spark.sparkContext.broadcast(bytes(files.select("content").first()["content"]))
+    _checked(files.agg(F.sum("length")).first()[0] or 0)
+    return spark.sparkContext.broadcast(b"\n".join(bytes(r["content"]) for r in files.orderBy("path").select("content").collect()))
+
+
+def vocabulary_size(spark: SparkSession, vocabulary: Vocabulary) -> int:
+    """The largest id plus one."""
+    return (vocabulary_table(spark, vocabulary).agg(F.max("token")).first()[0] or 0) + 1
