@@ -23,7 +23,7 @@ from vecloom.llm.common import flat, slices
 from vecloom.session import new_path, ship_package, write_table
 
 #: Text per chunk; one longer document is a chunk by itself.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Text behind one bucket of keys, and behind one file of chunks.
 BUCKET_BYTES, FILE_BYTES = 8 << 20, 48 << 20
 #: What a missing document id counts as: after all others.

@@ -143,15 +143,21 @@ class Suffixes:
         for a, b, bucket in zip(self.heads[:-1].tolist(), self.heads[1:].tolist(), self.names.tolist()):
             yield bucket, front_code(self.records[a:b], self.first[a:b])
 
-    def removed(self, chunk: Chunk) -> np.ndarray:
-        """First bytes of the windows that a smaller document has too."""
+    def removed(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Spans of bytes, from and to, under the windows that a smaller document has too."""
         found = chunk.joined("suffixes", "<u4")[self.number]
         found = np.where(self.document > self.first[self.number], np.uint32(2**CHOICES - 1), found)
-        sizes = np.where(found > 0, self.high - self.low + 1, 0)
+        nearest, farthest = (self.place - self.high).astype(np.uint32), (self.place - self.low).astype(np.uint32)
+        wanted = (np.uint32(2) << farthest) - (np.uint32(1) << nearest)  # the windows that chose this k-gram here
+        found &= wanted
+        whole = found == wanted
+        some = np.flatnonzero((found != 0) & ~whole)
+        sizes = self.high[some] - self.low[some] + 1
         ends = np.cumsum(sizes)
-        window = np.repeat(self.low - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        offset = np.repeat(self.place, sizes) - window
-        return window[(np.repeat(found, sizes) >> offset.astype(np.uint32)) & 1 == 1]
+        window = np.repeat(self.low[some] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        offset = np.repeat(self.place[some], sizes) - window
+        single = window[(np.repeat(found[some], sizes) >> offset.astype(np.uint32)) & 1 == 1]
+        return np.concatenate([self.low[whole], single]), np.concatenate([self.high[whole], single]) + DEPTH
 
 
 def common_prefixes(rows: np.ndarray) -> np.ndarray:
@@ -322,8 +328,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_in(batches):
-            starts = Suffixes(chunk, buckets).removed(chunk)
-            gone = covered(starts, starts + DEPTH, len(chunk.data))
+            gone = covered(*Suffixes(chunk, buckets).removed(chunk), len(chunk.data))
             begins = gone.copy()
             begins[1:] &= ~gone[:-1]
             inner = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
