@@ -182,6 +182,7 @@ ORACLE: dict[str, str] = {
     "corpus_lines": f"WITH {_LINES} SELECT doc_id, pos, line FROM lines",
     "number_lines": f"WITH {_NUMBERED} SELECT line_no, line FROM numbered",
     "numbered_corpus_files": f"WITH {_NUMBERED} SELECT line_no, line FROM numbered",
+    "overwritten_lines": f"WITH {_NUMBERED} SELECT line_no, line FROM numbered",
     "order_lines": """
         SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS line_no, conv_id, turn, role, text
         FROM conversations ORDER BY line_no""",

@@ -111,6 +111,14 @@ def numbered_corpus_files(spark: SparkSession, folder: str) -> DataFrame:
     return numbered_corpus(spark, path)
 
 
+def overwritten_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines written over another text: only the last writing is left."""
+    path = new_path(spark, "lines")
+    write_text(_turns(spark, folder).select("conv_id", "turn", F.col("text").alias("value")), path, ["conv_id", "turn"])
+    write_text(_numbered(spark, folder).withColumnRenamed("line", "value"), path, ["line_no"])
+    return numbered_corpus(spark, path)
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return ln.order_lines(_turns(spark, folder), ["conv_id", "turn"])
 
@@ -423,7 +431,7 @@ def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query for query in (
-        corpus_lines, number_lines, numbered_corpus_files, order_lines, shard_lines, line_splits, corpus_stats,
+        corpus_lines, number_lines, numbered_corpus_files, overwritten_lines, order_lines, shard_lines, line_splits, corpus_stats,
         split_words, piece_frequency, piece_vocabulary, format_word_counts, merged_word_counts, concat_by_line,
         parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
         word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
