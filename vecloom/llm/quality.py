@@ -17,7 +17,7 @@ REPEAT_WORDS = 5
 #: Base rule: the fewest words, and the largest percentage of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: The method's limits: percentage of word characters under repeats, and words in the longest repeat.
-MOST_COVERED, LONGEST = 20, 100
+MOST_COVERED, LONGEST = 25, 100
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -128,7 +128,7 @@ def quality_measures(docs: DataFrame) -> DataFrame:
     A repeat is a run of at least five words that stands at two or more places of one text; ``n_repeat_words`` counts
     the words under any repeat, ``repeat_chars`` their characters, ``longest_repeat`` the words of the longest.
     ``base_failed``: fewer than ten words, or over a fifth of the words under repeats. ``kept``: not failed, at most a
-    fifth of the word characters under repeats, and no repeat of over a hundred words.
+    quarter of the word characters under repeats, and no repeat of over a hundred words.
 
     Null and empty texts have no words and fail. Rows with equal or null ids are judged each by itself. Texts are
     worked on in slices of bounded size; only one text longer than a slice takes memory beyond it.
