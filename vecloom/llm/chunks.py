@@ -9,7 +9,6 @@ answers travel to the chunks and the text is never shuffled.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.llm.common import flat, slices
-from vecloom.session import new_path, ship_package, write_table
+from vecloom.session import ship_package, write_bucketed, write_table
 
 #: Text per chunk; one longer document is a chunk by itself.
 CHUNK_BYTES = 2 << 20
@@ -52,11 +51,9 @@ def write_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = max(partitions, -(-total // FILE_BYTES))
-    name, path = f"chunks_{uuid.uuid4().hex}", new_path(spark, "chunks")
-    (docs.select("doc_id", "text").mapInArrow(_pack, CHUNK).write.format("parquet").bucketBy(files, "chunk").option("path", path)
-     .option("compression", "zstd").option("parquet.block.size", 16 << 20).saveAsTable(name))
-    chunks = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the entry goes, the files and the frame that reads them stay
+    packed = docs.select("doc_id", "text").mapInArrow(_pack, CHUNK)
+    # small row groups, as a reader holds many rows at once and these are large
+    chunks = write_bucketed(packed, "chunks", "chunk", files, {"compression": "zstd", "parquet.block.size": str(16 << 20)})
     return chunks, max(2 * partitions, -(-total // BUCKET_BYTES))
 
 

@@ -134,13 +134,3 @@ def mix(values: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(words: Words, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash per word that depends on its bytes alone; each distinct word is hashed once."""
-    if not len(words.values):
-        return np.zeros(0, np.uint64)
-    coded = words.values.dictionary_encode()
-    key = seed.to_bytes(8, "little")
-    distinct = b"".join(hashlib.blake2b(word, digest_size=8, key=key).digest() for word in coded.dictionary.to_pylist())
-    return np.frombuffer(distinct, "<u8")[coded.indices.to_numpy(zero_copy_only=False)]

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vecloom.llm.common import WHITE, binaries, covered, flat, owner, slices, sums, table, text_words
 from vecloom.session import ship_package
