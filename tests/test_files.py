@@ -140,6 +140,8 @@ def test_one_stage_with_settings(spark, tmp_path, vocabulary):
     assert sorted(p for p in os.listdir(lines) if p.startswith("shard=")) == [f"shard={i}" for i in range(4)]
     assert jobs.main(["tokenize", lines, tokens, "--vocabulary", vocabulary.rank_path]) == 0
     assert len(text_of(tokens).splitlines()) == 20
+    (tmp_path / "settings").write_text("# shards\nnum_shards = 3\n\nepochs=2 # few\n")
+    assert jobs.settings([*jobs.setting_lines(str(tmp_path / "settings")), "epochs=4"]) == Params(num_shards=3, epochs=4)
     assert jobs.settings(["round_robin=true", "learning_rate=0.5", "epochs=3"]) == Params(round_robin=True, learning_rate=0.5, epochs=3)
 
 

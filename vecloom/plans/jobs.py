@@ -1,6 +1,6 @@
 """The stages as jobs from folder to folder, with text files between them, and the run of all of them.
 
-    python -m vecloom.plans.jobs STAGE FOLDER... [--set NAME=VALUE]... [--vocabulary RANK_FILE]
+    python -m vecloom.plans.jobs STAGE FOLDER... [--settings FILE] [--set NAME=VALUE]... [--vocabulary RANK_FILE]
 
     word-frequency INPUT OUTPUT
     shard-lines    INPUT OUTPUT
@@ -11,7 +11,8 @@
     similarity     EMBEDDINGS OUTPUT
     run            INPUT WORD_COUNT LINE_SHARDS TOKENS MERGED_TOKENS TOKEN_SHARDS EMBEDDINGS LOSSES MERGED_EMBEDDINGS NEIGHBOURS
 
-``--set`` gives any field of ``Params``; the vocabulary size is that of the rank file unless it is set. A job replaces
+``--settings`` names a file of ``name=value`` lines (blank lines and those from # on do not count) with any fields of
+``Params``, and ``--set`` gives single ones, which win; the vocabulary size is that of the rank file unless it is set. A job replaces
 its output. A missing input, or any failure, stops the run with Spark's error.
 """
 
@@ -123,11 +124,18 @@ def settings(given: Sequence[str]) -> Params:
     return Params(**chosen)
 
 
+def setting_lines(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as file:
+        lines = [line.partition("#")[0] for line in file]
+    return ["=".join(part.strip() for part in line.split("=", 1)) for line in lines if line.strip()]
+
+
 def main(arguments: Sequence[str]) -> int:
     parser = argparse.ArgumentParser(prog="vecloom.plans.jobs", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("stage", choices=STAGES)
     parser.add_argument("folders", nargs="+")
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--settings", metavar="FILE")
     parser.add_argument("--vocabulary", metavar="RANK_FILE")
     chosen = parser.parse_args(arguments)
     folders, needs_vocabulary = STAGES[chosen.stage]
@@ -135,15 +143,16 @@ def main(arguments: Sequence[str]) -> int:
         parser.error(f"{chosen.stage} takes {folders} folders")
     if needs_vocabulary and not chosen.vocabulary:
         parser.error(f"{chosen.stage} needs --vocabulary")
+    given = [*(setting_lines(chosen.settings) if chosen.settings else []), *chosen.set]
     try:
-        params = settings(chosen.set)
+        params = settings(given)
     except ValueError as error:
         parser.error(str(error))
 
     spark = SparkSession.builder.appName("vecloom").getOrCreate()
     at = chosen.folders
     vocabulary = Vocabulary(chosen.vocabulary) if chosen.vocabulary else None
-    if vocabulary and not any(s.startswith("vocab_size=") for s in chosen.set):
+    if vocabulary and not any(s.startswith("vocab_size=") for s in given):
         params = replace(params, vocab_size=vocabulary_size(spark, vocabulary))
     if chosen.stage == "merge":
         return 0 if merge_part_files(spark, *at) else 1
