@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-from vecloom.llm.common import binaries, flat, slices, table
-from vecloom.llm.pieces import PieceCoder, held
+from vecloom.llm.common import binaries, flat, freed, slices, table
+from vecloom.llm.pieces import PieceCoder, held, let_go
 from vecloom.session import ship_package
 
 #: A tokenizer above this size is refused: it goes to every worker.
@@ -119,9 +119,10 @@ def encoded(docs: DataFrame, definition: str) -> DataFrame:
                 ids, bounds = coder.encode(*safe_cuts(*flat(part.column("text"))))
                 made = binaries(ids.astype("<u4").view(np.uint8), 4 * bounds).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, "ids"])
+        let_go()
 
     plain = docs.drop("ids")
-    return plain.mapInArrow(encode, plain.withColumn("ids", F.lit(b"")).schema)
+    return plain.mapInArrow(freed(encode), plain.withColumn("ids", F.lit(b"")).schema)
 
 
 def encoded_with_offsets(docs: DataFrame, definition: str) -> DataFrame:
@@ -162,7 +163,7 @@ def decoded(coded: DataFrame, definition: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, binaries(data, bounds).cast(pa.binary())], [*part.schema.names, "decoded"])
 
     plain = coded.drop("decoded")
-    return plain.mapInArrow(back, plain.withColumn("decoded", F.lit(b"")).schema)
+    return plain.mapInArrow(freed(back), plain.withColumn("decoded", F.lit(b"")).schema)
 
 
 def _sent(spark: SparkSession, definition: str) -> Broadcast:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import flat, slices
+from vecloom.llm.common import flat, freed, slices
 from vecloom.session import ship_package, write_bucketed, write_table
 
 #: Text per chunk; one longer document is a chunk by itself.
@@ -51,7 +51,7 @@ def write_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = max(partitions, -(-total // FILE_BYTES))
-    packed = docs.select("doc_id", "text").mapInArrow(_pack, CHUNK)
+    packed = docs.select("doc_id", "text").mapInArrow(freed(_pack), CHUNK)
     # small row groups, as a reader holds many rows at once and these are large
     chunks = write_bucketed(packed, "chunks", "chunk", files, {"compression": "zstd", "parquet.block.size": str(16 << 20)})
     return chunks, max(2 * partitions, -(-total // BUCKET_BYTES))
@@ -104,7 +104,7 @@ def _sent(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, byt
                 [pa.array([b for b, _ in sent], pa.int32()), pa.array([chunk.number] * len(sent), pa.int64()),
                  pa.array([body for _, body in sent], pa.binary())], ["bucket", "chunk", "body"])
 
-    return chunks.mapInArrow(send, MESSAGE)
+    return chunks.mapInArrow(freed(send), MESSAGE)
 
 
 def gather(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]],

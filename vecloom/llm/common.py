@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vecloom.session import ship_package
 
 #: Text that an Arrow task works on at once. One longer text is worked on by itself.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Bytes that end a word of kind ``[^\x20\x09-\x0D]+``.
 WHITE = np.zeros(256, bool)
@@ -27,6 +27,17 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def freed(work: Callable) -> Callable:
+    """An Arrow function that gives memory back when its task ends, since the worker stays for other stages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with columns called like ``names`` under other names, and what to rename to get them back."""
     taken = {c: f"_kept_{c}" for c in df.columns if c in names}

@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import covered, flat, owner, set_aside, slices, table, words_of
+from vecloom.llm.common import covered, flat, freed, owner, set_aside, slices, table, words_of
 from vecloom.session import ship_package
 
 #: Words of a window; an item of fewer words is one window.
@@ -141,7 +141,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         wanted = docs.drop(*_MADE).schema
         for field in spark.createDataFrame([], RESULT).schema:
             wanted = wanted.add(field)
-        result = result.mapInArrow(_scan(window, sent, number == 0), wanted)
+        result = result.mapInArrow(freed(_scan(window, sent, number == 0)), wanted)
     return result
 
 

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import flat, slices, table
+from vecloom.llm.common import flat, freed, slices, table
 from vecloom.llm.decontaminate import item_words
 from vecloom.llm.license_templates import TEMPLATES
 from vecloom.session import ship_package
@@ -128,7 +128,7 @@ def license_matches(docs: DataFrame, licences: dict[str, str], least: float = LE
                 rows = [[dict(zip(("license", "dice", "first_line", "last_line"), m)) for m in own] for own in matches(part.column("text"), templates)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, kind)], ["doc_id", "matches"])
 
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, matches array<struct<license:string,dice:double,first_line:int,last_line:int>>")
+    return docs.select("doc_id", "text").mapInArrow(freed(scan), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, matches array<struct<license:string,dice:double,first_line:int,last_line:int>>")
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.llm.chunks import Chunk, ask, bucket_of, chunks_in, cut, gather, write_chunks
-from vecloom.llm.common import mix, owner, table, text_words
+from vecloom.llm.common import freed, mix, owner, table, text_words
 from vecloom.llm.components import components, join_counted
 from vecloom.session import write_table
 
@@ -309,7 +309,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGL
     largest; a class of such rows alone has the class id null.
     """
     chunks, buckets = write_chunks(docs)
-    seeds = write_table(chunks.mapInArrow(_identities(shingle), "vertex long, doc_id long, text_hash long, size int, digest binary"), "identities")
+    seeds = write_table(chunks.mapInArrow(freed(_identities(shingle)), "vertex long, doc_id long, text_hash long, size int, digest binary"), "identities")
     some = seeds.where("size > 0")
     lead = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("order"), "vertex")).alias("lead")
     classes = write_table(some.groupBy("digest").agg(lead, F.count(F.lit(1)).alias("n")).select(

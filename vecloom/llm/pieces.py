@@ -72,6 +72,11 @@ class PieceCoder:
 _held: dict[object, object] = {}
 
 
+def let_go() -> None:
+    """Forget what :func:`held` keeps; called when a task ends."""
+    _held.clear()
+
+
 def held(key: object, make: Callable[[], object]) -> object:
     """An object a worker makes once and keeps; only the latest is kept."""
     if key not in _held:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vecloom.llm.common import WHITE, binaries, covered, flat, owner, slices, sums, table, text_words
+from vecloom.llm.common import WHITE, binaries, covered, flat, freed, owner, slices, sums, table, text_words
 from vecloom.session import ship_package
 
 #: Repeats of fewer words are no repeats.
@@ -79,8 +79,6 @@ def longest_repeats(ids: np.ndarray, first: np.ndarray, least: int = REPEAT_WORD
 def repeated_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Per text, its lines with a word that equal an earlier line of it."""
     newline = data == 0x0A
-    cut = np.zeros(len(data) + 1, np.int64)
-    cut[:-1] = newline
     breaks = np.flatnonzero(newline)
     starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
     document = np.sort(np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, side="right") - 1]))
@@ -133,7 +131,7 @@ def quality_measures(docs: DataFrame) -> DataFrame:
     worked on in slices of bounded size; only one text longer than a slice takes memory beyond it.
     """
     ship_package(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_measured, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MEASURES}")
+    return docs.select("doc_id", "text").mapInArrow(freed(_measured), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MEASURES}")
 
 
 def _good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +143,7 @@ def _good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_low_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_measures` keeps, with all their columns."""
     ship_package(docs.sparkSession)
-    return docs.mapInArrow(_good, docs.schema)
+    return docs.mapInArrow(freed(_good), docs.schema)
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

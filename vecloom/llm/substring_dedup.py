@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from vecloom.llm.chunks import Chunk, ask, bucket_of, chunks_in, cut, small, wide, write_chunks
-from vecloom.llm.common import Words, covered, mix, owner, sha256_hex, sums, table, text_words
+from vecloom.llm.common import Words, covered, freed, mix, owner, sha256_hex, sums, table, text_words
 
 #: Words of a window.
 WINDOW = 13
@@ -172,7 +172,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     chunks, buckets = write_chunks(docs)
     asked = ask(ask(chunks, sketch, merge_sketches, "sketch"), windows, smaller_holder, "windows")
-    return asked.mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
+    return asked.mapInArrow(freed(finish), "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

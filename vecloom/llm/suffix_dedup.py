@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from vecloom.llm.chunks import Chunk, ask, bucket_of, chunks_in, cut, small, wide, write_chunks
-from vecloom.llm.common import covered, owner, sha256_hex, sums, table
+from vecloom.llm.common import covered, freed, owner, sha256_hex, sums, table
 
 #: Bytes of the shortest repeat, and of the k-grams by which repeats are found.
 DEPTH, GRAM = 50, 24
@@ -343,7 +343,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     chunks, buckets = write_chunks(docs)
     asked = ask(ask(chunks, grams, shared_grams, "grams"), suffixes, smaller_suffixes, "suffixes")
-    return asked.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return asked.mapInArrow(freed(finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from vecloom.llm.common import flat, slices, table, text_words
-from vecloom.llm.pieces import PieceCoder, held
+from vecloom.llm.common import flat, freed, slices, table, text_words
+from vecloom.llm.pieces import PieceCoder, held, let_go
 from vecloom.session import new_path, ship_package
 
 #: First bytes of a block; fixed value of the format.
@@ -141,6 +141,7 @@ def _blocks(sent: Broadcast, end_id: int, block_tokens: int):
                     at = to
         if sizes:
             yield closed()
+        let_go()
 
     return code
 
@@ -159,7 +160,7 @@ def write_tokens(docs: DataFrame, definition: str, path: str, end_id: int = END_
         raise ValueError(f"a tokenizer of {len(definition)} bytes is too large to send to every worker")
     sent = spark.sparkContext.broadcast(definition)
     placed = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    placed.mapInArrow(_blocks(sent, end_id, block_tokens), BLOCKS).write.mode("overwrite").parquet(path)
+    placed.mapInArrow(freed(_blocks(sent, end_id, block_tokens)), BLOCKS).write.mode("overwrite").parquet(path)
 
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
