@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from vecloom.llm.chunks import Chunk, ask, bucket_of, chunks_in, cut, small, wide, write_chunks
-from vecloom.llm.common import covered, freed, owner, sha256_hex, sums, table
+from vecloom.llm.common import covered, freed, mix, owner, sha256_hex, sums, table
 
 #: Bytes of the shortest repeat, and of the k-grams by which repeats are found.
 DEPTH, GRAM = 50, 24
@@ -61,7 +61,8 @@ def choices(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         chosen = window + place[window]
         heads = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
         tails = np.append(heads[1:], len(window)) - 1
-        for kind, values in zip(found, (chosen[heads] + start, least[window[heads]], window[heads] + start, window[tails] + start)):
+        # least hashes are small numbers; mixed again they spread evenly over the buckets
+        for kind, values in zip(found, (chosen[heads] + start, mix(least[window[heads]]), window[heads] + start, window[tails] + start)):
             kind.append(values)
     return tuple(np.concatenate([np.zeros(0, kind), *parts]).astype(kind) for parts, kind in zip(found, (np.int64, np.uint64, np.int64, np.int64)))
 
