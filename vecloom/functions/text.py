@@ -69,6 +69,6 @@ def pair_field(fields: Column, place: int) -> Column:
 
 
 def float_list(text: Column) -> Column:
-    """The comma-separated fields inside ``[...]``, as strings."""
+    """The comma-separated fields inside ``[...]``, as strings; a cast to a number takes no notice of blanks around them."""
     bare = F.regexp_replace(F.regexp_replace(stripped(text), r"^\[", ""), r"\]$", "")
-    return F.transform(F.split(F.regexp_replace(bare, ",+$", ""), ","), stripped)
+    return F.split(F.regexp_replace(bare, ",+$", ""), ",")
