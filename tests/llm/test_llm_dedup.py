@@ -7,11 +7,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from vecloom.llm.chunks import PARTITION_BITS, PLACE_BITS, Chunk, chunk_number
 from vecloom.llm.components import components
 from vecloom.llm.line_dedup import dedup_lines, drop_repeated_lines
-from vecloom.llm.ngram_join import Limits, drop_near_duplicates, near_duplicates, similar
+from vecloom.llm.ngram_join import LEAST, ROW_BITS, SHINGLE, Limits, Paths, _identities, count_paths, drop_near_duplicates, maybe_links, near_duplicates, similar
 from vecloom.llm.substring_dedup import substring_dedup
 from vecloom.llm.suffix_dedup import DEPTH, common_prefixes, front_code, front_decode, merge_runs, suffix_dedup
 
@@ -158,6 +160,35 @@ def test_similarity_join_equals_brute_force(spark, copies, limits):
     assert run(spark, copies, lambda d: near_duplicates(d, limits=limits).select("doc_id", "class_id", "n_links")) == sorted(wanted, key=str)
 
 
+@pytest.mark.parametrize("partition", [128, 255, 256, 10000, 2**PARTITION_BITS - 1])
+def test_vertices_of_many_partitions(partition):
+    """Vertices are the same numbers in both places that make them, fit 63 bits and differ between chunks."""
+    text = " ".join(f"w{i}" for i in range(40)).encode()
+    numbers = [chunk_number(partition, 3), chunk_number(partition - 1, 3)]
+    chunks = [Chunk(n, np.frombuffer(text * 2, np.uint8), np.array([0, len(text), 2 * len(text)]), pa.array([1, 2]), np.array([1, 2]), {}, {}) for n in numbers]
+    batch = pa.table({"chunk": numbers, "doc_id": [[1, 2]] * 2, "sizes": [[len(text)] * 2] * 2, "data": [text * 2] * 2}).to_batches()
+    seeds = [v for found in _identities(SHINGLE)(iter(batch)) for v in found.column("vertex").to_pylist()]
+    assert seeds == [(n << ROW_BITS) + row for n in numbers for row in (0, 1)] and max(seeds) < 2**63
+    paths = lambda: [Paths(c, np.array([1]), 1, LEAST, SHINGLE, Limits()) for c in chunks]
+    answers = count_paths([body for p in paths() for _, body in p.messages()])
+    for chunk, body in zip(chunks, answers):
+        chunk.answers["paths1"] = [body]
+    links = maybe_links([body for p in paths() for _, body in p.members()])
+    assert set(links.column("u").to_pylist() + links.column("v").to_pylist()) == {seeds[1], seeds[3]}
+
+
+def test_chunks_without_a_number_fail():
+    assert PARTITION_BITS + PLACE_BITS + ROW_BITS == 63
+    for partition, place in [(2**PARTITION_BITS, 0), (0, 2**PLACE_BITS)]:
+        with pytest.raises(ValueError):
+            chunk_number(partition, place)
+
+
+def test_similarity_join_over_many_partitions(spark, copies):
+    found = near_duplicates(spark.createDataFrame(copies, SCHEMA).repartition(140)).select("doc_id", "class_id", "n_links")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(near_model(copies), key=str)
+
+
 def test_one_row_of_each_class_stays(spark, copies):
     docs = spark.createDataFrame([(*d, "a", i) for i, d in enumerate(copies)], SCHEMA + ", first string, text_hash int")
     kept = drop_near_duplicates(docs)

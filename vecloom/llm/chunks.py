@@ -25,6 +25,8 @@ from vecloom.session import ship_package, write_bucketed, write_table
 CHUNK_BYTES = 2 << 20
 #: Text behind one bucket of keys, and behind one file of chunks.
 BUCKET_BYTES, FILE_BYTES = 8 << 20, 48 << 20
+#: Bits of a chunk's number for its input partition and for its place there; 24 bits are left for a row of the chunk.
+PARTITION_BITS, PLACE_BITS = 21, 18
 #: What a missing document id counts as: after all others.
 NO_ID = 2**63 - 1
 
@@ -32,16 +34,23 @@ CHUNK = "chunk long, doc_id array<long>, sizes array<long>, data binary"
 MESSAGE = "bucket int, chunk long, body binary"
 
 
+def chunk_number(partition: int, place: int) -> int:
+    """The number of the chunk at ``place`` of an input partition."""
+    if partition >= 1 << PARTITION_BITS or place >= 1 << PLACE_BITS:
+        raise ValueError(f"chunk {place} of partition {partition} has no number")
+    return (partition << PLACE_BITS) + place
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
+    partition, place = TaskContext.get().partitionId(), 0
     for batch in batches:
         for part in slices(batch, "text", CHUNK_BYTES):
             data, offsets = flat(part.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                [pa.array([chunk_number(partition, place)], pa.int64()), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                  pa.array([np.diff(offsets).tolist()], pa.list_(pa.int64())), pa.array([data.tobytes()], pa.binary())],
                 ["chunk", "doc_id", "sizes", "data"])
-            number += 1
+            place += 1
 
 
 def write_chunks(docs: DataFrame) -> tuple[DataFrame, int]:

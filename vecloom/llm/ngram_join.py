@@ -30,7 +30,7 @@ BLOCK = 4096
 SET_BLOCK = 512
 #: Bytes of a signature, and equal ones from which two sets may be similar. A link falls below with probability 2e-7.
 SIGNATURE, MAYBE = 64, 35
-#: Documents of a chunk are numbered in this many bits of a vertex.
+#: Documents of a chunk are numbered in this many bits of a vertex; with a chunk's number these are 63.
 ROW_BITS = 24
 
 _SEED = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
