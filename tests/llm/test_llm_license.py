@@ -8,8 +8,8 @@ from collections import Counter
 
 import pyarrow as pa
 
-from vecloom.llm.license_scan import Templates, license_matches, matches, word_matches
-from vecloom.llm.license_templates import TEMPLATES
+from vecloom.llm.license_scan import LARGEST, Templates, license_matches, matches, word_matches
+from vecloom.llm.license_templates import TEMPLATES, known_licences
 
 
 def bigrams(text):
@@ -95,3 +95,15 @@ def test_notices_inside_a_line_are_found_and_versions_decide():
              "Prose first. This work is licensed under the GNU General Public License, version 2. Prose between, released under the MIT License, and after."]
     found = [[m[0] for m in own] for own in word_matches(pa.array(texts), Templates(TEMPLATES, 0.9))]
     assert found == [["mit-notice"], ["gpl-3.0-notice"], ["gpl-2.0-notice", "mit-notice"]]
+
+
+def test_licences_beyond_the_given_notices_are_known():
+    known = known_licences()
+    assert sum(map(len, known.values())) < LARGEST
+    full = {name: text for name, text in known.items() if name.endswith("-text")}
+    assert {"gpl-2-text", "gpl-3-text", "lgpl-2.1-text", "apache-2.0-text", "mpl-2.0-text", "cc0-1.0-text"} <= set(full)
+    texts = {**full, **{name: known[name] for name in ("bsd-2-clause", "bsd-3-clause", "zlib", "boost-1.0", "unlicense", "gpl-2.0-header", "gpl-3.0-header",
+                                                       "lgpl-2.1-header", "agpl-3.0-header", "mpl-2.0-header", "gpl-2.0-or-later-spdx", "mit-spdx")}}
+    found = word_matches(pa.array([f"Prose before. {text} Prose after." for text in texts.values()]), Templates(known, 0.9))
+    for name, own in zip(texts, found):
+        assert max(own, key=lambda m: m[1])[:2] == (name, 1.0)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vecloom.llm.common import flat, freed, slices, table
 from vecloom.llm.decontaminate import item_words
-from vecloom.llm.license_templates import TEMPLATES
+from vecloom.llm.license_templates import known_licences
 from vecloom.session import ship_package
 
 #: Least Dice coefficient of a match.
@@ -235,7 +235,7 @@ def license_matches(docs: DataFrame, licences: dict[str, str], least: float = LE
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: how many licences it names, which (sorted, comma-joined), and the most similar, ties by name."""
-    found = license_matches(table(spark, folder, "documents", "doc_id", "text"), TEMPLATES)
+    found = license_matches(table(spark, folder, "documents", "doc_id", "text"), known_licences())
     best = F.get(F.array_sort("matches", lambda a, b: F.when(a["dice"] != b["dice"], F.when(a["dice"] > b["dice"], -1).otherwise(1)).otherwise(
         F.when(a["license"] < b["license"], -1).otherwise(1))), F.lit(0))
     return found.select("doc_id", F.size("matches").cast("long").alias("n_licenses"), F.array_join(F.array_sort("matches.license"), ",").alias("licenses"),
