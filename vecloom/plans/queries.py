@@ -392,8 +392,14 @@ def sgns_step(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(moved, ["token"], "embedding")
 
 
+def vocabulary_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Text to nearest neighbours over the whole vocabulary. It has no SQL, which would have to compare all ids with all."""
+    return plan.one_step_neighbours(_sequences(spark, folder, PARAMS.vocab_size), ["doc_id"], PARAMS)
+
+
 def piece_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    """The vocabulary has as many ids as the table ``embeddings`` rows, since SQL has to compare all of them with all."""
+    """:func:`vocabulary_neighbours` in the size that its SQL can follow: words are folded into as many ids as the table
+    ``embeddings`` has rows, so different words share ids. It checks the steps; it is not the whole job."""
     params = replace(PARAMS, vocab_size=_vector_count(spark, folder))
     return plan.one_step_neighbours(_sequences(spark, folder, params.vocab_size), ["doc_id"], params)
 
