@@ -33,3 +33,8 @@ def test_token_neighbours_are_five_each(spark, small):
 
 def test_entry(spark):
     assert entry(spark).columns == ["token", "rank", "neighbour", "sim"]
+
+
+def test_occurrences_are_summed_in_all_elements(spark, small):
+    found = queries()["lookup_occurrence_sums"](spark, small).toPandas()
+    assert set(found["dim"]) == set(range(64)) and (found.groupby("doc_id").size() == 64).all()

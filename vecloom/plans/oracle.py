@@ -290,6 +290,10 @@ ORACLE |= {
         flat AS (SELECT doc_id, unnest(tokens) AS token FROM sequences)
         SELECT doc_id, count(*) AS n, {', '.join(f"round(sum(CAST(embedding[{i + 1}] AS DOUBLE)), 6) + 0.0 AS x{i}" for i in range(4))}
         FROM flat JOIN embeddings ON vec_id = token GROUP BY doc_id""",
+    "lookup_occurrence_sums": f"""WITH {_FOLDED},
+        flat AS (SELECT doc_id, unnest(tokens) AS token FROM sequences),
+        cells AS (SELECT doc_id, {_DIMS.format('embedding')} FROM flat JOIN embeddings ON vec_id = token)
+        SELECT doc_id, dim, {_TIDY.format('sum(CAST(x AS DOUBLE))')} AS x FROM cells GROUP BY doc_id, dim""",
     "encoded_words": r"""
         WITH words AS (SELECT unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS word FROM documents)
         SELECT word, count(*) AS n, word AS text FROM words GROUP BY word""",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import piece_ids_of, pieces_of
-from vecloom.functions.vector import dot, fixed_text, norm, tidy
+from vecloom.functions.vector import combine_vectors, dot, fixed_text, norm, tidy
 from vecloom.operators import embeddings as emb
 from vecloom.operators import lines as ln
 from vecloom.operators import sgns, similarity, tokens, windows
@@ -314,11 +314,19 @@ def lookup_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(emb.lookup_embeddings(counts, _vectors(spark, folder)), ["token", "n"], "embedding")
 
 
-def lookup_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    """The vector of every occurrence, added up per document so that each of them counts."""
+def _occurrences(spark: SparkSession, folder: str) -> DataFrame:
     each = tokens.each_token(_sequences(spark, folder, _vector_count(spark, folder)).withColumn("at", F.monotonically_increasing_id()), ["doc_id", "at"])
-    found = emb.lookup_embeddings(each.select("doc_id", "token"), _vectors(spark, folder))
-    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), *[
+    return emb.lookup_embeddings(each.select("doc_id", "token"), _vectors(spark, folder))
+
+
+def lookup_occurrence_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """The vector of every occurrence, added up per document so that each of them counts."""
+    return _elements(combine_vectors(_occurrences(spark, folder), ["doc_id"], "embedding", VECTOR_WIDTH), ["doc_id"], "embedding")
+
+
+def lookup_occurrences(spark: SparkSession, folder: str) -> DataFrame:
+    """How many occurrences have a vector, and elements 0 to 3 of their sum; :func:`lookup_occurrence_sums` has all elements."""
+    return _occurrences(spark, folder).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), *[
         tidy(F.sum(F.get("embedding", F.lit(i)).cast("double"))).alias(f"x{i}") for i in range(4)])
 
 
@@ -442,7 +450,7 @@ QUERIES: dict[str, Query] = {
         parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
         word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
         shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples,
-        parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences,
+        parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences, lookup_occurrence_sums,
         unknown_tokens, mean_embeddings, vector_dot, vector_norm, cosine_pairs, top_k_similar, narrow_scores,
         format_neighbours,
         init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses,
