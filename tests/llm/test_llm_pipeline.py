@@ -22,7 +22,7 @@ def test_query_equals_its_sql(spark, small, name):
 
 
 def test_all_operators_and_the_pipeline_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert queries()["pipeline"] is corpus_pipeline.run
 
 
