@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from vecloom.plans import jobs
 from vecloom.params import Params
 from vecloom.session import new_path, shared_folder, write_table
+from vecloom.sources import line_splits
+from vecloom.sources.line_splits import nline_corpus
 from vecloom.sources.sinks import merge_part_files, write_shards, write_text
 from vecloom.sources.tables import spread
 from vecloom.sources.text_files import corpus_lines, numbered_corpus
@@ -85,14 +87,19 @@ def test_tables_go_to_the_shared_folder(spark):
     assert new_path(spark, "a") != new_path(spark, "a")
 
 
-def test_only_small_inputs_are_dealt_over_the_cores(spark, small):
+def test_only_a_single_split_is_dealt_over_the_cores(spark, small):
+    tasks = 2 * spark.sparkContext.defaultParallelism
     table = spark.read.parquet(f"{small}/documents.parquet")
-    assert spread(table, "doc_id").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert spread(table, "doc_id").rdd.getNumPartitions() == tasks
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10b")
+    held = spark.read.parquet(f"{small}/documents.parquet").cache()  # what the session holds has no say
     try:
-        assert spread(spark.read.parquet(f"{small}/documents.parquet"), "doc_id").rdd.getNumPartitions() > 100
+        assert spread(held, "doc_id").rdd.getNumPartitions() == held.rdd.getNumPartitions() != tasks
+        assert spread(spark.read.parquet(f"{small}/region.parquet", f"{small}/region.parquet"), "r_regionkey").count() == 10
     finally:
+        held.unpersist()
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert spread(table, "doc_id").rdd.getNumPartitions() == tasks
 
 
 def test_all_jobs_from_folder_to_folder(spark, tmp_path, vocabulary):
@@ -161,3 +168,60 @@ def test_text_is_neither_sorted_nor_copied_to_number_it(spark, corpus, monkeypat
         assert [r.line for r in numbered_corpus(spark, str(corpus[0])).orderBy("line_no").collect()] == corpus[1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def odd_files(tmp_path):
+    """Files with a name to escape, of no line, of one huge line without an end, and with line ends of two characters."""
+    wanted = []
+    for name, count, end, closed in (("a b.txt", 2500, "\n", True), ("c%é.txt", 0, "", False), ("d.txt", 1, "", False), ("e.txt", 4002, "\r\n", False),
+                                     ("f.txt", 3, "\n", True), ("g.txt", 1, "\n", True)):
+        lines = ["x" * 3_000_000 if name == "d.txt" else "é" * (i % 50) if i % 7 else "" for i in range(count)]
+        (tmp_path / name).write_bytes((end.join(lines) + (end if closed else "")).encode())
+        wanted += lines
+    return tmp_path, wanted
+
+
+@pytest.mark.parametrize("size", [1000, 137, 10**7])
+def test_each_split_of_lines_is_a_partition(spark, odd_files, size):
+    folder, wanted = odd_files
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000b")
+    try:
+        found = nline_corpus(spark, str(folder), size)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = found.withColumn("p", F.spark_partition_id()).orderBy("split", "place").collect()
+    assert [(r.split, r.place, r.line) for r in rows] == [(i // size, i % size, line) for i, line in enumerate(wanted)]
+    assert len({(r.split, r.p) for r in rows}) == found.rdd.getNumPartitions() == -(-len(wanted) // size)
+
+
+def test_more_splits_than_partitions_share_them(spark, odd_files, monkeypatch):
+    monkeypatch.setattr(line_splits, "MOST_PARTITIONS", 10)
+    folder, wanted = odd_files
+    found = nline_corpus(spark, str(folder), 7)
+    assert found.rdd.getNumPartitions() <= 10
+    assert [(r.split, r.place, r.line) for r in found.orderBy("split", "place").collect()] == [(i // 7, i % 7, line) for i, line in enumerate(wanted)]
+
+
+def test_no_line_is_no_split(spark, tmp_path):
+    (tmp_path / "empty.txt").write_text("")
+    found = nline_corpus(spark, str(tmp_path))
+    assert found.collect() == [] and found.columns == ["split", "place", "line"]
+    with pytest.raises(AnalysisException):
+        nline_corpus(spark, str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        nline_corpus(spark, str(tmp_path), 0)
+
+
+def test_reading_n_lines_shuffles_no_text(spark, odd_files):
+    found = nline_corpus(spark, str(odd_files[0]), 500)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_file_that_has_shrunk_fails(tmp_path):
+    path = tmp_path / "short.txt"
+    path.write_bytes(b"one\ntwo\nthree")
+    assert list(line_splits.file_lines(f"file://{path}", 4, 0, 2)) == [b"two", b"three"]
+    assert list(line_splits.file_lines(f"file://{path}", 0, 2, 1)) == [b"three"]
+    with pytest.raises(ValueError, match="fewer lines"):
+        list(line_splits.file_lines(f"file://{path}", 4, 1, 2))

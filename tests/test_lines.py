@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from vecloom.functions.text import whole_part
 from vecloom.operators import lines as ln
 from vecloom.operators.ordinal import running_offsets, with_ordinal
 
@@ -92,3 +93,10 @@ def test_piece_vocabulary_ranks_by_count_then_piece(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "text string")
     assert rows(ln.piece_vocabulary(ln.piece_frequency(df, "text")), "token", "text", "n") == [
         (0, "b", 2), (1, "a", 1), (2, "c", 1)]
+
+
+@pytest.mark.parametrize("divisor", [3, 7, 10_000, 2**40 + 1, -3])
+def test_whole_part_is_exact_at_the_ends_of_64_bits(spark, divisor):
+    numbers = [2**55 + 3, 2**60 + 1, 2**63 - 1, -2**63 + 1, -2**60 - 1, -1, 0, 1, None]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", whole_part(F.col("n"), divisor).alias("part")).collect()
+    assert all(r.part == (None if r.n is None else r.n // divisor) for r in rows) and len(rows) == len(numbers)

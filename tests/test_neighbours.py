@@ -30,7 +30,7 @@ def test_whole_vocabulary_equals_brute_force(spark, tmp_path):
             gradient[b] = gradient[b] + pull * start[c]
     moved = {t: v - queries.PARAMS.learning_rate * gradient[t] for t, v in start.items()}
     found = defaultdict(list)
-    for r in sorted(queries.vocabulary_neighbours(spark, str(tmp_path)).collect(), key=lambda r: r["rank"]):
+    for r in sorted(queries.piece_neighbours(spark, str(tmp_path)).collect(), key=lambda r: r["rank"]):
         found[r.token].append((r.neighbour, r.sim))
     assert sorted(found) == used
     for token, own in found.items():

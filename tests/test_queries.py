@@ -22,7 +22,7 @@ def test_query_equals_its_sql(spark, connection, small, name):
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
     assert {n for n in set(queries()) - set(oracle_sql()) if not n.startswith("op") and n != "pipeline"} == {
-        "word_frequency", "line_frequency", "tokenize_lines", "train_embeddings", "train_round_robin", "token_neighbours"}
+        "word_frequency", "line_frequency", "tokenize_lines", "train_embeddings", "train_round_robin", "token_neighbours", "piece_neighbours"}
 
 
 def test_token_neighbours_are_five_each(spark, small):

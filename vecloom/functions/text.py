@@ -48,8 +48,11 @@ def whole_numbers(words: Column) -> Column:
 
 
 def whole_part(number: Column, divisor: int) -> Column:
-    """Division of whole numbers, rounded down, without a detour over doubles."""
-    return ((number - F.pmod(number, F.lit(divisor))) / F.lit(divisor)).cast("bigint")
+    """Division of whole numbers, rounded down, in whole numbers throughout, so exact up to the ends of 64 bits."""
+    by = F.lit(divisor).cast("bigint")
+    number = number.cast("bigint")
+    down = F.call_function("div", number, by)
+    return down - F.when((number % by != 0) & ((number < 0) != F.lit(divisor < 0)), 1).otherwise(0)
 
 
 def must_cast(value: Column, type_name: str) -> Column:

@@ -14,8 +14,9 @@ from vecloom.functions.hashing import draw_below
 from vecloom.functions.text import whole_part
 from vecloom.functions.vector import combine_vectors
 from vecloom.operators.embeddings import init_embeddings, lookup_embeddings
+from vecloom.operators.negatives import draw_tokens, weighted_tokens
 from vecloom.operators.ordinal import running_offsets
-from vecloom.operators.tokens import distinct_tokens, shard_tokens, token_stream
+from vecloom.operators.tokens import count_tokens, distinct_tokens, shard_tokens, token_stream
 from vecloom.operators.windows import stream_stretches, window_count
 from vecloom.params import Params
 from vecloom.session import Rotation, ship_package, write_bucketed, write_table
@@ -80,16 +81,20 @@ def training_segments(sequences: DataFrame, keys: list[str], params: Params) ->
 def needed_tokens(segments: DataFrame, corpus: DataFrame, params: Params) -> DataFrame:
     """``(shard, place, token)``: the tokens of each shard (``place`` is NULL), and its pool of negatives (from 0).
 
-    The pool holds ``negative_pool`` corpus tokens, each drawn evenly by a hash of seed, shard and place. So a shard needs
-    the vectors of its own text and of its pool, not of the whole vocabulary.
+    The pool holds ``negative_pool`` corpus tokens, each drawn by a hash of seed, shard and place: evenly, or by
+    ``n ^ negative_power`` if that is set, with ``corpus`` ``(token, n)``. So a shard needs the vectors of its own text and of
+    its pool, not of the whole vocabulary.
     """
     own = segments.select("shard", F.explode(F.array_distinct("tokens")).alias("token")).distinct()
-    ranked = running_offsets(corpus, ["token"]).withColumnRenamed("offset", "_rank")
     places = F.explode(F.sequence(F.lit(0), F.lit(params.negative_pool - 1))).alias("place")
-    drawn = segments.select("shard").distinct().select("shard", places).withColumn(
-        "_rank", draw_below(max(corpus.count(), 1), params.seed, F.col("shard"), F.col("place")))
-    pool = drawn.join(ranked, "_rank").select("shard", "place", "token")
-    return own.select("shard", F.lit(None).cast("int").alias("place"), "token").union(pool)
+    asked = segments.select("shard").distinct().select("shard", places)
+    key = [params.seed, F.col("shard"), F.col("place")]
+    if params.negative_power:
+        drawn = draw_tokens(asked, weighted_tokens(corpus, params.negative_power), "token", *key)
+    else:
+        ranked = running_offsets(corpus.select("token"), ["token"]).withColumnRenamed("offset", "_rank")
+        drawn = asked.withColumn("_rank", draw_below(max(corpus.count(), 1), *key)).join(ranked, "_rank")
+    return own.select("shard", F.lit(None).cast("int").alias("place"), "token").union(drawn.select("shard", "place", "token"))
 
 
 def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> TrainedEmbeddings:
@@ -108,10 +113,11 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     ship_package(spark)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     segments = write_bucketed(training_segments(sequences, keys, params), "segments", "shard", tasks)
-    corpus = write_table(distinct_tokens(sequences), "corpus")
+    tokens = count_tokens(sequences) if params.negative_power else distinct_tokens(sequences)
+    corpus = write_table(tokens, "corpus")
     needs = write_table(needed_tokens(segments, corpus, params), "needs")
     tables = Rotation(spark, "round")
-    current = tables.write(init_embeddings(corpus, params.embedding_dim, params.seed))
+    current = tables.write(init_embeddings(corpus.select("token"), params.embedding_dim, params.seed))
     sums = Rotation(spark, "means")
 
     result = TrainedEmbeddings(current)

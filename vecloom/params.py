@@ -11,6 +11,7 @@ class Params:
 
     The first eleven are fixed values: a run with the defaults shards, windows and trains as users of
     the job configuration expect. The others belong to this engine.
+    ``negative_power`` is the power of a token's count by which it is drawn as a negative; at 0 all are drawn alike.
     """
 
     num_shards: int = 20
@@ -33,3 +34,4 @@ class Params:
     negative_pool: int = 1024
     seed: int = 17
     round_robin: bool = False
+    negative_power: float = 0.0

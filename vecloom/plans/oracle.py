@@ -7,7 +7,7 @@ the SQL joins, sorts and numbers in the plain way.
 from __future__ import annotations
 
 from vecloom.params import Params
-from vecloom.plans.queries import STEPS
+from vecloom.plans.queries import STEPS, WEIGHT_POWER
 
 _P = Params()
 _FULL = _P.vocab_size
@@ -34,6 +34,21 @@ def _draw(limit: int | str, *parts: str) -> str:
     return f"CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % {limit}"
 
 
+def _draw_wide(limit: int | str, *parts: str) -> str:
+    key = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT) % {limit}"
+
+
+def _spans(sequences: str = "sequences") -> str:
+    """``spans (token, start, "end")``: the tokens' stretches of the summed weights, in the order of the tokens."""
+    assert WEIGHT_POWER == 0.75
+    return f"""
+  used_counts AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM {sequences}) GROUP BY token),
+  weights AS (SELECT token, greatest(CAST(floor(sqrt(CAST(n AS DOUBLE)) * sqrt(sqrt(CAST(n AS DOUBLE))) * 1024) AS BIGINT), 1) AS w FROM used_counts),
+  spans AS (SELECT token, CAST(sum(w) OVER (ORDER BY token) - w AS BIGINT) AS start, CAST(sum(w) OVER (ORDER BY token) AS BIGINT) AS "end" FROM weights),
+  weight AS (SELECT max("end") AS total FROM spans)"""
+
+
 def _piece_ids(column: str, vocab_size: int | str) -> str:
     hashed = f"CAST('0x' || substr(md5(q), 1, 8) AS BIGINT) % {vocab_size}"
     return f"list_transform(regexp_extract_all({column}, {_PIECE}), lambda q: CAST({hashed} AS INTEGER))"
@@ -87,7 +102,6 @@ _SCORED = """,
     FROM triples t JOIN start a ON t.c = a.token JOIN start b ON t.o = b.token JOIN start d ON t.n = d.token)"""
 
 _STEP_INPUTS = _triples(_sequences(_FULL), _FULL) + _SCORED
-_FOLDED_INPUTS = _triples(_FOLDED, "(SELECT nv FROM size)") + _SCORED
 
 _SUMS = """,
   pulls AS (SELECT *, 1 / (1 + exp(-near)) - 1 AS g, 1 / (1 + exp(-far)) AS h FROM scored),
@@ -105,16 +119,21 @@ _MOVED = f""",
 _GRADIENT = _STEP_INPUTS + _SUMS
 _STEP = _GRADIENT + _MOVED
 
+_DRAWN_EVENLY = f"""
+  ranked AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS rank FROM corpus),
+  drawn AS (SELECT shard, place, {_draw('(SELECT count(*) FROM corpus)', str(STEPS.seed), 'shard', 'place')} AS rank FROM places),
+  pool AS (SELECT shard, place, token AS n FROM drawn JOIN ranked USING (rank)),"""
+_DRAWN_BY_WEIGHT = _spans() + f""",
+  drawn AS (SELECT shard, place, {_draw_wide('(SELECT total FROM weight)', str(STEPS.seed), 'shard', 'place')} AS d FROM places),
+  pool AS (SELECT shard, place, token AS n FROM drawn ASOF JOIN spans ON d >= start),"""
+
 # training in rounds: shards of windows in a row, each with a pool of negatives, one full step per shard and round
 _SHARD_TRIPLES = _sequences(_FULL) + "," + _windows("sequences", "doc_id") + f""",
   counted AS (SELECT doc_id, count(*) AS n FROM windows GROUP BY doc_id),
   begun AS (SELECT doc_id, CAST(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS base FROM counted),
   placed AS (SELECT base + win_no AS win, (base + win_no) // {STEPS.windows_per_shard} AS shard, "window" FROM windows JOIN begun USING (doc_id)),
   corpus AS (SELECT DISTINCT unnest(tokens) AS token FROM sequences),
-  ranked AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS rank FROM corpus),
-  places AS (SELECT shard, unnest(range(0, {STEPS.negative_pool})) AS place FROM (SELECT DISTINCT shard FROM placed)),
-  drawn AS (SELECT shard, place, {_draw('(SELECT count(*) FROM corpus)', str(STEPS.seed), 'shard', 'place')} AS rank FROM places),
-  pool AS (SELECT shard, place, token AS n FROM drawn JOIN ranked USING (rank)),
+  places AS (SELECT shard, unnest(range(0, {STEPS.negative_pool})) AS place FROM (SELECT DISTINCT shard FROM placed)),{_DRAWN_EVENLY}
   links AS (SELECT shard, win, unnest(range(0, len("window") - 1)) AS p, "window" FROM placed WHERE len("window") > 1),
   pairs AS (SELECT shard, "window"[p + 1] AS c, "window"[p + 2] AS o, (win * {STEPS.window_size} + p) % {STEPS.negative_pool} AS place FROM links),
   triples AS (SELECT shard, c, o, n FROM pairs JOIN pool USING (shard, place)),
@@ -151,6 +170,9 @@ def _round(number: int) -> str:
 
 
 _TIDY = "round({0}, 6) + 0.0"
+_LOSSES = f"WITH {_SHARD_TRIPLES + _round(0) + _round(1) + _scores(2)} " + " UNION ALL ".join(
+    f"""SELECT CAST({i} AS BIGINT) AS round, {_TIDY.format(f'CAST({_rate(i)} AS DOUBLE)')} AS rate,
+        {_TIDY.format('avg(ln(1 + exp(-near)) + ln(1 + exp(far)))')} AS loss, false AS stopped FROM scored{i}""" for i in range(3))
 
 
 def _top(source: str) -> str:
@@ -280,16 +302,13 @@ ORACLE: dict[str, str] = {
     "sgns_gradient": f"""WITH {_GRADIENT}
         SELECT token, CAST(dim AS BIGINT) AS dim, {_TIDY.format('x')} AS x FROM gradient""",
     "sgns_step": f"WITH {_STEP} SELECT token, CAST(dim AS BIGINT) AS dim, {_TIDY.format('x')} AS x FROM step",
-    "piece_neighbours": f"""WITH {_FOLDED_INPUTS + _SUMS + _MOVED},
-        moved AS (SELECT token, list(x ORDER BY dim) AS v FROM step GROUP BY token), {_top('moved')}
-        SELECT token, rank, neighbour, sim FROM top""",
 }
 ORACLE["parse_embeddings_strict"] = ORACLE["parse_embeddings"].replace("range(2)", "range(3)")
 ORACLE |= {
     "lookup_occurrences": f"""WITH {_FOLDED},
-        flat AS (SELECT doc_id, unnest(tokens) AS token FROM sequences)
-        SELECT doc_id, count(*) AS n, {', '.join(f"round(sum(CAST(embedding[{i + 1}] AS DOUBLE)), 6) + 0.0 AS x{i}" for i in range(4))}
-        FROM flat JOIN embeddings ON vec_id = token GROUP BY doc_id""",
+        flat AS (SELECT doc_id, unnest(tokens) AS token FROM sequences),
+        cells AS (SELECT doc_id, {_DIMS.format('embedding')} FROM flat JOIN embeddings ON vec_id = token)
+        SELECT doc_id, count(*) AS n, dim, {_TIDY.format('avg(CAST(x AS DOUBLE))')} AS x FROM cells GROUP BY doc_id, dim""",
     "lookup_occurrence_sums": f"""WITH {_FOLDED},
         flat AS (SELECT doc_id, unnest(tokens) AS token FROM sequences),
         cells AS (SELECT doc_id, {_DIMS.format('embedding')} FROM flat JOIN embeddings ON vec_id = token)
@@ -303,7 +322,12 @@ ORACLE |= {
     "train_two_rounds": f"""WITH {_SHARD_TRIPLES + _round(0) + _round(1)},
         final AS (SELECT token, {_DIMS.format('v')} FROM table2)
         SELECT token, dim, {_TIDY.format('x')} AS x FROM final""",
-    "train_losses": f"WITH {_SHARD_TRIPLES + _round(0) + _round(1) + _scores(2)} " + " UNION ALL ".join(
-        f"""SELECT CAST({i} AS BIGINT) AS round, {_TIDY.format(f'CAST({_rate(i)} AS DOUBLE)')} AS rate,
-            {_TIDY.format('avg(ln(1 + exp(-near)) + ln(1 + exp(far)))')} AS loss, false AS stopped FROM scored{i}""" for i in range(3)),
+    "nline_corpus": f"""WITH {_NUMBERED}
+        SELECT line_no // {_P.lines_per_split} AS split, CAST(line_no % {_P.lines_per_split} AS INTEGER) AS place, line FROM numbered""",
+    "train_losses": _LOSSES,
+    "train_losses_weighted": _LOSSES.replace(_DRAWN_EVENLY, _DRAWN_BY_WEIGHT),
+    "token_spans": f"""WITH {_sequences(_FULL)}, {_spans()} SELECT token, start, "end" FROM spans""",
+    "negative_samples_weighted": f"""WITH {_pairs(_sequences(_FULL))}, {_spans()},
+        draws AS (SELECT *, {_draw_wide('(SELECT total FROM weight)', str(_P.seed), 'doc_id', 'win_no', 'pair_no')} AS d FROM pairs)
+        SELECT doc_id, win_no, pair_no, c, o, s.token AS n FROM draws ASOF JOIN spans s ON d >= s.start""",
 }

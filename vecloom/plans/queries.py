@@ -15,11 +15,12 @@ from vecloom.functions.text import piece_ids_of, pieces_of
 from vecloom.functions.vector import combine_vectors, dot, fixed_text, norm, tidy
 from vecloom.operators import embeddings as emb
 from vecloom.operators import lines as ln
-from vecloom.operators import sgns, similarity, tokens, windows
+from vecloom.operators import negatives, sgns, similarity, tokens, windows
 from vecloom.operators.training import train_embeddings
 from vecloom.params import Params
 from vecloom.plans import neighbours as plan
 from vecloom.session import new_path, write_table
+from vecloom.sources.line_splits import nline_corpus
 from vecloom.sources.sinks import merge_part_files, write_text
 from vecloom.sources.tables import read_table
 from vecloom.sources.text_files import numbered_corpus
@@ -30,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params()
 #: The length of the vectors in the table ``embeddings``.
 VECTOR_WIDTH = 64
+#: The power of a token's count by which it is drawn as a negative.
+WEIGHT_POWER = 0.75
 #: Two rounds that SQL can follow: one full step per shard, and a learning rate that falls between the rounds.
 STEPS = Params(epochs=1, rounds=2, windows_per_shard=500, batch_pairs=2**31, decay_steps=1, decay_rate=0.5, negative_pool=64)
 
@@ -132,6 +135,13 @@ def line_splits(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))
 
 
+def nline_corpus_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus as text files, read in splits of so many lines, each a partition of its own."""
+    path = new_path(spark, "lines")
+    write_text(_numbered(spark, folder).withColumnRenamed("line", "value"), path, ["line_no"])
+    return nline_corpus(spark, path, PARAMS.lines_per_split, "part-*")
+
+
 def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
     return ln.corpus_stats(_documents(spark, folder), PARAMS.vocab_size)
 
@@ -278,6 +288,17 @@ def negative_samples(spark: SparkSession, folder: str) -> DataFrame:
         _pairs(spark, folder, PARAMS.vocab_size), ["doc_id", "win_no", "pair_no"], PARAMS.vocab_size, PARAMS.seed)
 
 
+def token_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every token with its stretch of the cumulative weights by which negatives are drawn."""
+    return negatives.weighted_tokens(tokens.count_tokens(_sequences(spark, folder, PARAMS.vocab_size)), WEIGHT_POWER).spans
+
+
+def negative_samples_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    weighted = negatives.weighted_tokens(tokens.count_tokens(_sequences(spark, folder, PARAMS.vocab_size)), WEIGHT_POWER)
+    return negatives.negative_samples_weighted(
+        _pairs(spark, folder, PARAMS.vocab_size), ["doc_id", "win_no", "pair_no"], weighted, PARAMS.seed)
+
+
 # vectors ------------------------------------------------------------------------------------------------------
 
 
@@ -325,9 +346,11 @@ def lookup_occurrence_sums(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lookup_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    """How many occurrences have a vector, and elements 0 to 3 of their sum; :func:`lookup_occurrence_sums` has all elements."""
-    return _occurrences(spark, folder).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), *[
-        tidy(F.sum(F.get("embedding", F.lit(i)).cast("double"))).alias(f"x{i}") for i in range(4)])
+    """How many occurrences of a document have a vector, beside all elements of their mean."""
+    found = _occurrences(spark, folder).withColumn("n", F.lit(1).cast("long"))
+    counts = write_table(found.groupBy("doc_id").agg(F.sum("n").alias("n")), "counts")
+    means = combine_vectors(found, ["doc_id"], "embedding", VECTOR_WIDTH, how="mean")
+    return _elements(means.join(counts, "doc_id"), ["doc_id", "n"], "embedding")
 
 
 def unknown_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -400,29 +423,33 @@ def sgns_step(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(moved, ["token"], "embedding")
 
 
-def vocabulary_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+def piece_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """Text to nearest neighbours over the whole vocabulary. It has no SQL, which would have to compare all ids with all."""
     return plan.one_step_neighbours(_sequences(spark, folder, PARAMS.vocab_size), ["doc_id"], PARAMS)
 
 
-def piece_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    """:func:`vocabulary_neighbours` in the size that its SQL can follow: words are folded into as many ids as the table
-    ``embeddings`` has rows, so different words share ids. It checks the steps; it is not the whole job."""
-    params = replace(PARAMS, vocab_size=_vector_count(spark, folder))
-    return plan.one_step_neighbours(_sequences(spark, folder, params.vocab_size), ["doc_id"], params)
-
-
-def _steps(spark: SparkSession, folder: str):
-    sequences = write_table(_sequences(spark, folder, STEPS.vocab_size), "sequences")
-    return train_embeddings(sequences, ["doc_id"], STEPS)
+def _steps(spark: SparkSession, folder: str, params: Params = STEPS):
+    sequences = write_table(_sequences(spark, folder, params.vocab_size), "sequences")
+    return train_embeddings(sequences, ["doc_id"], params)
 
 
 def train_two_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rounds with the settings ``STEPS``, which SQL can follow; ``train_embeddings`` has the full settings."""
     return _elements(_steps(spark, folder).embeddings, ["token"], "embedding")
 
 
+def _losses(spark: SparkSession, folder: str, params: Params) -> DataFrame:
+    return _steps(spark, folder, params).history(spark).select("round", tidy(F.col("rate")).alias("rate"), tidy(F.col("loss")).alias("loss"), "stopped")
+
+
 def train_losses(spark: SparkSession, folder: str) -> DataFrame:
-    return _steps(spark, folder).history(spark).select("round", tidy(F.col("rate")).alias("rate"), tidy(F.col("loss")).alias("loss"), "stopped")
+    """The losses of :func:`train_two_rounds`, with its small settings."""
+    return _losses(spark, folder, STEPS)
+
+
+def train_losses_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`train_losses` with negatives drawn by weight."""
+    return _losses(spark, folder, replace(STEPS, negative_power=WEIGHT_POWER))
 
 
 def _trained(spark: SparkSession, folder: str, params: Params) -> DataFrame:
@@ -449,12 +476,13 @@ QUERIES: dict[str, Query] = {
         split_words, piece_frequency, piece_vocabulary, format_word_counts, merged_word_counts, concat_by_line,
         parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
         word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
-        shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples,
+        shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples, token_spans, negative_samples_weighted,
         parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences, lookup_occurrence_sums,
         unknown_tokens, mean_embeddings, vector_dot, vector_norm, cosine_pairs, top_k_similar, narrow_scores,
         format_neighbours,
-        init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses,
+        init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses, train_losses_weighted,
         token_neighbours)
 }
+QUERIES["nline_corpus"] = nline_corpus_query
 QUERIES["train_embeddings"] = train_embeddings_query
 QUERIES["train_round_robin"] = train_round_robin

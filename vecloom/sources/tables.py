@@ -12,9 +12,23 @@ def read_table(spark: SparkSession, folder: str, name: str, columns: list[str],
 
 
 def spread(df: DataFrame, column: str) -> DataFrame:
-    """Deal an input of fewer splits than cores over the cores, by a column of unique values.
+    """Deal the rows of a file of one split over the cores, by a column of unique values.
 
-    A small file gives few tasks, however many cores wait. An input of at least one split per core stays as it lies.
+    A small file gives one task, however many cores wait. That is judged by the table's files alone, not by how the session
+    would plan to read them: an input of more than one split, or of several files, stays as it lies.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, column) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if len(files) != 1:
+        return df
+    size = spark.read.format("binaryFile").load(files[0]).select("length").first()[0]
+    if size > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        return df
+    return df.repartition(2 * spark.sparkContext.defaultParallelism, column)
+
+
+def _bytes(setting: str) -> int:
+    """A size setting in bytes, as ``134217728b``, ``128m`` or ``1g``."""
+    number = setting.lower().removesuffix("b")
+    power = "kmgt".find(number[-1]) + 1
+    return int(number[:-1] if power else number) << (10 * power)
