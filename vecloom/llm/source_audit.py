@@ -27,7 +27,7 @@ MOST_TERMS = 50
 #: Text whose pointers are sorted at once. One longer text is a slice by itself.
 SHARD_BYTES = 8 << 20
 #: Sources of one side of a tile, counts behind one shard of the terms, and terms laid out as a matrix at once.
-TILE_SOURCES, SHARD_CELLS, COLUMNS = 256, 500_000, 4096
+TILE_SOURCES, SHARD_CELLS, COLUMNS = 256, 100_000, 4096
 #: A table of groups of up to so many bytes is broadcast.
 GROUP_BYTES = 64 << 20
 
@@ -163,7 +163,8 @@ def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def tile_distances(tile: pa.Table) -> pa.Table:
-    """For each pair of sources ``a < b`` of a tile, the summed differences of their shares of the terms of one shard.
+    """For each pair of sources ``a < b`` of a tile, by how much their shares of the terms of one shard differ in sum, beyond
+    what they would if they lacked all these terms.
 
     Rows without a term bring the sources themselves, their tile and the share ``p`` of the terms they lack.
     """
@@ -180,7 +181,7 @@ def tile_distances(tile: pa.Table) -> pa.Table:
     column, p = column.indices.to_numpy(zero_copy_only=False), p[~bare]
     by_column = np.argsort(column, kind="stable")
     bounds = np.searchsorted(column[by_column], np.arange(0, width + COLUMNS, COLUMNS))
-    value = np.zeros((len(here), len(there)), np.int64)
+    value = -width * np.abs(base[here][:, None] - base[there])
     for block in range(-(-width // COLUMNS)):
         some = by_column[bounds[block]:bounds[block + 1]]
         matrix = np.repeat(base[:, None], min(COLUMNS, width - block * COLUMNS), axis=1)
@@ -188,9 +189,6 @@ def tile_distances(tile: pa.Table) -> pa.Table:
         far = matrix[there]
         for i, a in enumerate(here):
             value[i] += np.abs(far - matrix[a]).sum(axis=1)
-    missing = tile["missing"][0].as_py()
-    if missing is not None:  # the terms that no source of the tile has, told by one shard for all
-        value += missing * np.abs(base[here][:, None] - base[there])
     a, b = np.repeat(idx[here], len(there)), np.tile(idx[there], len(here))
     keep = a < b if low == tile["high"][0].as_py() else np.ones(len(a), bool)
     return pa.table({"lang": pa.array([tile["lang"][0].as_py()] * int(keep.sum()), pa.string()), "a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep],
@@ -217,17 +215,13 @@ def source_distances(scored: DataFrame, groups: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("term"), F.col("base").alias("p"))
     flat_ = ["lang", "_at.low", "_at.high", "shard", "idx", "tile", "term", "p"]
     both = cells.select(*flat_).unionByName(bare.select(*flat_))
-    # a term that the tile's sources lack is no column of its matrix; how many there are is known per language and tile
-    present = cells.select("lang", "_at", "term").distinct().select("lang", "_at.low", "_at.high").groupBy("lang", "low", "high").agg(F.count(F.lit(1)).alias("_seen"))
-    held = sides.select("lang", F.explode(mates).alias("_at"), "terms").distinct().select("lang", "_at.low", "_at.high", "terms")
-    missing = held.join(present, ["lang", "low", "high"], "left").select(
-        "lang", "low", "high", F.lit(0).alias("shard"), (F.col("terms") - F.coalesce("_seen", F.lit(0))).alias("missing"))
-    partial = both.join(missing, ["lang", "low", "high", "shard"], "left").groupBy("lang", "low", "high", "shard").applyInArrow(tile_distances, _DISTANCES)
+    partial = both.groupBy("lang", "low", "high", "shard").applyInArrow(tile_distances, _DISTANCES)
     pairs = write_table(partial.groupBy("lang", "a", "b").agg(F.sum("value").alias("value")), "distances")
     ways = pairs.unionByName(pairs.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
-    name = numbered.select("lang", "source", "idx")
-    return ways.join(name.select("lang", "source", F.col("idx").alias("a")), ["lang", "a"]).join(
-        name.select("lang", F.col("source").alias("other"), F.col("idx").alias("b")), ["lang", "b"]).select("lang", "source", "other", "value")
+    here = numbered.select("lang", "source", F.col("idx").alias("a"), F.col("base").alias("_base"), "terms")
+    there = numbered.select("lang", F.col("source").alias("other"), F.col("idx").alias("b"), F.col("base").alias("_other_base"))
+    lacking = F.col("terms") * F.abs(F.col("_base") - F.col("_other_base"))
+    return ways.join(here, ["lang", "a"]).join(there, ["lang", "b"]).select("lang", "source", "other", (F.col("value") + lacking).alias("value"))
 
 
 def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, most: int | None = MOST_TERMS) -> DataFrame:
