@@ -14,6 +14,18 @@ WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 #: look-ahead, so other engines' regular expressions read it alike.
 PIECE = r" ?\p{L}+| ?\p{N}{1,3}| ?[^\s\p{L}\p{N}]+"
 
+#: Why a parser drops a row.
+NO_VALUE, NO_TAB, NO_NUMBER, NO_TOKENS, NO_PAIR, NO_VECTOR = (
+    "no value", "no tab", "not a number", "no tokens", "not two fields", "not a vector")
+
+
+def rejected(*grounds: tuple[Column, str]) -> Column:
+    """The column ``reason``: what the first ground that holds is called, NULL if none does."""
+    reason = F.lit(None).cast("string")
+    for holds, name in reversed(grounds):
+        reason = F.when(holds, name).otherwise(reason)
+    return reason.alias("reason")
+
 
 def lines_of(text: Column) -> Column:
     """The lines of a text. A line end closes a line, so none follows the last one; no text, no line."""

@@ -6,13 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.hashing import draw_unit
-from vecloom.functions.text import float_list, must_cast, pair_field, stripped
+from vecloom.functions.text import NO_NUMBER, NO_PAIR, NO_VALUE, NO_VECTOR, float_list, must_cast, pair_field, rejected, stripped
 from vecloom.functions.vector import combine_vectors, exact_text, fixed_text
 
 #: Over how many copies of its vector a frequent token's occurrences are spread.
 LOOKUP_SALTS = 32
 
 
+def judge_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str = "value", strict: bool = False) -> DataFrame:
+    """``(keep..., value, reason, token, embedding)`` for every row; ``reason`` says why :func:`parse_embeddings` drops it, or is NULL."""
+    keep = keep or []
+    text = F.col(value)
+    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
+    fields = rows.select(*keep, text.alias("value"), (F.split(stripped(text), "\t") if strict else F.split(text, r"\s+", 2)).alias("_f"))
+    if strict:
+        token, vector = must_cast(first, "int"), F.transform(float_list(rest), lambda x: must_cast(x, "float"))
+    else:
+        token, vector = F.trim(first).try_cast("int"), _floats(rest)
+    read = fields.select(*keep, "value", "_f", token.alias("token"), vector.alias("embedding"))
+    pair = (F.col("value").isNull(), NO_VALUE), (F.size("_f") != 2, NO_PAIR)
+    unread = () if strict else ((F.col("token").isNull(), NO_NUMBER), (~_readable(F.col("embedding")), NO_VECTOR))
+    return read.select(*keep, "value", rejected(*pair, *unread), "token", "embedding")
+
+
 def parse_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str = "value", strict: bool = False) -> DataFrame:
     """``(keep..., token, embedding)`` from ``id TAB [f,f,...]``.
 
@@ -21,22 +37,18 @@ def parse_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str
     Lenient: id and vector may be parted by any blanks, and every row that cannot be read is dropped, as is one that
     begins with a blank.
     """
-    keep = keep or []
-    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
-    if strict:
-        fields = rows.select(*keep, F.split(stripped(F.col(value)), "\t").alias("_f")).where(F.size("_f") == 2)
-        return fields.select(
-            *keep, must_cast(first, "int").alias("token"),
-            F.transform(float_list(rest), lambda x: must_cast(x, "float")).alias("embedding"))
-    fields = rows.select(*keep, F.split(F.col(value), r"\s+", 2).alias("_f")).where(F.size("_f") == 2)
-    read = fields.select(
-        *keep, F.trim(first).try_cast("int").alias("token"), _floats(rest).alias("embedding"))
-    return read.where(F.col("token").isNotNull() & _readable(F.col("embedding")))
+    return judge_embeddings(rows, keep, value, strict).where(F.col("reason").isNull()).select(*(keep or []), "token", "embedding")
+
+
+def judge_vectors(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``(keys..., value, reason, embedding)`` for every row; ``reason`` says why :func:`parse_vectors` drops it, or is NULL."""
+    read = rows.select(*keys, F.col(value).alias("value"), _floats(F.col(value)).alias("embedding"))
+    return read.select(*keys, "value", rejected((F.col("value").isNull(), NO_VALUE), (~_readable(F.col("embedding")), NO_VECTOR)), "embedding")
 
 
 def parse_vectors(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``(keys..., embedding)`` from ``[f,f,...]``; rows with a bad number are dropped, so no mean counts them."""
-    return rows.select(*keys, _floats(F.col(value)).alias("embedding")).where(_readable(F.col("embedding")))
+    return judge_vectors(rows, keys, value).where(F.col("reason").isNull()).select(*keys, "embedding")
 
 
 def _floats(text: Column) -> Column:

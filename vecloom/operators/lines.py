@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.text import lines_of, must_cast, pair_field, piece_ids_of, pieces_of, whole_numbers, whole_part, words_of
+from vecloom.functions.text import (
+    NO_NUMBER, NO_TAB, NO_TOKENS, NO_VALUE, lines_of, must_cast, pair_field, piece_ids_of, pieces_of, rejected, whole_numbers, whole_part, words_of)
 from vecloom.operators.ordinal import running_offsets, with_offset, with_ordinal
 from vecloom.session import write_table
 
@@ -98,15 +99,32 @@ def corpus_stats(documents: DataFrame, vocab_size: int) -> DataFrame:
         (F.max("largest") + 1).cast("bigint").alias("vocab_size"))
 
 
+def judge_numbered_lines(rows: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+    """``(value, reason, line_no, line)`` for every row; ``reason`` says why :func:`parse_numbered_lines` drops it, or is NULL."""
+    fields = rows.select(F.col(value).alias("value"), F.split(F.col(value), "\t", 2).alias("_f"))
+    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
+    number = must_cast(first, "bigint") if strict else first.try_cast("bigint")
+    read = fields.select("value", "_f", number.alias("line_no"), rest.alias("line"))
+    return read.select("value", rejected((F.col("value").isNull(), NO_VALUE), (F.size("_f") != 2, NO_TAB), (F.col("line_no").isNull(), NO_NUMBER)), "line_no", "line")
+
+
 def parse_numbered_lines(rows: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
     """``(line_no, line)`` from ``number TAB text``; later tabs stay in the text.
 
     Rows without a tab are dropped. A number that cannot be read drops the row, or fails the job if strict.
     """
-    fields = rows.select(F.split(F.col(value), "\t", 2).alias("_f")).where(F.size("_f") == 2)
+    return judge_numbered_lines(rows, value, strict).where(F.col("reason").isNull()).select("line_no", "line")
+
+
+def judge_token_lines(rows: DataFrame, value: str = "value") -> DataFrame:
+    """``(value, reason, line_no, tokens, skipped)`` for every row; ``reason`` says why :func:`parse_token_lines` drops it, or is
+    NULL, and ``skipped`` counts the words of a row that are no ids."""
+    fields = rows.select(F.col(value).alias("value"), F.split(F.col(value), "\t", 2).alias("_f"))
     first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
-    number = must_cast(first, "bigint") if strict else first.try_cast("bigint")
-    return fields.select(number.alias("line_no"), rest.alias("line")).where(F.col("line_no").isNotNull())
+    words = words_of(rest)
+    read = fields.select("value", "_f", first.try_cast("bigint").alias("line_no"), rest.alias("_rest"), whole_numbers(words).alias("tokens"), F.size(words).alias("_words"))
+    reason = rejected((F.col("value").isNull(), NO_VALUE), (F.size("_f") != 2, NO_TAB), (F.trim("_rest") == "", NO_TOKENS), (F.col("line_no").isNull(), NO_NUMBER))
+    return read.select("value", reason, "line_no", "tokens", (F.col("_words") - F.size("tokens")).cast("bigint").alias("skipped"))
 
 
 def parse_token_lines(rows: DataFrame, value: str = "value") -> DataFrame:
@@ -115,10 +133,7 @@ def parse_token_lines(rows: DataFrame, value: str = "value") -> DataFrame:
     Rows without a tab or with a blank list are dropped; a token that is no 32-bit whole number is skipped
     and the rest of its line kept.
     """
-    fields = rows.select(F.split(F.col(value), "\t", 2).alias("_f")).where(F.size("_f") == 2)
-    first, rest = (pair_field(F.col("_f"), place) for place in (0, 1))
-    return fields.where(F.trim(rest) != "").select(
-        first.try_cast("bigint").alias("line_no"), whole_numbers(words_of(rest)).alias("tokens")).where(F.col("line_no").isNotNull())
+    return judge_token_lines(rows, value).where(F.col("reason").isNull()).select("line_no", "tokens")
 
 
 def parse_token_shard(rows: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -131,13 +146,21 @@ def format_numbered_lines(numbered: DataFrame) -> DataFrame:
     return numbered.select("line_no", F.concat_ws("\t", F.col("line_no").cast("string"), "line").alias("value"))
 
 
+def token_line_text() -> Column:
+    """``number TAB id id id`` of ``(line_no, tokens)``."""
+    return F.concat_ws("\t", F.col("line_no").cast("string"), F.array_join(F.col("tokens").cast("array<string>"), " "))
+
+
 def format_token_lines(tokenised: DataFrame) -> DataFrame:
     """``(line_no, value)``: ``number TAB id id id``."""
-    ids = F.array_join(F.col("tokens").cast("array<string>"), " ")
-    return tokenised.select("line_no", F.concat_ws("\t", F.col("line_no").cast("string"), ids).alias("value"))
+    return tokenised.select("line_no", token_line_text().alias("value"))
+
+
+def word_count_text() -> Column:
+    """``text n id`` of ``(token, text, n)``."""
+    return F.concat_ws(" ", "text", F.col("n").cast("string"), F.col("token").cast("string"))
 
 
 def format_word_counts(counts: DataFrame) -> DataFrame:
     """``(token, value)``: ``text n id`` from ``(token, text, n)``."""
-    return counts.select("token", F.concat_ws(
-        " ", "text", F.col("n").cast("string"), F.col("token").cast("string")).alias("value"))
+    return counts.select("token", word_count_text().alias("value"))

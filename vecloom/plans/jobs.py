@@ -1,6 +1,6 @@
 """The stages as jobs from folder to folder, with text files between them, and the run of all of them.
 
-    python -m vecloom.plans.jobs STAGE FOLDER... [--settings FILE] [--set NAME=VALUE]... [--vocabulary RANK_FILE]
+    python -m vecloom.plans.jobs STAGE FOLDER... [--settings FILE] [--set NAME=VALUE]... [--vocabulary RANK_FILE] [--rejected FOLDER]
 
     word-frequency INPUT OUTPUT
     shard-lines    INPUT OUTPUT
@@ -13,12 +13,15 @@
 
 ``--settings`` names a file of ``name=value`` lines (blank lines and those from # on do not count) with any fields of
 ``Params``, and ``--set`` gives single ones, which win; the vocabulary size is that of the rank file unless it is set. A job replaces
-its output. A missing input, or any failure, stops the run with Spark's error.
+its output. A missing input, or any failure, stops the run with Spark's error. Each stage but merge prints its counts as JSON:
+lines, tokens, rows read and rejected, taken while the results are written. Rows that cannot be read go to the folder
+``--rejected``, as ``reason TAB row``.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from collections.abc import Sequence
 from dataclasses import fields, replace
@@ -26,16 +29,16 @@ from dataclasses import fields, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.operators.embeddings import dedupe_embeddings, format_embeddings, parse_embeddings
-from vecloom.operators.lines import (
-    format_token_lines, format_word_counts, parse_numbered_lines, parse_token_lines, parse_token_shard, shard_lines)
+from vecloom.operators.accounts import Judged, set_apart
+from vecloom.operators.embeddings import dedupe_embeddings, format_embeddings, judge_embeddings
+from vecloom.operators.lines import judge_numbered_lines, judge_token_lines, parse_token_shard, shard_lines, token_line_text, word_count_text
 from vecloom.operators.similarity import format_neighbours, top_k_similar
 from vecloom.operators.tokens import shard_texts, shard_tokens, token_stream, tokenize_lines, word_frequency
 from vecloom.operators.training import train_embeddings
 from vecloom.params import Params
 from vecloom.plans.neighbours import name_neighbours
-from vecloom.session import write_table
-from vecloom.sources.sinks import merge_part_files, write_shards, write_text
+from vecloom.session import new_path, write_table
+from vecloom.sources.sinks import merge_part_files, write_parquet, write_rejected, write_shards, write_text
 from vecloom.sources.text_files import corpus_lines, numbered_corpus
 from vecloom.sources.vocabulary import Vocabulary, vocabulary_size, vocabulary_table
 
@@ -44,63 +47,92 @@ def _values(spark: SparkSession, source: str) -> DataFrame:
     return corpus_lines(spark, source).withColumnRenamed("line", "value")
 
 
-def word_frequency_job(spark: SparkSession, source: str, target: str, vocabulary: Vocabulary) -> None:
-    """Corpus files to ``text n id`` lines, by id."""
+def _apart(judged: DataFrame, rejected: str | None) -> Judged:
+    """Rows that can be read, and where asked for the others as files in the folder ``rejected``."""
+    found = set_apart(judged)
+    if rejected:
+        write_rejected(found.rejected, rejected)
+    return found
+
+
+def _counts(found: Judged) -> dict[str, int]:
+    return {"read": found.counts["read"], "rejected": found.counts["rejected"]}
+
+
+def word_frequency_job(spark: SparkSession, source: str, target: str, vocabulary: Vocabulary) -> dict[str, int]:
+    """Corpus files to ``text n id`` lines, by id. Counts the tokens and the distinct ones."""
     counts = write_table(word_frequency(corpus_lines(spark, source), vocabulary), "counts")  # ordering reads it twice
-    write_text(format_word_counts(counts), target, ["token"])
+    return write_text(counts.select("token", "n", word_count_text().alias("value")), target, ["token"],
+                      {"tokens": F.sum("n"), "distinct": F.count(F.lit(1))})
 
 
-def shard_lines_job(spark: SparkSession, source: str, target: str, params: Params) -> None:
-    """Corpus files to ``number TAB line`` files in ``shard=i`` folders."""
+def shard_lines_job(spark: SparkSession, source: str, target: str, params: Params) -> dict[str, int]:
+    """Corpus files to ``number TAB line`` files in ``shard=i`` folders. Counts the lines."""
     dealt = shard_lines(numbered_corpus(spark, source), params.num_shards)
     text = F.concat_ws("\t", F.col("line_no").cast("string"), "line")
-    write_shards(dealt.select("shard", "line_no", text.alias("value")), target, "line_no")
+    return write_shards(dealt.select("shard", "line_no", text.alias("value")), target, "line_no", {"lines": F.count(F.lit(1))})
+
 
+def tokenize_job(spark: SparkSession, source: str, target: str, vocabulary: Vocabulary, rejected: str | None = None) -> dict[str, int]:
+    """``number TAB line`` files to ``number TAB id id`` lines, in line order. Counts lines, tokens, and rows read and rejected."""
+    found = _apart(judge_numbered_lines(_values(spark, source), strict=True), rejected)
+    ordered = found.kept.repartitionByRange("line_no").sortWithinPartitions("line_no")
+    tokenised = tokenize_lines(ordered, vocabulary)
+    return _counts(found) | write_text(tokenised.select("tokens", token_line_text().alias("value")), target,
+                                       counts={"lines": F.count(F.lit(1)), "tokens": F.sum(F.size("tokens"))})
 
-def tokenize_job(spark: SparkSession, source: str, target: str, vocabulary: Vocabulary) -> None:
-    """``number TAB line`` files to ``number TAB id id`` lines, in line order."""
-    numbered = parse_numbered_lines(_values(spark, source), strict=True)
-    ordered = numbered.repartitionByRange("line_no").sortWithinPartitions("line_no")
-    write_text(format_token_lines(tokenize_lines(ordered, vocabulary)), target)
 
+def shard_tokens_job(spark: SparkSession, source: str, merged: str, target: str, params: Params, rejected: str | None = None) -> dict[str, int]:
+    """``number TAB id id`` lines to the token stream (Parquet ``pos, token``) and to id lines in ``shard=i`` folders.
 
-def shard_tokens_job(spark: SparkSession, source: str, merged: str, target: str, params: Params) -> None:
-    """``number TAB id id`` lines to the token stream (Parquet ``pos, token``) and to id lines in ``shard=i`` folders."""
-    token_stream(parse_token_lines(_values(spark, source)), ["line_no"]).write.mode("overwrite").parquet(merged)
+    Counts tokens, rows read and rejected, and the words of kept rows that are no ids.
+    """
+    judged = judge_token_lines(_values(spark, source))
+    found = set_apart(judged, {"skipped": F.sum(F.when(F.col("reason").isNull(), F.col("skipped")))})
+    if rejected:
+        write_rejected(found.rejected, rejected)
+    counts = write_parquet(token_stream(found.kept, ["line_no"]), merged, {"tokens": F.count(F.lit(1))})
     dealt = shard_tokens(spark.read.parquet(merged), params.num_shards_embeddings)
     write_shards(shard_texts(dealt), target, "line")
+    return _counts(found) | {"skipped": found.counts["skipped"]} | counts
 
 
-def embeddings_job(spark: SparkSession, source: str, target: str, losses: str, params: Params) -> None:
-    """Id lines to ``id TAB [f,f,...]`` lines, by id, and to ``round rate loss stopped`` lines."""
-    order = ["file", "block", "seq"]
-    sequences = write_table(parse_token_shard(_values(spark, source), order), "ids")
-    trained = train_embeddings(sequences, order, params)
+def embeddings_job(spark: SparkSession, source: str, target: str, losses: str, params: Params) -> dict[str, int]:
+    """Id lines to ``id TAB [f,f,...]`` lines, by id, and to ``round rate loss stopped`` lines. Counts tokens and vectors."""
+    order, path = ["file", "block", "seq"], new_path(spark, "ids")
+    ids = parse_token_shard(_values(spark, source), order)
+    counts = write_parquet(ids, path, {"tokens": F.sum(F.size("tokens"))})
+    trained = train_embeddings(spark.read.schema(ids.schema).parquet(path), order, params)
     single = trained.embeddings.withColumn("embedding", F.col("embedding").cast("array<float>"))
-    write_text(format_embeddings(single, digits=None), target, ["token"])
+    counts |= write_text(format_embeddings(single, digits=None), target, ["token"], {"vectors": F.count(F.lit(1))})
     rows = trained.history(spark)
     write_text(rows.select("round", F.concat_ws(" ", *[F.col(c).cast("string") for c in rows.columns]).alias("value")), losses, ["round"])
+    return counts
+
 
+def similarity_job(spark: SparkSession, source: str, target: str, params: Params, vocabulary: Vocabulary, rejected: str | None = None) -> dict[str, int]:
+    """``id TAB [f,f,...]`` lines to ``text:id TAB text:id:sim ...`` lines, by id. The last line of an id counts.
 
-def similarity_job(spark: SparkSession, source: str, target: str, params: Params, vocabulary: Vocabulary) -> None:
-    """``id TAB [f,f,...]`` lines to ``text:id TAB text:id:sim ...`` lines, by id. The last line of an id counts."""
-    rows = parse_embeddings(_values(spark, source), ["file", "block", "seq"], strict=True)
-    ordered = rows.select("token", F.struct("file", "block", "seq").alias("loaded"), "embedding")
+    Counts rows read and rejected, and the tokens.
+    """
+    found = _apart(judge_embeddings(_values(spark, source), ["file", "block", "seq"], strict=True), rejected)
+    ordered = found.kept.select("token", F.struct("file", "block", "seq").alias("loaded"), "embedding")
     embeddings = write_table(dedupe_embeddings(ordered, "token", "loaded").select("token", "embedding"), "dictionary")
     named = name_neighbours(top_k_similar(embeddings, params.neighbours), vocabulary_table(spark, vocabulary))
-    write_text(write_table(format_neighbours(named), "neighbours"), target, ["token"])
+    return _counts(found) | write_text(write_table(format_neighbours(named), "neighbours"), target, ["token"], {"tokens": F.count(F.lit(1))})
 
 
-def run(spark: SparkSession, paths: Sequence[str], params: Params, vocabulary: Vocabulary) -> None:
-    """All jobs in order over the ten folders of the usage line."""
+def run(spark: SparkSession, paths: Sequence[str], params: Params, vocabulary: Vocabulary, rejected: str | None = None) -> dict[str, dict[str, int]]:
+    """All jobs in order over the ten folders of the usage line; the counts of each by its stage."""
     corpus, counts, line_shards, tokens, merged, token_shards, embeddings, losses, dictionary, neighbours = paths
-    word_frequency_job(spark, corpus, counts, vocabulary)
-    shard_lines_job(spark, corpus, line_shards, params)
-    tokenize_job(spark, line_shards, tokens, vocabulary)
-    shard_tokens_job(spark, tokens, merged, token_shards, params)
-    embeddings_job(spark, token_shards, embeddings, losses, params)
+    apart = {stage: rejected and f"{rejected.rstrip('/')}/{stage}" for stage in ("tokenize", "shard-tokens", "similarity")}
+    found = {"word-frequency": word_frequency_job(spark, corpus, counts, vocabulary),
+             "shard-lines": shard_lines_job(spark, corpus, line_shards, params),
+             "tokenize": tokenize_job(spark, line_shards, tokens, vocabulary, apart["tokenize"]),
+             "shard-tokens": shard_tokens_job(spark, tokens, merged, token_shards, params, apart["shard-tokens"]),
+             "embeddings": embeddings_job(spark, token_shards, embeddings, losses, params)}
     merge_part_files(spark, embeddings, dictionary)
-    similarity_job(spark, dictionary, neighbours, params, vocabulary)
+    return found | {"similarity": similarity_job(spark, dictionary, neighbours, params, vocabulary, apart["similarity"])}
 
 
 #: For each stage, how many folders it takes and whether it needs a vocabulary.
@@ -137,6 +169,7 @@ def main(arguments: Sequence[str]) -> int:
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--settings", metavar="FILE")
     parser.add_argument("--vocabulary", metavar="RANK_FILE")
+    parser.add_argument("--rejected", metavar="FOLDER")
     chosen = parser.parse_args(arguments)
     folders, needs_vocabulary = STAGES[chosen.stage]
     if len(chosen.folders) != folders:
@@ -156,12 +189,13 @@ def main(arguments: Sequence[str]) -> int:
         params = replace(params, vocab_size=vocabulary_size(spark, vocabulary))
     if chosen.stage == "merge":
         return 0 if merge_part_files(spark, *at) else 1
+    apart = chosen.rejected
     steps = {
         "word-frequency": lambda: word_frequency_job(spark, *at, vocabulary), "shard-lines": lambda: shard_lines_job(spark, *at, params),
-        "tokenize": lambda: tokenize_job(spark, *at, vocabulary), "shard-tokens": lambda: shard_tokens_job(spark, *at, params),
-        "embeddings": lambda: embeddings_job(spark, *at, params), "similarity": lambda: similarity_job(spark, *at, params, vocabulary),
-        "run": lambda: run(spark, at, params, vocabulary)}
-    steps[chosen.stage]()
+        "tokenize": lambda: tokenize_job(spark, *at, vocabulary, apart), "shard-tokens": lambda: shard_tokens_job(spark, *at, params, apart),
+        "embeddings": lambda: embeddings_job(spark, *at, params), "similarity": lambda: similarity_job(spark, *at, params, vocabulary, apart),
+        "run": lambda: run(spark, at, params, vocabulary, apart)}
+    print(json.dumps(steps[chosen.stage]()))
     return 0
 
 

@@ -200,6 +200,30 @@ _VECTOR_TEXT = "'[' || array_to_string(list_transform({0}, lambda x: printf('%.6
 _DIMS = "CAST(generate_subscripts({0}, 1) - 1 AS BIGINT) AS dim, unnest({0}) AS x"
 
 
+_TAB = "strpos(value, chr(9))"
+_HEAD_IS_NUMBER = rf"regexp_full_match(substr(value, 1, {_TAB} - 1), '\s*[+-]?[0-9]{{1,18}}\s*')"
+_JUDGED = rf"""{_NUMBERED},
+  coded AS (SELECT line_no, line, {_piece_ids('line', _FULL)} AS t FROM numbered),
+  vectors AS (SELECT {_VECTOR_TEXT.format('embedding')} AS v, vec_id || chr(9) || {_VECTOR_TEXT.format('embedding')} AS value FROM embeddings),
+  lists AS (SELECT line_no, {_ids_text('t')} || CASE WHEN len(t) > 0 THEN ' ' ELSE '' END || 'x1 4.5 99999999999 -7 ' || substr(line, 1, 20) AS ids FROM coded),
+  judged AS (
+    SELECT 'numbered lines' AS parser, value, CASE WHEN {_TAB} = 0 THEN 'no tab' WHEN NOT {_HEAD_IS_NUMBER} THEN 'not a number' END AS reason
+    FROM (SELECT doc_id || chr(9) || line AS value FROM lines UNION ALL SELECT line FROM lines)
+    UNION ALL SELECT 'token lines', line_no || chr(9) || ids, NULL FROM lists
+    UNION ALL SELECT 'token lines', line_no || chr(9) || '   ', 'no tokens' FROM lists
+    UNION ALL SELECT 'token lines', line_no || ' ' || ids, CASE WHEN strpos(ids, chr(9)) = 0 THEN 'no tab' ELSE 'not a number' END FROM lists
+    UNION ALL SELECT 'token lines', 'n' || line_no || chr(9) || '1 2', 'not a number' FROM lists
+    UNION ALL SELECT 'embeddings', value || chr(9), NULL FROM vectors UNION ALL SELECT 'embeddings', value, NULL FROM vectors
+    UNION ALL SELECT 'embeddings', value || 'x', 'not a vector' FROM vectors UNION ALL SELECT 'embeddings', chr(9) || value, 'not a number' FROM vectors
+    UNION ALL SELECT 'embeddings', concat_ws(chr(9), role, text), 'not a number' FROM conversations
+    UNION ALL SELECT 'strict embeddings', value, NULL FROM vectors UNION ALL SELECT 'strict embeddings', value || chr(9), NULL FROM vectors
+    UNION ALL SELECT 'strict embeddings', chr(9) || ' ' || value || ' ' || chr(9), NULL FROM vectors
+    UNION ALL SELECT 'strict embeddings', role, 'not two fields' FROM conversations
+    UNION ALL SELECT 'strict embeddings', value || chr(9) || 'more', 'not two fields' FROM vectors
+    UNION ALL SELECT 'vectors', v, NULL FROM vectors UNION ALL SELECT 'vectors', '[0.1,x]', 'not a vector' FROM vectors
+    UNION ALL SELECT 'vectors', NULL, 'no value' FROM vectors)"""
+
+
 ORACLE: dict[str, str] = {
     "corpus_lines": f"WITH {_LINES} SELECT doc_id, pos, line FROM lines",
     "number_lines": f"WITH {_NUMBERED} SELECT line_no, line FROM numbered",
@@ -324,6 +348,11 @@ ORACLE |= {
         SELECT token, dim, {_TIDY.format('x')} AS x FROM final""",
     "nline_corpus": f"""WITH {_NUMBERED}
         SELECT line_no // {_P.lines_per_split} AS split, CAST(line_no % {_P.lines_per_split} AS INTEGER) AS place, line FROM numbered""",
+    "rejected_rows": f"WITH {_JUDGED} SELECT parser, reason, value FROM judged WHERE reason IS NOT NULL",
+    "parser_accounts": f"""WITH {_JUDGED}
+        SELECT parser, count(*) AS n_read, count(*) FILTER (reason IS NULL) AS n_kept, count(reason) AS n_rejected FROM judged GROUP BY parser""",
+    "observed_counts": f"""WITH {_LINES}, {_STREAM}
+        SELECT (SELECT count(*) FROM lines) AS n_lines, count(*) AS n_tokens, CAST(max(token) + 1 AS BIGINT) AS vocab_size FROM stream""",
     "train_losses": _LOSSES,
     "train_losses_weighted": _LOSSES.replace(_DRAWN_EVENLY, _DRAWN_BY_WEIGHT),
     "token_spans": f"""WITH {_sequences(_FULL)}, {_spans()} SELECT token, start, "end" FROM spans""",

@@ -16,12 +16,13 @@ from vecloom.functions.vector import combine_vectors, dot, fixed_text, norm, tid
 from vecloom.operators import embeddings as emb
 from vecloom.operators import lines as ln
 from vecloom.operators import negatives, sgns, similarity, tokens, windows
+from vecloom.operators.accounts import Judged, set_apart
 from vecloom.operators.training import train_embeddings
 from vecloom.params import Params
 from vecloom.plans import neighbours as plan
 from vecloom.session import new_path, write_table
 from vecloom.sources.line_splits import nline_corpus
-from vecloom.sources.sinks import merge_part_files, write_text
+from vecloom.sources.sinks import merge_part_files, write_parquet, write_shards, write_text
 from vecloom.sources.tables import read_table
 from vecloom.sources.text_files import numbered_corpus
 from vecloom.sources.vocabulary import Vocabulary, shared_vocabulary, vocabulary_table
@@ -174,20 +175,27 @@ def concat_by_line(spark: SparkSession, folder: str) -> DataFrame:
     return ln.concat_by_line(words, ["doc_id", "pos"], "word_no", "word")
 
 
-def parse_numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+def _numbered_rows(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder)
-    well_formed = lines.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "line").alias("value"))
-    return ln.parse_numbered_lines(well_formed.unionAll(lines.select(F.col("line").alias("value"))))
+    return lines.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "line").alias("value")).unionAll(lines.select(F.col("line").alias("value")))
 
 
-def parse_token_lines(spark: SparkSession, folder: str) -> DataFrame:
+def parse_numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return ln.parse_numbered_lines(_numbered_rows(spark, folder))
+
+
+def _token_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered id lists, each with what a broken file may hold: words, decimals, numbers beyond 32 bits, blank lists, no tab."""
     ids = F.concat_ws(" ", _ids_text("tokens"), F.lit("x1 4.5 99999999999 -7"), F.substring("line", 1, 20))
     lines = _numbered(spark, folder).select("line_no", "line", piece_ids_of(F.col("line"), PARAMS.vocab_size).alias("tokens"))
     number = F.col("line_no").cast("string")
     rows = [lines.select(F.concat(number, F.lit("\t"), ids).alias("value")), lines.select(F.concat(number, F.lit("\t   ")).alias("value")),
             lines.select(F.concat(number, F.lit(" "), ids).alias("value")), lines.select(F.concat(F.lit("n"), number, F.lit("\t1 2")).alias("value"))]
-    return ln.parse_token_lines(rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])).select("line_no", _ids_text("tokens").alias("tokens"))
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])
+
+
+def parse_token_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return ln.parse_token_lines(_token_rows(spark, folder)).select("line_no", _ids_text("tokens").alias("tokens"))
 
 
 def parse_token_shard(spark: SparkSession, folder: str) -> DataFrame:
@@ -307,19 +315,63 @@ def _tabbed(texts: DataFrame, *parts: str) -> DataFrame:
     return texts.select(F.concat(*[F.col("value") if p == "value" else F.lit(p) for p in parts]).alias("value"))
 
 
-def parse_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+def _embedding_rows(spark: SparkSession, folder: str) -> DataFrame:
     texts = emb.format_embeddings(_vectors(spark, folder)).select("value")
     malformed = _turns(spark, folder).select(F.concat_ws("\t", "role", "text").alias("value"))
     rows = texts.unionAll(_tabbed(texts, "value", "\t")).unionAll(_tabbed(texts, "value", "x")).unionAll(_tabbed(texts, "\t", "value"))
-    return _elements(emb.parse_embeddings(rows.unionAll(malformed)), ["token"], "embedding")
+    return rows.unionAll(malformed)
 
 
-def parse_embeddings_strict(spark: SparkSession, folder: str) -> DataFrame:
+def parse_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return _elements(emb.parse_embeddings(_embedding_rows(spark, folder)), ["token"], "embedding")
+
+
+def _strict_embedding_rows(spark: SparkSession, folder: str) -> DataFrame:
     texts = emb.format_embeddings(_vectors(spark, folder)).select("value")
     one_field = _turns(spark, folder).select(F.col("role").alias("value"))
     three_fields = _tabbed(texts, "value", "\t", "more")
-    rows = texts.unionAll(_tabbed(texts, "value", "\t")).unionAll(_tabbed(texts, "\t ", "value", " \t")).unionAll(one_field).unionAll(three_fields)
-    return _elements(emb.parse_embeddings(rows, strict=True), ["token"], "embedding")
+    return texts.unionAll(_tabbed(texts, "value", "\t")).unionAll(_tabbed(texts, "\t ", "value", " \t")).unionAll(one_field).unionAll(three_fields)
+
+
+def parse_embeddings_strict(spark: SparkSession, folder: str) -> DataFrame:
+    return _elements(emb.parse_embeddings(_strict_embedding_rows(spark, folder), strict=True), ["token"], "embedding")
+
+
+def _judged(spark: SparkSession, folder: str) -> dict[str, Judged]:
+    """Every parser over the rows of its query, and the vector parser over vectors, unreadable ones and none."""
+    vectors = _vectors(spark, folder)
+    rows = vectors.select("label", fixed_text(F.col("embedding")).alias("value")).unionAll(
+        vectors.select("label", F.lit("[0.1,x]").alias("value"))).unionAll(vectors.select("label", F.lit(None).cast("string").alias("value")))
+    return {
+        "numbered lines": set_apart(ln.judge_numbered_lines(_numbered_rows(spark, folder))),
+        "token lines": set_apart(ln.judge_token_lines(_token_rows(spark, folder))),
+        "embeddings": set_apart(emb.judge_embeddings(_embedding_rows(spark, folder))),
+        "strict embeddings": set_apart(emb.judge_embeddings(_strict_embedding_rows(spark, folder), strict=True)),
+        "vectors": set_apart(emb.judge_vectors(rows, ["label"], "value"))}
+
+
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What each parser drops, row by row, and why."""
+    found = None
+    for parser, judged in _judged(spark, folder).items():
+        rows = judged.rejected.select(F.lit(parser).alias("parser"), "reason", "value")
+        found = rows if found is None else found.unionAll(rows)
+    return found
+
+
+def parser_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows each parser read, kept and dropped, as counted while the two sides were written."""
+    counts = [(parser, j.counts["read"], j.counts["kept"], j.counts["rejected"]) for parser, j in _judged(spark, folder).items()]
+    return spark.createDataFrame(counts, "parser string, n_read long, n_kept long, n_rejected long")
+
+
+def observed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and tokens as counted while lines are written into shards and the token stream as a table."""
+    one, numbered = F.count(F.lit(1)), _numbered(spark, folder)
+    text = F.concat_ws("\t", F.col("line_no").cast("string"), "line")
+    lines = write_shards(ln.shard_lines(numbered, PARAMS.num_shards).select("shard", "line_no", text.alias("value")), new_path(spark, "shards"), "line_no", {"n_lines": one})
+    stream = write_parquet(token_stream(spark, folder), new_path(spark, "stream"), {"n_tokens": one, "vocab_size": F.max("token") + 1})
+    return spark.createDataFrame([(lines["n_lines"], stream["n_tokens"], stream["vocab_size"])], "n_lines long, n_tokens long, vocab_size long")
 
 
 def format_embeddings(spark: SparkSession, folder: str) -> DataFrame:
@@ -477,7 +529,7 @@ QUERIES: dict[str, Query] = {
         parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
         word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
         shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples, token_spans, negative_samples_weighted,
-        parse_embeddings, parse_embeddings_strict, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences, lookup_occurrence_sums,
+        parse_embeddings, parse_embeddings_strict, rejected_rows, parser_accounts, observed_counts, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences, lookup_occurrence_sums,
         unknown_tokens, mean_embeddings, vector_dot, vector_norm, cosine_pairs, top_k_similar, narrow_scores,
         format_neighbours,
         init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses, train_losses_weighted,
