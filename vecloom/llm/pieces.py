@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces a worker remembers before it starts anew.
+#: Distinct pieces a worker remembers before it forgets those it has met in one batch only.
 REMEMBERED = 400_000
 #: Pieces joined into one string for the tokenizer, and such strings handed over at once.
 JOINED, AT_ONCE = 256, 16
@@ -17,7 +17,8 @@ JOINED, AT_ONCE = 256, 16
 class PieceCoder:
     """Encodes texts that are cut into pieces whose ids do not depend on one another.
 
-    Each distinct piece is encoded once and remembered, up to a bound, for later batches of the same worker. New
+    Each distinct piece is encoded once and remembered, up to a bound, for later batches of the same worker; beyond the
+    bound only pieces that came back in a later batch stay, so the many that occur once do not drive out the frequent. New
     pieces for which ``joinable`` holds are encoded many in one string, with ``glue`` between them, and told apart by
     the offsets of their tokens; the others are encoded one by one.
     """
@@ -25,12 +26,18 @@ class PieceCoder:
     def __init__(self, tokenizer, joinable: Callable[[bytes], bool], glue: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer, self.joinable, self.glue = tokenizer, joinable, glue
-        self._forget()
+        self.place: dict[bytes, int] = {}
+        self.ids, self.starts, self.again = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, bool)
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        """Start anew, or keep the pieces that came back, if they are not too many themselves."""
+        stay = np.flatnonzero(self.again) if self.place else np.zeros(0, np.int64)
+        stay = stay[:0] if len(stay) > REMEMBERED // 2 else stay
+        names, sizes = list(self.place), (self.starts[stay + 1] - self.starts[stay])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        self.ids = self.ids[np.repeat(self.starts[stay] - ends[:-1], sizes) + np.arange(ends[-1])]
+        self.starts, self.again = ends, np.zeros(len(stay), bool)
+        self.place = {names[old]: new for new, old in enumerate(stay.tolist())}
 
     def _learn(self, pieces: list[bytes]) -> None:
         together = [p for p in pieces if self.joinable(p)]
@@ -49,6 +56,7 @@ class PieceCoder:
         self.place.update(zip(together + alone, range(known, known + len(pieces))))
         self.ids = np.concatenate(ids)
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts))])
+        self.again = np.concatenate([self.again, np.zeros(len(pieces), bool)])
 
     def encode(self, pieces: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in order, and where those of each text start; text ``d`` has pieces ``first[d]`` to ``first[d + 1]``."""
@@ -58,10 +66,13 @@ class PieceCoder:
         distinct = coded.dictionary.to_pylist()
         if len(self.place) > REMEMBERED:
             self._forget()
-        new = [p for p in distinct if p not in self.place]
-        if new:
-            self._learn(new)
-        place = np.fromiter((self.place[p] for p in distinct), np.int64, len(distinct))
+        known = self.place.get
+        place = np.array([known(p, -1) for p in distinct], np.int64)
+        self.again[place[place >= 0]] = True
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            self._learn([distinct[i] for i in new.tolist()])
+            place[new] = [self.place[distinct[i]] for i in new.tolist()]
         place = place[coded.indices.to_numpy(zero_copy_only=False)]
         starts, sizes = self.starts[place], self.starts[place + 1] - self.starts[place]
         ends = np.concatenate([[0], np.cumsum(sizes)])
