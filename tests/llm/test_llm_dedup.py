@@ -167,9 +167,12 @@ def test_vertices_of_many_partitions(partition):
     numbers = [chunk_number(partition, 3), chunk_number(partition - 1, 3)]
     chunks = [Chunk(n, np.frombuffer(text * 2, np.uint8), np.array([0, len(text), 2 * len(text)]), pa.array([1, 2]), np.array([1, 2]), {}, {}) for n in numbers]
     batch = pa.table({"chunk": numbers, "doc_id": [[1, 2]] * 2, "sizes": [[len(text)] * 2] * 2, "data": [text * 2] * 2}).to_batches()
-    seeds = [v for found in _identities(SHINGLE)(iter(batch)) for v in found.column("vertex").to_pylist()]
+    rows = [row for found in _identities(SHINGLE, LEAST)(iter(batch)) for row in found.to_pylist()]
+    seeds = [row["vertex"] for row in rows]
     assert seeds == [(n << ROW_BITS) + row for n in numbers for row in (0, 1)] and max(seeds) < 2**63
-    paths = lambda: [Paths(c, np.array([1]), 1, LEAST, SHINGLE, Limits()) for c in chunks]
+    for chunk, row in zip(chunks, rows[1::2]):
+        chunk.extra["sets"] = [{"row": 1, "n": 1, "paths": row["paths"]}]
+    paths = lambda: [Paths(c, 1, LEAST, SHINGLE, Limits()) for c in chunks]
     answers = count_paths([body for p in paths() for _, body in p.messages()])
     for chunk, body in zip(chunks, answers):
         chunk.answers["paths1"] = [body]
@@ -200,6 +203,17 @@ def test_one_row_of_each_class_stays(spark, copies):
     assert {r.doc_id for r in rows if WORD.search(r.text or "")} == worded
 
 
+def test_of_rows_equal_in_id_and_text_the_same_one_always_stays(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, f"s{i}", i, None) for i in range(20)] + [(None, text + " eight nine", "n", 1, 2)] * 3 + [(3, "", "e", 5, 5)] * 2
+    docs = spark.createDataFrame(rows, SCHEMA + ", __id string, __hash int, vertex long")
+    once, again = (drop_near_duplicates(docs.repartition(n)).collect() for n in (1, 7))
+    assert sorted(map(str, once)) == sorted(map(str, again)) and docs.columns == drop_near_duplicates(docs).columns
+    kept = [tuple(r) for r in once]
+    assert len(kept) == 4 and kept.count((3, "", "e", 5, 5)) == 2 and (None, text + " eight nine", "n", 1, 2) in kept
+    assert sum(r[0] == 1 and r in rows for r in kept) == 1
+
+
 def test_exact_similarity_at_the_threshold():
     a, b = np.arange(9, dtype=np.uint64), np.arange(1, 10, dtype=np.uint64)
     assert similar([a, b], 0.8)[0, 1] and not similar([a, np.arange(2, 11, dtype=np.uint64)], 0.8)[0, 1]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.llm.chunks import Chunk, ask, bucket_of, chunks_in, cut, gather, write_chunks
-from vecloom.llm.common import freed, mix, owner, table, text_words
+from vecloom.llm.common import freed, mix, owner, set_aside, table, text_words
 from vecloom.llm.components import components, join_counted
 from vecloom.session import write_table
 
@@ -89,14 +89,43 @@ def _some(sets: Sets, rows: np.ndarray) -> Sets:
     return Sets(sets.tokens[take], ends)
 
 
-def _chosen(sets: Sets, salt: np.ndarray | np.uint64, least: float) -> np.ndarray:
-    """Places of the tokens that are chosen at a node. Each set chooses 1 / ``least`` of its tokens on average, and
-    sets choose alike among the tokens they share, so two similar sets choose a common one on average."""
+def _limits(sets: Sets, least: float) -> np.ndarray:
+    """Per token, what its draw must stay below for it to be chosen: each set chooses 1 / ``least`` tokens on average."""
     limit = np.minimum(1.0, 1.0 / (least * np.maximum(sets.sizes(), 1)))
-    bound = (limit * 2.0**32).astype(np.uint64)
-    drawn = (sets.tokens ^ salt) * _SEED
-    drawn = (drawn ^ (drawn >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return np.flatnonzero((drawn >> np.uint64(32)) < np.repeat(bound, sets.sizes()))
+    return np.repeat((limit * 2.0**32).astype(np.uint64), sets.sizes())
+
+
+def _chosen(sets: Sets, salt: np.ndarray | np.uint64, limits: np.ndarray) -> np.ndarray:
+    """Places of the tokens that are chosen at a node. Sets choose alike among the tokens they share, so two similar sets
+    choose a common one on average."""
+    drawn = sets.tokens ^ salt
+    drawn *= _SEED
+    drawn ^= drawn >> np.uint64(31)
+    drawn *= np.uint64(0xD6E8FEB86659FD93)
+    drawn >>= np.uint64(32)
+    return np.flatnonzero(drawn < limits)
+
+
+def first_paths(sets: Sets, least: float) -> list[bytes]:
+    """For each set the paths of one token that it chooses in all runs, as 64-bit numbers."""
+    text, limits = owner(sets.first), _limits(sets, least)
+    member, path = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for run in range(RUNS):
+        salt = mix(np.array([run + 1], np.uint64))[0]
+        at = _chosen(sets, salt, limits)
+        member.append(text[at])
+        path.append(mix(sets.tokens[at] + salt))
+    member, path = np.concatenate(member), np.concatenate(path)
+    order = np.argsort(member, kind="stable")
+    bounds = np.searchsorted(member[order], np.arange(len(sets.sizes()) + 1)).tolist()
+    path = path[order].astype("<u8")
+    return [path[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def texts_at(data: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the texts, one after another."""
+    parts = [data[offsets[r]:offsets[r + 1]] for r in rows.tolist()]
+    return np.concatenate([np.zeros(0, np.uint8), *parts]), np.concatenate([[0], np.cumsum(np.diff(offsets)[rows])]).astype(np.int64)
 
 
 def signatures(sets: Sets) -> np.ndarray:
@@ -104,28 +133,29 @@ def signatures(sets: Sets) -> np.ndarray:
     found = np.zeros((len(sets.sizes()), SIGNATURE), np.uint8)
     for k in range(SIGNATURE):
         salt = mix(np.array([k + 1000], np.uint64))[0]
-        drawn = (sets.tokens ^ salt) * _SEED
+        drawn = sets.tokens ^ salt
+        drawn *= _SEED
         drawn ^= drawn >> np.uint64(31)
         found[:, k] = mix(np.minimum.reduceat(drawn, sets.first[:-1])) & np.uint64(0xFF)
     return found
 
 
 class Paths:
-    """The chosen paths of a chunk's representatives, level by level, as far as answers are there."""
-
-    def __init__(self, chunk: Chunk, rows: np.ndarray, buckets: int, least: float, shingle: int, limits: Limits) -> None:
-        self.number, self.rows, self.buckets, self.limits = chunk.number, rows, buckets, limits
-        self.sets = _some(shingle_sets(chunk.data, chunk.offsets, shingle), rows)
-        member, path = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        text = owner(self.sets.first)
-        for run in range(RUNS):
-            salt = mix(np.array([run + 1], np.uint64))[0]
-            at = _chosen(self.sets, salt, least)
-            member.append(text[at])
-            path.append(mix(self.sets.tokens[at] + salt))
+    """The chosen paths of a chunk's representatives, level by level, as far as answers are there.
+
+    The paths of one token came with the representatives, so only texts with something to split or to compare are
+    made into sets again.
+    """
+
+    def __init__(self, chunk: Chunk, buckets: int, least: float, shingle: int, limits: Limits) -> None:
+        self.chunk, self.shingle, self.buckets, self.limits = chunk, shingle, buckets, limits
+        held = sorted(chunk.extra["sets"], key=lambda s: s["row"])
+        self.rows = np.array([s["row"] for s in held], np.int64)
+        path = np.frombuffer(b"".join(s["paths"] for s in held), "<u8")
+        member = np.repeat(np.arange(len(held)), [len(s["paths"]) // 8 for s in held])
         #: What ends here: (member, path, how many have the path), and what is still to be asked for.
         self.settled: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self._ask(np.concatenate(member), np.concatenate(path))
+        self._ask(member, path)
         for level in range(1, DEEPEST + 1):
             if f"paths{level}" not in chunk.answers:
                 break
@@ -133,11 +163,15 @@ class Paths:
             deep = (many > limits.small) & (level < DEEPEST)
             here = (many > 1) & ~deep
             self.settled.append((self.member[here], self.path[here], many[here]))
-            nodes = _some(self.sets, self.member[deep])
-            at = _chosen(nodes, np.repeat(self.path[deep], nodes.sizes()), least)
+            used, place = np.unique(self.member[deep], return_inverse=True)
+            nodes = _some(self._sets(used), place)
+            at = _chosen(nodes, np.repeat(self.path[deep], nodes.sizes()), _limits(nodes, least))
             node = owner(nodes.first)[at]
             self._ask(self.member[deep][node], mix(self.path[deep][node] ^ mix(nodes.tokens[at] + np.uint64(level))))
 
+    def _sets(self, members: np.ndarray) -> Sets:
+        return shingle_sets(*texts_at(self.chunk.data, self.chunk.offsets, self.rows[members]), self.shingle)
+
     def _ask(self, member: np.ndarray, path: np.ndarray) -> None:
         order = np.lexsort((member, path))
         member, path = member[order], path[order]
@@ -160,8 +194,8 @@ class Paths:
         if not len(member):
             return
         used, place = np.unique(member, return_inverse=True)
-        drawn = signatures(_some(self.sets, used))
-        vertex = (np.uint64(self.number) << np.uint64(ROW_BITS)) + self.rows[member].astype(np.uint64)
+        drawn = signatures(self._sets(used))
+        vertex = (np.uint64(self.chunk.number) << np.uint64(ROW_BITS)) + self.rows[member].astype(np.uint64)
         take, key = dealt(path, vertex, many, self.limits.block)
         yield from entries(key, vertex[take], drawn[place[take]], self.buckets)
 
@@ -309,22 +343,22 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGL
     largest; a class of such rows alone has the class id null.
     """
     chunks, buckets = write_chunks(docs)
-    seeds = write_table(chunks.mapInArrow(freed(_identities(shingle)), "vertex long, doc_id long, text_hash long, size int, digest binary"), "identities")
+    seeds = write_table(chunks.mapInArrow(freed(_identities(shingle, least)), "vertex long, doc_id long, text_hash long, size int, digest binary, paths binary"), "identities")
     some = seeds.where("size > 0")
     lead = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("order"), "vertex")).alias("lead")
-    classes = write_table(some.groupBy("digest").agg(lead, F.count(F.lit(1)).alias("n")).select(
-        "digest", F.col("lead.vertex").alias("set"), F.col("lead.order").alias("least_id"), "n"), "classes")
+    classes = write_table(some.groupBy("digest").agg(lead, F.count(F.lit(1)).alias("n"), F.first("paths").alias("paths")).select(
+        "digest", F.col("lead.vertex").alias("set"), F.col("lead.order").alias("least_id"), "n", "paths"), "classes")  # equal sets have equal paths
     by_chunk = classes.select(F.shiftright("set", ROW_BITS).alias("chunk"), F.struct(
-        F.col("set").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), "n").alias("_set")).groupBy("chunk").agg(F.collect_list("_set").alias("sets"))
+        F.col("set").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), "n", "paths").alias("_set")).groupBy("chunk").agg(F.collect_list("_set").alias("sets"))
     started = chunks.join(by_chunk.hint("shuffle_hash"), "chunk")
 
     def paths(chunk: Chunk) -> Paths:
-        return Paths(chunk, np.sort(np.array([s["row"] for s in chunk.extra["sets"]], np.int64)), buckets, least, shingle, limits)
+        return Paths(chunk, buckets, least, shingle, limits)
 
     asked = started
     for level in range(1, DEEPEST + 1):
-        asked = ask(asked, lambda chunk: paths(chunk).messages(), count_paths, f"paths{level}")
-    maybe = write_table(gather(asked, lambda chunk: paths(chunk).members(), maybe_links, "u long, v long"), "maybe")
+        asked = ask(asked, lambda chunk: paths(chunk).messages(), count_paths, f"paths{level}", buckets)
+    maybe = write_table(gather(asked, lambda chunk: paths(chunk).members(), maybe_links, "u long, v long", buckets), "maybe")
     loose = write_table(components(maybe), "loose")
     groups = loose.groupBy("root").agg(F.count(F.lit(1)).alias("many"), F.count(F.lit(1)).alias("n"))
     sized = write_table(join_counted(loose, write_table(groups, "groups"), "root"), "sized")
@@ -332,7 +366,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGL
         F.col("vertex").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), "root", "many").alias("_group")).groupBy("chunk").agg(
             F.collect_list("_group").alias("groups"))
     linked = gather(started.join(wanted.hint("shuffle_hash"), "chunk"), _sets_of_groups(buckets, shingle, limits.set_block), exact_links(least),
-                    "vertex long, links long, root long")
+                    "vertex long, links long, root long", buckets)
     links = write_table(linked, "links")
     roots = components(links.select(F.col("vertex").alias("u"), F.col("root").alias("v"))).withColumnRenamed("vertex", "set")
     counted = links.groupBy(F.col("vertex").alias("set")).agg(F.sum("links").alias("links"))
@@ -350,7 +384,7 @@ def _id(name: str) -> Column:
     return F.when(F.col(name) != 2**63 - 1, F.col(name)).alias(name)
 
 
-def _identities(shingle: int):
+def _identities(shingle: int, least: float):
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_in(batches):
             sets = shingle_sets(chunk.data, chunk.offsets, shingle)
@@ -361,7 +395,8 @@ def _identities(shingle: int):
             texts = [xxhash.xxh64_intdigest(chunk.data[a:b].tobytes(), 42) for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((chunk.number << ROW_BITS) + np.arange(n)), chunk.doc_id, pa.array(np.array(texts, np.uint64).astype(np.int64)),
-                 pa.array(sets.sizes(), pa.int32()), pa.array(digests, pa.binary())], ["vertex", "doc_id", "text_hash", "size", "digest"])
+                 pa.array(sets.sizes(), pa.int32()), pa.array(digests, pa.binary()), pa.array(first_paths(sets, least), pa.binary())],
+                ["vertex", "doc_id", "text_hash", "size", "digest", "paths"])
 
     return identify
 
@@ -372,7 +407,7 @@ def _sets_of_groups(buckets: int, shingle: int, block: int):
         rows = np.array([g["row"] for g in chunk.extra["groups"]], np.int64)
         root = np.array([g["root"] for g in chunk.extra["groups"]], np.int64).astype(np.uint64)
         many = np.array([g["many"] for g in chunk.extra["groups"]], np.int64)
-        sets = _some(shingle_sets(chunk.data, chunk.offsets, shingle), rows)
+        sets = shingle_sets(*texts_at(chunk.data, chunk.offsets, rows), shingle)
         vertex = ((chunk.number << ROW_BITS) + rows).astype(np.uint64)
         take, key = dealt(mix(root), vertex, many, block)
         blocks = -(-many // block)
@@ -392,16 +427,21 @@ def _sets_of_groups(buckets: int, shingle: int, block: int):
 
 
 def drop_near_duplicates(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
-    """One row of ``docs`` of each class of :func:`near_duplicates`, with all columns. Of equal rows one stays.
+    """One row of ``docs`` of each class of :func:`near_duplicates`, with all columns, whatever they are called.
 
-    Rows without words are classes of their own and stay.
+    Of rows equal in id and text that with the least hash of all its columns stays, so the same one in every run. Rows
+    without words are classes of their own and stay.
     """
-    found = near_duplicates(docs, least, shingle).where("first").select(
+    aside, back = set_aside(docs, ("__id", "__hash", "__row", "__first"))
+    found = near_duplicates(docs.select("doc_id", "text"), least, shingle).where("first").select(
         F.coalesce("doc_id", F.lit(2**63 - 1)).alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(2**63 - 1)), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    keyed = aside.withColumns({"__id": F.coalesce("doc_id", F.lit(2**63 - 1)), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
     worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = keyed.where(worded).join(found.hint("shuffle_hash"), ["__id", "__hash"]).dropDuplicates(["__id", "__hash"])
-    return kept.select(*docs.columns).unionByName(docs.where(~worded))
+    told = [F.col(f"`{f.name}`") for f in aside.schema if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    whole = F.struct(*[F.col(f"`{c}`") for c in aside.columns])
+    kept = keyed.where(worded).join(found.hint("shuffle_hash"), ["__id", "__hash"]).groupBy("__id", "__hash").agg(
+        F.min_by(whole, F.xxhash64(*told)).alias("__row"))
+    return kept.select("__row.*").unionByName(aside.where(~worded)).withColumnsRenamed(back).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
