@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from vecloom.llm.common import flat, freed, slices
@@ -25,6 +25,10 @@ from vecloom.session import ship_package, write_bucketed, write_table
 CHUNK_BYTES = 2 << 20
 #: Text behind one bucket of keys, and behind one file of chunks.
 BUCKET_BYTES, FILE_BYTES = 8 << 20, 48 << 20
+#: Buckets that one task of an exchange has on average, at most.
+BUCKETS_PER_TASK = 2
+#: Most buckets of a bucketed table (Spark takes 100,000), and chunks from which on they are dealt to their files by a shuffle.
+MOST_BUCKETS, MOST_FILES = 65_536, 500_000
 #: Bits of a chunk's number for its input partition and for its place there; 24 bits are left for a row of the chunk.
 PARTITION_BITS, PLACE_BITS = 21, 18
 #: What a missing document id counts as: after all others.
@@ -54,13 +58,20 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The chunks of ``docs (doc_id long, text)`` as a bucketed table in the shared folder, and how many buckets keys should have."""
+    """The chunks of ``docs (doc_id long, text)`` as a bucketed table in the shared folder, and how many buckets keys should have.
+
+    A writing task makes a file for each bucket it has a chunk of. That is a file per chunk, which does as long as chunks are
+    few; more than ``MOST_FILES`` are dealt to the tasks of their buckets first, a file each. Beyond ``MOST_BUCKETS`` files
+    of ``FILE_BYTES`` the files grow; they are read chunk by chunk.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = max(partitions, -(-total // FILE_BYTES))
+    files = min(max(partitions, -(-total // FILE_BYTES)), MOST_BUCKETS)
     packed = docs.select("doc_id", "text").mapInArrow(freed(_pack), CHUNK)
+    if total // CHUNK_BYTES > MOST_FILES:
+        packed = packed.repartition(files, "chunk")
     # small row groups, as a reader holds many rows at once and these are large
     chunks = write_bucketed(packed, "chunks", "chunk", files, {"compression": "zstd", "parquet.block.size": str(16 << 20)})
     return chunks, max(2 * partitions, -(-total // BUCKET_BYTES))
@@ -116,17 +127,24 @@ def _sent(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, byt
     return chunks.mapInArrow(freed(send), MESSAGE)
 
 
+def _by_bucket(sent: DataFrame, buckets: int) -> GroupedData:
+    """Messages by bucket, in tasks that grow in number with the buckets, whatever the session's number of shuffle partitions."""
+    partitions = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = -(-buckets // BUCKETS_PER_TASK)
+    return (sent.repartition(tasks, "bucket") if tasks > partitions else sent).groupBy("bucket")
+
+
 def gather(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]],
-           resolve: Callable[[list[bytes]], pa.Table], schema: str) -> DataFrame:
+           resolve: Callable[[list[bytes]], pa.Table], schema: str, buckets: int) -> DataFrame:
     """The rows that ``resolve`` makes of all bodies of a bucket, for each bucket that any chunk sent a message to."""
     def answer(table: pa.Table) -> pa.Table:
         return resolve(table.column("body").to_pylist())
 
-    return _sent(chunks, messages).groupBy("bucket").applyInArrow(answer, schema)
+    return _by_bucket(_sent(chunks, messages), buckets).applyInArrow(answer, schema)
 
 
 def ask(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes]]],
-        resolve: Callable[[list[bytes]], list[bytes]], name: str) -> DataFrame:
+        resolve: Callable[[list[bytes]], list[bytes]], name: str, buckets: int) -> DataFrame:
     """``chunks`` with a column ``name``: for each message a chunk sent, ``(bucket, body)`` with the answer.
 
     ``messages`` yields (bucket, body) for a chunk; ``resolve`` takes all bodies of a bucket and answers each.
@@ -134,7 +152,7 @@ def ask(chunks: DataFrame, messages: Callable[[Chunk], Iterator[tuple[int, bytes
     def answer(table: pa.Table) -> pa.Table:
         return table.set_column(2, "body", pa.array(resolve(table.column("body").to_pylist()), pa.binary()))
 
-    found = write_table(_sent(chunks, messages).groupBy("bucket").applyInArrow(answer, MESSAGE), name)
+    found = write_table(_by_bucket(_sent(chunks, messages), buckets).applyInArrow(answer, MESSAGE), name)
     back = found.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "body")).alias(name))
     return chunks.join(back.hint("shuffle_hash"), "chunk", "left")
 

@@ -171,7 +171,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                  pa.array([sha256_hex(k) for k in kept])], ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
     chunks, buckets = write_chunks(docs)
-    asked = ask(ask(chunks, sketch, merge_sketches, "sketch"), windows, smaller_holder, "windows")
+    asked = ask(ask(chunks, sketch, merge_sketches, "sketch", buckets), windows, smaller_holder, "windows", buckets)
     return asked.mapInArrow(freed(finish), "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
 
 

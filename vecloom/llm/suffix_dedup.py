@@ -343,7 +343,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
                  pa.array([sha256_hex(k) for k in kept])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
     chunks, buckets = write_chunks(docs)
-    asked = ask(ask(chunks, grams, shared_grams, "grams"), suffixes, smaller_suffixes, "suffixes")
+    asked = ask(ask(chunks, grams, shared_grams, "grams", buckets), suffixes, smaller_suffixes, "suffixes", buckets)
     return asked.mapInArrow(freed(finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
