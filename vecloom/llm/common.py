@@ -40,7 +40,10 @@ def freed(work: Callable) -> Callable:
 
 def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with columns called like ``names`` under other names, and what to rename to get them back."""
-    taken = {c: f"_kept_{c}" for c in df.columns if c in names}
+    prefix = "_kept_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    taken = {c: f"{prefix}{c}" for c in df.columns if c in names}
     return df.withColumnsRenamed(taken), {new: old for old, new in taken.items()}
 
 

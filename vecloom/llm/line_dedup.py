@@ -56,24 +56,26 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     A key (:func:`line_key`) of ``least_chars`` code points or more that stands in two or more documents stays, with all
     its lines there, only in the document with the smallest ``doc_id``. Other lines stay in order. A null or empty text
     is one empty line and becomes the empty text. Rows with the same id are one document, and so are all rows without
-    an id, which counts as the largest. A text may lose all lines and is then empty; its row stays.
+    an id, which counts as the largest. A text may lose all lines and is then empty; its row stays. Columns of ``docs`` called
+    like the two new ones are replaced; any other name may stand among them.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    aside, back = set_aside(docs.select(*[F.col(f"`{c}`") for c in columns]), ("__doc", "__text", "__lost"))
     lost = dropped_lines(docs, least_chars)
-    both = docs.select(*columns, *_row_key(docs)).join(lost.hint("shuffle_hash"), ["__doc", "__text"], "left")
+    both = aside.select("*", *_row_key(aside)).join(lost.hint("shuffle_hash"), ["__doc", "__text"], "left")
     lines = _lines(F.col("text"))
     whole = F.coalesce(F.col("text"), F.lit(""))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lost"))
     left = F.when(F.col("__lost").isNull(), whole).otherwise(
         F.array_join(F.transform(F.array_sort(kept), lambda i: F.get(lines, i)), "\n"))
     return both.withColumns({"text": left, "n_lines": F.size(lines).cast("long"),
-                             "n_dropped": F.coalesce(F.size("__lost"), F.lit(0)).cast("long")}).select(*columns, "n_lines", "n_dropped")
+                             "n_dropped": F.coalesce(F.size("__lost"), F.lit(0)).cast("long")}).drop("__doc", "__text", "__lost").withColumnsRenamed(back)
 
 
 def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with the ``text`` that :func:`dedup_lines` leaves, and otherwise the same columns."""
     aside, back = set_aside(docs, ("n_lines", "n_dropped"))
-    return dedup_lines(aside, least_chars).drop("n_lines", "n_dropped").withColumnsRenamed(back).select(*docs.columns)
+    return dedup_lines(aside, least_chars).drop("n_lines", "n_dropped").withColumnsRenamed(back).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
