@@ -10,16 +10,19 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vecloom.llm.common import covered, flat, freed, owner, set_aside, slices, table, words_of
-from vecloom.session import ship_package
+from vecloom.operators.ordinal import with_offset
+from vecloom.session import ship_package, write_table
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
 #: A document is contaminated if at least one in so many of its words is hit.
 HIT_SHARE = 20
-#: Benchmark text that goes to every worker at once. A larger benchmark is dealt into more blocks.
-BLOCK_BYTES = 32 << 20
+#: Benchmark text, with the ids of its items, that goes to every worker at once as an index of about ten times the size. A
+#: larger benchmark takes one more pass over the documents for each block more.
+BLOCK_BYTES = 8 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -46,12 +49,12 @@ def _roll(ids: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 class Windows:
     """The windows of benchmark items: a hash set by window length, and the words themselves to verify hits."""
 
-    def __init__(self, names: list[str], texts: list[str], window: int) -> None:
-        self.names = names
+    def __init__(self, names: list[list[str]], texts: list[str], window: int) -> None:
+        self.names = names  # of each distinct text, the items that have it
         words = item_words(pa.array(texts, pa.string()))
         coded = words.values.dictionary_encode()
         self.vocabulary = coded.dictionary
-        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         counts = words.counts()
         lengths = np.minimum(counts, window)
         self.tables = []
@@ -81,9 +84,9 @@ class Windows:
                 low = low + 1
 
 
-def _scan(window: int, sent: Broadcast, first: bool):
+def _scan(sent: Broadcast, first: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(*sent.value, window)
+        windows: Windows = sent.value
         for batch in batches:
             for part in slices(batch, "text"):
                 words = item_words(part.column("text"))
@@ -98,7 +101,7 @@ def _scan(window: int, sent: Broadcast, first: bool):
                 hit = covered(np.concatenate([none, *starts]), np.concatenate([none, *stops]), len(ids))
                 names: list[list[str]] = [[] for _ in range(part.num_rows)]
                 for document, item in np.unique(np.concatenate(pairs), axis=0).tolist():
-                    names[document].append(windows.names[item])
+                    names[document] += windows.names[item]
                 bounds = words.first
                 bits = [np.packbits(hit[a:b]) if any_ else None
                         for a, b, any_ in zip(bounds[:-1].tolist(), bounds[1:].tolist(), names)]
@@ -123,25 +126,32 @@ _MADE = ("n_words", "n_hit", "item_ids", "hits")
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit`` (words inside any window), ``item_ids`` (sorted as strings) and ``hits`` (a bit per word).
 
-    The windows of ``benchmark(item_id, text)`` are broadcast in blocks of at most ``block_bytes`` of text (one longer
-    item is a block); every block is one more pass over the documents inside the same stage, without a shuffle. Hash hits
-    are verified word by word. Null texts have no words; items without words have no windows; an item without an id is
-    called "". Columns of ``docs`` named like the new ones are replaced. An empty benchmark hits nothing.
+    The windows of ``benchmark(item_id, text)`` are indexed on the driver and broadcast, in blocks of at most ``block_bytes``
+    of distinct texts and the ids of their items (one longer text is a block); items of equal text are one. Every block more
+    is one more pass over the documents, written between the passes, so a worker holds one index at a time. No pass shuffles.
+    Hash hits are verified word by word. Null texts have no words; items without words have no windows; an item without
+    an id is called "". Columns of ``docs`` named like the new ones are replaced. An empty benchmark hits nothing.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    total = benchmark.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.coalesce("text", F.lit("")).alias("text"),
-                             F.pmod(F.xxhash64("text"), F.lit(blocks)).alias("block"))
+    named = benchmark.where(F.coalesce("text", F.lit("")) != "").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text")
+    distinct = named.groupBy("text").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    weight = F.octet_length("text") + F.aggregate("names", F.lit(0).cast("bigint"), lambda total, name: total + F.octet_length(name) + 8)
+    items = write_table(distinct.withColumn("size", weight.cast("bigint")), "benchmark-items")
+    total, longest = items.agg(F.sum("size"), F.max("size")).first()
+    if (total or 0) <= block_bytes:
+        dealt, blocks = items.withColumn("block", F.lit(0)), 1
+    else:  # by running sizes, so that no block is more than one text too large; a text that would not fit begins the next
+        room = max(1, block_bytes - min(longest, block_bytes // 2))
+        dealt = write_table(with_offset(items, ["text"], F.col("size")).withColumn("block", F.call_function("div", F.col("offset"), F.lit(room).cast("bigint"))), "benchmark-blocks")
+        blocks = dealt.agg(F.max("block")).first()[0] + 1
     result = docs.drop(*_MADE)
+    wanted = StructType([*result.schema.fields, *spark.createDataFrame([], RESULT).schema.fields])
     for number in range(blocks):  # grows with the benchmark only
-        rows = items.where(F.col("block") == number).select("name", "text").collect()
-        sent = spark.sparkContext.broadcast(([r["name"] for r in rows], [r["text"] for r in rows]))
-        wanted = docs.drop(*_MADE).schema
-        for field in spark.createDataFrame([], RESULT).schema:
-            wanted = wanted.add(field)
-        result = result.mapInArrow(freed(_scan(window, sent, number == 0)), wanted)
+        rows = dealt.where(F.col("block") == number).select("names", "text").collect()
+        sent = spark.sparkContext.broadcast(Windows([r["names"] for r in rows], [r["text"] for r in rows], window))
+        found = result.mapInArrow(freed(_scan(sent, number == 0)), wanted)
+        result = found if number == blocks - 1 else write_table(found, "hits")
     return result
 
 
