@@ -52,6 +52,23 @@ def test_quality_equals_brute_force():
         wanted = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(under), longest if longest >= 5 else 0, failed)
         assert tuple(found[k][i] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat", "base_failed")) == wanted, text
         assert not (failed and found["kept"][i])
+        fair = longest <= 100
+        for least, most in ((5, 15), (6, 14), (7, 13), (8, 12), (9, 11), (10, 10)):
+            counts = Counter(tuple(words[j:j + least]) for j in range(len(words) - least + 1))
+            inside = {k for j in range(len(words) - least + 1) if counts[tuple(words[j:j + least])] > 1 for k in range(j, j + least)}
+            chars = sum(len(words[k]) for k in inside)
+            fair &= 100 * chars <= most * sum(map(len, words))
+        assert found["long_repeat_chars"][i] == chars and bool(found["kept"][i]) == (fair and not failed)
+
+
+def test_long_repeats_decide_where_the_base_rule_does_not():
+    """Two texts that pass the base rule: one says a passage of eleven words twice, one repeats five long words among short ones."""
+    plain = " ".join(f"w{i}" for i in range(98))
+    passage = " ".join(f"p{i}" for i in range(11))
+    long_words = " ".join("x" * 40 + str(i) for i in range(5))
+    texts = [f"{passage} {plain} {passage}", f"{long_words} {plain} {long_words}", f"{plain} p1 p2 p3 p4 p5 {plain.replace('w', 'v')} p1 p2 p3 p4 p5"]
+    found = measure(pa.array(texts))
+    assert found["base_failed"].tolist() == [False] * 3 and found["kept"].tolist() == [False, False, True]
 
 
 def test_quality_keeps_varied_text_and_drops_repeats(spark):

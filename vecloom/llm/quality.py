@@ -15,14 +15,17 @@ from vecloom.session import ship_package
 REPEAT_WORDS = 5
 #: Base rule: the fewest words, and the largest percentage of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: The method's limits: percentage of word characters under repeats, and words in the longest repeat.
-MOST_COVERED, LONGEST = 25, 100
+#: The method's limits. Fixed values, as published for large text corpora: the percentage of word characters under repeats of
+#: so many words or more. Longer repeats may cover less.
+MOST_COVERED = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+#: And words in the longest repeat: half a page of running text, which no quotation or refrain repeats by chance.
+LONGEST = 100
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-            "repeat_chars long, longest_repeat long, base_failed boolean, kept boolean")
+            "repeat_chars long, long_repeat_chars long, longest_repeat long, base_failed boolean, kept boolean")
 
 
 def longest_repeats(ids: np.ndarray, first: np.ndarray, least: int = REPEAT_WORDS) -> np.ndarray:
@@ -100,16 +103,21 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     letters, _ = flat(words.values)
     points = sums((letters & 0xC0) != 0x80, bounds)
     best = longest_repeats(words.ids(), words.first)
-    found = np.flatnonzero(best)
-    under = covered(found, found + best[found], len(best))
-    repeated, repeat_chars, word_chars = sums(under, words.first), sums(points * under, words.first), sums(points, words.first)
+    word_chars, chars, fair = sums(points, words.first), {}, np.ones(len(n_words), bool)
+    for least, most in MOST_COVERED.items():
+        found = np.flatnonzero(best >= least)
+        under = covered(found, found + best[found], len(best))
+        chars[least] = sums(points * under, words.first)
+        fair &= 100 * chars[least] <= most * word_chars
+        if least == REPEAT_WORDS:
+            repeated = sums(under, words.first)
     longest = np.zeros(len(n_words), np.int64)
     np.maximum.at(longest, owner(words.first), best)
     failed = (n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n_words)
-    kept = ~failed & (100 * repeat_chars <= MOST_COVERED * word_chars) & (longest <= LONGEST)
+    kept = ~failed & fair & (longest <= LONGEST)
     return {"n_words": n_words, "word_chars": word_chars, "n_symbols": sums(SYMBOLS[data], offsets),
-            "n_dup_lines": repeated_lines(data, offsets), "n_repeat_words": repeated, "repeat_chars": repeat_chars,
-            "longest_repeat": longest, "base_failed": failed, "kept": kept}
+            "n_dup_lines": repeated_lines(data, offsets), "n_repeat_words": repeated, "repeat_chars": chars[REPEAT_WORDS],
+            "long_repeat_chars": chars[max(MOST_COVERED)], "longest_repeat": longest, "base_failed": failed, "kept": kept}
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +131,11 @@ def quality_measures(docs: DataFrame) -> DataFrame:
     """One row of measures and the verdict per document.
 
     A repeat is a run of at least five words that stands at two or more places of one text; ``n_repeat_words`` counts
-    the words under any repeat, ``repeat_chars`` their characters, ``longest_repeat`` the words of the longest.
-    ``base_failed``: fewer than ten words, or over a fifth of the words under repeats. ``kept``: not failed, at most a
-    quarter of the word characters under repeats, and no repeat of over a hundred words.
+    the words under any repeat, ``repeat_chars`` their characters, ``long_repeat_chars`` those under repeats of ten words or
+    more, ``longest_repeat`` the words of the longest. ``base_failed``: fewer than ten words, or over a fifth of the words
+    under repeats. ``kept``: not failed, no repeat of over ``LONGEST`` words, and no more characters under repeats of 5, 6,
+    ... 10 words or more than ``MOST_COVERED`` allows, 15 % down to 10 %. So the method decides where the base rule does not:
+    on repeats of longer words than the others, and on long passages that stand twice.
 
     Null and empty texts have no words and fail. Rows with equal or null ids are judged each by itself. Texts are
     worked on in slices of bounded size; only one text longer than a slice takes memory beyond it.
