@@ -5,11 +5,13 @@ import io
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from vecloom.functions.vector import cosine, dot, norm, to_double
+from vecloom.functions import vector_sums
+from vecloom.functions.vector import combine_vectors, cosine, dot, norm, to_double
 from vecloom.operators import embeddings as emb
 
 
@@ -108,7 +110,9 @@ def test_lookup_spreads_a_hot_token_over_copies_of_its_vector(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        found = emb.lookup_embeddings(stream, table)
+        hot = emb.hot_tokens(stream)
+        assert hot == [7] or (7 in hot and len(hot) <= 60)
+        found = emb.lookup_embeddings(stream, table, [7])
         tasks = found.where("token = 7").groupBy(F.spark_partition_id()).count().collect()
         got = sorted(map(tuple, found.select("pos", "token", "embedding").collect()))
     finally:
@@ -118,6 +122,49 @@ def test_lookup_spreads_a_hot_token_over_copies_of_its_vector(spark):
     assert len(tasks) > 2 and max(r["count"] for r in tasks) < 700
 
 
+def test_only_hot_tokens_are_found_and_copied(spark):
+    rows = [(i, 7 if i % 3 == 0 else 10_000 + i) for i in range(30_000)] + [(-1, None)] * 50
+    stream = spark.createDataFrame(rows, "pos int, token int").repartition(6)
+    assert emb.hot_tokens(stream) == [7]
+    table = spark.createDataFrame([(t, [1.0]) for t in range(100)], "token int, embedding array<float>")
+    seen = []
+    frame, plain = type(stream), type(stream).join
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frame, "join", lambda self, other, on, *rest: (seen.append(other.count()), plain(self, other, on, *rest))[1])
+        found = emb.lookup_embeddings(stream, table, [7])
+    assert seen == [100 + emb.LOOKUP_SALTS - 1]
+    assert found.count() == 10_000 == emb.lookup_embeddings(stream, table).count()
+    assert emb.hot_tokens(stream.limit(0)) == []
+
+
+@pytest.mark.parametrize("how", ["sum", "mean"])
+def test_wide_vectors_are_added_up_by_key(spark, monkeypatch, how):
+    monkeypatch.setattr(vector_sums, "HELD_BYTES", 20_000)
+    monkeypatch.setattr(vector_sums, "ROWS", 16)
+    draw = np.random.default_rng(1)
+    rows = [(k, s, float(w), v.tolist()) for k, s, w, v in zip(
+        [None if x == 9 else int(x) for x in draw.choice([0, 0, 0, 1, 2, 9], 500)], draw.choice(["a", "b"], 500).tolist(), draw.integers(1, 5, 500), draw.normal(size=(500, 100)))]
+    df = spark.createDataFrame([*rows, (1, "a", 1.0, None)], "k int, s string, w double, v array<double>").repartition(5)
+    for keys in ([], ["s"], ["k", "s"]):
+        found = {tuple(r)[:len(keys)]: np.array(r["v"]) for r in combine_vectors(df, keys, "v", 100, how, "w").collect()}
+        for key in {tuple(dict(zip("ks", r))[n] for n in keys) for r in rows}:
+            own = [r for r in rows if tuple(dict(zip("ks", r))[n] for n in keys) == key]
+            total = sum(r[2] * np.array(r[3]) for r in own)
+            assert np.allclose(found.pop(key), total / sum(r[2] for r in own) if how == "mean" else total)
+        assert not found
+    assert combine_vectors(df.limit(0), ["k"], "v", 100).count() == 0
+    with pytest.raises(PySparkException, match="another length than 101"):
+        combine_vectors(df, ["k"], "v", 101).collect()
+
+
+def test_the_plan_of_a_wide_mean_does_not_grow(spark):
+    def size(width):
+        df = spark.range(10).select("id", F.array_repeat(F.col("id").cast("double"), width).alias("v"))
+        return len(combine_vectors(df, ["id"], "v", width)._jdf.queryExecution().executedPlan().toString())
+
+    assert abs(size(768) - size(4096)) < 100
+
+
 def test_start_vectors_depend_on_token_and_seed_only(spark):
     tokens = spark.range(500).select(F.col("id").cast("int").alias("token"))
     first = {r.token: r.embedding for r in emb.init_embeddings(tokens, 4, 1).collect()}

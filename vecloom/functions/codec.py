@@ -1,4 +1,4 @@
-"""The byte-pair tokenizer as Arrow functions: a batch of lines in, a batch of id lists out."""
+"""The byte-pair tokenizer as an Arrow function: a batch of lines in, a batch of id lists out."""
 
 from __future__ import annotations
 
@@ -37,16 +37,3 @@ def encoder(ranks: Broadcast, pattern: str) -> Callable:
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=missing)
 
     return encode
-
-
-def decoder(ranks: Broadcast, pattern: str) -> Callable:
-    """Ids to text. All bytes of a list are joined before they are read, so split characters come back whole."""
-
-    @arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoding = _encoding(ranks.value, pattern)
-        for batch in batches:
-            texts = [encoding.decode(ids, errors="replace") if ids is not None else None for ids in batch.to_pylist()]
-            yield pa.array(texts, pa.string())
-
-    return decode

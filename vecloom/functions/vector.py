@@ -1,4 +1,4 @@
-"""Arithmetic on array columns, all inside the JVM."""
+"""Arithmetic on array columns, inside the JVM but for sums of wide vectors."""
 
 from __future__ import annotations
 
@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vecloom.functions.vector_sums import sum_wide_vectors
+
+#: Vectors of up to so many elements are added up element by element.
+NARROW = 64
 
 def to_double(vector: Column) -> Column:
     """The same vector with double elements."""
@@ -57,12 +61,18 @@ def exact_text(vector: Column) -> Column:
 def combine_vectors(df: DataFrame, keys: Sequence[str], vector: str, width: int, how: str = "sum", weight: str | None = None) -> DataFrame:
     """Add or average vectors per key: ``(keys..., vector)`` with double elements.
 
-    One row per vector and one sum per position, all combined before the shuffle, so a key that holds a third of
-    all rows sends one partial row per task. A vector of another length than ``width`` fails the job rather than
-    bending the mean; a missing vector does not count.
+    All is combined before the shuffle, so a key that holds a third of all rows sends one partial row per task. Up to
+    ``NARROW`` elements are a sum each, inside generated code; wider vectors are added up whole, see
+    :func:`vecloom.functions.vector_sums.sum_wide_vectors`, so that the plan does not grow with them. A vector of another
+    length than ``width`` fails the job rather than bending the mean; a missing vector does not count.
     """
     load = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.where(F.col(vector).isNotNull()).select(*keys, load.alias("_w"), to_double(F.col(vector)).alias("_v"))
+    if width > NARROW:
+        named = rows.where(F.col("_w").isNotNull()).select(*keys, F.col("_v").alias("vector"), F.col("_w").alias("weight"))
+        summed = sum_wide_vectors(named, keys, width)
+        mean = F.transform("total", lambda x: F.try_divide(x, F.col("weight")))
+        return summed.select(*keys, (F.col("total") if how == "sum" else mean).alias(vector))
     sums = [F.sum(F.get("_v", F.lit(i)) * F.col("_w")).alias(f"_{i}") for i in range(width)]
     whole = rows.groupBy(*keys).agg(*sums, F.sum("_w").alias("_weight"), F.min(F.size("_v")).alias("_least"), F.max(F.size("_v")).alias("_most"))
     total = F.array(*[F.col(f"_{i}") for i in range(width)])

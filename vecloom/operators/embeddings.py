@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from vecloom.functions.vector import combine_vectors, exact_text, fixed_text
 
 #: Over how many copies of its vector a frequent token's occurrences are spread.
 LOOKUP_SALTS = 32
+#: A token with more than one in so many rows is hot.
+HOT_SHARE = 500
 
 
 def judge_embeddings(rows: DataFrame, keep: list[str] | None = None, value: str = "value", strict: bool = False) -> DataFrame:
@@ -72,17 +76,31 @@ def dedupe_embeddings(rows: DataFrame, key: str, load_order: str, vector: str =
     return rows.groupBy(key).agg(latest).select(key, f"_last.{load_order}", f"_last.{vector}")
 
 
-def lookup_embeddings(occurrences: DataFrame, embeddings: DataFrame) -> DataFrame:
+def hot_tokens(occurrences: DataFrame, share: int = HOT_SHARE, token: str = "token") -> list[int]:
+    """The tokens that may hold more than one in ``share`` of the rows, fewer than ``4 * share`` of them.
+
+    A sketch of frequent items, kept per task and merged, finds them in one pass; its estimates are never too low by more than
+    it allows for here, and a token too many does no harm.
+    """
+    found = occurrences.agg(F.count(F.lit(1)).alias("n"), F.call_function(
+        "approx_top_k", token, F.lit(4 * share), F.lit(64 * share)).alias("top")).first()
+    return [row["item"] for row in found["top"] or [] if row["item"] is not None and row["count"] * 2 * share > found["n"]]
+
+
+def lookup_embeddings(occurrences: DataFrame, embeddings: DataFrame, hot: Collection[int] = ()) -> DataFrame:
     """``occurrences`` ``(token, ...)`` with the embedding of each row's token; tokens without one are dropped.
 
-    The embedding side has one row per token, repeated ``LOOKUP_SALTS`` times; the occurrences of a token are spread
-    over the copies by a hash of their other columns, so a token in a third of all rows does not meet its vector in
-    one task. Spark may broadcast the copies by its own threshold. Where only the number of an occurrence matters,
-    count first.
+    The embedding side has one row per token. The vectors of the ``hot`` tokens alone, see :func:`hot_tokens`, are copied
+    ``LOOKUP_SALTS`` times, and their occurrences are dealt over the copies by a hash of their other columns, so a token in a
+    third of all rows does not meet its vector in one task; rows equal in all columns stay together. Spark may broadcast the
+    vectors by its own threshold. The rows are the same whatever ``hot`` holds. Where only the number of an occurrence
+    matters, count first: then no token is hot.
     """
-    salts = F.lit(LOOKUP_SALTS)
-    copies = embeddings.select("token", "embedding", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
-    dealt = occurrences.withColumn("_salt", F.pmod(F.xxhash64(*occurrences.columns), salts).cast("int"))
+    if not hot:
+        return occurrences.join(embeddings.select("token", "embedding"), "token")
+    salts, few, last = F.lit(LOOKUP_SALTS), F.col("token").isin(list(hot)), F.when(F.col("token").isin(list(hot)), LOOKUP_SALTS - 1).otherwise(0)
+    copies = embeddings.select("token", "embedding", F.explode(F.sequence(F.lit(0), last)).alias("_salt"))
+    dealt = occurrences.withColumn("_salt", F.when(few, F.pmod(F.xxhash64(*occurrences.columns), salts).cast("int")).otherwise(0))
     return dealt.join(copies, ["token", "_salt"]).drop("_salt")
 
 

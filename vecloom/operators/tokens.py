@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.codec import decoder, encoder
+from vecloom.functions.codec import encoder
 from vecloom.functions.text import BLANKS, whole_part
 from vecloom.operators.lines import deal
 from vecloom.operators.ordinal import with_offset
 from vecloom.session import ship_package
-from vecloom.sources.vocabulary import Vocabulary, rank_file, vocabulary_table
+from vecloom.sources.vocabulary import LARGEST_RANK_FILE, Vocabulary, rank_file, vocabulary_table
 
 
 def tokenize_lines(lines: DataFrame, vocabulary: Vocabulary, text: str = "line") -> DataFrame:
@@ -22,11 +22,23 @@ def tokenize_lines(lines: DataFrame, vocabulary: Vocabulary, text: str = "line")
 
 
 def detokenize_lines(tokenised: DataFrame, vocabulary: Vocabulary, text: str = "line") -> DataFrame:
-    """``tokenised`` with the ids of each line replaced by their text."""
+    """``tokenised`` with the ids of each list, ``tokens``, replaced by their text.
+
+    The bytes of all ids of a list are joined before they are read, so characters that are split over ids come back whole;
+    what is no character reads as the replacement character, as does an unknown or missing id. No list, no text; an empty
+    list is the empty text. Rows stay where they lie and no Python runs: the vocabulary is one array, indexed by id, that a
+    subquery brings to every task after a check of its size.
+    """
     spark = tokenised.sparkSession
-    ship_package(spark)
-    decode = decoder(rank_file(spark, vocabulary), vocabulary.pattern)
-    return tokenised.withColumn(text, decode(F.col("tokens"))).drop("tokens")
+    words = vocabulary_table(spark, vocabulary).select(F.col("token").cast("bigint").alias("id"), F.col("bytes").cast("string").alias("raw"))
+    size, held = words.agg(F.max("id") + 1, F.sum(F.octet_length("raw") + 16)).first()
+    if (held or 0) + 8 * (size or 0) > 4 * LARGEST_RANK_FILE:
+        raise ValueError("a vocabulary too large to send to every task")
+    places = spark.range(size or 0).join(words, "id", "left")
+    listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("raw", F.lit("\ufffd")).alias("raw"))))
+    array = places.agg(F.transform(listed, lambda word: word["raw"]).alias("_words")).scalar()
+    named = F.transform("tokens", lambda token: F.coalesce(F.get("_words", token), F.lit("\ufffd")))
+    return tokenised.withColumn("_words", array).withColumn(text, F.make_valid_utf8(F.array_join(named, ""))).drop("tokens", "_words")
 
 
 def detokenize_ids(rows: DataFrame, words: DataFrame, token: str = "token", text: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vecloom.functions.hashing import draw_below
 from vecloom.functions.text import whole_part
 from vecloom.functions.vector import combine_vectors
-from vecloom.operators.embeddings import init_embeddings, lookup_embeddings
+from vecloom.operators.embeddings import hot_tokens, init_embeddings
 from vecloom.operators.negatives import draw_tokens, weighted_tokens
 from vecloom.operators.ordinal import running_offsets
 from vecloom.operators.tokens import count_tokens, distinct_tokens, shard_tokens, token_stream
@@ -23,7 +23,10 @@ from vecloom.session import Rotation, ship_package, write_bucketed, write_table
 
 #: The row of a shard's result that holds its mean loss instead of a vector; no token has this id.
 LOSS_ROW = -1
+#: The row of a probe: its loss, and as weight whether it is the best so far.
+PROBE_ROW = -2
 _UPDATES = "token bigint, embedding array<double>, weight bigint"
+_PROBED = _UPDATES + ", shard bigint, step bigint"
 
 
 @dataclass
@@ -32,6 +35,7 @@ class TrainedEmbeddings:
 
     ``losses[i]`` is the mean loss of the table after ``i`` rounds, ``rates[i]`` the learning rate of the first step
     that follows it. ``best`` is the number of rounds behind ``embeddings``; ``stopped`` tells whether patience ran out.
+    ``probes`` ``(round, shard, step, loss, best)`` are the losses that shards took on their held-back pairs, if asked to.
     """
 
     embeddings: DataFrame
@@ -39,6 +43,7 @@ class TrainedEmbeddings:
     rates: list[float] = field(default_factory=list)
     best: int = 0
     stopped: bool = False
+    probes: DataFrame | None = None
 
     def history(self, spark: SparkSession) -> DataFrame:
         """``(round, rate, loss, stopped)``, one row per loss; ``stopped`` is true on the last if patience ran out."""
@@ -108,6 +113,13 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
 
     The learning rate is ``lr * decay ^ (step // decay_steps)``, steps being the batches of a shard through all rounds.
     ``sequences`` is read several times; write tokenised text as a table first.
+
+    With ``probe_steps`` a shard does not train on one pair in ``hold_out``, takes its loss on these before the first step
+    and after every ``probe_steps`` steps, gives back its table with the lowest of them, and ends its round after
+    ``patience`` probes in a row without a lower one.
+
+    What shards need and the table they need it from are bucketed by token, alike, so a round moves vectors to their shards
+    and partial means to their tokens and nothing else. The vectors of hot tokens, a bounded number, are broadcast.
     """
     spark = sequences.sparkSession
     ship_package(spark)
@@ -115,38 +127,70 @@ def train_embeddings(sequences: DataFrame, keys: list[str], params: Params) -> T
     segments = write_bucketed(training_segments(sequences, keys, params), "segments", "shard", tasks)
     tokens = count_tokens(sequences) if params.negative_power else distinct_tokens(sequences)
     corpus = write_table(tokens, "corpus")
-    needs = write_table(needed_tokens(segments, corpus, params), "needs")
-    tables = Rotation(spark, "round")
-    current = tables.write(init_embeddings(corpus.select("token"), params.embedding_dim, params.seed))
-    sums = Rotation(spark, "means")
-
-    result = TrainedEmbeddings(current)
+    needs = write_bucketed(needed_tokens(segments, corpus, params).repartition(tasks, "token"), "needs", "token", tasks)
+    hot = hot_tokens(needs)
+    tables = Rotation(spark, "round", "token", tasks)
+    start = init_embeddings(corpus.select(F.col("token").cast("bigint").alias("token")), params.embedding_dim, params.seed)
+    loss_row = spark.range(1).select(F.lit(LOSS_ROW).cast("bigint").alias("token"), F.lit(None).cast("array<double>").alias("embedding"))
+    current = tables.write(start.unionByName(loss_row).repartition(tasks, "token"))
+
+    result = TrainedEmbeddings(_words(current, corpus))
     patience = params.patience
     for number in range(params.rounds + 1):
         epochs = params.epochs if number < params.rounds else 0  # the last table is judged, not trained
-        pulled = lookup_embeddings(needs, current).select(F.col("shard").alias("vector_shard"), "place", "token", "embedding")
-        pairs = segments.groupBy("shard").cogroup(pulled.groupBy("vector_shard"))
-        updates = pairs.applyInArrow(_shard_kernel(params, number, epochs), _UPDATES)
-        means = sums.write(combine_vectors(updates, ["token"], "embedding", params.embedding_dim, how="mean", weight="weight"))
-        found = means.where(F.col("token") == LOSS_ROW).first()
-        if found is None:  # no pair in the whole corpus
+        pairs = segments.groupBy("shard").cogroup(pulled_vectors(needs, current, hot).groupBy("vector_shard"))
+        probing = bool(params.probe_steps and epochs)
+        updates = pairs.applyInArrow(_shard_kernel(params, number, epochs), _PROBED if probing else _UPDATES)
+        if probing:
+            updates = write_table(updates, "updates")  # read for the means and for the probes
+            rows = updates.where(F.col("token") == PROBE_ROW).select(
+                F.lit(number).cast("bigint").alias("round"), "shard", "step", F.get("embedding", F.lit(0)).alias("loss"), (F.col("weight") == 1).alias("best"))
+            result.probes = rows if result.probes is None else result.probes.unionByName(rows)
+            updates = updates.where(F.col("token") != PROBE_ROW)
+        means = combine_vectors(updates, ["token"], "embedding", params.embedding_dim, how="mean", weight="weight")
+        place = tables.latest
+        merged = means
+        if epochs:
+            merged = tables.write(current.join(means.withColumnRenamed("embedding", "_new"), "token", "left").select(
+                "token", F.coalesce("_new", "embedding").alias("embedding")))
+        found = merged.where(F.col("token") == LOSS_ROW).first()
+        if found is None or found["embedding"] is None:  # no pair in the whole corpus
             break
         result.losses.append(found["embedding"][0])
         result.rates.append(found["embedding"][1] if params.embedding_dim > 1 else params.learning_rate)
         if result.losses[-1] < min(result.losses[:-1], default=float("inf")):
-            result.embeddings, result.best, patience = current, number, params.patience
-            tables.keep()
+            result.embeddings, result.best, patience = _words(current, corpus), number, params.patience
+            tables.keep(place)
         else:
             patience -= 1
             result.stopped = patience <= 0
         if not epochs or result.stopped:
             break
-        merged = current.join(means.withColumnRenamed("embedding", "_new"), "token", "left").select(
-            "token", F.coalesce("_new", "embedding").alias("embedding"))
-        current = tables.write(merged)
+        current = merged
     return result
 
 
+def _words(table: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The table without the row of the loss, its ids of the corpus's type."""
+    return table.where(F.col("token") != LOSS_ROW).select(F.col("token").cast(corpus.schema["token"].dataType).alias("token"), "embedding")
+
+
+def pulled_vectors(needs: DataFrame, current: DataFrame, hot: list[int]) -> DataFrame:
+    """``(vector_shard, place, token, embedding)``: each needed token with its vector, where it lies.
+
+    Both tables are bucketed by token, so neither is moved. A hot token, which very many shards need, meets its vector by a
+    broadcast of the vectors of the hot tokens.
+    """
+    table = current.where(F.col("token") >= 0)
+    if hot:
+        few = F.col("token").isin(hot)
+        often = needs.where(few).join(F.broadcast(table.where(few)), "token")
+        found = needs.where(~few).join(table.hint("merge"), "token").unionByName(often)
+    else:
+        found = needs.join(table.hint("merge"), "token")
+    return found.select(F.col("shard").alias("vector_shard"), "place", F.col("token"), "embedding")
+
+
 def _shard_kernel(params: Params, number: int, epochs: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def train(segments: pa.Table, vectors: pa.Table) -> pa.Table:
         return train_shard(segments, vectors, params, number, epochs)
@@ -155,10 +199,15 @@ def _shard_kernel(params: Params, number: int, epochs: int) -> Callable[[pa.Tabl
 
 
 def shard_triples(segments: pa.Table, pool: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Centre, context and negative of every pair of neighbours in every window of a shard, in text order.
+    """Centre, context and negative of every pair of neighbours in every window of a shard, in text order."""
+    return numbered_triples(segments, pool, params)[:3]
+
+
+def numbered_triples(segments: pa.Table, pool: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`shard_triples`, and the number of each pair.
 
-    Windows take their negatives from the pool in turn: pair ``p`` of window ``w`` has number ``w * window_size + p``
-    modulo the pool, so a pair has the same negative wherever and whenever it is made.
+    Pair ``p`` of window ``w`` has number ``w * window_size + p``. Windows take their negatives from the pool in turn, by that
+    number modulo the pool, so a pair has the same negative wherever and whenever it is made.
     """
     size, step = params.window_size, params.stride
     segments = segments.take(pa.array(np.argsort(segments["win"].to_numpy(), kind="stable")))
@@ -175,7 +224,8 @@ def shard_triples(segments: pa.Table, pool: np.ndarray, params: Params) -> tuple
     window = np.repeat(segments["win"].to_numpy().astype(np.int64), windows) + inside * turns
     place = _counting(pairs)
     at = np.repeat(begins, pairs) + place
-    return flat[at], flat[at + 1], pool[(np.repeat(window, pairs) * size + place) % len(pool)]
+    number = np.repeat(window, pairs) * size + place
+    return flat[at], flat[at + 1], pool[number % len(pool)], number
 
 
 def _counting(sizes: np.ndarray) -> np.ndarray:
@@ -189,8 +239,9 @@ def train_shard(segments: pa.Table, vectors: pa.Table, params: Params, number: i
 
     The row ``LOSS_ROW`` holds the mean loss before the first step and the rate of that step, weighted by the pairs.
     """
+    probing = bool(params.probe_steps and epochs)
     if segments.num_rows == 0 or vectors.num_rows == 0:
-        return _no_updates()
+        return _no_updates(probing)
     ids = vectors["token"].to_numpy().astype(np.int64)
     tokens, first = np.unique(ids, return_index=True)
     lists = vectors["embedding"].combine_chunks()
@@ -199,28 +250,69 @@ def train_shard(segments: pa.Table, vectors: pa.Table, params: Params, number: i
     place = vectors["place"].to_numpy(zero_copy_only=False)
     drawn = np.flatnonzero(~np.isnan(place.astype(np.float64)))
     pool = ids[drawn[np.argsort(place[drawn], kind="stable")]]
-    c, o, n = (np.searchsorted(tokens, x) for x in shard_triples(segments, pool, params))
+    c, o, n, numbers = numbered_triples(segments, pool, params)
+    c, o, n = (np.searchsorted(tokens, x) for x in (c, o, n))
     if not len(c):
-        return _no_updates()
+        return _no_updates(probing)
 
     step = params.batch_pairs
-    loss = sum(_loss(matrix, c[i:i + 65536], o[i:i + 65536], n[i:i + 65536]) for i in range(0, len(c), 65536))
-    batches = [_batch(c[i:i + step], o[i:i + step], n[i:i + step]) for i in range(0, len(c), step)] if epochs else []
-    done = number * params.epochs * -(-len(c) // step)
+    loss = _mean_loss(matrix, c, o, n)
+    back = probing & (numbers % params.hold_out == 0)
+    if back.all():  # nothing to train on
+        back[:] = False
+    ct, ot, nt = (x[~back] for x in (c, o, n))
+    batches = [_batch(ct[i:i + step], ot[i:i + step], nt[i:i + step]) for i in range(0, len(ct), step)] if epochs else []
+    done = number * params.epochs * -(-len(ct) // step)
     rate = learning_rate(params, done)
+    probes = Probes(tuple(x[back] for x in (c, o, n)), params.patience) if back.any() else None
+    if probes:
+        probes.take(0, matrix)
     for at in range(epochs * len(batches)):
         _descend(matrix, batches[at % len(batches)], learning_rate(params, done + at))
+        if probes and (at + 1) % params.probe_steps == 0 and not probes.take(at + 1, matrix):
+            break
+    if probes:
+        matrix = probes.matrix
 
-    touches = sum(np.bincount(x, minlength=len(tokens)) for x in (c, o, n))
+    touches = sum(np.bincount(x, minlength=len(tokens)) for x in (ct, ot, nt))
     report = np.zeros((1, matrix.shape[1]))
-    report[0, :2] = [loss / len(c), rate][:matrix.shape[1]]
+    report[0, :2] = [loss, rate][:matrix.shape[1]]
     rows = np.concatenate([report, matrix]) if epochs else report
     names = np.concatenate([[LOSS_ROW], tokens])[:len(rows)]
     weights = np.concatenate([[len(c)], touches])[:len(rows)]
     keep = weights > 0  # what only the pool holds and no pair has drawn is unchanged
-    ends = np.arange(keep.sum() + 1, dtype=np.int32) * matrix.shape[1]
-    return pa.table({"token": names[keep], "embedding": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows[keep].ravel())),
-                     "weight": weights[keep].astype(np.int64)})
+    rows, names, weights = rows[keep], names[keep], weights[keep].astype(np.int64)
+    columns = {}
+    if probing:
+        taken = probes.rows if probes else []
+        extra = np.zeros((len(taken), matrix.shape[1]))
+        extra[:, 0] = [x for _, x, _ in taken]
+        columns = {"shard": np.full(len(rows) + len(taken), segments["shard"][0].as_py(), np.int64),
+                   "step": np.concatenate([np.zeros(len(rows), np.int64), np.array([s for s, _, _ in taken], np.int64)])}
+        rows, names = np.concatenate([rows, extra]), np.concatenate([names, np.full(len(taken), PROBE_ROW)])
+        weights = np.concatenate([weights, np.array([b for _, _, b in taken], np.int64)])
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.table({"token": names, "embedding": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel())), "weight": weights, **columns})
+
+
+class Probes:
+    """Losses on held-back triples, the matrix with the lowest, and how long no lower one is waited for."""
+
+    def __init__(self, triples: tuple[np.ndarray, np.ndarray, np.ndarray], patience: int) -> None:
+        self.triples, self.patience, self.left = triples, patience, patience
+        self.rows: list[tuple[int, float, bool]] = []
+        self.lowest, self.matrix = np.inf, np.zeros((0, 0))
+
+    def take(self, step: int, matrix: np.ndarray) -> bool:
+        """Probe after ``step`` steps. False if the shard should stop."""
+        loss = _mean_loss(matrix, *self.triples)
+        best = not self.rows or loss < self.lowest
+        self.rows.append((step, loss, best))
+        if best:
+            self.lowest, self.matrix, self.left = loss, matrix.copy(), self.patience
+        else:
+            self.left -= 1
+        return self.left > 0
 
 
 def learning_rate(params: Params, step: int) -> float:
@@ -237,6 +329,10 @@ def _loss(matrix: np.ndarray, c: np.ndarray, o: np.ndarray, n: np.ndarray) -> fl
     return float(np.logaddexp(0, -near).sum() + np.logaddexp(0, far).sum())
 
 
+def _mean_loss(matrix: np.ndarray, c: np.ndarray, o: np.ndarray, n: np.ndarray) -> float:
+    return sum(_loss(matrix, c[i:i + 65536], o[i:i + 65536], n[i:i + 65536]) for i in range(0, len(c), 65536)) / len(c)
+
+
 def _batch(c: np.ndarray, o: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
     """A batch of triples with the order that brings equal rows together, and where each row begins in it."""
     ids = np.concatenate([c, o, n])
@@ -255,6 +351,6 @@ def _descend(matrix: np.ndarray, batch: tuple[np.ndarray, ...], rate: float) ->
     matrix[rows] -= np.add.reduceat(moves, heads, axis=0)
 
 
-def _no_updates() -> pa.Table:
+def _no_updates(probing: bool) -> pa.Table:
     kinds = [("token", pa.int64()), ("embedding", pa.list_(pa.float64())), ("weight", pa.int64())]
-    return pa.schema(kinds).empty_table()
+    return pa.schema(kinds + [("shard", pa.int64()), ("step", pa.int64())] * probing).empty_table()

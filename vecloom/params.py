@@ -12,6 +12,7 @@ class Params:
     The first eleven are fixed values: a run with the defaults shards, windows and trains as users of
     the job configuration expect. The others belong to this engine.
     ``negative_power`` is the power of a token's count by which it is drawn as a negative; at 0 all are drawn alike.
+    With ``probe_steps`` a shard holds back one pair in ``hold_out`` and takes its loss on these every so many steps.
     """
 
     num_shards: int = 20
@@ -35,3 +36,5 @@ class Params:
     seed: int = 17
     round_robin: bool = False
     negative_power: float = 0.0
+    probe_steps: int = 0
+    hold_out: int = 64

@@ -7,7 +7,7 @@ the SQL joins, sorts and numbers in the plain way.
 from __future__ import annotations
 
 from vecloom.params import Params
-from vecloom.plans.queries import STEPS, WEIGHT_POWER
+from vecloom.plans.queries import PROBED, STEPS, WEIGHT_POWER, WIDE
 
 _P = Params()
 _FULL = _P.vocab_size
@@ -135,8 +135,8 @@ _SHARD_TRIPLES = _sequences(_FULL) + "," + _windows("sequences", "doc_id") + f""
   corpus AS (SELECT DISTINCT unnest(tokens) AS token FROM sequences),
   places AS (SELECT shard, unnest(range(0, {STEPS.negative_pool})) AS place FROM (SELECT DISTINCT shard FROM placed)),{_DRAWN_EVENLY}
   links AS (SELECT shard, win, unnest(range(0, len("window") - 1)) AS p, "window" FROM placed WHERE len("window") > 1),
-  pairs AS (SELECT shard, "window"[p + 1] AS c, "window"[p + 2] AS o, (win * {STEPS.window_size} + p) % {STEPS.negative_pool} AS place FROM links),
-  triples AS (SELECT shard, c, o, n FROM pairs JOIN pool USING (shard, place)),
+  pairs AS (SELECT shard, "window"[p + 1] AS c, "window"[p + 2] AS o, win * {STEPS.window_size} + p AS number, (win * {STEPS.window_size} + p) % {STEPS.negative_pool} AS place FROM links),
+  triples AS (SELECT shard, c, o, n, number FROM pairs JOIN pool USING (shard, place)),
   ends AS (SELECT shard, c AS token FROM triples UNION ALL SELECT shard, o FROM triples UNION ALL SELECT shard, n FROM triples),
   touched AS (SELECT shard, token, count(*) AS k FROM ends GROUP BY shard, token),""" + _start("corpus") + """,
   table0 AS (SELECT token, v FROM start)"""
@@ -169,6 +169,27 @@ def _round(number: int) -> str:
     FROM old{number} o LEFT JOIN means{number} m USING (token, dim) GROUP BY token)"""
 
 
+def _probe(step: int) -> str:
+    """``probe{step}``: each shard's loss on its held-back triples; ``own{step + 1}``: its table after one step over the others."""
+    held = f"number % {PROBED.hold_out} = 0"
+    return f""",
+  near{step} AS (
+    SELECT t.shard, t.c, t.o, t.n, t.number, a.v AS vc, b.v AS vo, d.v AS vn, list_inner_product(a.v, b.v) AS near, list_inner_product(a.v, d.v) AS far
+    FROM triples t JOIN own{step} a ON t.shard = a.shard AND t.c = a.token JOIN own{step} b ON t.shard = b.shard AND t.o = b.token
+    JOIN own{step} d ON t.shard = d.shard AND t.n = d.token),
+  probe{step} AS (SELECT shard, CAST({step} AS BIGINT) AS step, avg(ln(1 + exp(-near)) + ln(1 + exp(far))) AS loss FROM near{step} WHERE {held} GROUP BY shard),
+  drag{step} AS (SELECT *, 1 / (1 + exp(-near)) - 1 AS g, 1 / (1 + exp(-far)) AS h FROM near{step} WHERE NOT {held}),
+  shift{step} AS (
+    SELECT shard, c AS token, g AS f, vo AS v FROM drag{step} UNION ALL SELECT shard, c, h, vn FROM drag{step}
+    UNION ALL SELECT shard, o, g, vc FROM drag{step} UNION ALL SELECT shard, n, h, vc FROM drag{step}),
+  grain{step} AS (SELECT shard, token, generate_subscripts(v, 1) - 1 AS dim, f * unnest(v) AS x FROM shift{step}),
+  slope{step} AS (SELECT shard, token, dim, sum(x) AS x FROM grain{step} GROUP BY shard, token, dim),
+  flat{step} AS (SELECT shard, token, generate_subscripts(v, 1) - 1 AS dim, unnest(v) AS x FROM own{step}),
+  own{step + 1} AS (
+    SELECT f.shard, f.token, list(f.x - {_rate(step)} * coalesce(s.x, 0) ORDER BY f.dim) AS v
+    FROM flat{step} f LEFT JOIN slope{step} s ON f.shard = s.shard AND f.token = s.token AND f.dim = s.dim GROUP BY f.shard, f.token)"""
+
+
 _TIDY = "round({0}, 6) + 0.0"
 _LOSSES = f"WITH {_SHARD_TRIPLES + _round(0) + _round(1) + _scores(2)} " + " UNION ALL ".join(
     f"""SELECT CAST({i} AS BIGINT) AS round, {_TIDY.format(f'CAST({_rate(i)} AS DOUBLE)')} AS rate,
@@ -327,6 +348,7 @@ ORACLE: dict[str, str] = {
         SELECT token, CAST(dim AS BIGINT) AS dim, {_TIDY.format('x')} AS x FROM gradient""",
     "sgns_step": f"WITH {_STEP} SELECT token, CAST(dim AS BIGINT) AS dim, {_TIDY.format('x')} AS x FROM step",
 }
+ORACLE["pruned_neighbours"] = ORACLE["top_k_similar"]
 ORACLE["parse_embeddings_strict"] = ORACLE["parse_embeddings"].replace("range(2)", "range(3)")
 ORACLE |= {
     "lookup_occurrences": f"""WITH {_FOLDED},
@@ -353,6 +375,15 @@ ORACLE |= {
         SELECT parser, count(*) AS n_read, count(*) FILTER (reason IS NULL) AS n_kept, count(reason) AS n_rejected FROM judged GROUP BY parser""",
     "observed_counts": f"""WITH {_LINES}, {_STREAM}
         SELECT (SELECT count(*) FROM lines) AS n_lines, count(*) AS n_tokens, CAST(max(token) + 1 AS BIGINT) AS vocab_size FROM stream""",
+    "wide_means": f"""WITH cells AS (
+          SELECT label, vec_id AS w, unnest(range(0, {WIDE})) AS dim, embedding FROM embeddings),
+        scaled AS (SELECT label, w, dim, CAST(embedding[dim % 64 + 1] AS DOUBLE) * (dim // 64 + 1) AS x FROM cells)
+        SELECT label, dim, {_TIDY.format('sum(w * x) / sum(w)')} AS x FROM scaled GROUP BY label, dim""",
+    "train_probe": f"""WITH {_SHARD_TRIPLES},
+        own0 AS (SELECT shard, token, v FROM (SELECT DISTINCT shard, token FROM ends) JOIN start USING (token)) {_probe(0) + _probe(1) + _probe(2)},
+        taken AS (FROM probe0 UNION ALL FROM probe1 UNION ALL FROM probe2)
+        SELECT shard, step, {_TIDY.format('loss')} AS loss,
+               coalesce(loss < min(loss) OVER (PARTITION BY shard ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS best FROM taken""",
     "train_losses": _LOSSES,
     "train_losses_weighted": _LOSSES.replace(_DRAWN_EVENLY, _DRAWN_BY_WEIGHT),
     "token_spans": f"""WITH {_sequences(_FULL)}, {_spans()} SELECT token, start, "end" FROM spans""",

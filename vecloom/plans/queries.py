@@ -15,7 +15,7 @@ from vecloom.functions.text import piece_ids_of, pieces_of
 from vecloom.functions.vector import combine_vectors, dot, fixed_text, norm, tidy
 from vecloom.operators import embeddings as emb
 from vecloom.operators import lines as ln
-from vecloom.operators import negatives, sgns, similarity, tokens, windows
+from vecloom.operators import negatives, pruned, sgns, similarity, tokens, windows
 from vecloom.operators.accounts import Judged, set_apart
 from vecloom.operators.training import train_embeddings
 from vecloom.params import Params
@@ -32,11 +32,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params()
 #: The length of the vectors in the table ``embeddings``.
 VECTOR_WIDTH = 64
+#: The length of vectors that are too wide to be added up element by element.
+WIDE = 768
 #: The power of a token's count by which it is drawn as a negative.
 WEIGHT_POWER = 0.75
 #: Two rounds that SQL can follow: one full step per shard, and a learning rate that falls between the rounds.
 STEPS = Params(epochs=1, rounds=2, windows_per_shard=500, batch_pairs=2**31, decay_steps=1, decay_rate=0.5, negative_pool=64)
 
+#: One round of two full steps, each followed by a probe.
+PROBED = replace(STEPS, rounds=1, epochs=2, probe_steps=1, hold_out=16)
+
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents", ["doc_id", "text"], spread_by="doc_id")
@@ -388,8 +393,9 @@ def lookup_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    each = tokens.each_token(_sequences(spark, folder, _vector_count(spark, folder)).withColumn("at", F.monotonically_increasing_id()), ["doc_id", "at"])
-    return emb.lookup_embeddings(each.select("doc_id", "token"), _vectors(spark, folder))
+    ids = write_table(_sequences(spark, folder, _vector_count(spark, folder)), "sequences")
+    each = ids.select("doc_id", F.posexplode("tokens").alias("place", "token"))
+    return emb.lookup_embeddings(each, _vectors(spark, folder), emb.hot_tokens(each)).drop("place")
 
 
 def lookup_occurrence_sums(spark: SparkSession, folder: str) -> DataFrame:
@@ -417,6 +423,14 @@ def mean_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return _elements(emb.mean_embeddings(rows, VECTOR_WIDTH, "label"), ["label"], "embedding")
 
 
+def wide_means(spark: SparkSession, folder: str) -> DataFrame:
+    """Means of vectors of ``WIDE`` elements: each vector beside itself, as often as fits, every time a little larger."""
+    places = F.sequence(F.lit(0), F.lit(WIDE - 1))
+    wide = F.transform(places, lambda j: F.get("embedding", j % VECTOR_WIDTH).cast("double") * (F.call_function("div", j, F.lit(VECTOR_WIDTH)) + 1))
+    rows = _vectors(spark, folder).select("label", F.col("token").alias("weight"), wide.alias("embedding"))
+    return _elements(emb.mean_embeddings(rows, WIDE, "label", weight="weight"), ["label"], "embedding")
+
+
 def vector_dot(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _vectors(spark, folder).select("token", "embedding")
     following = vectors.select((F.col("token") - 1).alias("token"), F.col("embedding").alias("following"))
@@ -436,6 +450,11 @@ def top_k_similar(spark: SparkSession, folder: str) -> DataFrame:
     return similarity.top_k_similar(_vectors(spark, folder), PARAMS.neighbours)
 
 
+def pruned_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`top_k_similar` with blocks of like direction, of which only those meet that can matter."""
+    return pruned.pruned_neighbours(_vectors(spark, folder), PARAMS.neighbours).neighbours
+
+
 def narrow_scores(spark: SparkSession, folder: str) -> DataFrame:
     return similarity.narrow_scores(top_k_similar(spark, folder))
 
@@ -504,6 +523,12 @@ def train_losses_weighted(spark: SparkSession, folder: str) -> DataFrame:
     return _losses(spark, folder, replace(STEPS, negative_power=WEIGHT_POWER))
 
 
+def train_probe(spark: SparkSession, folder: str) -> DataFrame:
+    """The losses that shards take on their held-back pairs, in a round of two steps with a probe after each."""
+    found = _steps(spark, folder, PROBED).probes
+    return found.select("shard", "step", tidy(F.col("loss")).alias("loss"), "best")
+
+
 def _trained(spark: SparkSession, folder: str, params: Params) -> DataFrame:
     lines = tokens.tokenize_lines(_lines(spark, folder), _vocabulary(spark))
     trained = train_embeddings(write_table(lines, "tokenised"), ["doc_id", "pos"], params)
@@ -530,9 +555,9 @@ QUERIES: dict[str, Query] = {
         word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
         shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples, token_spans, negative_samples_weighted,
         parse_embeddings, parse_embeddings_strict, rejected_rows, parser_accounts, observed_counts, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences, lookup_occurrence_sums,
-        unknown_tokens, mean_embeddings, vector_dot, vector_norm, cosine_pairs, top_k_similar, narrow_scores,
+        unknown_tokens, mean_embeddings, wide_means, vector_dot, vector_norm, cosine_pairs, top_k_similar, pruned_neighbours, narrow_scores,
         format_neighbours,
-        init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses, train_losses_weighted,
+        init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses, train_losses_weighted, train_probe,
         token_neighbours)
 }
 QUERIES["nline_corpus"] = nline_corpus_query

@@ -55,10 +55,16 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, options: dict[str, str] | None = None) -> DataFrame:
-    """:func:`write_table` with rows dealt into ``buckets`` files by ``key``, so that a join or grouping by it need not move them."""
-    spark = df.sparkSession
-    entry, path = f"vecloom_{uuid.uuid4().hex}", new_path(spark, name)
-    df.write.format("parquet").bucketBy(buckets, key).options(path=path, **(options or {})).saveAsTable(entry)
+    """:func:`write_table` with rows dealt into ``buckets`` files by ``key``, so that a join or grouping by it need not move them.
+
+    The table is for a moment an entry of the session's current database, which has to be writable.
+    """
+    return _bucketed(df, new_path(df.sparkSession, name), key, buckets, options or {})
+
+
+def _bucketed(df: DataFrame, path: str, key: str, buckets: int, options: dict[str, str]) -> DataFrame:
+    spark, entry = df.sparkSession, f"vecloom_{uuid.uuid4().hex}"
+    df.write.format("parquet").mode("overwrite").bucketBy(buckets, key).options(path=path, **options).saveAsTable(entry)
     table = spark.table(entry)
     spark.sql(f"DROP TABLE {entry}")  # the entry goes; the files stay, and the frame knows them
     return table
@@ -67,22 +73,24 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, options: di
 class Rotation:
     """A table that is replaced again and again, in a few folders that are overwritten in turn.
 
-    A written table stays until it is neither the latest nor kept.
+    A written table stays until it is neither the latest nor kept. With ``key``, tables are bucketed by it.
     """
 
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.places = spark, [new_path(spark, name) for _ in range(3)]
+    def __init__(self, spark: SparkSession, name: str, key: str | None = None, buckets: int = 0) -> None:
+        self.spark, self.places, self.key, self.buckets = spark, [new_path(spark, name) for _ in range(3)], key, buckets
         self.latest = self.kept = -1
 
     def write(self, df: DataFrame) -> DataFrame:
         free = next(i for i in range(3) if i not in (self.latest, self.kept))
-        df.write.mode("overwrite").parquet(self.places[free])
         self.latest = free
+        if self.key:
+            return _bucketed(df, self.places[free], self.key, self.buckets, {})
+        df.write.mode("overwrite").parquet(self.places[free])
         return self.spark.read.schema(df.schema).parquet(self.places[free])
 
-    def keep(self) -> None:
-        """Keep the latest table, and give up the one kept before."""
-        self.kept = self.latest
+    def keep(self, place: int | None = None) -> None:
+        """Keep the latest table, or that written when ``latest`` was ``place``, and give up the one kept before."""
+        self.kept = self.latest if place is None else place
 
 
 def ship_package(spark: SparkSession) -> None:
