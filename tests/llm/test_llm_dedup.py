@@ -15,6 +15,7 @@ from vecloom.llm.components import components
 from vecloom.llm.line_dedup import dedup_lines, drop_repeated_lines
 from vecloom.llm.ngram_join import LEAST, ROW_BITS, SHINGLE, Limits, Paths, _identities, count_paths, drop_near_duplicates, maybe_links, near_duplicates, similar
 from vecloom.llm.substring_dedup import substring_dedup
+from vecloom.llm import suffix_dedup as suffix_module
 from vecloom.llm.suffix_dedup import DEPTH, common_prefixes, front_code, front_decode, merge_runs, suffix_dedup
 
 LAST = 2**63 - 1
@@ -69,7 +70,10 @@ def spans(units: list, size: int, docs: list[tuple]) -> list[list[bool]]:
     return found
 
 
-def test_suffix_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("hot_chunks", [1000, 1, 3])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot_chunks):
+    """With a low limit all or many k-grams are hot, and their suffixes are dealt by the text around them."""
+    monkeypatch.setattr(suffix_module, "HOT_CHUNKS", hot_chunks)
     docs = mixed(1)
     units = [(text or "").encode() for _, text in docs]
     wanted = []
@@ -80,6 +84,24 @@ def test_suffix_dedup_equals_brute_force(spark):
     assert run(spark, docs, lambda d: suffix_dedup(d).drop("kept")) == sorted(wanted, key=str)
 
 
+def test_a_hot_phrase_is_spread_over_the_buckets():
+    """Many texts share a phrase shorter than a window, in ever different surroundings."""
+    r = random.Random(6)
+    phrase = b"a phrase that stands in very many texts"[:37]
+    texts = [bytes(r.choice(b"abcdefghijklmnop") for _ in range(60)) + phrase + bytes(r.choice(b"abcdefghijklmnop") for _ in range(60)) for _ in range(3000)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets, buckets = np.arange(3001) * 157, 64
+    largest = {}
+    for hot in (False, True):
+        chunk = Chunk(0, data, offsets, pa.array(range(3000)), np.arange(3000), {}, {})
+        grams = suffix_module.Grams(chunk, buckets)
+        bodies = [body for _, body in grams.messages()]
+        chunk.answers["grams"] = [suffix_module.shared_grams([body, body], 2 if hot else 3)[0] for body in bodies]
+        sizes = np.diff(suffix_module.Suffixes(chunk, buckets).heads)
+        largest[hot] = sizes.max() / (sizes.sum() / buckets)
+    assert largest[False] > 2 and largest[True] < 1.3
+
+
 def test_substring_dedup_equals_brute_force(spark):
     docs = mixed(2, " ")
     units = [tuple(WORD.findall(text or "")) for _, text in docs]

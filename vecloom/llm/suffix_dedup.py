@@ -3,7 +3,8 @@
 Suffixes matter only to the depth of the shortest repeat, and only where a repeat can be. Each window of that many
 bytes chooses one of its k-grams, the first with the least hash. Equal windows choose alike, so a window that other
 documents have too chooses a k-gram that other documents have too. A suffix is taken at each chosen k-gram that a first
-exchange finds in two or more documents. Every chunk sorts its suffixes and sends them front-coded; each bucket merges the
+exchange finds in two or more documents. Suffixes at a k-gram that very many chunks have are dealt by the text around it
+too, so that none gathers in one bucket. Every chunk sorts its suffixes and sends them front-coded; each bucket merges the
 sorted runs of all chunks by a loser tree that keeps common prefixes and never compares them again. The merged order
 comes with the longest common prefix of neighbours, from which equal windows are read.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,11 @@ BLOCK = 1 << 20
 #: A suffix record: DEPTH bytes from the k-gram on, the BEFORE bytes in front of it backwards, the least and largest
 #: number of bytes by which a window of the document can start before the k-gram, and padding to whole words.
 RECORD = 80
+#: A k-gram that so many chunks have is hot: its suffixes are dealt by the text around it too, in SIDES copies.
+HOT_CHUNKS, SIDES = 1000, 4
+#: Windows of one copy, by how many bytes they start before the k-gram, and the bytes all windows of a copy share.
+STRIDE = -(-CHOICES // SIDES)
+COMMON = DEPTH - STRIDE + 1
 _STEPS = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]  # fixed values: odd multipliers
 
 
@@ -90,17 +97,30 @@ class Grams:
             yield bucket, self.hash[a:b].astype("<u4").tobytes() + np.packbits(self.many[a:b]).tobytes()
 
 
-def shared_grams(bodies: list[bytes]) -> list[bytes]:
-    """Tell each chunk which of its k-grams two or more documents have. Hashes may fall together; no shared one is missed."""
+def shared_grams(bodies: list[bytes], hot_chunks: int) -> list[bytes]:
+    """Tell each chunk which of its k-grams two or more documents have, and, if any is, which are hot. Hashes may fall
+    together; no shared one is missed."""
     counts = [_entries(body) for body in bodies]
     cells = np.concatenate([np.frombuffer(body, "<u4", n) for body, n in zip(bodies, counts)])
     many = np.concatenate([np.unpackbits(np.frombuffer(body, np.uint8, -1, 4 * n), count=n) for body, n in zip(bodies, counts)])
     order = np.argsort(cells, kind="stable")
     heads = np.flatnonzero(np.concatenate([[True], cells[order][1:] != cells[order][:-1]]))
     sizes = np.diff(np.append(heads, len(order)))
-    shared = np.zeros(len(order), bool)
+    shared, hot = np.zeros(len(order), bool), np.zeros(len(order), bool)
     shared[order] = np.repeat((sizes > 1) | (np.maximum.reduceat(many[order], heads) > 0), sizes)
-    return [np.packbits(part).tobytes() for part in np.split(shared, np.cumsum(counts)[:-1])]
+    hot[order] = np.repeat(sizes >= hot_chunks, sizes)
+    ends = np.cumsum(counts)[:-1]
+    return [np.packbits(part).tobytes() + (np.packbits(some).tobytes() if some.any() else b"") for part, some in zip(np.split(shared, ends), np.split(hot, ends))]
+
+
+def gram_answers(bodies: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`shared_grams` told a chunk of its k-grams: shared ones, and hot ones."""
+    shared, hot = [np.zeros(0, np.uint8)], [np.zeros(0, np.uint8)]
+    for body, n in zip(bodies, counts.tolist()):
+        raw, size = np.frombuffer(body, np.uint8), -(-n // 8)
+        shared.append(np.unpackbits(raw[:size], count=n))
+        hot.append(np.unpackbits(raw[size:], count=n) if len(raw) > size else np.zeros(n, np.uint8))
+    return np.concatenate(shared).astype(bool), np.concatenate(hot).astype(bool)
 
 
 def _entries(body: bytes) -> int:
@@ -114,9 +134,12 @@ class Suffixes:
 
     def __init__(self, chunk: Chunk, buckets: int) -> None:
         grams = Grams(chunk, buckets)
-        shared = chunk.bits("grams", np.diff(grams.heads))
+        shared, hot = gram_answers(chunk.answers["grams"], np.diff(grams.heads))
         keep = np.flatnonzero(shared[grams.number])
         self.place, self.low, self.high = grams.place[keep], grams.low[keep], grams.high[keep]
+        bucket = bucket_of(grams.hash[grams.number[keep]], buckets)
+        if hot.any():
+            keep, bucket = self._sides(chunk, keep, hot[grams.number[keep]], grams.hash[grams.number[keep]], bucket, buckets)
         position = grams.document[keep]
         start, stop = chunk.offsets[position], chunk.offsets[position + 1]
         records = np.zeros((len(keep), RECORD), np.uint8)
@@ -128,7 +151,6 @@ class Suffixes:
         records[:, DEPTH:DEPTH + BEFORE][np.arange(BEFORE) >= (self.place - start)[:, None]] = 0
         records[:, DEPTH + BEFORE] = np.maximum(0, self.place + DEPTH - stop)
         records[:, DEPTH + BEFORE + 1] = np.minimum(BEFORE, self.place - start)
-        bucket = bucket_of(grams.hash[grams.number[keep]], buckets)
         document = chunk.order[position]
         keys = records.view(">u8").astype(np.uint64)
         order = np.lexsort((document, *(keys[:, c] for c in range(keys.shape[1] - 1, -1, -1)), bucket))
@@ -140,6 +162,24 @@ class Suffixes:
         self.records, self.first = records[new], self.document[new]
         self.heads, self.names = cut(bucket[new])
 
+    def _sides(self, chunk: Chunk, keep: np.ndarray, hot: np.ndarray, hashed: np.ndarray, bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Put copies in place of the suffixes at hot k-grams, each for some of its windows, in the bucket of the bytes that
+        all of these share; so equal windows still meet, and a k-gram in very many texts is spread over the buckets."""
+        places, lows, highs, keeps, names = [self.place[~hot]], [self.low[~hot]], [self.high[~hot]], [keep[~hot]], [bucket[~hot]]
+        place, low, high, kept, hashed = self.place[hot], self.low[hot], self.high[hot], keep[hot], hashed[hot]
+        for side in range(SIDES):
+            near = side * STRIDE
+            first, last = np.maximum(low, place - (near + STRIDE - 1)), np.minimum(high, place - near)
+            some = np.flatnonzero(first <= last)
+            mixed = hashed[some].copy()
+            for at in range(COMMON):
+                mixed = (mixed ^ chunk.data[place[some] - near + at].astype(np.uint64)) * _STEPS[0]
+                mixed ^= mixed >> np.uint64(29)
+            for kind, values in zip((places, lows, highs, keeps, names), (place[some], first[some], last[some], kept[some], bucket_of(mix(mixed + np.uint64(side)), buckets))):
+                kind.append(values)
+        self.place, self.low, self.high = (np.concatenate(x) for x in (places, lows, highs))
+        return np.concatenate(keeps), np.concatenate(names)
+
     def messages(self) -> Iterator[tuple[int, bytes]]:
         for a, b, bucket in zip(self.heads[:-1].tolist(), self.heads[1:].tolist(), self.names.tolist()):
             yield bucket, front_code(self.records[a:b], self.first[a:b])
@@ -343,7 +383,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
                  pa.array([sha256_hex(k) for k in kept])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
     chunks, buckets = write_chunks(docs)
-    asked = ask(ask(chunks, grams, shared_grams, "grams", buckets), suffixes, smaller_suffixes, "suffixes", buckets)
+    asked = ask(ask(chunks, grams, partial(shared_grams, hot_chunks=HOT_CHUNKS), "grams", buckets), suffixes, smaller_suffixes, "suffixes", buckets)
     return asked.mapInArrow(freed(finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
