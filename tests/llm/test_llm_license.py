@@ -8,7 +8,7 @@ from collections import Counter
 
 import pyarrow as pa
 
-from vecloom.llm.license_scan import LARGEST, Templates, license_matches, matches, word_matches
+from vecloom.llm.license_scan import LARGEST, Templates, license_matches, word_matches
 from vecloom.llm.license_templates import TEMPLATES, known_licences
 
 
@@ -18,36 +18,6 @@ def bigrams(text):
     return Counter(zip(words, words[1:]))
 
 
-def model(text, templates, least):
-    lines, found = (text or "").split("\n"), []
-    for name in sorted(templates):
-        wanted, best = bigrams(templates[name]), None
-        if not wanted:
-            continue
-        for a in range(len(lines)):
-            for b in range(a, len(lines)):
-                if not re.search(r"[0-9A-Za-z\x80-\U0010FFFF]", lines[a]) or not re.search(r"[0-9A-Za-z\x80-\U0010FFFF]", lines[b]):
-                    continue
-                own = bigrams("\n".join(lines[a:b + 1]))
-                dice = 2 * sum((own & wanted).values()) / (sum(own.values()) + sum(wanted.values()))
-                if dice >= least and (best is None or dice > best[0]):
-                    best = (dice, a, b)
-        if best:
-            found.append((name, *best))
-    return found
-
-
-def test_scan_equals_brute_force():
-    r = random.Random(5)
-    templates = {"one": "Licensed under the A License", "two": "licensed under the B licence version 2", "three": "a b\nc d e a b f g a b", "word": "alone"}
-    pieces = [*templates.values(), "Licenced under", "the A", "a b c", "d e", "a b f", "g a b", "noise here", "é", "", "!", "licensed under the B"]
-    texts = [None, "", "\n\n", "alone"] + ["".join(r.choice(pieces) + r.choice([" ", "\n", "\n", ", "]) for _ in range(r.randint(1, 12))) for _ in range(300)]
-    for least in (0.6, 0.9, 1.0):
-        found = matches(pa.array(texts, pa.string()), Templates(templates, least))
-        assert found == [model(t, templates, least) for t in texts]
-        assert sum(map(len, found)) > 20
-
-
 def test_each_template_is_found_in_other_text_and_clean_text_has_none(spark):
     rows = [(i, f"Some words before.\n{text.replace('License', 'Licence')}\nand after", "x") for i, text in enumerate(TEMPLATES.values())]
     rows += [(100, None, None), (None, "", "y"), (101, "the software is good and the license was read", "z")]

@@ -63,53 +63,6 @@ class Templates:
         return pair
 
 
-def matches(texts: pa.Array, templates: Templates) -> list[list[tuple[str, float, int, int]]]:
-    """For each text and template the best span of whole lines, if it is similar enough.
-
-    Best is the largest coefficient, then the first, then the shortest span. A template of one word has no bigrams.
-    """
-    data, offsets = flat(texts)
-    words = item_words(texts)
-    found: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(texts))]
-    if not len(words.values):
-        return found
-    gram = templates.of_words(words.values)
-    newlines = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    line = newlines[words.start]  # lines are counted through the whole slice; no line holds words of two texts
-    text = np.searchsorted(words.first, np.arange(len(line)), side="right") - 1
-    place = line + text
-    heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    row = np.cumsum(np.concatenate([[False], place[1:] != place[:-1]]))
-    ends = np.append(heads[1:], len(line))
-    for name, counts, size, low, high in zip(templates.names, templates.counts, templates.sizes, templates.low, templates.high):
-        if not size:
-            continue
-        mine = np.zeros(len(templates.grams) + 1, bool)
-        mine[list(counts)] = True
-        hits = np.flatnonzero(mine[gram])
-        if len(hits) < low:
-            continue
-        first = np.flatnonzero(np.concatenate([[True], row[hits][1:] != row[hits][:-1]]))  # the first hit of each line
-        first = first[first + low - 1 < len(hits)]
-        begin, last = heads[row[hits[first]]], hits[first + low - 1] + 1
-        fits = (last < words.first[1:][text[begin]]) & (last - begin <= high)
-        best: dict[int, tuple[float, int, int]] = {}
-        for start, stop in zip(begin[fits].tolist(), last[fits].tolist()):
-            document = int(text[start])
-            to = int(row[stop])
-            while to < len(ends) and text[heads[to]] == document and ends[to] - start - 1 <= high:
-                inside = gram[start:ends[to] - 1]
-                common = sum(min(n, counts[g]) for g, n in Counter(inside[mine[inside]].tolist()).items())
-                dice = 2 * common / (ends[to] - start - 1 + size)
-                if dice >= templates.least and (document not in best or dice > best[document][0]):
-                    base = newlines[offsets[document]]
-                    best[document] = (float(dice), int(line[start] - base), int(line[heads[to]] - base))
-                to += 1
-        for document, match in best.items():
-            found[document].append((name, *match))
-    return found
-
-
 class Hits:
     """The bigrams of one template in some texts, ascending: bigram number, text, and the hit before which a span has to
     start no earlier for this one to count, as the template holds a bigram only so many times."""
