@@ -168,7 +168,9 @@ def test_token_file_holds_the_ids_of_whole_texts(spark, tmp_path):
     found = [tuple(r) for r in tokens_file.read_documents(spark, path).collect()]
     assert sorted(found, key=lambda r: r[1]) == wanted
     places = [0, 1, len(stream) // 2, len(stream) - 1]
-    assert {r.place: r.token for r in tokens_file.read_tokens(spark, path, places + [10**9]).collect()} == {p: stream[p] for p in places}
+    asked = spark.createDataFrame([(p,) for p in [*places, places[0], 10**9, -1, None]], "place long")
+    assert sorted(map(tuple, tokens_file.read_tokens(spark, path, asked).collect())) == [(p, stream[p]) for p in sorted(set(places))]
+    assert tokens_file.read_tokens(spark, path, asked.limit(0)).count() == 0
 
 
 def test_empty_token_file(spark, tmp_path):

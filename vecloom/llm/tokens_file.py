@@ -190,22 +190,32 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_tokens(spark: SparkSession, path: str, places: list[int]) -> DataFrame:
-    """``(place, token)`` for places in the whole stream of ids. Only blocks that hold one are read, and none is decoded."""
-    ship_package(spark)
-    wanted = np.unique(np.array(places, np.int64))
+def read_tokens(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
+    """``(place, token)`` for a table ``(place)`` of places in the whole stream of ids, each place once.
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                here = wanted[(wanted >= row["start"]) & (wanted < row["start"] + row["n_tokens"])]
-                yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(pick(row["codes"], here - row["start"]).astype(np.int64))],
-                                                 ["place", "token"])
-
-    blocks = _placed(spark, path).select((F.col("base") + F.col("before")).alias("start"), "n_tokens", "codes")
-    first = F.array(*[F.lit(int(p)) for p in wanted]) if len(wanted) else F.lit(None).cast("array<bigint>")
-    held_ = F.exists(first, lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("n_tokens")))
-    return blocks.where(held_).mapInArrow(read, "place long, token long")
+    Places meet the blocks they lie in by stretches of the stream, of which a block covers a few, so neither side is
+    compared with all of the other. Only blocks that hold a wanted place go on, and none is decoded: each id is picked out of
+    the codes. Null places and places beyond the stream have no row.
+    """
+    ship_package(spark)
+    wide = F.lit(BLOCK_TOKENS).cast("bigint")
+    start, end = F.col("base") + F.col("before"), F.col("base") + F.col("before") + F.col("n_tokens")
+    blocks = _placed(spark, path).where("n_tokens > 0").select("part", "block", start.alias("start"), end.alias("end"), "codes")
+    spans = blocks.select("part", "block", "start", "end", F.explode(F.sequence(
+        F.call_function("div", F.col("start"), wide), F.call_function("div", F.col("end") - 1, wide))).alias("stretch"))
+    wanted = places.select(F.col("place").cast("long").alias("place")).where("place >= 0").distinct().withColumn(
+        "stretch", F.call_function("div", F.col("place"), wide))
+    met = wanted.join(spans, "stretch").where((F.col("place") >= F.col("start")) & (F.col("place") < F.col("end"))).select("part", "block", "place")
+
+    def read(block: pa.Table, here: pa.Table) -> pa.Table:
+        asked = here["place"].to_numpy()
+        if not block.num_rows or not len(asked):
+            return pa.schema([("place", pa.int64()), ("token", pa.int64())]).empty_table()
+        found = pick(block["codes"][0].as_py(), asked - block["start"][0].as_py())
+        return pa.table({"place": asked, "token": found.astype(np.int64)})
+
+    held_ = blocks.join(met.select("part", "block").distinct(), ["part", "block"], "left_semi")
+    return held_.select("part", "block", "start", "codes").groupBy("part", "block").cogroup(met.groupBy("part", "block")).applyInArrow(read, "place long, token long")
 
 
 def word_tokenizer() -> str:
