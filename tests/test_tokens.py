@@ -121,3 +121,26 @@ def test_word_counts_by_key_add_up(spark, vocabulary, small):
     each = tk.word_frequency(docs, vocabulary, "text", keys=["lang"]).groupBy("token").agg(F.sum("n").alias("n"))
     whole = tk.word_frequency(docs, vocabulary, "text").select("token", "n")
     assert {tuple(r) for r in each.collect()} == {tuple(r) for r in whole.collect()}
+
+
+def test_ids_to_text_in_the_jvm(spark, vocabulary):
+    text = "naïve 日本語 \U0001F600\U0001F9D1\u200d\U0001F680 e\u0301"
+    lines = spark.createDataFrame([(1, text), (2, ""), (3, None)], "k int, line string")
+    coded = tk.tokenize_lines(lines, vocabulary)
+    ids = coded.where("k = 1").first().tokens
+    back = tk.detokenize_lines(coded, vocabulary)
+    assert "Python" not in back._jdf.queryExecution().optimizedPlan().toString().split("Project", 1)[0]
+    assert {r.k: r.line for r in back.collect()} == {1: text, 2: "", 3: None}
+    import tiktoken
+
+    from vecloom.functions.codec import _encoding
+
+    encoding = _encoding(open(vocabulary.rank_path, "rb").read(), vocabulary.pattern)
+    assert isinstance(encoding, tiktoken.Encoding)
+    cut = [(i, ids[:i]) for i in range(len(ids))] + [(100 + i, ids[i:]) for i in range(len(ids))]  # inside characters too
+    found = tk.detokenize_lines(spark.createDataFrame(cut, "k int, tokens array<int>"), vocabulary)
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.k: r.line for r in found.collect()} == {k: encoding.decode(own, errors="replace") for k, own in cut}
+    odd = spark.createDataFrame([(1, [10**9, ids[0]]), (2, [-1]), (3, [None, ids[0]])], "k int, tokens array<int>")
+    first = encoding.decode(ids[:1])
+    assert {r.k: r.line for r in tk.detokenize_lines(odd, vocabulary).collect()} == {1: "\ufffd" + first, 2: "\ufffd", 3: "\ufffd" + first}

@@ -4,6 +4,7 @@ from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
@@ -11,8 +12,10 @@ from vecloom.operators import sgns
 from vecloom.operators import tokens as tk
 from vecloom.operators import windows as wd
 from vecloom.operators.embeddings import init_embeddings
-from vecloom.operators.training import learning_rate, needed_tokens, shard_triples, train_embeddings, training_segments
+from vecloom.operators.training import (
+    PROBE_ROW, learning_rate, needed_tokens, numbered_triples, pulled_vectors, shard_triples, train_embeddings, train_shard, training_segments)
 from vecloom.params import Params
+from vecloom.session import Rotation, write_bucketed
 
 
 def loss_of(vectors: dict[int, np.ndarray], triples) -> float:
@@ -173,3 +176,98 @@ def test_a_rate_of_zero_after_decay_stands_still(spark, sequences):
     still = replace(PARAMS, decay_rate=0.0, decay_steps=1)
     one, two = (vectors_of(train_embeddings(sequences, ["line_no"], replace(still, rounds=r)).embeddings) for r in (1, 2))
     assert all(one[t] == pytest.approx(two[t], abs=1e-12) for t in one)
+
+
+def shard_of(tokens: list[list[int]], params: Params):
+    """One shard's segments and vectors, as the kernel gets them."""
+    segments = pa.table({"shard": [0] * len(tokens), "win": list(np.cumsum([0] + [len(t) for t in tokens[:-1]])),
+                         "n_windows": [int(max(1, 1 + max(0, -(-(len(t) - max(params.window_size, params.stride)) // params.stride)))) for t in tokens], "tokens": tokens})
+    words = sorted({t for own in tokens for t in own})
+    draw = np.random.default_rng(0)
+    rows = [(None, t, draw.normal(size=4).tolist()) for t in words] + [(i, words[(7 * i) % len(words)], None) for i in range(8)]
+    vector = {t: v for _, t, v in rows if v}
+    return segments, pa.table({"place": pa.array([p for p, _, _ in rows], pa.int32()), "token": [t for _, t, _ in rows], "embedding": [vector[t] for _, t, _ in rows]})
+
+
+PROBING = Params(embedding_dim=4, epochs=5, batch_pairs=16, probe_steps=3, hold_out=4, patience=2, learning_rate=0.05)
+
+
+def probes_of(table) -> list[tuple]:
+    return [(r["step"], r["embedding"][0], bool(r["weight"])) for r in table.to_pylist() if r["token"] == PROBE_ROW]
+
+
+def test_a_shard_probes_as_it_trains_and_gives_back_its_best_table():
+    draw = np.random.default_rng(4)
+    tokens = [[int(x) for x in draw.integers(0, 9, 40)] for _ in range(6)]
+    segments, vectors = shard_of(tokens, PROBING)
+    found = train_shard(segments, vectors, PROBING, 0, PROBING.epochs)
+    probes = probes_of(found)
+    assert [s for s, _, _ in probes] == list(range(0, 3 * len(probes), 3)) and probes[0][2]
+    assert [best for _, _, best in probes] == [all(x < y for _, y, _ in probes[:i]) for i, (_, x, _) in enumerate(probes)]
+    # the held-back pairs have no say: a model of the same loop
+    c, o, n, number = numbered_triples(segments, np.array([sorted({t for own in tokens for t in own})[(7 * i) % 9] for i in range(8)]), PROBING)
+    back = number % PROBING.hold_out == 0
+    matrix = np.array([vectors["embedding"][t].as_py() for t in range(9)])
+
+    def loss(m):
+        return loss_of(dict(enumerate(m)), zip(c[back], o[back], n[back])) / back.sum()
+
+    ct, ot, nt = c[~back], o[~back], n[~back]
+    batches, seen, best, left = -(-len(ct) // 16), [loss(matrix)], matrix.copy(), 2
+    for at in range(5 * batches):
+        i = at % batches * 16
+        move = np.zeros_like(matrix)
+        for a, b, d in zip(ct[i:i + 16], ot[i:i + 16], nt[i:i + 16]):
+            g, h = 1 / (1 + np.exp(-matrix[a] @ matrix[b])) - 1, 1 / (1 + np.exp(-matrix[a] @ matrix[d]))
+            move[a] += g * matrix[b] + h * matrix[d]
+            move[b] += g * matrix[a]
+            move[d] += h * matrix[a]
+        matrix = matrix - 0.05 * move
+        if (at + 1) % 3 == 0:
+            left, best = (2, matrix.copy()) if loss(matrix) < min(seen) else (left - 1, best)
+            seen.append(loss(matrix))
+            if not left:
+                break
+    assert [x for _, x, _ in probes] == pytest.approx(seen)
+    rows = {r["token"]: r["embedding"] for r in found.to_pylist() if r["token"] >= 0}
+    assert all(rows[t] == pytest.approx(best[t]) for t in rows)
+
+
+def test_a_shard_stops_by_itself_when_its_loss_rises():
+    segments, vectors = shard_of([[1, 2, 3, 1, 2, 3, 1, 2, 3, 4] * 5], PROBING)
+    worse = replace(PROBING, learning_rate=-0.5, epochs=50)
+    found = train_shard(segments, vectors, worse, 0, worse.epochs)
+    assert [(s, best) for s, _, best in probes_of(found)] == [(0, True), (3, False), (6, False)]
+    start = {t: v for t, v in zip(vectors["token"].to_pylist(), vectors["embedding"].to_pylist())}
+    assert all(r["embedding"] == pytest.approx(start[r["token"]]) for r in found.to_pylist() if r["token"] >= 0)
+
+
+def test_without_pairs_to_hold_back_nothing_is_probed():
+    segments, vectors = shard_of([[1, 2, 3, 4]], PROBING)
+    for hold_out in (1, 10**6):  # all pairs, which leaves none to train on, or only the first
+        found = train_shard(segments, vectors, replace(PROBING, hold_out=hold_out), 0, 2)
+        assert len(probes_of(found)) == (hold_out > 1) and any(r["token"] >= 0 for r in found.to_pylist())
+
+
+def test_probes_are_reported_by_round_and_shard(spark, sequences):
+    result = train_embeddings(sequences, ["line_no"], replace(PARAMS, rounds=2, probe_steps=2, hold_out=8))
+    rows = result.probes.collect()
+    assert {r["round"] for r in rows} == {0, 1} and len({r.shard for r in rows}) > 3 and len(result.losses) == 3
+    assert all(r.step % 2 == 0 and r.loss > 0 for r in rows) and train_embeddings(sequences, ["line_no"], replace(PARAMS, rounds=1)).probes is None
+
+
+@pytest.mark.parametrize("hot", [[], [3, 4]])
+def test_a_round_moves_neither_what_is_needed_nor_the_table(spark, hot):
+    needs = write_bucketed(spark.range(3000).selectExpr("id % 50 AS shard", "CAST(NULL AS INT) AS place", "id % 997 AS token").repartition(6, "token"), "needs", "token", 6)
+    tables = Rotation(spark, "round", "token", 6)
+    current = tables.write(spark.range(997).selectExpr("id AS token", "array(CAST(id AS DOUBLE)) AS embedding").repartition(6, "token"))
+    current = tables.write(current.selectExpr("token", "transform(embedding, x -> x + 1) AS embedding"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pulled_vectors(needs, current, hot)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastExchange") == bool(hot)
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 3000 and all(r.embedding == [r.token + 1.0] for r in rows)

@@ -28,6 +28,13 @@ def norm(vector: Column) -> Column:
     return F.sqrt(dot(vector, vector))
 
 
+def reshape(vector: Column, width: int) -> Column:
+    """The same elements as rows of ``width``, the last one maybe short; an empty vector has no row."""
+    rows = F.ceil(F.size(vector) / F.lit(width)).cast("int")
+    places = F.when(rows > 0, F.sequence(F.lit(0), F.greatest(rows - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.slice(vector, i * F.lit(width) + F.lit(1), F.lit(width)))
+
+
 def cosine(left: Column, right: Column, left_norm: Column | None = None, right_norm: Column | None = None) -> Column:
     """Cosine similarity; NULL where a vector is empty or zero. Give the norms if they are columns already."""
     lengths = (norm(left) if left_norm is None else left_norm) * (norm(right) if right_norm is None else right_norm)

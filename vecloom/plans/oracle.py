@@ -7,7 +7,7 @@ the SQL joins, sorts and numbers in the plain way.
 from __future__ import annotations
 
 from vecloom.params import Params
-from vecloom.plans.queries import PROBED, STEPS, WEIGHT_POWER, WIDE
+from vecloom.plans.queries import PARTS, PROBED, STEPS, WEIGHT_POWER, WIDE
 
 _P = Params()
 _FULL = _P.vocab_size
@@ -379,6 +379,9 @@ ORACLE |= {
           SELECT label, vec_id AS w, unnest(range(0, {WIDE})) AS dim, embedding FROM embeddings),
         scaled AS (SELECT label, w, dim, CAST(embedding[dim % 64 + 1] AS DOUBLE) * (dim // 64 + 1) AS x FROM cells)
         SELECT label, dim, {_TIDY.format('sum(w * x) / sum(w)')} AS x FROM scaled GROUP BY label, dim""",
+    "part_word_counts": f"WITH {_WORDS} SELECT CAST(token % {PARTS} AS INTEGER) AS part, {_FORMAT} AS line FROM words",
+    "reshape_vectors": f"""WITH cells AS (SELECT vec_id AS token, {_DIMS.format('embedding')} FROM embeddings)
+        SELECT token, dim // {_P.embedding_dim} AS row, dim % {_P.embedding_dim} AS dim, {_TIDY.format('CAST(x AS DOUBLE)')} AS x FROM cells""",
     "train_probe": f"""WITH {_SHARD_TRIPLES},
         own0 AS (SELECT shard, token, v FROM (SELECT DISTINCT shard, token FROM ends) JOIN start USING (token)) {_probe(0) + _probe(1) + _probe(2)},
         taken AS (FROM probe0 UNION ALL FROM probe1 UNION ALL FROM probe2)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import piece_ids_of, pieces_of
-from vecloom.functions.vector import combine_vectors, dot, fixed_text, norm, tidy
+from vecloom.functions.vector import combine_vectors, dot, fixed_text, norm, reshape, tidy
 from vecloom.operators import embeddings as emb
 from vecloom.operators import lines as ln
 from vecloom.operators import negatives, pruned, sgns, similarity, tokens, windows
@@ -30,6 +30,8 @@ from vecloom.sources.vocabulary import Vocabulary, shared_vocabulary, vocabulary
 Query = Callable[[SparkSession, str], DataFrame]
 
 PARAMS = Params()
+#: Parts of a dealt output.
+PARTS = 5
 #: The length of the vectors in the table ``embeddings``.
 VECTOR_WIDTH = 64
 #: The length of vectors that are too wide to be added up element by element.
@@ -175,6 +177,14 @@ def merged_word_counts(spark: SparkSession, folder: str) -> DataFrame:
     return numbered_corpus(spark, merged, "part-*")
 
 
+def part_word_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Word counts in as many parts as a job has reducers, a token in the part of its id modulo that number, read back."""
+    path, counts = new_path(spark, "parts"), _piece_words(spark, folder)
+    dealt = ln.deal(counts, "token", PARTS, "turn").select("shard", "token", ln.word_count_text().alias("value"))
+    write_shards(dealt, path, "token")
+    return spark.read.text(path).select(F.col("shard").cast("int").alias("part"), F.col("value").alias("line"))
+
+
 def concat_by_line(spark: SparkSession, folder: str) -> DataFrame:
     words = ln.split_words(_lines(spark, folder), ["doc_id", "pos"], "line")
     return ln.concat_by_line(words, ["doc_id", "pos"], "word_no", "word")
@@ -437,6 +447,11 @@ def vector_dot(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.join(following, "token").select("token", tidy(dot(F.col("embedding"), F.col("following"))).alias("dot"))
 
 
+def reshape_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _vectors(spark, folder).select("token", F.posexplode(reshape(F.col("embedding"), PARAMS.embedding_dim)).alias("row", "embedding"))
+    return _elements(rows.withColumn("row", F.col("row").cast("long")), ["token", "row"], "embedding")
+
+
 def vector_norm(spark: SparkSession, folder: str) -> DataFrame:
     return _vectors(spark, folder).select("token", tidy(norm(F.col("embedding"))).alias("norm"))
 
@@ -550,12 +565,12 @@ def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query for query in (
         corpus_lines, number_lines, numbered_corpus_files, overwritten_lines, order_lines, shard_lines, line_splits, corpus_stats,
-        split_words, piece_frequency, piece_vocabulary, format_word_counts, merged_word_counts, concat_by_line,
+        split_words, piece_frequency, piece_vocabulary, format_word_counts, part_word_counts, merged_word_counts, concat_by_line,
         parse_numbered_lines, parse_token_lines, parse_token_shard, format_token_lines,
         word_frequency, line_frequency, word_frequency_bytes, line_frequency_bytes, encoded_words, tokenize_lines, detokenize_lines, detokenize_ids, token_stream, shard_tokens,
         shard_windows, distinct_tokens, token_windows, skipgram_pairs, negative_samples, token_spans, negative_samples_weighted,
         parse_embeddings, parse_embeddings_strict, rejected_rows, parser_accounts, observed_counts, format_embeddings, dedupe_embeddings, lookup_embeddings, lookup_occurrences, lookup_occurrence_sums,
-        unknown_tokens, mean_embeddings, wide_means, vector_dot, vector_norm, cosine_pairs, top_k_similar, pruned_neighbours, narrow_scores,
+        unknown_tokens, mean_embeddings, wide_means, vector_dot, reshape_vectors, vector_norm, cosine_pairs, top_k_similar, pruned_neighbours, narrow_scores,
         format_neighbours,
         init_embeddings, sgns_loss, sgns_gradient, sgns_step, piece_neighbours, train_two_rounds, train_losses, train_losses_weighted, train_probe,
         token_neighbours)
