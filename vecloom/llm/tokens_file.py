@@ -205,7 +205,8 @@ def read_tokens(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
         F.call_function("div", F.col("start"), wide), F.call_function("div", F.col("end") - 1, wide))).alias("stretch"))
     wanted = places.select(F.col("place").cast("long").alias("place")).where("place >= 0").distinct().withColumn(
         "stretch", F.call_function("div", F.col("place"), wide))
-    met = wanted.join(spans, "stretch").where((F.col("place") >= F.col("start")) & (F.col("place") < F.col("end"))).select("part", "block", "place")
+    met = wanted.join(spans, "stretch").where((F.col("place") >= F.col("start")) & (F.col("place") < F.col("end"))).select(
+        F.col("part").alias("_part"), F.col("block").alias("_block"), "place")
 
     def read(block: pa.Table, here: pa.Table) -> pa.Table:
         asked = here["place"].to_numpy()
@@ -214,8 +215,9 @@ def read_tokens(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
         found = pick(block["codes"][0].as_py(), asked - block["start"][0].as_py())
         return pa.table({"place": asked, "token": found.astype(np.int64)})
 
-    held_ = blocks.join(met.select("part", "block").distinct(), ["part", "block"], "left_semi")
-    return held_.select("part", "block", "start", "codes").groupBy("part", "block").cogroup(met.groupBy("part", "block")).applyInArrow(read, "place long, token long")
+    same = (F.col("part") == F.col("_part")) & (F.col("block") == F.col("_block"))
+    held_ = blocks.join(met.select("_part", "_block").distinct(), same, "left_semi").select("part", "block", "start", "codes")
+    return held_.groupBy("part", "block").cogroup(met.groupBy("_part", "_block")).applyInArrow(read, "place long, token long")
 
 
 def word_tokenizer() -> str:
