@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vecloom.functions import vector_sums
-from vecloom.functions.vector import combine_vectors, cosine, dot, norm, to_double
+from vecloom.functions.vector import combine_vectors, cosine, dot, fixed_text, norm, to_double
 from vecloom.operators import embeddings as emb
 
 
@@ -69,6 +69,18 @@ def test_text_round_trip_loses_nothing(spark, small):
     assert back.join(table.withColumnRenamed("embedding", "e"), "token").where("embedding = e").count() == table.count()
 
 
+def test_decimals_are_rounded_as_the_binary_value_has_it(spark):
+    draw = np.random.default_rng(9)
+    values = [k / 128 for k in range(-300, 300)] + [k / 2e6 for k in range(-41, 41)] + [1e5 + k / 128 for k in range(9)] + draw.normal(size=300).tolist()
+    values += [-0.0, 1e-9, -1e-9, 3e7 + 1 / 128, 2.0**40 + 0.25, 0.1 + 0.2, 1e300]
+    for digits in (6, 2):
+        row = spark.createDataFrame([(values,)], "v array<double>").select(fixed_text(F.col("v"), digits).alias("t")).first()
+        assert [x.split(".")[1] for x in row.t[1:-1].split(",")] == [("%.*f" % (digits, x)).split(".")[1] for x in values]
+        assert row.t[1:-1].split(",")[:-1] == ["%.*f" % (digits, x) for x in values[:-1]]
+    odd = spark.createDataFrame([([None, float("nan"), float("inf"), -float("inf")],)], "v array<double>")
+    assert odd.select(fixed_text(F.col("v")).alias("t")).first().t == "[null,NaN,Infinity,-Infinity]"
+
+
 def test_mean_leaves_unreadable_rows_out_of_the_divisor(spark):
     df = spark.createDataFrame(
         [(1, "[1,3]"), (1, "[3,5]"), (1, "[1,x]"), (2, "[bad]"), (3, "[7,7]")], "token int, value string")
