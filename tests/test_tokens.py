@@ -144,3 +144,24 @@ def test_ids_to_text_in_the_jvm(spark, vocabulary):
     odd = spark.createDataFrame([(1, [10**9, ids[0]]), (2, [-1]), (3, [None, ids[0]])], "k int, tokens array<int>")
     first = encoding.decode(ids[:1])
     assert {r.k: r.line for r in tk.detokenize_lines(odd, vocabulary).collect()} == {1: "\ufffd" + first, 2: "\ufffd", 3: "\ufffd" + first}
+
+
+def test_the_ids_of_a_batch_are_held_as_numbers_not_as_lists(spark, vocabulary):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from vecloom.functions.codec import encoder
+
+    class Sent:
+        value = open(vocabulary.rank_path, "rb").read()
+
+    encode = encoder(Sent, vocabulary.pattern).func
+    texts = [" ".join(f"word{i * j % 977} of" for j in range(400)) for i in range(300)] + [None, ""]
+    assert next(encode(iter([pa.array(["warm"])]))).to_pylist()
+    tracemalloc.start()
+    found = next(encode(iter([pa.array(texts)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.null_count == 1 and found[300].as_py() is None and found[301].as_py() == []
+    assert peak < 20 * len(found.flatten()), peak / len(found.flatten())
