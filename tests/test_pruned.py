@@ -37,6 +37,12 @@ def test_evenly_spread_vectors_are_all_scored_right(spark):
     assert 0 <= found.skipped <= found.block_pairs
 
 
+def test_vectors_make_few_blocks_whatever_their_number(spark):
+    draw = np.random.default_rng(5)
+    found = same(spark, [(t, v.tolist()) for t, v in enumerate(draw.normal(size=(8200, 4)))])
+    assert found.block_pairs <= 70 * 71 // 2
+
+
 def test_ties_and_zero_vectors(spark):
     equal = [(t, [1.0, 2.0]) for t in range(100, 200)] + [(t, [2.0, 4.0]) for t in range(50)]
     odd = [(300 + t, [float(t % 3), 1.0]) for t in range(60)] + [(500, [0.0, 0.0]), (7000, [0.0, 0.0]), (-4, [-1.0, -2.0])]
