@@ -13,7 +13,7 @@ from vecloom.operators import tokens as tk
 from vecloom.operators import windows as wd
 from vecloom.operators.embeddings import init_embeddings
 from vecloom.operators.training import (
-    PROBE_ROW, learning_rate, needed_tokens, numbered_triples, pulled_vectors, shard_triples, train_embeddings, train_shard, training_segments)
+    PROBE_ROW, learning_rate, needed_tokens, numbered_triples, pulled_vectors, shard_triples, train_embeddings, train_load, train_shard, training_segments)
 from vecloom.params import Params
 from vecloom.session import Rotation, write_bucketed
 
@@ -271,3 +271,47 @@ def test_a_round_moves_neither_what_is_needed_nor_the_table(spark, hot):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(rows) == 3000 and all(r.embedding == [r.token + 1.0] for r in rows)
+
+
+@pytest.mark.parametrize("epochs", [0, 3])
+@pytest.mark.parametrize("probe_steps", [0, 3])
+def test_a_load_is_the_mean_of_its_shards(epochs, probe_steps):
+    params = replace(PROBING, probe_steps=probe_steps)
+    draw = np.random.default_rng(8)
+    start = {t: draw.normal(size=4) for t in range(20)}
+    rows, parts, singles = [], [], []
+    for shard in (3, 9, 4):
+        segments, vectors = shard_of([[int(x) for x in draw.integers(shard, shard + 9, 40)] for _ in range(4)], params)
+        vectors = vectors.set_column(2, "embedding", [[start[t].tolist() for t in vectors["token"].to_pylist()]])
+        segments = segments.set_column(0, "shard", [[shard] * segments.num_rows])
+        singles += train_shard(segments, vectors, params, 0, epochs).to_pylist()
+        parts.append(segments)
+        rows += [(r["place"], r["token"], r["embedding"], shard) for r in vectors.to_pylist() if r["place"] is not None]
+    rows += [(None, t, v.tolist(), None) for t, v in start.items()]
+    held = pa.table({"place": pa.array([r[0] for r in rows], pa.int32()), "token": [r[1] for r in rows], "embedding": [r[2] for r in rows], "pool_shard": pa.array([r[3] for r in rows], pa.int64())})
+    held = held.take(pa.array(draw.permutation(len(rows))))
+    found = train_load(pa.concat_tables(parts).take(pa.array(draw.permutation(12))), held, params, 0, epochs).to_pylist()
+    wanted = {}
+    for r in singles:
+        if r["token"] != PROBE_ROW:
+            wanted.setdefault(r["token"], []).append((r["weight"], np.array(r["embedding"])))
+    assert sorted(r["token"] for r in found if r["token"] != PROBE_ROW) == sorted(wanted)
+    for r in found:
+        if r["token"] != PROBE_ROW:
+            load = wanted[r["token"]]
+            assert r["weight"] == sum(w for w, _ in load) and r["embedding"] == pytest.approx(sum(w * v for w, v in load) / r["weight"])
+    probes = [[(r["shard"], r["step"], pytest.approx(r["embedding"][0]), r["weight"]) for r in x if r["token"] == PROBE_ROW] for x in (found, singles)]
+    assert sorted(probes[0], key=lambda p: p[:2]) == sorted(probes[1], key=lambda p: p[:2])
+
+
+def test_a_load_gets_a_vector_once(spark, sequences, monkeypatch):
+    from vecloom.operators import training
+
+    params, seen = replace(PARAMS, negative_pool=4), []
+    plain = training.write_bucketed
+    monkeypatch.setattr(training, "write_bucketed", lambda df, name, *more: seen.append((name, plain(df, name, *more))) or seen[-1][1])
+    train_embeddings(sequences, ["line_no"], replace(params, rounds=1))
+    needs = dict(seen)["needs"].collect()
+    own = Counter((r.shard, r.token) for r in needs if r.place is None)
+    assert len({s for s, _ in own}) == 1 and set(own.values()) == {1} and len(own) == 40
+    assert len({r.pool_shard for r in needs if r.place is not None}) > 10
