@@ -66,3 +66,15 @@ def test_negatives_are_repeatable_and_even(spark):
     counts = [r["count"] for r in once.groupBy("n").count().collect()]
     assert len(counts) == 50 and min(counts) > 300 and max(counts) < 500
     assert once.join(wd.negative_samples(pairs, ["pair_no"], 50, 2).withColumnRenamed("n", "m"), "pair_no").where("n = m").count() < 800
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_streams_keep_any_token_and_move_little(spark, monkeypatch, kind):
+    monkeypatch.setattr(wd, "WINDOWS_PER_STRETCH", 3)
+    tokens = [0, -1, 2**31 - 1, -(2**31), 5, 5, 7, -9] * 9
+    rows = [(s, at, t) for s in (0, 1) for at, t in enumerate(tokens)]
+    stream = spark.createDataFrame(rows, f"shard int, shard_pos bigint, token {kind}").repartition(5)
+    found = wd.stream_windows(stream, 5, 2)
+    assert {(r.shard, r.win_no): r.window for r in found.collect()} == {(s, w): tokens[2 * w:2 * w + 5] for s in (0, 1) for w in range(35)}
+    assert found.schema["window"].dataType.elementType.simpleString() == kind
+    assert ("struct" in found._jdf.queryExecution().optimizedPlan().toString()) == (kind == "bigint")
