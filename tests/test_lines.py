@@ -89,6 +89,37 @@ def test_concat_keeps_order_and_words_make_no_empty_word(spark):
     assert rows(ln.concat_by_line(words, ["k"], "word_no", "word"), "k", "word") == [(1, "b a c")]
 
 
+def test_words_stay_with_their_documents(spark, small, capsys):
+    from vecloom.plans import queries
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000b")  # documents of several splits
+    try:
+        queries.concat_by_line(spark, small).explain()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+
+
+def test_concat_takes_nulls_and_places_that_repeat(spark):
+    words = [(1, 0, "a"), (1, 1, None), (1, 1, "c"), (None, 0, "x y"), (1, 0, "b"), (2, 0, None), (1, None, "z")]
+    df = spark.createDataFrame(words, "k int, place bigint, word string").repartition(3)
+    assert {r.k: r.word for r in ln.concat_by_line(df, ["k"], "place", "word").collect()} == {1: "z a b c", None: "x y", 2: ""}
+
+
+def test_lines_keep_the_partitions_of_the_session(spark):
+    docs = spark.createDataFrame([(n, "a\nb") for n in range(9)], "doc_id bigint, text string")
+    assert ln.number_lines(docs).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_lines_are_numbered_once_for_all_forms_of_token_rows(spark, small, capsys):
+    from vecloom.plans import queries
+
+    queries.parse_token_lines(spark, small).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("regexp_extract_all") == 1 and plan.count("/documents.parquet") == 1
+
+
 def test_piece_vocabulary_ranks_by_count_then_piece(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "text string")
     assert rows(ln.piece_vocabulary(ln.piece_frequency(df, "text")), "token", "text", "n") == [
