@@ -101,6 +101,13 @@ def test_words_stay_with_their_documents(spark, small, capsys):
     assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
 
 
+def test_numbered_rows_read_their_documents_once(spark, small, capsys):
+    from vecloom.plans import queries
+
+    queries.parse_numbered_lines(spark, small).explain()
+    assert capsys.readouterr().out.count("/documents.parquet") == 1
+
+
 def test_concat_takes_nulls_and_places_that_repeat(spark):
     words = [(1, 0, "a"), (1, 1, None), (1, 1, "c"), (None, 0, "x y"), (1, 0, "b"), (2, 0, None), (1, None, "z")]
     df = spark.createDataFrame(words, "k int, place bigint, word string").repartition(3)
