@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from vecloom.operators import sgns
+from vecloom.operators import sgns, training
 from vecloom.operators import tokens as tk
 from vecloom.operators import windows as wd
 from vecloom.operators.embeddings import init_embeddings
@@ -273,6 +273,28 @@ def test_a_round_moves_neither_what_is_needed_nor_the_table(spark, hot):
     assert len(rows) == 3000 and all(r.embedding == [r.token + 1.0] for r in rows)
 
 
+@pytest.mark.parametrize("width", [3, 4])
+@pytest.mark.parametrize("size,step", [(8, 4), (4, 1), (3, 3), (2, 40)])
+def test_a_step_scores_a_link_once_for_all_its_windows(size, step, width):
+    draw = np.random.default_rng(2)
+    text, matrix = draw.integers(0, 9, 200), draw.normal(size=(15, width))
+    starts = [s + i for s, e in ((0, 90), (93, 200)) for i in range(0, e - s - size, step)]  # two stretches of text
+    at = np.concatenate([np.arange(s, s + size - 1) for s in starts])
+    n = draw.integers(3, 15, len(at))
+    batch = training._batch(text, at, n, np.zeros(15, np.int64))
+    held = np.unique(np.concatenate([at, at + 1]))
+    places = len(held) if step == 40 else at.max() + 2 - at.min()
+    assert len(batch.rows) - len(batch.links) == places and len(batch.links) == len(at) + places - 1 - len(np.unique(at))
+    wanted = matrix.copy()
+    for a, b, d in zip(text[at], text[at + 1], n):
+        g, h = 1 / (1 + np.exp(-matrix[a] @ matrix[b])) - 1, 1 / (1 + np.exp(-matrix[a] @ matrix[d]))
+        wanted[a] -= 0.05 * (g * matrix[b] + h * matrix[d])
+        wanted[b] -= 0.05 * g * matrix[a]
+        wanted[d] -= 0.05 * h * matrix[a]
+    training._descend(matrix, batch, 0.05)
+    assert matrix == pytest.approx(wanted)
+
+
 @pytest.mark.parametrize("epochs", [0, 3])
 @pytest.mark.parametrize("probe_steps", [0, 3])
 def test_a_load_is_the_mean_of_its_shards(epochs, probe_steps):
