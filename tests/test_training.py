@@ -337,3 +337,30 @@ def test_a_load_gets_a_vector_once(spark, sequences, monkeypatch):
     own = Counter((r.shard, r.token) for r in needs if r.place is None)
     assert len({s for s, _ in own}) == 1 and set(own.values()) == {1} and len(own) == 40
     assert len({r.pool_shard for r in needs if r.place is not None}) > 10
+
+
+def test_loads_grow_with_the_corpus_within_bounds(spark, monkeypatch):
+    lists = spark.range(100).selectExpr("id AS line_no", "IF(id = 7, NULL, sequence(1, 44)) AS tokens")  # ten windows each
+    assert training.load_windows(lists, PARAMS, 5) == training.LOAD_WINDOWS
+    monkeypatch.setattr(training, "LOAD_WINDOWS", 10)
+    assert training.load_windows(lists, PARAMS, 5) == 990 // 20
+    monkeypatch.setattr(training, "MOST_LOAD_WINDOWS", 30)
+    assert training.load_windows(lists, PARAMS, 5) == 30
+
+
+def test_a_probing_round_writes_means_and_no_updates(spark, sequences, monkeypatch):
+    """And pools go to their loads without vectors."""
+    params, seen, moved = replace(PARAMS, rounds=1, probe_steps=2, hold_out=8, windows_per_shard=5), [], []
+    plain, pulled = training.write_table, training.pulled_vectors
+    monkeypatch.setattr(training, "write_table", lambda df, name: seen.append((name, plain(df, name))) or seen[-1][1])
+    monkeypatch.setattr(training, "pulled_vectors", lambda *parts: moved.append(pulled(*parts)) or moved[-1])
+    monkeypatch.setattr(training, "LOAD_WINDOWS", 20)
+    found = train_embeddings(sequences, ["line_no"], params)
+    written = dict(seen)
+    assert "updates" not in written
+    means = written["means"].collect()
+    assert sorted(r.token for r in means if r.token >= 0) == list(range(40)) and sum(r.token == PROBE_ROW for r in means) == found.probes.count()
+    rows = moved[0].collect()
+    assert {r.place is None for r in rows} == {True, False} and all((r.embedding is None) == (r.place is not None) for r in rows)
+    own = {(r.vector_shard, r.token) for r in rows if r.place is None}
+    assert len({load for load, _ in own}) > 5 and {(r.vector_shard, r.token) for r in rows} == own
