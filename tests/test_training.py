@@ -40,6 +40,14 @@ def test_loss_is_the_mean_over_triples(problem):
     assert row.pairs == len(triples) and row.loss == pytest.approx(loss_of(vectors, triples) / len(triples))
 
 
+def test_loss_of_vectors_of_known_width_needs_no_arrays(problem):
+    triples, vectors, pairs, table = problem
+    found = sgns.sgns_loss(pairs, table, 3)
+    assert "zip_with" not in found._jdf.queryExecution().executedPlan().toString()
+    row = found.first()
+    assert row.pairs == len(triples) and row.loss == pytest.approx(loss_of(vectors, triples) / len(triples))
+
+
 def test_gradient_is_the_slope_of_the_loss(problem):
     triples, vectors, pairs, table = problem
     found = {r.token: r.gradient for r in sgns.sgns_gradient(pairs, table, 3).collect()}
